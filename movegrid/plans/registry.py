@@ -5,6 +5,7 @@ import importlib
 
 _MODULES = [
     "movegrid.plans.track_queries",
+    "movegrid.plans.catch_queries",
 ]
 
 
