@@ -6,6 +6,7 @@ import importlib
 _MODULES = [
     "movegrid.plans.track_queries",
     "movegrid.plans.catch_queries",
+    "movegrid.plans.grid_queries",
 ]
 
 

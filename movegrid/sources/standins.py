@@ -43,6 +43,8 @@ def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_tax") * F.lit(100)).alias("temperature"),
         (F.lit(35) - F.col("l_discount") * F.lit(10)).alias("salinity"),
         F.concat(F.lit("grid_"), F.col("l_returnflag"), F.lit(".nc")).alias("file_source"),
+        (F.col("l_orderkey") * 100000 + F.col("l_linenumber") * 10000 + F.col("l_suppkey")).alias("row_order"),
+        F.col("l_partkey").alias("row_tiebreak"),
     )
 
 
