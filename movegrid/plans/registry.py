@@ -7,6 +7,7 @@ _MODULES = [
     "movegrid.plans.track_queries",
     "movegrid.plans.catch_queries",
     "movegrid.plans.grid_queries",
+    "movegrid.plans.feature_queries",
 ]
 
 
