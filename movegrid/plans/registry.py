@@ -8,6 +8,7 @@ _MODULES = [
     "movegrid.plans.catch_queries",
     "movegrid.plans.grid_queries",
     "movegrid.plans.feature_queries",
+    "movegrid.plans.image_queries",
 ]
 
 
