@@ -9,6 +9,7 @@ _MODULES = [
     "movegrid.plans.grid_queries",
     "movegrid.plans.feature_queries",
     "movegrid.plans.image_queries",
+    "movegrid.plans.report_queries",
 ]
 
 
