@@ -8,12 +8,22 @@ from movegrid.session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id = (partition id << 33) + position in partition
 
 
+_MULT = 2654435761
+_TWO32 = 4294967296
+_TWO16 = 65536
+
+
 def arithmetic_hash(key: Column, seed: int) -> Column:
-    """Multiplicative hash ``(key * 2654435761 + seed) mod 2**32`` on a non-negative bigint key.
+    """Multiplicative hash ``(key * 2654435761 + seed) mod 2**32`` of a non-negative bigint key.
 
-    Plain integer arithmetic, so any SQL engine computes the same order; exact for keys below 3e9.
+    Plain integer arithmetic, so any SQL engine computes the same order.  The product is
+    formed from the 16-bit halves of ``key mod 2**32`` so no intermediate leaves the bigint
+    range, whatever the key (the value equals the direct formula computed without overflow).
     """
-    return F.pmod(key.cast("long") * F.lit(2654435761) + F.lit(seed), F.lit(4294967296))
+    k = F.pmod(key.cast("long"), F.lit(_TWO32))
+    hi, lo = F.floor(k / F.lit(_TWO16)).cast("long"), F.pmod(k, F.lit(_TWO16))
+    mixed = F.pmod(hi * F.lit(_MULT), F.lit(_TWO16)) * F.lit(_TWO16) + lo * F.lit(_MULT) + F.lit(seed)
+    return F.pmod(mixed, F.lit(_TWO32))
 
 
 def xxhash_order(key: Column, seed: int) -> Column:

@@ -167,7 +167,7 @@ FROM cl"""),
     "aligned_correlation": _sql(_corr_sql()),
     "split_assignment": _sql("""
 SELECT lat_bin, lon_bin,
-       CASE WHEN row_number() OVER (ORDER BY (k * 2654435761 + 42) % 4294967296, k) - 1 < ceil(0.2 * count(*) OVER ())
+       CASE WHEN row_number() OVER (ORDER BY (CAST(k AS HUGEINT) * 2654435761 + 42) % 4294967296, k) - 1 < ceil(0.2 * count(*) OVER ())
             THEN 'test' ELSE 'train' END AS split
 FROM (SELECT *, (lat_key + 900) * 10000 + (lon_key + 1800) AS k FROM mr)"""),
     "linear_fit_metrics": _sql("""

@@ -102,7 +102,7 @@ gp AS (
          l_orderkey * 100000 + l_linenumber * 10000 + l_suppkey AS row_order, l_partkey AS row_tiebreak
   FROM lineitem),
 gs AS (
-  SELECT * FROM gp ORDER BY (row_order * 2654435761 + 42) % 4294967296, row_order, row_tiebreak LIMIT 1000),
+  SELECT * FROM gp ORDER BY (CAST(row_order AS HUGEINT) * 2654435761 + 42) % 4294967296, row_order, row_tiebreak LIMIT 1000),
 ag AS (
   SELECT 'emb_' || CAST(vec_id // 3 AS VARCHAR) || '.nc' AS file_source,
          ['acartia_abundance', 'temperature', 'salinity'][vec_id % 3 + 1] AS variable,
