@@ -62,7 +62,10 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
     if chunk_days is None:
         chunk = F.lit(0).cast("long")
     else:
-        chunk = F.floor(F.unix_date(F.to_date(F.col(ts))) / F.lit(chunk_days)).cast("long")
+        # fixes without a time sort last (D17): they form the last chunk, with a non-NULL key
+        # so that the equi-join back to the chunk table matches them
+        chunk = F.coalesce(F.floor(F.unix_date(F.to_date(F.col(ts))) / F.lit(chunk_days)).cast("long"),
+                           F.lit(2 ** 62).cast("long"))
     base = df.where(F.col(id).isNotNull()).withColumn("_chunk", chunk)
 
     w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
