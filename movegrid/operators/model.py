@@ -97,6 +97,8 @@ def train(binned: DataFrame, kind: str = "random_forest", target: str = "speed",
     parts = feat.split(data, feat.split_order(key, seed), test_size)
     train_df = parts.where(F.col("split") == "train").drop("split")
     test_df = parts.where(F.col("split") == "test").drop("split")
+    if train_df.isEmpty():
+        raise ValueError("no complete feature rows to train on")
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=feats, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),

@@ -33,13 +33,23 @@ def discover_files(paths: list[str] | None = None, directory: str | None = None,
     return sorted(found)
 
 
-def read_array_slabs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan array-encoded grid slabs (any Spark format); corrupt files are skipped (SRC-5)."""
-    df = (spark.read.format(fmt).option("recursiveFileLookup", "true")
-          .option("ignoreCorruptFiles", "true").load(path))
-    if "file_source" not in df.columns:
-        df = df.withColumn("file_source", base_name(F.col("_metadata.file_path")))  # PRJ-9
-    return df
+SLAB_SCHEMA = ("file_source string, variable string, time array<timestamp_ntz>, lat array<double>, "
+               "lon array<double>, values array<double>")
+
+
+def read_array_slabs(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SLAB_SCHEMA) -> DataFrame:
+    """Scan array-encoded grid slabs (any Spark format); corrupt files are skipped (SRC-5).
+
+    The slab layout is fixed, so the schema is given rather than inferred from some file.
+    """
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
+    if schema:
+        reader = reader.schema(schema)
+    df = reader.load(path)
+    from_path = base_name(F.col("_metadata.file_path"))  # PRJ-9
+    if "file_source" in df.columns:
+        return df.withColumn("file_source", F.coalesce(F.col("file_source"), from_path))
+    return df.withColumn("file_source", from_path)
 
 
 def explode_slabs(slabs: DataFrame, time_name: str = "time", lat_name: str = "latitude",

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reproduced pipeline is batch only: it has no streams, watermarks, late data or
+stateful operators, so nothing here is owed.  Every operator in this package is a plain
+``DataFrame -> DataFrame`` function and therefore also applies unchanged to the micro-batch
+DataFrame handed to ``writeStream.foreachBatch`` when tables arrive incrementally.
+"""
