@@ -23,6 +23,34 @@ def track_order(ts: str = "Date", order: str = "row_order") -> list[Column]:
     return [F.col(ts).asc_nulls_last(), F.col(order).asc_nulls_last()]
 
 
+def chunk_key(ts: str, chunk_days: int | None) -> Column:
+    """Time chunk of a fix (``chunk_days`` days since the epoch); one chunk when ``None``.
+
+    Fixes without a time sort last (D17): they form the last chunk, with a non-NULL key so
+    that equi-joins back to per-chunk tables match them.
+    """
+    if chunk_days is None:
+        return F.lit(0).cast("long")
+    return F.coalesce(F.floor(F.unix_date(F.to_date(F.col(ts))) / F.lit(chunk_days)).cast("long"),
+                      F.lit(2 ** 62).cast("long"))
+
+
+def positions(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_order",
+              chunk_days: int | None = DEFAULT_CHUNK_DAYS, name: str = "position") -> DataFrame:
+    """0-based position of every fix within its track, computed per (id, chunk) with chunk
+    offsets from a small per-chunk count table, so a very long track is spread over tasks."""
+    base = df.withColumn("_chunk", chunk_key(ts, chunk_days))
+    w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
+    local = base.withColumn("_rn", F.row_number().over(w))
+    counts = local.groupBy(id, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    wc = Window.partitionBy(id).orderBy(F.col("_chunk"))
+    offsets = counts.select(id, "_chunk", F.coalesce(F.sum("_n").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+                                                     F.lit(0)).alias("_off"))
+    return (local.join(offsets, [id, "_chunk"], "left")
+            .withColumn(name, F.col("_off") + F.col("_rn") - 1)
+            .drop("_chunk", "_rn", "_off"))
+
+
 def check_required(df: DataFrame, required=REQUIRED) -> DataFrame:
     """SRC-1 contract: raise when a required column is missing (schema only, no job)."""
     missing = [c for c in required if c not in df.columns]
@@ -59,22 +87,13 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
     (JN-1/WIN-7, PRJ-4, PRJ-8).  Rows with a NULL id are dropped (D24).
     """
     check_required(df, (id, ts, lat, lon, order))
-    if chunk_days is None:
-        chunk = F.lit(0).cast("long")
-    else:
-        # fixes without a time sort last (D17): they form the last chunk, with a non-NULL key
-        # so that the equi-join back to the chunk table matches them
-        chunk = F.coalesce(F.floor(F.unix_date(F.to_date(F.col(ts))) / F.lit(chunk_days)).cast("long"),
-                           F.lit(2 ** 62).cast("long"))
-    base = df.where(F.col(id).isNotNull()).withColumn("_chunk", chunk)
+    base = df.where(F.col(id).isNotNull()).withColumn("_chunk", chunk_key(ts, chunk_days))
 
     w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (base
-             .withColumn("_rn", F.row_number().over(w))
-             .withColumn("_plat", F.lag(lat).over(w))
-             .withColumn("_plon", F.lag(lon).over(w))
-             .withColumn("_pts", F.lag(ts).over(w)))
+    # Few DataFrame steps on purpose: each step re-analyses the whole plan on the driver.
+    local = base.select("*", F.row_number().over(w).alias("_rn"), F.lag(lat).over(w).alias("_plat"),
+                        F.lag(lon).over(w).alias("_plon"), F.lag(ts).over(w).alias("_pts"))
     inner_dist = planar_distance(F.col(lat) - F.col("_plat"), F.col(lon) - F.col("_plon"))
     local = local.withColumn("_idist", inner_dist).withColumn("_icum", F.sum("_idist").over(w_run))
 
@@ -87,44 +106,44 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
         F.sum(lat).alias("_slat"), F.count(lat).alias("_nlat"),
         F.sum(lon).alias("_slon"), F.count(lon).alias("_nlon"),
     )
-    wc = Window.partitionBy(id).orderBy(F.col("_chunk").asc_nulls_last())
+    wc = Window.partitionBy(id).orderBy(F.col("_chunk"))
     wid = Window.partitionBy(id)
-    chunks = chunks.withColumn("_carry", F.lag("_last").over(wc))
+    carry = F.lag("_last").over(wc)
+    chunks = chunks.select(id, "_chunk", "_first", "_isum", carry.alias("_carry"),
+                           (F.sum("_slat").over(wid) / F.sum("_nlat").over(wid)).alias("center_lat"),
+                           (F.sum("_slon").over(wid) / F.sum("_nlon").over(wid)).alias("center_lon"))
     first_dist = planar_distance(F.col("_first.lat") - F.col("_carry.lat"), F.col("_first.lon") - F.col("_carry.lon"))
-    chunks = (chunks
-              .withColumn("_fdist", first_dist)
-              .withColumn("_ctotal", F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_isum"), F.lit(0.0)))
-              .withColumn("_offset", F.coalesce(
-                  F.sum("_ctotal").over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-              .withColumn("center_lat", F.sum("_slat").over(wid) / F.sum("_nlat").over(wid))
-              .withColumn("center_lon", F.sum("_slon").over(wid) / F.sum("_nlon").over(wid))
-              .select(id, "_chunk", "_carry", "_fdist", "_offset", "center_lat", "center_lon"))
+    chunks = chunks.withColumn("_fdist", first_dist)
+    total = F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_isum"), F.lit(0.0))
+    chunks = chunks.select(id, "_chunk", "_carry", "_fdist", "center_lat", "center_lon",
+                           F.coalesce(F.sum(total).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+                                      F.lit(0.0)).alias("_offset"))
 
     j = local.join(chunks, [id, "_chunk"], "left")
     first = F.col("_rn") == 1
-    prev_lat = F.when(first, F.col("_carry.lat")).otherwise(F.col("_plat"))
-    prev_lon = F.when(first, F.col("_carry.lon")).otherwise(F.col("_plon"))
-    prev_ts = F.when(first, F.col("_carry.ts")).otherwise(F.col("_pts"))
-    out = j.withColumns({
-        "lat_diff": F.col(lat) - prev_lat,
-        "lon_diff": F.col(lon) - prev_lon,
-    })
-    out = out.withColumns({
-        "distance": planar_distance(F.col("lat_diff"), F.col("lon_diff")),
-        "time_diff": days_between(prev_ts, F.col(ts)),
-    })
+    lat_diff = F.col(lat) - F.when(first, F.col("_carry.lat")).otherwise(F.col("_plat"))
+    lon_diff = F.col(lon) - F.when(first, F.col("_carry.lon")).otherwise(F.col("_plon"))
+    time_diff = days_between(F.when(first, F.col("_carry.ts")).otherwise(F.col("_pts")), F.col(ts))
+    distance = planar_distance(lat_diff, lon_diff)
     running = F.col("_offset") + F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_icum"), F.lit(0.0))
-    out = out.withColumns({
-        "speed": F.col("distance") / F.nullif(F.col("time_diff"), F.lit(0.0)),
-        "direction": bearing_degrees(F.col("lat_diff"), F.col("lon_diff")),
+    keep = [c for c in df.columns if c != "_chunk"]
+    derived = {
+        "lat_diff": lat_diff,
+        "lon_diff": lon_diff,
+        "distance": distance,
+        "time_diff": time_diff,
+        "speed": distance / F.nullif(time_diff, F.lit(0.0)),
+        "direction": bearing_degrees(lat_diff, lon_diff),
         # WIN-3: a missing step stays missing, the sum continues past it
-        "cumulative_distance": F.when(F.col("distance").isNotNull(), running),
+        "cumulative_distance": F.when(distance.isNotNull(), running),
+        "center_lat": F.col("center_lat"),
+        "center_lon": F.col("center_lon"),
         "dist_from_center": planar_distance(F.col(lat) - F.col("center_lat"), F.col(lon) - F.col("center_lon")),
         "lat_bin": spatial_bin(F.col(lat)),
         "lon_bin": spatial_bin(F.col(lon)),
-    })
-    out = out.withColumns(calendar_columns(F.col(ts)))
-    return out.drop("_chunk", "_rn", "_plat", "_plon", "_pts", "_idist", "_icum", "_carry", "_fdist", "_offset")
+        **calendar_columns(F.col(ts)),
+    }
+    return j.select(*[F.col(c) for c in keep], *[e.alias(n) for n, e in derived.items()])
 
 
 def clean_predicates(lat: str = "Latitude", lon: str = "Longitude", lat_range=TRACK_LAT_RANGE,
@@ -238,9 +257,8 @@ def polylines(df: DataFrame, n_ids: int = 10, id: str = "id", ts: str = "Date",
               lon: str = "Longitude", order: str = "row_order") -> DataFrame:
     """WIN-6: ordered polyline of each mapped track in long form (id, point_index, lat, lon).
 
-    Long form keeps a long track spread over rows instead of one giant array.
+    Long form keeps a long track spread over rows instead of one giant array, and the
+    positions are computed per time chunk (``positions``), not in one task per track.
     """
     pts = _mapped_tracks(df, n_ids, id)
-    w = Window.partitionBy(id).orderBy(*track_order(ts, order))
-    return pts.select(id, (F.row_number().over(w) - 1).alias("point_index"),
-                      F.col(lat).alias(lat), F.col(lon).alias(lon))
+    return positions(pts, id, ts, order, name="point_index").select(id, "point_index", lat, lon)
