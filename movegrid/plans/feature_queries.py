@@ -85,6 +85,15 @@ def q_model_predictions(spark, sf_dir):
     return tm.predict(tm.test).select("lat_bin", "lon_bin", "label", "prediction", "residual")
 
 
+def q_model_linear_fit(spark, sf_dir):
+    """ML-1..6 end to end with one feature: exact split, scaler, OLS fit, test metrics.
+
+    Ordinary least squares is exact, so the metrics equal the closed form in SQL."""
+    tm = mdl.train(model_rows(spark, sf_dir), "linear", features=["distance"])
+    m = tm.metrics()
+    return rounded(m, {"mse": 6, "rmse": 6, "mae": 6, "r2": 6})
+
+
 def q_model_cv(spark, sf_dir):
     return mdl.cross_validate(mdl.train(binned(spark, sf_dir), "linear"), 5)
 
@@ -101,6 +110,7 @@ QUERIES = {
     "model_importance": q_model_importance,
     "model_predictions": q_model_predictions,
     "model_cv": q_model_cv,
+    "model_linear_fit": q_model_linear_fit,
 }
 
 # ---------------------------------------------------------------------------------------------
@@ -170,6 +180,17 @@ SELECT lat_bin, lon_bin,
        CASE WHEN row_number() OVER (ORDER BY (CAST(k AS HUGEINT) * 2654435761 + 42) % 4294967296, k) - 1 < ceil(0.2 * count(*) OVER ())
             THEN 'test' ELSE 'train' END AS split
 FROM (SELECT *, (lat_key + 900) * 10000 + (lon_key + 1800) AS k FROM mr)"""),
+    "model_linear_fit": _sql("""
+, sp AS (
+  SELECT *, row_number() OVER (ORDER BY (CAST(k AS HUGEINT) * 2654435761 + 42) % 4294967296, k) - 1
+              < ceil(0.2 * count(*) OVER ()) AS is_test
+  FROM (SELECT *, (lat_key + 900) * 10000 + (lon_key + 1800) AS k FROM mr)),
+fit AS (SELECT regr_slope(speed, distance) AS slope, regr_intercept(speed, distance) AS intercept FROM sp WHERE NOT is_test),
+pr AS (SELECT speed AS label, intercept + slope * distance AS prediction FROM sp, fit WHERE is_test),
+st AS (SELECT avg((label - prediction) * (label - prediction)) AS mse, avg(abs(label - prediction)) AS mae,
+              sum((label - prediction) * (label - prediction)) AS sse, var_pop(label) AS v, count(*) AS n FROM pr)
+SELECT round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse, round(mae, 6) AS mae, round(1 - sse / NULLIF(v * n, 0), 6) AS r2, n
+FROM st"""),
     "linear_fit_metrics": _sql("""
 , fit AS (SELECT regr_slope(speed, distance) AS slope, regr_intercept(speed, distance) AS intercept FROM mr),
 pr AS (SELECT speed AS label, intercept + slope * distance AS prediction FROM mr, fit),
