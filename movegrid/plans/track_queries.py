@@ -34,19 +34,19 @@ def q_track_movement_metrics(spark, sf_dir):
 
 def q_track_cumulative_distance(spark, sf_dir):
     df = processed(spark, sf_dir).select("id", "Date", "row_order", "distance", "cumulative_distance")
-    return rounded(df, {"cumulative_distance": 8})
+    return rounded(df, {"cumulative_distance": 6})
 
 
 def q_track_spatial_features(spark, sf_dir):
     df = processed(spark, sf_dir).select("id", "row_order", "center_lat", "center_lon", "dist_from_center",
                                          "lat_bin", "lon_bin")
-    return rounded(df, {"center_lat": 10, "center_lon": 10, "dist_from_center": 8})
+    return rounded(df, {"center_lat": 10, "center_lon": 10, "dist_from_center": 9})
 
 
 def q_track_clean(spark, sf_dir):
     df = cleaned(spark, sf_dir).select("id", "Date", "row_order", "Latitude", "Longitude", "distance",
                                        "time_diff", "speed", "cumulative_distance", "lat_bin", "lon_bin", "season")
-    return rounded(df, {"cumulative_distance": 8})
+    return rounded(df, {"cumulative_distance": 6})
 
 
 def q_track_clean_accounting(spark, sf_dir):
@@ -55,7 +55,7 @@ def q_track_clean_accounting(spark, sf_dir):
 
 def q_track_totals(spark, sf_dir):
     return rounded(tracks.totals(cleaned(spark, sf_dir)),
-                   {"total_distance": 8, "avg_speed": 8, "avg_distance_per_day": 8})
+                   {"total_distance": 6, "avg_speed": 6, "avg_distance_per_day": 6})
 
 
 def q_track_summary(spark, sf_dir):
@@ -88,7 +88,7 @@ def q_map_center(spark, sf_dir):
 
 def q_movement_by_date(spark, sf_dir):
     return rounded(profiles.movement_by_date(cleaned(spark, sf_dir)),
-                   {"avg_distance": 8, "avg_speed": 8, "avg_lat": 8, "avg_lon": 8})
+                   {"avg_distance": 6, "avg_speed": 6, "avg_lat": 10, "avg_lon": 10})
 
 
 def q_records_by_month(spark, sf_dir):
@@ -96,7 +96,7 @@ def q_records_by_month(spark, sf_dir):
 
 
 def q_monthly_patterns(spark, sf_dir):
-    return rounded(profiles.monthly_patterns(cleaned(spark, sf_dir)), {"avg_distance": 8, "avg_speed": 8})
+    return rounded(profiles.monthly_patterns(cleaned(spark, sf_dir)), {"avg_distance": 6, "avg_speed": 6})
 
 
 def q_distance_histogram(spark, sf_dir):
@@ -206,14 +206,14 @@ SELECT id, "Date", row_order, Latitude, Longitude, lat_diff, lon_diff, distance,
        round(direction, 9) AS direction
 FROM pt"""),
     "track_cumulative_distance": _sql("""
-SELECT id, "Date", row_order, distance, round(cumulative_distance, 8) AS cumulative_distance FROM pt"""),
+SELECT id, "Date", row_order, distance, round(cumulative_distance, 6) AS cumulative_distance FROM pt"""),
     "track_spatial_features": _sql("""
 SELECT id, row_order, round(center_lat, 10) AS center_lat, round(center_lon, 10) AS center_lon,
-       round(dist_from_center, 8) AS dist_from_center, lat_bin, lon_bin
+       round(dist_from_center, 9) AS dist_from_center, lat_bin, lon_bin
 FROM pt"""),
     "track_clean": _sql("""
 SELECT id, "Date", row_order, Latitude, Longitude, distance, time_diff, speed,
-       round(cumulative_distance, 8) AS cumulative_distance, lat_bin, lon_bin, season
+       round(cumulative_distance, 6) AS cumulative_distance, lat_bin, lon_bin, season
 FROM cl"""),
     "track_clean_accounting": _sql("""
 SELECT initial_count, removed_missing_coordinates, removed_outside_box, removed_speed_cap, removed_time_not_positive,
@@ -235,8 +235,8 @@ FROM (
                           AND coalesce(speed <= 10, false) AND coalesce(time_diff > 0, false)) AS final_count
   FROM pt)"""),
     "track_totals": _sql("""
-SELECT round(coalesce(sum(distance), 0), 8) AS total_distance, round(avg(speed), 8) AS avg_speed, max(speed) AS max_speed,
-       round(avg(distance), 8) AS avg_distance_per_day
+SELECT round(coalesce(sum(distance), 0), 6) AS total_distance, round(avg(speed), 6) AS avg_speed, max(speed) AS max_speed,
+       round(avg(distance), 6) AS avg_distance_per_day
 FROM cl"""),
     "track_summary": _sql("""
 SELECT id, round_even(coalesce(sum(distance), 0) * 10000, 0) / 10000 AS distance_sum,
@@ -263,12 +263,12 @@ FROM smp GROUP BY ALL"""),
     "map_center": _sql("""
 SELECT round(avg(Latitude), 8) AS center_lat, round(avg(Longitude), 8) AS center_lon, count(*) AS n_points FROM cl"""),
     "movement_by_date": _sql("""
-SELECT "Date", round(avg(distance), 8) AS avg_distance, round(avg(speed), 8) AS avg_speed,
-       round(avg(Latitude), 8) AS avg_lat, round(avg(Longitude), 8) AS avg_lon
+SELECT "Date", round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed,
+       round(avg(Latitude), 10) AS avg_lat, round(avg(Longitude), 10) AS avg_lon
 FROM cl GROUP BY "Date\""""),
     "records_by_month": _sql("SELECT month, count(*) AS n_records FROM cl GROUP BY month"),
     "monthly_patterns": _sql("""
-SELECT month, round(avg(distance), 8) AS avg_distance, round(avg(speed), 8) AS avg_speed, count(DISTINCT id) AS n_ids
+SELECT month, round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed, count(DISTINCT id) AS n_ids
 FROM cl GROUP BY month"""),
     "distance_histogram": _sql("""
 , st AS (SELECT CASE WHEN min(distance_sum) = max(distance_sum) THEN min(distance_sum) - 0.5 ELSE min(distance_sum) END AS lo,
