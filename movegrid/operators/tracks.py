@@ -23,20 +23,25 @@ def track_order(ts: str = "Date", order: str = "row_order") -> list[Column]:
     return [F.col(ts).asc_nulls_last(), F.col(order).asc_nulls_last()]
 
 
-def chunk_key(ts: str, chunk_days: int | None) -> Column:
-    """Time chunk of a fix (``chunk_days`` days since the epoch); one chunk when ``None``.
+def chunk_key(ts: str, chunk_days: float | None) -> Column:
+    """Time chunk of a fix: whole ``chunk_days`` periods since the epoch (fractions of a day
+    allowed, e.g. ``1/24`` for hourly chunks of dense tracks); one chunk when ``None``.
 
+    The per-id chunk table then holds (time span / chunk length) rows per id whatever the
+    number of fixes, and one chunk of one id is the largest unit of work of a task.
     Fixes without a time sort last (D17): they form the last chunk, with a non-NULL key so
     that equi-joins back to per-chunk tables match them.
     """
     if chunk_days is None:
         return F.lit(0).cast("long")
-    return F.coalesce(F.floor(F.unix_date(F.to_date(F.col(ts))) / F.lit(chunk_days)).cast("long"),
-                      F.lit(2 ** 62).cast("long"))
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              F.col(ts).cast("timestamp_ntz"))
+    size = int(round(chunk_days * 86400e6))
+    return F.coalesce(F.floor(micros / F.lit(size)).cast("long"), F.lit(2 ** 62).cast("long"))
 
 
 def positions(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_order",
-              chunk_days: int | None = DEFAULT_CHUNK_DAYS, name: str = "position") -> DataFrame:
+              chunk_days: float | None = DEFAULT_CHUNK_DAYS, name: str = "position") -> DataFrame:
     """0-based position of every fix within its track, computed per (id, chunk) with chunk
     offsets from a small per-chunk count table, so a very long track is spread over tasks."""
     base = df.withColumn("_chunk", chunk_key(ts, chunk_days))
@@ -79,7 +84,7 @@ def with_calendar(df: DataFrame, ts: str = "Date") -> DataFrame:
 
 
 def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitude", lon: str = "Longitude",
-            order: str = "row_order", chunk_days: int | None = DEFAULT_CHUNK_DAYS) -> DataFrame:
+            order: str = "row_order", chunk_days: float | None = DEFAULT_CHUNK_DAYS) -> DataFrame:
     """Calendar features, movement metrics and spatial features of every fix (before cleaning, D1).
 
     Adds ``lat_diff, lon_diff, distance, time_diff, speed, direction, cumulative_distance``

@@ -21,7 +21,7 @@ def fixes(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("chunk_days", [None, 1, 7])
+@pytest.mark.parametrize("chunk_days", [None, 1 / 24, 1, 7])
 def test_metrics_before_cleaning_outlier_influences_successor(spark, chunk_days):
     # id 1: good, outlier, good.  The outlier is removed by the speed cap but its
     # successor's step is still measured from the outlier (D1).
@@ -70,12 +70,13 @@ def test_chunked_equals_whole_track_windows(spark):
     cols = ["id", "row_order", "lat_diff", "lon_diff", "distance", "time_diff", "speed", "cumulative_distance",
             "center_lat", "dist_from_center"]
     a = {r.row_order: r for r in tracks.process(tp, chunk_days=None).select(cols).collect()}
-    b = {r.row_order: r for r in tracks.process(tp, chunk_days=1).select(cols).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        for c in cols:
-            x, y = a[k][c], b[k][c]
-            assert (x is None and y is None) or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9), (k, c, x, y)
+    for chunk in (1, 1 / 24):
+        b = {r.row_order: r for r in tracks.process(tp, chunk_days=chunk).select(cols).collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            for c in cols:
+                x, y = a[k][c], b[k][c]
+                assert (x is None and y is None) or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9), (k, c, x, y)
 
 
 def test_results_do_not_depend_on_input_partitioning(spark):
