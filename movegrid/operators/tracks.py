@@ -226,9 +226,15 @@ def summary_report(df: DataFrame, id: str = "id", ts: str = "Date", decimals: in
     )
 
 
-def sampled(df: DataFrame, k: int = 3, id: str = "id", ts: str = "Date", order: str = "row_order") -> DataFrame:
-    """WIN-5: every k-th fix of the table sorted by (id, time, source order), from row 0."""
-    return every_kth(df, [F.col(id).asc_nulls_last()] + track_order(ts, order), k)
+def sampled(df: DataFrame, k: int = 3, id: str = "id", ts: str = "Date", order: str = "row_order",
+            columns: list[str] | None = None) -> DataFrame:
+    """WIN-5: every k-th fix of the table sorted by (id, time, source order), from row 0.
+
+    Only ``columns`` (default: id, time, order and position) are carried: the exact index
+    checkpoints its input, and column pruning cannot reach through a checkpoint.
+    """
+    keep = columns or [id, ts, order, "Latitude", "Longitude"]
+    return every_kth(df.select(*keep), [F.col(id).asc_nulls_last()] + track_order(ts, order), k)
 
 
 def first_ids(df: DataFrame, n: int, id: str = "id") -> DataFrame:
