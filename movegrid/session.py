@@ -30,13 +30,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a scratch folder is created.
+    Only when nothing is configured (local tests) a scratch folder is created.  Under Spark
+    Connect there is no driver-side context; the server's own setting applies.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
