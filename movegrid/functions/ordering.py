@@ -66,3 +66,27 @@ def every_kth(df: DataFrame, order: list[Column], k: int, start: int = 0) -> Dat
 def top_k_by_order(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """ORD-5: fixed-size sample as a deterministic top-k (TakeOrderedAndProject, no full sort)."""
     return df.orderBy(*order).limit(n)
+
+
+def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Exact medians of several columns as one row (``_med_<col>``), without one-task merges.
+
+    Non-NULL values of all columns are stacked as (variable, value), indexed once in the
+    total order (variable, value) with ``with_global_index``, and only the one or two middle
+    rows of each variable are kept.  An even count interpolates ``lo + 0.5 * (hi - lo)``.
+    A column without values gets NULL.
+    """
+    spark = df.sparkSession
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("v"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)
+    ])).alias("_s")).select("_s.v", "_s.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    # a unique tie-breaker is not needed: equal values are interchangeable for a median
+    idx = with_global_index(stacked, [F.col("v"), F.col("x")], "_i")
+    bounds = idx.groupBy("v").agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))  # one row per column
+    mid = idx.join(F.broadcast(bounds), "v").where(
+        (F.col("_i") == F.col("_start") + F.floor((F.col("_n") - 1) / 2)) |
+        (F.col("_i") == F.col("_start") + F.ceil((F.col("_n") - 1) / 2)))
+    per_var = mid.groupBy("v").agg((F.min("x") + F.lit(0.5) * (F.max("x") - F.min("x"))).alias("m"))
+    names = spark.range(len(columns)).select(F.col("id").cast("int").alias("v"))
+    full = names.join(per_var, "v", "left")
+    return full.agg(*[F.max(F.when(F.col("v") == i, F.col("m"))).alias(f"_med_{c}") for i, c in enumerate(columns)])

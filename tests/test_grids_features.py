@@ -118,3 +118,18 @@ def test_linear_model_recovers_plane(spark):
     assert tm.train.count() + tm.test.count() == 100
     with pytest.raises(ValueError):
         model.estimator("gradient_boosting")
+
+
+def test_exact_medians_match_python(spark):
+    import random
+    import statistics
+
+    from movegrid.functions.ordering import exact_medians
+    rnd = random.Random(7)
+    rows = [(rnd.choice([None, rnd.random() * 10, float(rnd.randint(0, 5))]), rnd.choice([None, rnd.gauss(0, 1)]),
+             None) for _ in range(301)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    r = exact_medians(df, ["a", "b", "c"]).first()
+    for i, c in enumerate("ab"):
+        assert r[f"_med_{c}"] == pytest.approx(statistics.median([x[i] for x in rows if x[i] is not None]))
+    assert r["_med_c"] is None
