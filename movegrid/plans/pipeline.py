@@ -15,9 +15,13 @@ from movegrid.params import ELASMOBRANCH_KEYWORDS, NORTH_SEA_AREA
 from movegrid.plans import report
 from movegrid.sources import catch as catch_src
 from movegrid.sources import grids as grid_src
+from movegrid.session import ensure_checkpoint_dir
 from movegrid.sources import images as image_src
 from movegrid.sources import tracks as track_src
 
+# Partition columns of the large outputs (partition pruning for downstream readers)
+PARTITION_BY = {"tracks_processed": ["year", "month"], "catch_joined": ["period"], "raster_cells": ["period"]}
+
 
 @dataclass(frozen=True)
 class Config:
@@ -37,6 +41,7 @@ class Config:
     chunk_days: int | None = tracks.DEFAULT_CHUNK_DAYS
     keywords: tuple[str, ...] = tuple(ELASMOBRANCH_KEYWORDS)
     train_model: bool = True
+    materialize: bool = True                # freeze processed tracks/grid once for all outputs
 
 
 def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
@@ -44,6 +49,10 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     # tracks
     raw = track_src.read_track_csv(spark, cfg.tracks_csv)
     processed = tracks.process(raw, chunk_days=cfg.chunk_days)
+    if cfg.materialize:
+        # many outputs read the processed fixes: compute them once, into the reliable checkpoint dir
+        ensure_checkpoint_dir(spark)
+        processed = processed.checkpoint(eager=True)
     clean = tracks.clean(processed)
     out.update({
         "track_overview": tracks.overview(raw),
@@ -62,6 +71,8 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
         grid = grid_src.to_wide(grid_src.explode_slabs(slabs))
     elif cfg.use_sample_grid:
         grid = grid_src.sample_grid(spark)
+    if grid is not None and cfg.materialize:
+        grid = grid.checkpoint(eager=True)
     if grid is not None:
         out.update({
             "grid": grid,
@@ -125,5 +136,5 @@ def export(results: dict, output_dir: str) -> dict[str, str]:
         elif name == "raster_wide":
             paths[name] = sinks.write_wide_csv(df, f"{output_dir}/raster_wide")
         else:
-            paths[name] = sinks.write_table(df, f"{output_dir}/{name}")
+            paths[name] = sinks.write_table(df, f"{output_dir}/{name}", partition_by=PARTITION_BY.get(name))
     return paths

@@ -99,7 +99,10 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
     assert out["raster_stats"].first().total_distributed == pytest.approx(20.5)
     rep = {(r.section, r.metric): r.value for r in out["report"].collect()}
     assert rep[("tracks", "raw_records")] == "56" and ("model", "r2") in rep
-    paths = pipeline.export({k: out[k] for k in ("track_summary", "raster_wide", "report")},
+    paths = pipeline.export({k: out[k] for k in ("track_summary", "tracks_processed", "raster_wide", "report")},
                             os.path.join(tmpdir_path, "out"))
+    assert os.path.isdir(os.path.join(paths["tracks_processed"], "year=2021"))
+    back = spark.read.parquet(paths["tracks_processed"])
+    assert back.where(F.col("month") == 8).count() == out["tracks_processed"].count()
     text = spark.read.text(paths["report"]).collect()
     assert any(r.value.startswith("tracks | raw_records | 56") for r in text)
