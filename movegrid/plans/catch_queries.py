@@ -144,9 +144,9 @@ ix AS (
          LEAST(CAST(floor((lon_max + 180) / {R} + 1e-9) AS INTEGER), {N_LON - 1}) AS ob
   FROM bd),
 ixl AS (
-  SELECT code, name, generate_series(la, lb) AS lat_list,
-         CASE WHEN lon_min > lon_max THEN list_concat(generate_series(oa, {N_LON - 1}), generate_series(0, ob))
-              ELSE generate_series(oa, ob) END AS lon_list
+  SELECT code, name, CAST(generate_series(la, lb) AS INTEGER[]) AS lat_list,
+         CAST(CASE WHEN lon_min > lon_max THEN list_concat(generate_series(oa, {N_LON - 1}), generate_series(0, ob))
+              ELSE generate_series(oa, ob) END AS INTEGER[]) AS lon_list
   FROM ix),
 alloc AS (
   SELECT t.*, ixl.name AS area_name, lat_list, lon_list, len(lat_list) * len(lon_list) AS n_cells

@@ -6,6 +6,8 @@ from tests.conftest import SF_SMALL
 from tools.oracle_check import canon, duck_connect
 
 SQL = E.oracle_sql()
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+         "boolean": "BOOLEAN", "float": "FLOAT", "binary": "BLOB"}
 SLOW = {"model_metrics", "model_metrics_parity", "model_importance", "model_predictions", "model_cv", "model_linear"}
 
 
@@ -21,6 +23,10 @@ def test_query_matches_sql(spark, duck, name):
     cur = duck.execute(SQL[name])
     d_rows, d_cols = canon([d[0] for d in cur.description], cur.fetchall())
     assert s_cols == d_cols
+    rel = duck.sql(SQL[name])
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    s_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert s_types == d_types
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
 
