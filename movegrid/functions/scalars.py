@@ -1,15 +1,17 @@
-"""Attach one-row aggregates (global mean, max, min) to every row."""
+"""Attach one-row aggregates (global mean, max, min, count) to every row."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Join a one-row aggregate to every row of ``df``.
+    """Add the columns of a one-row aggregate to every row of ``df``.
 
-    The right side is a global aggregate (exactly one row), so broadcasting it is bounded;
-    the join is an equi-join on a constant key, not a product of two tables.
+    The aggregate becomes a single uncorrelated scalar subquery (its columns packed into
+    one struct): Spark runs it once and inlines the value, so there is no join at all.
     """
-    return (df.withColumn("_mg_one", F.lit(0))
-            .join(F.broadcast(one_row.withColumn("_mg_one", F.lit(0))), "_mg_one")
-            .drop("_mg_one"))
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_mg_s")).scalar()
+    return (df.withColumn("_mg_s", packed)
+            .select("*", *[F.col("_mg_s")[c].alias(c) for c in cols])
+            .drop("_mg_s"))
