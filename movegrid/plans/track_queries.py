@@ -20,6 +20,13 @@ def q_track_overview(spark, sf_dir):
     return tracks.overview(track_points(spark, sf_dir))
 
 
+def q_track_raw_profile(spark, sf_dir):
+    """SRC-9: rows and min/max of the date text as it arrives (before parsing)."""
+    raw = track_points(spark, sf_dir).select(F.date_format("Date", "yyyy-MM-dd HH:mm:ss").alias("Date"))
+    return raw.agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("date_text_min"),
+                   F.max("Date").alias("date_text_max"))
+
+
 def q_track_temporal_features(spark, sf_dir):
     return tracks.with_calendar(track_points(spark, sf_dir)).select(
         "id", "Date", "row_order", "year", "month", "day_of_year", "week", "day_of_week", "hour", "season")
@@ -106,6 +113,7 @@ def q_distance_histogram(spark, sf_dir):
 
 QUERIES = {
     "track_overview": q_track_overview,
+    "track_raw_profile": q_track_raw_profile,
     "track_temporal_features": q_track_temporal_features,
     "track_movement_metrics": q_track_movement_metrics,
     "track_cumulative_distance": q_track_cumulative_distance,
@@ -193,6 +201,10 @@ ORACLE = {
     "track_overview": _sql("""
 SELECT count(*) AS total_records, count(DISTINCT id) AS unique_ids, min("Date") AS date_min, max("Date") AS date_max,
        min(Latitude) AS lat_min, max(Latitude) AS lat_max, min(Longitude) AS lon_min, max(Longitude) AS lon_max
+FROM tp"""),
+    "track_raw_profile": _sql("""
+SELECT count(*) AS rows, min(strftime("Date", '%Y-%m-%d %H:%M:%S')) AS date_text_min,
+       max(strftime("Date", '%Y-%m-%d %H:%M:%S')) AS date_text_max
 FROM tp"""),
     "track_temporal_features": _sql("""
 SELECT id, "Date", row_order, CAST(year("Date") AS INTEGER) AS year, CAST(month("Date") AS INTEGER) AS month,
