@@ -106,3 +106,22 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
     assert back.where(F.col("month") == 8).count() == out["tracks_processed"].count()
     text = spark.read.text(paths["report"]).collect()
     assert any(r.value.startswith("tracks | raw_records | 56") for r in text)
+
+
+def test_track_csv_strict_and_lenient_dates(spark, tmpdir_path):
+    from movegrid.sources.tracks import raw_profile, read_track_csv
+    path = os.path.join(tmpdir_path, "t.csv")
+    _write(path, "id,Date,Latitude,Longitude\n1,2021-08-01 10:00:00,50.0,2.0\n1,not a date,50.1,NaN\n")
+    lenient = read_track_csv(spark, path, strict=False).orderBy("row_order").collect()
+    assert lenient[1].Date is None and lenient[1].Longitude is None          # NaN became NULL
+    assert lenient[0].row_order < lenient[1].row_order
+    with pytest.raises(Exception):
+        read_track_csv(spark, path, strict=True).collect()
+    prof = raw_profile(spark, path).first()
+    assert (prof.rows, prof.date_text_min, prof.date_text_max) == (2, "2021-08-01 10:00:00", "not a date")
+    with pytest.raises(ValueError):
+        bad = os.path.join(tmpdir_path, "bad.csv")
+        _write(bad, "id,Latitude\n1,50.0\n")
+        from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+        read_track_csv(spark, bad, schema=StructType([StructField("id", LongType()),
+                                                      StructField("Latitude", DoubleType())]))
