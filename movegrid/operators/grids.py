@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from movegrid.functions import resolve
 from movegrid.functions.ordering import top_k_by_order
-from movegrid.functions.scalars import attach_one_row
 from movegrid.functions.spatial import bin_index, spatial_bin
 
 
@@ -101,15 +100,18 @@ def sample_rows(df: DataFrame, order: list[Column], n: int = 1000) -> DataFrame:
 def positive_scaled(df: DataFrame, max_vars: int = 5, factor: float = 1.0,
                     lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """FIL-11 + AGG-30 + PRJ-17: per abundance column (first ``max_vars``), positive values
-    scaled by that column's maximum; long form (variable, lat, lon, value, scaled)."""
-    parts = []
-    for c in resolve.abundance_columns(df.columns, max_vars):
-        pos = df.where(F.col(c) > 0).select(F.lit(c).alias("variable"), F.col(lat).alias("latitude"),
-                                            F.col(lon).alias("longitude"), F.col(c).cast("double").alias("value"))
-        mx = pos.agg(F.max("value").alias("_mx"))
-        parts.append(attach_one_row(pos, mx).withColumn("scaled", F.col("value") / F.col("_mx") * F.lit(factor))
-                     .drop("_mx"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    scaled by that column's maximum; long form (variable, latitude, longitude, value, scaled).
+
+    One pass: the columns are stacked once, the per-variable maxima form a table with one row
+    per column (a bounded broadcast), and the rows are scaled through that lookup.
+    """
+    cols = resolve.abundance_columns(df.columns, max_vars)
+    stacked = df.select(F.col(lat).alias("latitude"), F.col(lon).alias("longitude"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols
+    ])).alias("_s")).select("_s.variable", "latitude", "longitude", "_s.value").where(F.col("value") > 0)
+    maxima = stacked.groupBy("variable").agg(F.max("value").alias("_mx"))
+    return (stacked.join(F.broadcast(maxima), "variable")
+            .withColumn("scaled", F.col("value") / F.col("_mx") * F.lit(factor)).drop("_mx"))
 
 
 def with_bins(df: DataFrame, lat: str | None = None, lon: str | None = None) -> DataFrame:
