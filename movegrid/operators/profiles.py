@@ -8,7 +8,12 @@ from movegrid.functions.scalars import attach_one_row
 
 def movement_by_date(df: DataFrame, ts: str = "Date", grain: str | None = None) -> DataFrame:
     """AGG-18: mean movement per timestamp (``grain='day'`` truncates to days, D7)."""
-    key = F.col(ts) if grain is None else F.date_trunc(grain, F.col(ts)).alias(ts)
+    if grain is None:
+        key = F.col(ts)
+    elif grain == "day":
+        key = F.to_date(F.col(ts)).cast(dict(df.dtypes)[ts])     # wall-clock day, no time zone
+    else:
+        key = F.date_trunc(grain, F.col(ts)).cast(dict(df.dtypes)[ts])
     return df.groupBy(key.alias(ts)).agg(
         F.avg("distance").alias("avg_distance"),
         F.avg("speed").alias("avg_speed"),
