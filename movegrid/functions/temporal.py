@@ -47,7 +47,7 @@ def with_grid_calendar(df, time_col: str | None):
     dtype = dict(df.dtypes)[time_col]
     ts = F.col(time_col)
     if not dtype.startswith("timestamp"):
-        ts = F.try_to_timestamp(ts.cast("string"))
+        ts = ts.cast("string").try_cast("timestamp_ntz")   # wall-clock parse, NULL when invalid
         df = df.withColumn(time_col, ts)
         ts = F.col(time_col)
     month = F.month(ts)

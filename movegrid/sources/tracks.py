@@ -29,7 +29,7 @@ def read_track_csv(spark: SparkSession, path: str, schema: StructType = RAW_TRAC
     """
     raw = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
     check_required(raw)
-    parse = F.to_timestamp_ntz(F.col("Date")) if strict else F.try_to_timestamp(F.col("Date")).cast("timestamp_ntz")
+    parse = F.to_timestamp_ntz(F.col("Date")) if strict else F.col("Date").try_cast("timestamp_ntz")
     out = raw.withColumns({
         "id": F.col("id").cast(id_type) if id_type else F.col("id"),
         "Date": parse,

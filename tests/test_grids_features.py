@@ -133,3 +133,14 @@ def test_exact_medians_match_python(spark):
     for i, c in enumerate("ab"):
         assert r[f"_med_{c}"] == pytest.approx(statistics.median([x[i] for x in rows if x[i] is not None]))
     assert r["_med_c"] is None
+
+
+def test_grid_calendar_parses_text_times_without_zone(spark):
+    from movegrid.functions.temporal import with_grid_calendar
+    df = spark.createDataFrame([("2021-08-01 10:00:00",), ("junk",), ("2021-12-31",)], "time string")
+    rows = [tuple(r) for r in with_grid_calendar(df, "time").collect()]
+    assert rows[0][1:] == (2021, 8, 213, "Summer")
+    assert rows[1] == (None, None, None, None, None)
+    assert rows[2][1:] == (2021, 12, 365, "Winter")
+    assert dict(with_grid_calendar(df, "time").dtypes)["time"] == "timestamp_ntz"
+    assert with_grid_calendar(df, None) is df
