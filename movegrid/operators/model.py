@@ -21,9 +21,11 @@ PARITY_CANDIDATES = ["Latitude", "Longitude", "month", "day_of_year", "distance"
 def estimator(kind: str, seed: int = MODEL_SEED):
     """ML-5: model-type dispatch; unknown kinds raise."""
     if kind == "random_forest":
+        # node ids are cached between levels (checkpointed every 10 levels to the session's
+        # checkpoint dir) instead of re-walking every tree for every row at each level
         return RandomForestRegressor(numTrees=FOREST_TREES, maxDepth=FOREST_DEPTH, minInstancesPerNode=FOREST_MIN_LEAF,
                                      featureSubsetStrategy="all", seed=seed, labelCol="label",
-                                     featuresCol="features")
+                                     featuresCol="features", cacheNodeIds=True, checkpointInterval=10)
     if kind == "linear":
         return LinearRegression(regParam=0.0, labelCol="label", featuresCol="features")
     raise ValueError(f"Unknown model type: {kind}")
