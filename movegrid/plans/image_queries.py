@@ -2,7 +2,9 @@
 from __future__ import annotations
 
 from movegrid.operators import images
-from movegrid.sources.standins import image_files
+from movegrid.sources.standins import IMAGE_STEMS, image_files
+
+_stems = "[" + ", ".join(f"'{x}'" for x in IMAGE_STEMS) + "]"
 
 
 def catalog(spark, sf_dir):
@@ -20,7 +22,10 @@ _species = " OR ".join(f"contains(lower(name), '{k}')" for k in images.IMAGE_SPE
 _env = " OR ".join(f"contains(lower(name), '{k}')" for k in images.IMAGE_ENV_KEYWORDS)
 
 IMAGE_CTES = f"""
-fl AS (SELECT url AS path, string_split(url, '/')[-1] AS filename, encode(html) AS content FROM pages),
+fl AS (
+  SELECT path, string_split(path, '/')[-1] AS filename, content
+  FROM (SELECT '/images/' || {_stems}[page_id % {len(IMAGE_STEMS)} + 1] || '_' || CAST(page_id AS VARCHAR) || '.png' AS path,
+               encode(html) AS content FROM pages)),
 ct AS (
   SELECT replace(filename, '.png', '') AS name, path, filename, content FROM fl),
 cat AS (

@@ -104,11 +104,18 @@ def area_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# FIXED VALUES — stand-in image name stems (two species, two environmental, two other)
+IMAGE_STEMS = ["acartia_tonsa", "calanus_finmarchicus", "sea_surface_temperature", "salinity_map",
+               "bathymetry", "3d-map_overview"]
+
+
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Image-file rows (path, content) from ``pages``: url stands for the path, html for the bytes."""
+    """Image-file rows (path, content) from ``pages``: every page becomes one file whose name
+    stem cycles through ``IMAGE_STEMS`` by page id, and whose bytes are the page html."""
     pg = table(spark, sf_dir, "pages")
+    stem = F.element_at(F.array(*[F.lit(x) for x in IMAGE_STEMS]), (F.col("page_id") % len(IMAGE_STEMS) + 1).cast("int"))
     return pg.select(
-        F.col("url").alias("path"),
+        F.concat(F.lit("/images/"), stem, F.lit("_"), F.col("page_id").cast("string"), F.lit(".png")).alias("path"),
         F.col("html").cast("binary").alias("content"),
         F.col("page_id").alias("row_order"),
     )
