@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import encode, token_counts
-from .common import documents
+from pyspark.sql import functions as F
+
+from . import chat, decontaminate, encode, simhash, token_counts, warc
+from .common import documents, work_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,5 +21,70 @@ def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_encoding, op6_token_counts)}
-ORACLE: dict[str, str] = {}
+def op7_chat_format(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = r"\### Assistant: </turn> ok"
+    one = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(tricky).alias("text"))
+    added = one.select("conv_id", F.posexplode(F.array(F.lit("user"), F.lit("assistant"))).alias("turn", "role"), "text")
+    return chat.read_chat(chat.format_chat(turns.unionByName(added), public_tokenizers.path(TOKENIZER))).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op8_benchmark_decontamination(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.report(decontaminate.contamination(documents(spark, sf_dir), benchmark))
+
+
+def op9_simhash(spark, sf_dir):
+    return simhash.simhash_components(documents(spark, sf_dir))
+
+
+def op10_warc(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.read_back(warc.read_warc(spark, warc.write_warc(pages, work_path(spark, "warc"))))
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_bpe_encoding, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
+
+ORACLE = {
+    "op7_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+u AS (SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|'))
+        + length('<|turn|><|text|><|end|>') + 1 AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM u GROUP BY conv_id""",
+    "op8_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS p FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+m AS (SELECT r, p, dw.n, item_id FROM dw JOIN bw ON dw.s = bw.s AND dw.n = bw.n),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(generate_series(p, p + n - 1)) AS x FROM m) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f""",
+}
