@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, encode, simhash, token_counts, warc
+from . import chat, decontaminate, encode, simhash, substring, token_counts, warc
 from .common import documents, work_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,10 @@ def op3_bpe_encoding(spark, sf_dir):
     return encode.digests(documents(spark, sf_dir), public_tokenizers.path(RANKS))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    return substring.digests(substring.dedup_substrings(documents(spark, sf_dir)))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), limit=512)
 
@@ -45,9 +49,18 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_bpe_encoding, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
+    op3_bpe_encoding, op4_substring_dedup, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
 
 ORACLE = {
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, p, array_to_string(w[p:p + 34], ' ') AS s FROM (SELECT r, w, unnest(generate_series(1, len(w) - 34)) AS p FROM d WHERE len(w) >= 35)),
+again AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, x FROM (SELECT r, unnest(generate_series(p, p + 34)) AS x FROM win SEMI JOIN again USING (s))),
+every AS (SELECT r, unnest(w) AS v, unnest(generate_series(1, len(w))) AS x FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(v, ' ' ORDER BY x) AS t FROM every ANTI JOIN gone USING (r, x) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
     "op7_chat_format": r"""
 WITH t AS (
   SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
