@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, encode, simhash, substring, token_counts, warc
+from . import ann, chat, decontaminate, encode, simhash, substring, token_counts, warc
 from .common import documents, work_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -21,6 +21,11 @@ def op4_substring_dedup(spark, sf_dir):
     return substring.digests(substring.dedup_substrings(documents(spark, sf_dir)))
 
 
+def op5_nearest_neighbours(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.nearest(rows, rows.filter("vec_id % 20 = 0"), top=20)
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER), limit=512)
 
@@ -49,7 +54,7 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_bpe_encoding, op4_substring_dedup, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
+    op3_bpe_encoding, op4_substring_dedup, op5_nearest_neighbours, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
 
 ORACLE = {
     "op4_substring_dedup": r"""
