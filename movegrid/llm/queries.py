@@ -6,13 +6,21 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, encode, simhash, substring, token_counts, warc
+from . import ann, chat, decontaminate, encode, html_extract, simhash, substring, token_counts, toxicity, warc
 from .common import documents, work_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_html_extraction(spark, sf_dir):
+    return html_extract.main_text(html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_bpe_encoding(spark, sf_dir):
     return encode.digests(documents(spark, sf_dir), public_tokenizers.path(RANKS))
 
@@ -54,7 +62,8 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_bpe_encoding, op4_substring_dedup, op5_nearest_neighbours, op6_token_counts, op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
+    op1_html_extraction, op2_toxicity, op3_bpe_encoding, op4_substring_dedup, op5_nearest_neighbours, op6_token_counts,
+    op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
 
 ORACLE = {
     "op4_substring_dedup": r"""
