@@ -68,24 +68,42 @@ def top_k_by_order(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def with_running_total(df: DataFrame, order: list[Column], weight: str, name: str = "running_before") -> DataFrame:
+    """Sum of ``weight`` over all rows before each row in the total order ``order``.
+
+    As ``with_global_index``: ranges are numbered once (checkpointed), offsets come from the
+    per-range sums (bounded by the number of ranges), and the sums inside a range are windowed.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = df.repartitionByRange(*order).withColumn("_mg_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_mg_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tagged.groupBy("_mg_pid").agg(F.sum(weight).alias("_mg_n")).select(
+        "_mg_pid", F.coalesce(F.sum("_mg_n").over(before), F.lit(0)).alias("_mg_off"))
+    inside = Window.partitionBy("_mg_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (tagged.withColumn("_mg_in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+            .join(F.broadcast(offsets), "_mg_pid")
+            .withColumn(name, F.col("_mg_off") + F.col("_mg_in")).drop("_mg_pid", "_mg_in", "_mg_off"))
+
+
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact medians of several columns as one row (``_med_<col>``), without one-task merges.
 
-    Non-NULL values of all columns are stacked as (variable, value), indexed once in the
-    total order (variable, value) with ``with_global_index``, and only the one or two middle
-    rows of each variable are kept.  An even count interpolates ``lo + 0.5 * (hi - lo)``.
-    A column without values gets NULL.
+    Non-NULL values of all columns are stacked as (variable, value) and counted first, so that
+    equal values, however many, are one row; running totals of the counts in the order
+    (variable, value) then give the rows that hold the middle places.  An even count interpolates
+    ``lo + 0.5 * (hi - lo)``.  A column without values gets NULL.
     """
     spark = df.sparkSession
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("v"), F.col(c).cast("double").alias("x")) for i, c in enumerate(columns)
     ])).alias("_s")).select("_s.v", "_s.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
-    # a unique tie-breaker is not needed: equal values are interchangeable for a median
-    idx = with_global_index(stacked, [F.col("v"), F.col("x")], "_i")
-    bounds = idx.groupBy("v").agg(F.min("_i").alias("_start"), F.count(F.lit(1)).alias("_n"))  # one row per column
-    mid = idx.join(F.broadcast(bounds), "v").where(
-        (F.col("_i") == F.col("_start") + F.floor((F.col("_n") - 1) / 2)) |
-        (F.col("_i") == F.col("_start") + F.ceil((F.col("_n") - 1) / 2)))
+    counted = stacked.groupBy("v", "x").agg(F.count(F.lit(1)).alias("n"))
+    totals = with_running_total(counted, [F.col("v"), F.col("x")], "n", "_before")
+    bounds = totals.groupBy("v").agg(F.min("_before").alias("_start"), F.sum("n").alias("_n"))  # one row per column
+    held = lambda place: (F.col("_before") <= place) & (place < F.col("_before") + F.col("n"))
+    low = F.col("_start") + F.floor((F.col("_n") - 1) / 2)
+    high = F.col("_start") + F.ceil((F.col("_n") - 1) / 2)
+    mid = totals.join(F.broadcast(bounds), "v").where(held(low) | held(high))
     per_var = mid.groupBy("v").agg((F.min("x") + F.lit(0.5) * (F.max("x") - F.min("x"))).alias("m"))
     names = spark.range(len(columns)).select(F.col("id").cast("int").alias("v"))
     full = names.join(per_var, "v", "left")

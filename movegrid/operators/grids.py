@@ -97,9 +97,9 @@ def sample_rows(df: DataFrame, order: list[Column], n: int = 1000) -> DataFrame:
     return top_k_by_order(df, order, n)
 
 
-def positive_scaled(df: DataFrame, max_vars: int = 5, factor: float = 1.0,
+def positive_scaled(df: DataFrame, max_vars: int | None = None, factor: float = 1.0,
                     lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """FIL-11 + AGG-30 + PRJ-17: per abundance column (first ``max_vars``), positive values
+    """FIL-11 + AGG-30 + PRJ-17: per abundance column (all, or the first ``max_vars`` to draw), positive values
     scaled by that column's maximum; long form (variable, latitude, longitude, value, scaled).
 
     One pass: the columns are stacked once, the per-variable maxima form a table with one row

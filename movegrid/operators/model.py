@@ -69,7 +69,7 @@ class TrainedModel:
         """ML-6: metrics on the held-out rows."""
         return regression_metrics(self.predict(self.test))
 
-    def importance(self, top: int | None = 10) -> DataFrame:
+    def importance(self, top: int | None = None) -> DataFrame:
         """ML-8/PRJ-20/ORD-3: (feature, importance) descending; forest only."""
         spark = self.train.sparkSession
         stage = self.model.stages[-1]

@@ -1,9 +1,11 @@
 """Track (time series per entity) operators.
 
 Physical shape of ``process``: one hash exchange on ``(id, chunk)`` and one sort feed every
-per-row window; a small per-chunk table carries the previous fix, running-sum offsets and
-the entity centroid across chunk boundaries.  Chunking a track by time keeps one very long
-track (a hot id) from landing in a single task; ``chunk_days=None`` windows whole tracks.
+per-row window; a small per-chunk table, aggregated straight from the fixes, carries the
+previous fix, running-sum offsets and the entity centroid across chunk boundaries.  Chunking
+a track by time keeps one very long track (a hot id) from landing in a single task, and time
+slices that hold too many fixes are cut further (``chunked``); ``chunk_days=None`` windows
+whole tracks.
 """
 from __future__ import annotations
 
@@ -16,6 +18,9 @@ from movegrid.params import TRACK_LAT_RANGE, TRACK_LON_RANGE, TRACK_MAX_SPEED
 
 REQUIRED = ("id", "Date", "Latitude", "Longitude")
 DEFAULT_CHUNK_DAYS = 7
+HEAVY_ROWS = 1_000_000     # fixes of one (id, time slice) above which the slice is cut further
+HEAVY_SLICES = 10_000      # heavy slices at most, so that the table of their cuts may be broadcast
+CUTS = 63                  # cuts by time, and as many by source order, in a heavy slice
 
 
 def track_order(ts: str = "Date", order: str = "row_order") -> list[Column]:
@@ -40,20 +45,53 @@ def chunk_key(ts: str, chunk_days: float | None) -> Column:
     return F.coalesce(F.floor(micros / F.lit(size)).cast("long"), F.lit(2 ** 62).cast("long"))
 
 
+def chunked(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_order",
+            chunk_days: float | None = DEFAULT_CHUNK_DAYS, heavy_rows: int | None = None) -> DataFrame:
+    """``df`` with ``_chunk``: a key that follows the order of a track's fixes.
+
+    A chunk is a time slice (``chunk_key``).  A slice with more than ``heavy_rows`` fixes is cut
+    at quantiles of its times, and fixes that share a cut's very time (all of them, where there
+    is no time) at quantiles of their source order, if that is a number.  At most
+    ``HEAVY_SLICES`` slices can hold more than that share of all fixes each, so the table of cuts
+    is bounded and broadcast.
+    """
+    base = df.withColumn("_chunk", F.struct(chunk_key(ts, chunk_days).alias("slice"), F.lit(0).alias("part"), F.lit(0).alias("sub")))
+    if chunk_days is None:
+        return base
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    at, slice_ = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")), chunk_key(ts, chunk_days)
+    numeric = dict(df.dtypes)[order] in ("bigint", "int")
+    rows = df.select(F.col(id).alias("_id"), slice_.alias("_slice"), at.alias("_at"), (F.col(order) if numeric else F.lit(0)).cast("long").alias("_order"))
+    counts = rows.groupBy("_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.select(F.sum("_n") / F.lit(HEAVY_SLICES)).scalar()
+    heavy = counts.where((F.col("_n") > F.lit(heavy_rows or HEAVY_ROWS)) & (F.col("_n") > share)).select("_id", "_slice")
+    quantiles = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
+    cuts = rows.join(F.broadcast(heavy), ["_id", "_slice"]).groupBy("_id", "_slice").agg(
+        F.percentile_approx("_at", quantiles).alias("_times"), F.percentile_approx("_order", quantiles).alias("_orders"))
+    met = base.withColumn("_at", at).join(F.broadcast(cuts), [F.col(id) == cuts["_id"], F.col("_chunk.slice") == cuts["_slice"]], "left")
+    reached = lambda bounds, value: F.coalesce(F.size(F.filter(bounds, lambda b: b <= value)), F.lit(0))
+    part = F.when(F.col("_times").isNull() | F.col("_at").isNull(), F.lit(0)).otherwise(reached(F.col("_times"), F.col("_at")))
+    at_cut = F.col("_at").isNull() | F.coalesce(F.array_contains("_times", F.col("_at")), F.lit(False))
+    sub = F.when(F.col("_orders").isNull(), F.lit(0)).when(at_cut, reached(F.col("_orders"), F.col(order) if numeric else F.lit(0))).otherwise(F.lit(CUTS + 1))
+    return met.withColumn("_chunk", F.struct(F.col("_chunk.slice").alias("slice"), part.alias("part"), sub.alias("sub"))).select(*df.columns, "_chunk")
+
+
 def positions(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_order",
-              chunk_days: float | None = DEFAULT_CHUNK_DAYS, name: str = "position") -> DataFrame:
+              chunk_days: float | None = DEFAULT_CHUNK_DAYS, name: str = "position", min_points: int = 1) -> DataFrame:
     """0-based position of every fix within its track, computed per (id, chunk) with chunk
-    offsets from a small per-chunk count table, so a very long track is spread over tasks."""
-    base = df.withColumn("_chunk", chunk_key(ts, chunk_days))
+    offsets from a small per-chunk count table, so a very long track is spread over tasks.
+    Tracks of fewer than ``min_points`` fixes are left out."""
+    base = chunked(df, id, ts, order, chunk_days)
     w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
     local = base.withColumn("_rn", F.row_number().over(w))
-    counts = local.groupBy(id, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    wc = Window.partitionBy(id).orderBy(F.col("_chunk"))
-    offsets = counts.select(id, "_chunk", F.coalesce(F.sum("_n").over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-                                                     F.lit(0)).alias("_off"))
-    return (local.join(offsets, [id, "_chunk"], "left")
+    counts = base.groupBy(id, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    wid = Window.partitionBy(id)
+    before = wid.orderBy(F.col("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(id, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(wid).alias("_total")).where(F.col("_total") >= min_points)
+    return (local.join(offsets, [id, "_chunk"])
             .withColumn(name, F.col("_off") + F.col("_rn") - 1)
-            .drop("_chunk", "_rn", "_off"))
+            .drop("_chunk", "_rn", "_off", "_total"))
 
 
 def check_required(df: DataFrame, required=REQUIRED) -> DataFrame:
@@ -84,45 +122,51 @@ def with_calendar(df: DataFrame, ts: str = "Date") -> DataFrame:
 
 
 def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitude", lon: str = "Longitude",
-            order: str = "row_order", chunk_days: float | None = DEFAULT_CHUNK_DAYS) -> DataFrame:
+            order: str = "row_order", chunk_days: float | None = DEFAULT_CHUNK_DAYS, cumulative: bool = True,
+            clean_first: bool = False, heavy_rows: int | None = None) -> DataFrame:
     """Calendar features, movement metrics and spatial features of every fix (before cleaning, D1).
 
     Adds ``lat_diff, lon_diff, distance, time_diff, speed, direction, cumulative_distance``
     (WIN-1..3, PRJ-5..7) and ``center_lat, center_lon, dist_from_center, lat_bin, lon_bin``
-    (JN-1/WIN-7, PRJ-4, PRJ-8).  Rows with a NULL id are dropped (D24).
+    (JN-1/WIN-7, PRJ-4, PRJ-8).  Rows with a NULL id are dropped (D24).  ``cumulative=False``
+    leaves ``cumulative_distance`` out and with it a second pass over the windows;
+    ``clean_first`` measures steps between fixes with coordinates inside the box only (D1 option).
     """
     check_required(df, (id, ts, lat, lon, order))
-    base = df.where(F.col(id).isNotNull()).withColumn("_chunk", chunk_key(ts, chunk_days))
+    known = df.where(F.col(id).isNotNull())
+    if clean_first:
+        for _, rule in clean_predicates(lat, lon)[:2]:
+            known = known.where(rule)
+    base = chunked(known, id, ts, order, chunk_days, heavy_rows)
 
     w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Few DataFrame steps on purpose: each step re-analyses the whole plan on the driver.
     local = base.select("*", F.row_number().over(w).alias("_rn"), F.lag(lat).over(w).alias("_plat"),
                         F.lag(lon).over(w).alias("_plon"), F.lag(ts).over(w).alias("_pts"))
-    inner_dist = planar_distance(F.col(lat) - F.col("_plat"), F.col(lon) - F.col("_plon"))
-    local = local.withColumn("_idist", inner_dist).withColumn("_icum", F.sum("_idist").over(w_run))
-
-    # Per-chunk table: first/last fix, inner distance total, coordinate sums for the centroid.
+    # Per-chunk table straight from the fixes: last fix, coordinate sums for the centroid.
     fix = F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(ts).alias("ts"))
-    chunks = local.groupBy(id, "_chunk").agg(
-        F.min_by(fix, F.col("_rn")).alias("_first"),
-        F.max_by(fix, F.col("_rn")).alias("_last"),
-        F.sum("_idist").alias("_isum"),
+    place = F.struct(F.col(ts).isNull(), F.col(ts), F.col(order))
+    wid = Window.partitionBy(id)
+    wc = wid.orderBy(F.col("_chunk"))
+    chunks = base.groupBy(id, "_chunk").agg(
+        F.min_by(fix, place).alias("_first"), F.max_by(fix, place).alias("_last"),
         F.sum(lat).alias("_slat"), F.count(lat).alias("_nlat"),
         F.sum(lon).alias("_slon"), F.count(lon).alias("_nlon"),
-    )
-    wc = Window.partitionBy(id).orderBy(F.col("_chunk"))
-    wid = Window.partitionBy(id)
-    carry = F.lag("_last").over(wc)
-    chunks = chunks.select(id, "_chunk", "_first", "_isum", carry.alias("_carry"),
-                           (F.sum("_slat").over(wid) / F.sum("_nlat").over(wid)).alias("center_lat"),
-                           (F.sum("_slon").over(wid) / F.sum("_nlon").over(wid)).alias("center_lon"))
-    first_dist = planar_distance(F.col("_first.lat") - F.col("_carry.lat"), F.col("_first.lon") - F.col("_carry.lon"))
-    chunks = chunks.withColumn("_fdist", first_dist)
-    total = F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_isum"), F.lit(0.0))
-    chunks = chunks.select(id, "_chunk", "_carry", "_fdist", "center_lat", "center_lon",
-                           F.coalesce(F.sum(total).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
-                                      F.lit(0.0)).alias("_offset"))
+    ).select(id, "_chunk", "_first", F.lag("_last").over(wc).alias("_carry"),
+             (F.sum("_slat").over(wid) / F.sum("_nlat").over(wid)).alias("center_lat"),
+             (F.sum("_slon").over(wid) / F.sum("_nlon").over(wid)).alias("center_lon"))
+    if cumulative:
+        # steps inside a chunk are summed per chunk, then carried forward along the track
+        step = planar_distance(F.col(lat) - F.col("_plat"), F.col(lon) - F.col("_plon"))
+        local = local.withColumn("_icum", F.sum(step).over(w_run))
+        inner = local.groupBy(id, "_chunk").agg(F.max_by("_icum", "_rn").alias("_isum"))
+        first_dist = planar_distance(F.col("_first.lat") - F.col("_carry.lat"), F.col("_first.lon") - F.col("_carry.lon"))
+        total = F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_isum"), F.lit(0.0))
+        chunks = (chunks.join(inner, [id, "_chunk"], "left").withColumn("_fdist", first_dist)
+                  .withColumn("_offset", F.coalesce(F.sum(total).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+                  .drop("_isum"))
+    chunks = chunks.drop("_first")
 
     j = local.join(chunks, [id, "_chunk"], "left")
     first = F.col("_rn") == 1
@@ -130,7 +174,6 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
     lon_diff = F.col(lon) - F.when(first, F.col("_carry.lon")).otherwise(F.col("_plon"))
     time_diff = days_between(F.when(first, F.col("_carry.ts")).otherwise(F.col("_pts")), F.col(ts))
     distance = planar_distance(lat_diff, lon_diff)
-    running = F.col("_offset") + F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_icum"), F.lit(0.0))
     keep = [c for c in df.columns if c != "_chunk"]
     derived = {
         "lat_diff": lat_diff,
@@ -139,8 +182,6 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
         "time_diff": time_diff,
         "speed": distance / F.nullif(time_diff, F.lit(0.0)),
         "direction": bearing_degrees(lat_diff, lon_diff),
-        # WIN-3: a missing step stays missing, the sum continues past it
-        "cumulative_distance": F.when(distance.isNotNull(), running),
         "center_lat": F.col("center_lat"),
         "center_lon": F.col("center_lon"),
         "dist_from_center": planar_distance(F.col(lat) - F.col("center_lat"), F.col(lon) - F.col("center_lon")),
@@ -148,6 +189,10 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
         "lon_bin": spatial_bin(F.col(lon)),
         **calendar_columns(F.col(ts)),
     }
+    if cumulative:
+        # WIN-3: a missing step stays missing, the sum continues past it
+        running = F.col("_offset") + F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_icum"), F.lit(0.0))
+        derived["cumulative_distance"] = F.when(distance.isNotNull(), running)
     return j.select(*[F.col(c) for c in keep], *[e.alias(n) for n, e in derived.items()])
 
 
@@ -237,39 +282,40 @@ def sampled(df: DataFrame, k: int = 3, id: str = "id", ts: str = "Date", order:
     return every_kth(df.select(*keep), [F.col(id).asc_nulls_last()] + track_order(ts, order), k)
 
 
+def sampled_per_id(df: DataFrame, k: int = 3, id: str = "id", ts: str = "Date", order: str = "row_order") -> DataFrame:
+    """WIN-5, the option without a global order (D28): every k-th fix of each track."""
+    return positions(df, id, ts, order, name="_at").where(F.pmod(F.col("_at"), F.lit(k)) == 0).drop("_at")
+
+
 def first_ids(df: DataFrame, n: int, id: str = "id") -> DataFrame:
-    """ORD-4: the first ``n`` ids of the id-sorted table (a bounded top-k)."""
+    """ORD-4: the first ``n`` ids of the id-sorted table, for a drawing that shows only some."""
     return df.select(id).distinct().orderBy(F.col(id).asc_nulls_last()).limit(n)
 
 
-def _mapped_tracks(df: DataFrame, n_ids: int, id: str) -> DataFrame:
-    """FIL-15/16, JN-10: fixes of the first ``n_ids`` ids that have more than one fix."""
-    ids = first_ids(df, n_ids, id)
-    pts = df.join(F.broadcast(ids), id, "left_semi")  # at most n_ids keys: bounded broadcast
-    many = pts.groupBy(id).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(id)
-    return pts.join(F.broadcast(many), id, "left_semi")
+def of_ids(df: DataFrame, ids: DataFrame, id: str = "id") -> DataFrame:
+    """FIL-15/JN-10: fixes of the given ids (Spark chooses the join by their measured size)."""
+    return df.join(ids, id, "left_semi")
 
 
-def endpoints(df: DataFrame, n_ids: int = 10, id: str = "id", ts: str = "Date", lat: str = "Latitude",
+def endpoints(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitude",
               lon: str = "Longitude", order: str = "row_order") -> DataFrame:
-    """WIN-4: first and last fix of each mapped track."""
-    pts = _mapped_tracks(df, n_ids, id)
-    key = F.struct(F.col(ts), F.col(order))
-    return pts.groupBy(id).agg(
+    """WIN-4, FIL-16: first and last fix of every track with more than one fix."""
+    key = F.struct(F.col(ts).isNull(), F.col(ts), F.col(order))
+    return df.groupBy(id).agg(
         F.min_by(F.col(lat), key).alias("start_lat"),
         F.min_by(F.col(lon), key).alias("start_lon"),
         F.max_by(F.col(lat), key).alias("end_lat"),
         F.max_by(F.col(lon), key).alias("end_lon"),
         F.count(F.lit(1)).alias("n_points"),
-    )
+    ).where(F.col("n_points") > 1)
 
 
-def polylines(df: DataFrame, n_ids: int = 10, id: str = "id", ts: str = "Date", lat: str = "Latitude",
+def polylines(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitude",
               lon: str = "Longitude", order: str = "row_order") -> DataFrame:
-    """WIN-6: ordered polyline of each mapped track in long form (id, point_index, lat, lon).
+    """WIN-6, FIL-16: ordered polyline of every track with more than one fix, in long form
+    (id, point_index, lat, lon).
 
     Long form keeps a long track spread over rows instead of one giant array, and the
-    positions are computed per time chunk (``positions``), not in one task per track.
+    positions are computed per chunk (``positions``), not in one task per track.
     """
-    pts = _mapped_tracks(df, n_ids, id)
-    return positions(pts, id, ts, order, name="point_index").select(id, "point_index", lat, lon)
+    return positions(df, id, ts, order, name="point_index", min_points=2).select(id, "point_index", lat, lon)

@@ -29,9 +29,9 @@ def q_species_match(spark, sf_dir):
     return matched(spark, sf_dir)
 
 
-def q_species_codes_preview(spark, sf_dir):
-    """ORD-6: the first 10 matched species codes (a bounded preview)."""
-    return matched(spark, sf_dir).select("species_code").orderBy("species_code").limit(10)
+def q_species_codes(spark, sf_dir):
+    """ORD-6: the matched species codes in order."""
+    return matched(spark, sf_dir).select("species_code").orderBy("species_code")
 
 
 def q_catch_joined(spark, sf_dir):
@@ -84,7 +84,7 @@ def q_raster_unallocated(spark, sf_dir):
 
 QUERIES = {
     "species_match": q_species_match,
-    "species_codes_preview": q_species_codes_preview,
+    "species_codes": q_species_codes,
     "catch_joined": q_catch_joined,
     "catch_totals": q_catch_totals,
     "catch_summary": q_catch_summary,
@@ -182,7 +182,7 @@ _wide_cols = ",\n  ".join(
 
 ORACLE = {
     "species_match": _sql("SELECT * FROM ms"),
-    "species_codes_preview": _sql("SELECT species_code FROM ms ORDER BY species_code LIMIT 10"),
+    "species_codes": _sql("SELECT species_code FROM ms ORDER BY species_code"),
     "catch_joined": _sql("SELECT * FROM cj"),
     "catch_totals": _sql("""
 SELECT count(*) AS n_rows, min(period) AS period_min, max(period) AS period_max, coalesce(sum(value), 0) AS total_value

@@ -77,7 +77,7 @@ def q_model_linear(spark, sf_dir):
 
 
 def q_model_importance(spark, sf_dir):
-    return _forest(spark, sf_dir).importance(10)
+    return _forest(spark, sf_dir).importance()
 
 
 def q_model_predictions(spark, sf_dir):

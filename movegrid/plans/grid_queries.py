@@ -75,7 +75,7 @@ def q_grid_sample(spark, sf_dir):
 
 
 def q_grid_positive_scaled(spark, sf_dir):
-    return rounded(grids.positive_scaled(grid_sample(spark, sf_dir)), {"scaled": 12})
+    return rounded(grids.positive_scaled(grid_points(spark, sf_dir)), {"scaled": 12})
 
 
 QUERIES = {
@@ -147,7 +147,7 @@ def _summary_sql(columns: list[str], with_count: bool) -> str:
 _ABUND = ["acartia_abundance", "calanus_abundance", "metridia_abundance"]
 _pos_parts = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS variable, latitude, longitude, CAST({c} AS DOUBLE) AS value, "
-    f"round({c} / max({c}) OVER (), 12) AS scaled FROM gs WHERE {c} > 0" for c in _ABUND)
+    f"round({c} / (SELECT max({c}) FROM gp WHERE {c} > 0), 12) AS scaled FROM gp WHERE {c} > 0" for c in _ABUND)
 
 ORACLE = {
     "grid_long": _sql("""

@@ -8,12 +8,12 @@ from movegrid.plans.common import rounded
 from movegrid.sources.standins import track_points
 
 
-def processed(spark, sf_dir, chunk_days=tracks.DEFAULT_CHUNK_DAYS):
-    return tracks.process(track_points(spark, sf_dir), chunk_days=chunk_days)
+def processed(spark, sf_dir, chunk_days=tracks.DEFAULT_CHUNK_DAYS, cumulative=False):
+    return tracks.process(track_points(spark, sf_dir), chunk_days=chunk_days, cumulative=cumulative)
 
 
-def cleaned(spark, sf_dir):
-    return tracks.clean(processed(spark, sf_dir))
+def cleaned(spark, sf_dir, cumulative=False):
+    return tracks.clean(processed(spark, sf_dir, cumulative=cumulative))
 
 
 def q_track_overview(spark, sf_dir):
@@ -40,7 +40,7 @@ def q_track_movement_metrics(spark, sf_dir):
 
 
 def q_track_cumulative_distance(spark, sf_dir):
-    df = processed(spark, sf_dir).select("id", "Date", "row_order", "distance", "cumulative_distance")
+    df = processed(spark, sf_dir, cumulative=True).select("id", "Date", "row_order", "distance", "cumulative_distance")
     return rounded(df, {"cumulative_distance": 6})
 
 
@@ -51,7 +51,7 @@ def q_track_spatial_features(spark, sf_dir):
 
 
 def q_track_clean(spark, sf_dir):
-    df = cleaned(spark, sf_dir).select("id", "Date", "row_order", "Latitude", "Longitude", "distance",
+    df = cleaned(spark, sf_dir, cumulative=True).select("id", "Date", "row_order", "Latitude", "Longitude", "distance",
                                        "time_diff", "speed", "cumulative_distance", "lat_bin", "lon_bin", "season")
     return rounded(df, {"cumulative_distance": 6})
 
@@ -77,16 +77,27 @@ def q_track_sampled(spark, sf_dir):
     return tracks.sampled(cleaned(spark, sf_dir), 3).select("id", "Date", "row_order", "Latitude", "Longitude")
 
 
+def q_track_sampled_per_id(spark, sf_dir):
+    """WIN-5 per track (D28 option): every third fix of each id, no global order."""
+    return tracks.sampled_per_id(cleaned(spark, sf_dir), 3).select("id", "Date", "row_order", "Latitude", "Longitude")
+
+
+def q_track_clean_first(spark, sf_dir):
+    """D1 option: steps are measured between fixes inside the box only."""
+    df = tracks.process(track_points(spark, sf_dir), cumulative=False, clean_first=True)
+    return df.select("id", "row_order", "distance", "time_diff", "speed")
+
+
 def q_track_endpoints(spark, sf_dir):
-    return tracks.endpoints(tracks.sampled(cleaned(spark, sf_dir), 3), 10)
+    return tracks.endpoints(cleaned(spark, sf_dir))
 
 
 def q_track_polylines(spark, sf_dir):
-    return tracks.polylines(tracks.sampled(cleaned(spark, sf_dir), 3), 10)
+    return tracks.polylines(cleaned(spark, sf_dir))
 
 
 def q_track_density(spark, sf_dir):
-    return profiles.density(tracks.sampled(cleaned(spark, sf_dir), 3))
+    return profiles.density(cleaned(spark, sf_dir))
 
 
 def q_map_center(spark, sf_dir):
@@ -130,6 +141,8 @@ QUERIES = {
     "track_summary": q_track_summary,
     "track_summary_report": q_track_summary_report,
     "track_sampled": q_track_sampled,
+    "track_sampled_per_id": q_track_sampled_per_id,
+    "track_clean_first": q_track_clean_first,
     "track_endpoints": q_track_endpoints,
     "track_polylines": q_track_polylines,
     "track_density": q_track_density,
@@ -185,10 +198,7 @@ cl AS (
 smp AS (
   SELECT * FROM (SELECT *, row_number() OVER (ORDER BY id, "Date" ASC NULLS LAST, row_order) - 1 AS gi FROM cl)
   WHERE gi % 3 = 0),
-mids AS (SELECT id FROM (SELECT DISTINCT id FROM smp) ORDER BY id LIMIT 10),
-mpts AS (
-  SELECT * FROM smp WHERE id IN (SELECT id FROM mids)
-    AND id IN (SELECT id FROM smp WHERE id IN (SELECT id FROM mids) GROUP BY id HAVING count(*) > 1)),
+mpts AS (SELECT * FROM cl WHERE id IN (SELECT id FROM cl GROUP BY id HAVING count(*) > 1)),
 srep AS (
   SELECT id, round_even(coalesce(sum(distance), 0) * 10000, 0) / 10000 AS distance_sum,
          round_even(avg(distance) * 10000, 0) / 10000 AS distance_mean,
@@ -278,7 +288,18 @@ SELECT id, row_number() OVER (PARTITION BY id ORDER BY "Date", row_order) - 1 AS
 FROM mpts"""),
     "track_density": _sql("""
 SELECT round_even(Latitude * 10, 0) / 10 AS lat_bin, round_even(Longitude * 10, 0) / 10 AS lon_bin, count(*) AS n_points
-FROM smp GROUP BY ALL"""),
+FROM cl GROUP BY ALL"""),
+    "track_sampled_per_id": _sql("""
+SELECT id, "Date", row_order, Latitude, Longitude
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY "Date" ASC NULLS LAST, row_order) - 1 AS pi FROM cl)
+WHERE pi % 3 = 0"""),
+    "track_clean_first": _sql("""
+, b AS (
+  SELECT id, row_order, sqrt(pow(Latitude - lag(Latitude) OVER w, 2) + pow(Longitude - lag(Longitude) OVER w, 2)) AS distance,
+         (epoch_us("Date") - epoch_us(lag("Date") OVER w)) / CAST(86400e6 AS DOUBLE) AS time_diff
+  FROM tp WHERE id IS NOT NULL AND Latitude BETWEEN 40 AND 70 AND Longitude BETWEEN -20 AND 20
+  WINDOW w AS (PARTITION BY id ORDER BY "Date" ASC NULLS LAST, row_order ASC NULLS LAST))
+SELECT id, row_order, distance, time_diff, distance / nullif(time_diff, 0) AS speed FROM b"""),
     "map_center": _sql("""
 SELECT round(avg(Latitude), 8) AS center_lat, round(avg(Longitude), 8) AS center_lon, count(*) AS n_points FROM cl"""),
     "movement_by_date": _sql("""

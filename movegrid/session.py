@@ -34,8 +34,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint directory of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when nothing is configured (local tests) a scratch folder is created.  Under Spark
-    Connect there is no driver-side context; the server's own setting applies.
+    Where nothing is configured a local session (tests, bench) gets a scratch folder; a cluster
+    raises, as no folder of one machine would do there.  Under Spark Connect there is no
+    driver-side context; the server's own setting applies.
     """
     try:
         sc = spark.sparkContext
@@ -46,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="movegrid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -2,7 +2,7 @@
 
 The benchmark tables have no tracks, grids or catch files, so each domain table is
 derived from one of them with plain column arithmetic.  The same definitions exist as
-SQL text in ``movegrid.plans.oracle`` so a second engine can check every query.
+SQL text beside the queries in ``movegrid.plans`` so a second engine can check every query.
 Constants keep derived coordinates off rounding midpoints.
 """
 from __future__ import annotations
@@ -13,18 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 NATION_AREA_CODES = [18, 21, 27, 31, 34, 37, 41, 47, 48, 51, 57, 58, 61, 67, 71, 77, 81, 87, 88, 98, 99]
 
 
-_SCANS: dict[tuple, tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one shared table.  The lazy scan is memoised per session and path so that
-    repeated plans do not list the files and read the footers again (the entry keeps the
-    session alive, so its id cannot be reused by another session)."""
-    key = (id(spark), sf_dir, name)
-    hit = _SCANS.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = _SCANS[key] = (spark, spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-    return hit[1]
+    """Scan of one shared table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:

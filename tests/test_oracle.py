@@ -2,10 +2,11 @@
 import pytest
 
 import __spark_entry__ as E
+from movegrid.plans import registry
 from tests.conftest import SF_SMALL
 from tools.oracle_check import canon, duck_connect
 
-SQL = E.oracle_sql()
+SQL = registry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
          "boolean": "BOOLEAN", "float": "FLOAT", "binary": "BLOB"}
 SLOW = {"model_metrics", "model_metrics_parity", "model_importance", "model_predictions", "model_cv", "model_linear"}
@@ -18,7 +19,7 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     s_rows, s_cols = canon(df.columns, [tuple(r) for r in df.collect()])
     cur = duck.execute(SQL[name])
     d_rows, d_cols = canon([d[0] for d in cur.description], cur.fetchall())
@@ -31,15 +32,15 @@ def test_query_matches_sql(spark, duck, name):
     assert s_rows == d_rows
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(SQL)))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_rows_only_queries_run(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     assert df.count() >= 0
     assert len(df.columns) > 0
 
 
 def test_every_query_has_sql_or_is_model(spark):
-    missing = set(E.queries()) - set(SQL)
+    missing = set(registry.queries()) - set(SQL)
     assert missing <= SLOW
 
 

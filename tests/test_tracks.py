@@ -79,6 +79,30 @@ def test_chunked_equals_whole_track_windows(spark):
                 assert (x is None and y is None) or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9), (k, c, x, y)
 
 
+@pytest.mark.parametrize("undated", [False, True])
+def test_hot_track_is_cut_below_the_target(spark, undated):
+    # 3000 fixes of one id inside an hour, a third of them at one instant, or none with a time
+    at = "timestamp_ntz '2021-08-01 00:00:00' + make_dt_interval(0, 0, 0, CASE WHEN row_order % 3 = 0 THEN 100 ELSE row_order END)"
+    df = spark.range(1, 3001).selectExpr("id AS row_order").selectExpr(
+        "1L AS id", f"{'CAST(NULL AS timestamp_ntz)' if undated else at} AS Date", "50 + row_order % 7 / 10.0D AS Latitude",
+        "2 + row_order % 5 / 10.0D AS Longitude", "row_order")
+    sizes = [r["count"] for r in tracks.chunked(df, heavy_rows=200).groupBy("id", "_chunk").count().collect()]
+    assert max(sizes) <= 200 and sum(sizes) == 3000
+    cols = ["row_order", "lat_diff", "time_diff", "distance", "cumulative_distance", "center_lat"]
+    a = sorted(tuple(r) for r in tracks.process(df, chunk_days=None).select(cols).collect())
+    b = sorted(tuple(r) for r in tracks.process(df, heavy_rows=200).select(cols).collect())
+    for x, y in zip(a, b):
+        assert all((p is None and q is None) or math.isclose(p, q, rel_tol=1e-9, abs_tol=1e-9) for p, q in zip(x, y)), (x, y)
+
+
+def test_cumulative_distance_is_optional(spark):
+    tp = track_points(spark, SF_SMALL)
+    full, short = tracks.process(tp), tracks.process(tp, cumulative=False)
+    assert set(full.columns) - set(short.columns) == {"cumulative_distance"}
+    cols = sorted(short.columns)
+    assert sorted(map(str, full.select(cols).collect())) == sorted(map(str, short.select(cols).collect()))
+
+
 def test_results_do_not_depend_on_input_partitioning(spark):
     tp = track_points(spark, SF_SMALL)
     a = sorted(tuple(r) for r in tracks.summary(tracks.clean(tracks.process(tp))).collect())
@@ -87,7 +111,7 @@ def test_results_do_not_depend_on_input_partitioning(spark):
 
 
 def test_invariants_on_stand_in(spark):
-    proc = tq.processed(spark, SF_SMALL)
+    proc = tq.processed(spark, SF_SMALL, cumulative=True)
     acc = tracks.clean_accounting(proc).first()
     assert acc.initial_count == acc.final_count + acc.removed_count
     assert acc.removed_count == (acc.removed_missing_coordinates + acc.removed_outside_box + acc.removed_speed_cap
