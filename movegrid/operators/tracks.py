@@ -60,8 +60,9 @@ def chunked(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_o
         return base
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     at, slice_ = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")), chunk_key(ts, chunk_days)
-    numeric = dict(df.dtypes)[order] in ("bigint", "int")
-    rows = df.select(F.col(id).alias("_id"), slice_.alias("_slice"), at.alias("_at"), (F.col(order) if numeric else F.lit(0)).cast("long").alias("_order"))
+    kind = dict(df.dtypes)[order]
+    source = F.col(order) if kind in ("bigint", "int") else F.lit(0)
+    rows = df.select(F.col(id).alias("_id"), slice_.alias("_slice"), at.alias("_at"), source.cast("long").alias("_order"))
     counts = rows.groupBy("_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     share = counts.select(F.sum("_n") / F.lit(HEAVY_SLICES)).scalar()
     heavy = counts.where((F.col("_n") > F.lit(heavy_rows or HEAVY_ROWS)) & (F.col("_n") > share)).select("_id", "_slice")
@@ -72,7 +73,7 @@ def chunked(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_o
     reached = lambda bounds, value: F.coalesce(F.size(F.filter(bounds, lambda b: b <= value)), F.lit(0))
     part = F.when(F.col("_times").isNull() | F.col("_at").isNull(), F.lit(0)).otherwise(reached(F.col("_times"), F.col("_at")))
     at_cut = F.col("_at").isNull() | F.coalesce(F.array_contains("_times", F.col("_at")), F.lit(False))
-    sub = F.when(F.col("_orders").isNull(), F.lit(0)).when(at_cut, reached(F.col("_orders"), F.col(order) if numeric else F.lit(0))).otherwise(F.lit(CUTS + 1))
+    sub = F.when(F.col("_orders").isNull(), F.lit(0)).when(at_cut, reached(F.col("_orders"), source.cast("long"))).otherwise(F.lit(CUTS + 1))
     return met.withColumn("_chunk", F.struct(F.col("_chunk.slice").alias("slice"), part.alias("part"), sub.alias("sub"))).select(*df.columns, "_chunk")
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from movegrid.operators import catch, raster
 from movegrid.params import AREA_BOUNDS
 from movegrid.plans.common import rounded
-from movegrid.sources.standins import NATION_AREA_CODES, area_dim, catch_facts, species_dim
+from movegrid.sources.catch import capture_rejects, parse_capture
+from movegrid.sources.standins import NATION_AREA_CODES, area_dim, catch_facts, catch_text, species_dim
 
 # Keywords that select a fair share of the stand-in species (the domain list is ELASMOBRANCH_KEYWORDS)
 CHECK_KEYWORDS = ["ring", "econ", "group 3"]
@@ -34,6 +35,16 @@ def q_species_codes(spark, sf_dir):
     return matched(spark, sf_dir).select("species_code").orderBy("species_code")
 
 
+def q_catch_parsed(spark, sf_dir):
+    """SRC-2: text rows under the published names through the reader's parse."""
+    return parse_capture(catch_text(spark, sf_dir))
+
+
+def q_catch_rejects(spark, sf_dir):
+    """SRC-2: fields that could not be read, with counts."""
+    return capture_rejects(catch_text(spark, sf_dir))
+
+
 def q_catch_joined(spark, sf_dir):
     return joined(spark, sf_dir)
 
@@ -85,6 +96,8 @@ def q_raster_unallocated(spark, sf_dir):
 QUERIES = {
     "species_match": q_species_match,
     "species_codes": q_species_codes,
+    "catch_parsed": q_catch_parsed,
+    "catch_rejects": q_catch_rejects,
     "catch_joined": q_catch_joined,
     "catch_totals": q_catch_totals,
     "catch_summary": q_catch_summary,
@@ -183,6 +196,13 @@ _wide_cols = ",\n  ".join(
 ORACLE = {
     "species_match": _sql("SELECT * FROM ms"),
     "species_codes": _sql("SELECT species_code FROM ms ORDER BY species_code"),
+    "catch_parsed": _sql("""
+SELECT CAST(species_code AS VARCHAR) AS species_code, CASE WHEN row_order % 3 = 0 OR row_order % 50 <> 1 THEN area_code END AS area_code,
+       period, CASE WHEN row_order % 20 <> 0 AND row_order % 21 <> 0 THEN value END AS value, row_order
+FROM cf"""),
+    "catch_rejects": _sql("""
+SELECT 'area_code' AS column, '27.5' AS text, count(*) AS n_rows FROM cf WHERE row_order % 3 <> 0 AND row_order % 50 = 1 HAVING count(*) > 0
+UNION ALL SELECT 'value', 'n/a', count(*) FROM cf WHERE row_order % 20 <> 0 AND row_order % 21 = 0 HAVING count(*) > 0"""),
     "catch_joined": _sql("SELECT * FROM cj"),
     "catch_totals": _sql("""
 SELECT count(*) AS n_rows, min(period) AS period_min, max(period) AS period_max, coalesce(sum(value), 0) AS total_value

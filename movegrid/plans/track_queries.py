@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from movegrid.operators import profiles, tracks
 from movegrid.plans.common import rounded
-from movegrid.sources.standins import track_points
+from movegrid.sources.standins import track_points, track_text
+from movegrid.sources.tracks import date_text_profile, parse_tracks
 
 
 def processed(spark, sf_dir, chunk_days=tracks.DEFAULT_CHUNK_DAYS, cumulative=False):
@@ -22,9 +23,13 @@ def q_track_overview(spark, sf_dir):
 
 def q_track_raw_profile(spark, sf_dir):
     """SRC-9: rows and min/max of the date text as it arrives (before parsing)."""
-    raw = track_points(spark, sf_dir).select(F.date_format("Date", "yyyy-MM-dd HH:mm:ss").alias("Date"))
-    return raw.agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("date_text_min"),
-                   F.max("Date").alias("date_text_max"))
+    return date_text_profile(track_text(spark, sf_dir))
+
+
+def q_track_parsed(spark, sf_dir):
+    """SRC-1: text rows in another column order, some unreadable, through the reader's parse."""
+    df = parse_tracks(track_text(spark, sf_dir), strict=False)
+    return df.select("id", "Date", "Latitude", "Longitude", "note", "row_order")
 
 
 def q_track_temporal_features(spark, sf_dir):
@@ -131,6 +136,7 @@ def q_distance_histogram(spark, sf_dir):
 QUERIES = {
     "track_overview": q_track_overview,
     "track_raw_profile": q_track_raw_profile,
+    "track_parsed": q_track_parsed,
     "track_temporal_features": q_track_temporal_features,
     "track_movement_metrics": q_track_movement_metrics,
     "track_cumulative_distance": q_track_cumulative_distance,
@@ -220,8 +226,11 @@ SELECT count(*) AS total_records, count(DISTINCT id) AS unique_ids, min("Date")
        min(Latitude) AS lat_min, max(Latitude) AS lat_max, min(Longitude) AS lon_min, max(Longitude) AS lon_max
 FROM tp"""),
     "track_raw_profile": _sql("""
-SELECT count(*) AS rows, min(strftime("Date", '%Y-%m-%d %H:%M:%S')) AS date_text_min,
-       max(strftime("Date", '%Y-%m-%d %H:%M:%S')) AS date_text_max
+SELECT count(*) AS rows, min(t) AS date_text_min, max(t) AS date_text_max
+FROM (SELECT CASE WHEN row_order % 50 = 0 THEN 'unknown' ELSE strftime("Date", '%Y-%m-%d %H:%M:%S.%f') END AS t FROM tp)"""),
+    "track_parsed": _sql("""
+SELECT id, CASE WHEN row_order % 50 <> 0 THEN "Date" END AS "Date", CASE WHEN row_order % 40 <> 0 THEN Latitude END AS Latitude,
+       CASE WHEN row_order % 30 <> 0 THEN Longitude END AS Longitude, 'n' || row_order AS note, row_order
 FROM tp"""),
     "track_temporal_features": _sql("""
 SELECT id, "Date", row_order, CAST(year("Date") AS INTEGER) AS year, CAST(month("Date") AS INTEGER) AS month,

@@ -31,6 +31,33 @@ def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def track_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tracks as a file would hold them: text, columns in another order, an extra column, and
+    some dates and coordinates that can't be read."""
+    tp = track_points(spark, sf_dir)
+    n = F.col("row_order")
+    date = F.date_format("Date", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return tp.select(
+        F.when(n % 30 == 0, F.lit("east")).otherwise(F.col("Longitude").cast("string")).alias("Longitude"),
+        F.concat(F.lit("n"), n.cast("string")).alias("note"),
+        F.when(n % 50 == 0, F.lit("unknown")).otherwise(date).alias("Date"),
+        F.when(n % 40 == 0, F.lit("NaN")).otherwise(F.col("Latitude").cast("string")).alias("Latitude"),
+        F.col("id").cast("string").alias("id"), "row_order")
+
+
+def catch_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catch facts as a file would hold them: published column names, codes written as 27.0,
+    some values NaN and some fields that can't be read."""
+    cf = catch_facts(spark, sf_dir)
+    n = F.col("row_order")
+    return cf.select(
+        F.when(n % 20 == 0, F.lit("NaN")).when(n % 21 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("VALUE"),
+        F.when(n % 3 == 0, F.concat(F.col("area_code").cast("string"), F.lit(".0"))).when(n % 50 == 1, F.lit("27.5"))
+        .otherwise(F.col("area_code").cast("string")).alias("AREA.CODE"),
+        F.lit("x").alias("STATUS"), F.col("period").cast("string").alias("PERIOD"),
+        F.col("species_code").cast("string").alias("SPECIES.ALPHA_3_CODE"), "row_order")
+
+
 def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-format grid rows with three 'files' from ``lineitem``."""
     li = table(spark, sf_dir, "lineitem")

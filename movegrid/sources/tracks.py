@@ -2,44 +2,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from movegrid.operators.tracks import check_required
+from movegrid.operators.tracks import REQUIRED
+from movegrid.sources.text_tables import number, require, scan_text
 
-RAW_TRACK_SCHEMA = StructType([
-    StructField("id", StringType(), True),
-    StructField("Date", StringType(), True),
-    StructField("Latitude", DoubleType(), True),
-    StructField("Longitude", DoubleType(), True),
-])
 
+def parse_tracks(raw: DataFrame, id_type: str | None = "long", strict: bool = True) -> DataFrame:
+    """Typed fixes from text columns, bound by name; other columns are carried along as text.
 
-def nan_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NaN becomes NULL at the scan boundary (Spark keeps NaN distinct from NULL)."""
-    return df.withColumns({c: F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)) for c in columns})
+    ``strict`` raises on a date, id or coordinate that can't be read; otherwise it becomes NULL.
+    NaN coordinates are NULL (Spark keeps NaN distinct from NULL).
+    """
+    require(raw, REQUIRED)
+    cast = (lambda c, t: c.cast(t)) if strict else (lambda c, t: c.try_cast(t))
+    date = F.to_timestamp_ntz(F.col("Date")) if strict else F.col("Date").try_cast("timestamp_ntz")
+    return raw.withColumns({
+        "id": cast(F.col("id"), id_type) if id_type else F.col("id"),
+        "Date": date,
+        "Latitude": number(F.col("Latitude"), strict),
+        "Longitude": number(F.col("Longitude"), strict),
+    })
 
 
-def read_track_csv(spark: SparkSession, path: str, schema: StructType = RAW_TRACK_SCHEMA,
-                   id_type: str = "long", strict: bool = True) -> DataFrame:
-    """SRC-1: header CSV with an explicit schema; required columns checked; timestamps parsed.
+def read_track_csv(spark: SparkSession, path: str | list[str], id_type: str | None = "long", strict: bool = True) -> DataFrame:
+    """SRC-1: header CSV read by column name; required columns checked in the file; dates parsed.
 
-    ``strict`` raises on an unparseable date (``to_timestamp`` under ANSI); otherwise it
-    becomes NULL.  ``row_order`` records the source order for ties (D18): it increases along
-    each file split and across splits, so it is a total order of the scan.
+    ``row_order`` is the source order for ties (D18): files by name, then lines.
     """
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
-    check_required(raw)
-    parse = F.to_timestamp_ntz(F.col("Date")) if strict else F.col("Date").try_cast("timestamp_ntz")
-    out = raw.withColumns({
-        "id": F.col("id").cast(id_type) if id_type else F.col("id"),
-        "Date": parse,
-        "row_order": F.monotonically_increasing_id(),
-    })
-    return nan_to_null(out, ["Latitude", "Longitude"])
+    return parse_tracks(scan_text(spark, path), id_type, strict)
 
 
-def raw_profile(spark: SparkSession, path: str, schema: StructType = RAW_TRACK_SCHEMA) -> DataFrame:
+def date_text_profile(raw: DataFrame) -> DataFrame:
     """SRC-9: rows and min/max of the unparsed Date text."""
-    raw = spark.read.option("header", True).schema(schema).csv(path)
-    return raw.agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("date_text_min"),
-                   F.max("Date").alias("date_text_max"))
+    return require(raw, ["Date"]).agg(F.count(F.lit(1)).alias("rows"), F.min("Date").alias("date_text_min"),
+                                      F.max("Date").alias("date_text_max"))
+
+
+def raw_profile(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return date_text_profile(scan_text(spark, path))

@@ -119,9 +119,51 @@ def test_track_csv_strict_and_lenient_dates(spark, tmpdir_path):
         read_track_csv(spark, path, strict=True).collect()
     prof = raw_profile(spark, path).first()
     assert (prof.rows, prof.date_text_min, prof.date_text_max) == (2, "2021-08-01 10:00:00", "not a date")
-    with pytest.raises(ValueError):
-        bad = os.path.join(tmpdir_path, "bad.csv")
-        _write(bad, "id,Latitude\n1,50.0\n")
-        from pyspark.sql.types import DoubleType, LongType, StructField, StructType
-        read_track_csv(spark, bad, schema=StructType([StructField("id", LongType()),
-                                                      StructField("Latitude", DoubleType())]))
+
+
+def test_track_csv_is_bound_by_name(spark, tmpdir_path):
+    from movegrid.sources.tracks import read_track_csv
+    path = os.path.join(tmpdir_path, "t.csv")
+    _write(path, "id,Date,Depth,Longitude,Latitude\n1,2021-08-01,9,3.0,52.0\n")
+    r = read_track_csv(spark, path).first()
+    assert (r.Latitude, r.Longitude, r.Depth) == (52.0, 3.0, "9")            # swapped and extra columns
+    missing = os.path.join(tmpdir_path, "m.csv")
+    _write(missing, "id,Date,Latitude,Depth\n1,2021-08-01,52.0,9\n")
+    with pytest.raises(ValueError, match="Longitude"):
+        read_track_csv(spark, missing)
+    mixed = os.path.join(tmpdir_path, "mixed")
+    os.makedirs(mixed)
+    _write(os.path.join(mixed, "a.csv"), "id,Date,Latitude,Longitude\n1,2021-08-01,52.0,3.0\n")
+    _write(os.path.join(mixed, "b.csv"), "id,Date,Longitude,Latitude\n1,2021-08-02,3.0,52.0\n")
+    with pytest.raises(Exception):
+        read_track_csv(spark, mixed).collect()
+
+
+def test_row_order_is_file_and_line_order(spark, tmpdir_path):
+    from movegrid.operators import tracks
+    from movegrid.sources.tracks import read_track_csv
+    folder = os.path.join(tmpdir_path, "years")
+    os.makedirs(folder)
+    head = "id,Date,Latitude,Longitude\n"
+    _write(os.path.join(folder, "2021.csv"), head + "1,2021-08-01,50.0,2.0\n")
+    _write(os.path.join(folder, "2022.csv"), head + "".join(f"1,2021-08-01,{51 + i / 100},2.0\n" for i in range(30)))
+    fixes = read_track_csv(spark, folder)
+    assert [r.Latitude for r in fixes.orderBy("row_order").collect()] == [50.0] + [51 + i / 100 for i in range(30)]
+    first = [r for r in tracks.process(fixes).collect() if r.lat_diff is None]
+    assert [r.Latitude for r in first] == [50.0]                            # ties follow the source (D18)
+
+
+def test_capture_codes_nan_and_rejects(spark, tmpdir_path):
+    from movegrid.sources.catch import capture_rejects, read_capture
+    from movegrid.sources.text_tables import scan_text
+    path = os.path.join(tmpdir_path, "c.csv")
+    _write(path, "SPECIES.ALPHA_3_CODE,AREA.CODE,PERIOD,VALUE\nBSH,27.0,2000,1.5\nBSH,27,2000,NaN\nBSH,27.5,2001,x\nBSH,,2002,\n")
+    rows = [(r.area_code, r.period, r.value) for r in read_capture(spark, path).orderBy("row_order").collect()]
+    assert rows == [(27, 2000, 1.5), (27, 2000, None), (None, 2001, None), (None, 2002, None)]
+    assert sorted(tuple(r) for r in capture_rejects(scan_text(spark, path)).collect()) == [("area_code", "27.5", 1), ("value", "x", 1)]
+    with pytest.raises(Exception):
+        read_capture(spark, path, strict=True).collect()
+    missing = os.path.join(tmpdir_path, "m.csv")
+    _write(missing, "SPECIES.ALPHA_3_CODE,AREA.CODE,PERIOD\nBSH,27,2000\n")
+    with pytest.raises(ValueError, match="VALUE"):
+        read_capture(spark, missing)
