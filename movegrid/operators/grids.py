@@ -33,6 +33,30 @@ def select_variables(df: DataFrame, keep: tuple[str, ...] = ("time", "latitude",
     return out
 
 
+def union_selected(df: DataFrame, file_columns: dict[str, list[str]],
+                   keep: tuple[str, ...] = ("time", "latitude", "longitude", "file_source"), drop_incomplete: bool = True) -> DataFrame:
+    """SET-1 + SEL-1/2 + SET-4 + FIL-6 over many files in one scan.
+
+    ``df`` holds the rows of all files (``file_source``); ``file_columns`` names the columns each
+    file has.  The variables of a file are chosen by name, a variable it lacks is NULL, and a row
+    goes if a coordinate or a variable of its own file is missing.  Files not named are left out.
+    """
+    variables = {f: resolve.variable_columns(cols, exclude=keep) for f, cols in file_columns.items()}
+    by_choice: dict[str, list[str]] = {}
+    for f, chosen in variables.items():
+        for v in chosen:
+            by_choice.setdefault(v, []).append(f)
+    source = F.col("file_source")
+    out = df.where(source.isin(*variables)).select(
+        *[c for c in df.columns if c in keep], *[F.when(source.isin(*files), F.col(v)).alias(v) for v, files in by_choice.items()])
+    if drop_incomplete:
+        coords = [c for c in out.columns if c in keep and c != "file_source"]
+        out = out.na.drop(how="any", subset=coords)
+        for v, files in by_choice.items():
+            out = out.where(F.col(v).isNotNull() | ~source.isin(*files))
+    return out
+
+
 def bounds(df: DataFrame) -> DataFrame:
     """AGG-6: spatial bounds (lat/lon columns found by name, SEL-3)."""
     lat = resolve.first_containing(df.columns, "lat")

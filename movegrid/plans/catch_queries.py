@@ -4,18 +4,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from movegrid.operators import catch, raster
-from movegrid.params import AREA_BOUNDS
+from movegrid.params import AREA_BOUNDS, ELASMOBRANCH_KEYWORDS
 from movegrid.plans.common import rounded
 from movegrid.sources.catch import capture_rejects, parse_capture
 from movegrid.sources.standins import NATION_AREA_CODES, area_dim, catch_facts, catch_text, species_dim
 
-# Keywords that select a fair share of the stand-in species (the domain list is ELASMOBRANCH_KEYWORDS)
-CHECK_KEYWORDS = ["ring", "econ", "group 3"]
 RESOLUTION = 5.0
 
 
 def matched(spark, sf_dir):
-    return catch.match_species(species_dim(spark, sf_dir), CHECK_KEYWORDS)
+    return catch.match_species(species_dim(spark, sf_dir))
 
 
 def joined(spark, sf_dir):
@@ -113,7 +111,7 @@ QUERIES = {
 
 # ---------------------------------------------------------------------------------------------
 _codes = ", ".join(str(c) for c in NATION_AREA_CODES)
-_pattern = "(" + "|".join(CHECK_KEYWORDS) + ")"
+_pattern = "(" + "|".join(ELASMOBRANCH_KEYWORDS) + ")"
 _match = " OR ".join(f"regexp_matches(coalesce({c}, ''), '{_pattern}', 'i')"
                      for c in ["name_en", "name_fr", "name_es", "scientific_name", "group_en"])
 _bounds = ",\n    ".join(
@@ -132,8 +130,11 @@ cf AS (
          l.l_orderkey * 100000 + l.l_linenumber * 10000 + l.l_suppkey AS row_order
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey),
 sp AS (
-  SELECT p_partkey AS species_code, p_name AS name_en, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS name_fr,
-         p_brand AS name_es, p_type AS scientific_name, 'GROUP ' || CAST(p_size % 10 AS VARCHAR) AS group_en
+  SELECT p_partkey AS species_code, CASE WHEN p_partkey % 13 = 0 THEN 'Blue SHARK ' ELSE '' END || p_name AS name_en,
+         CASE WHEN p_partkey % 7 <> 0 THEN CASE WHEN p_partkey % 13 = 6 THEN 'CHIMÈRE ' ELSE '' END || p_brand END AS name_fr,
+         CASE WHEN p_partkey % 13 = 4 THEN 'TIBURÓN ' ELSE '' END || p_brand AS name_es,
+         CASE WHEN p_partkey % 13 = 2 THEN 'Полярная АКУЛА ' ELSE '' END || p_type AS scientific_name,
+         CASE WHEN p_partkey % 13 = 8 THEN '鲨鱼 ' ELSE '' END || 'GROUP ' || CAST(p_size % 10 AS VARCHAR) AS group_en
   FROM part),
 ad AS (
   SELECT CAST(CASE WHEN n_nationkey <= 20 THEN [{_codes}][n_nationkey + 1] ELSE n_nationkey - 20 END AS INTEGER) AS code,

@@ -31,22 +31,20 @@ def grid_sample(spark, sf_dir):
 
 
 def q_grid_long(spark, sf_dir):
-    return grid_src.to_wide(grid_src.explode_slabs(array_grid(spark, sf_dir)), SLAB_VARIABLES)
+    return grid_src.slabs_to_wide(array_grid(spark, sf_dir), SLAB_VARIABLES)
 
 
 def q_grid_union(spark, sf_dir):
-    gp = grid_points(spark, sf_dir)
-    files = []
-    for flag, variables in FILE_VARIABLES.items():
-        part = gp.where(F.col("file_source") == F.lit(f"grid_{flag}.nc"))
-        files.append(grids.select_variables(part, variables=variables))
-    return grids.union_files(files)
+    files = {f"grid_{flag}.nc": ["time", "latitude", "longitude", "row_order", *variables] for flag, variables in FILE_VARIABLES.items()}
+    return grids.union_selected(grid_points(spark, sf_dir), files)
 
 
 def q_grid_temporal_features(spark, sf_dir):
+    """PRJ-3 on a text time column, some of it no date."""
     gp = grid_points(spark, sf_dir)
     t = resolve.first_containing(gp.columns, "time")
-    return with_grid_calendar(gp, t).select("file_source", "time", "year", "month", "day_of_year", "season")
+    text = F.when(F.col("row_order") % 17 == 0, F.lit("no date")).otherwise(F.col(t).cast("string"))
+    return with_grid_calendar(gp.withColumn(t, text), t).select("file_source", "time", "year", "month", "day_of_year", "season")
 
 
 def q_grid_bounds(spark, sf_dir):
@@ -159,11 +157,11 @@ FROM ac GROUP BY file_source, time, latitude, longitude
 HAVING count(*) FILTER (WHERE value IS NULL) = 0"""),
     "grid_union": _sql(_union_sql()),
     "grid_temporal_features": _sql("""
-SELECT file_source, time, CAST(year(time) AS INTEGER) AS year, CAST(month(time) AS INTEGER) AS month,
+SELECT file_source, CAST(time AS TIMESTAMP) AS time, CAST(year(time) AS INTEGER) AS year, CAST(month(time) AS INTEGER) AS month,
        CAST(dayofyear(time) AS INTEGER) AS day_of_year,
        CASE WHEN month(time) IN (12, 1, 2) THEN 'Winter' WHEN month(time) IN (3, 4, 5) THEN 'Spring'
             WHEN month(time) IN (6, 7, 8) THEN 'Summer' WHEN month(time) IN (9, 10, 11) THEN 'Autumn' END AS season
-FROM gp"""),
+FROM (SELECT * REPLACE (CASE WHEN row_order % 17 <> 0 THEN time END AS time) FROM gp)"""),
     "grid_bounds": _sql("""
 SELECT min(latitude) AS lat_min, max(latitude) AS lat_max, min(longitude) AS lon_min, max(longitude) AS lon_max FROM gp"""),
     "grid_profile": _sql("""

@@ -2,13 +2,14 @@
 from __future__ import annotations
 
 from movegrid.operators import images
-from movegrid.sources.standins import IMAGE_STEMS, image_files
+from movegrid.params import PNG_COLOR_MODES
+from movegrid.sources.standins import IMAGE_COLOURS, IMAGE_STEMS, image_files
 
 _stems = "[" + ", ".join(f"'{x}'" for x in IMAGE_STEMS) + "]"
 
 
 def catalog(spark, sf_dir):
-    return images.catalog(image_files(spark, sf_dir), readable_only=False)
+    return images.catalog(image_files(spark, sf_dir))
 
 
 QUERIES = {
@@ -21,16 +22,20 @@ QUERIES = {
 _species = " OR ".join(f"contains(lower(name), '{k}')" for k in images.IMAGE_SPECIES_KEYWORDS)
 _env = " OR ".join(f"contains(lower(name), '{k}')" for k in images.IMAGE_ENV_KEYWORDS)
 
+_colour = f"{IMAGE_COLOURS}[page_id % {len(IMAGE_COLOURS)} + 1]"
+_mode = f"CASE {_colour} " + " ".join(f"WHEN {k} THEN '{m}'" for k, m in PNG_COLOR_MODES.items()) + " END"
+
 IMAGE_CTES = f"""
 fl AS (
-  SELECT path, string_split(path, '/')[-1] AS filename, content
-  FROM (SELECT '/images/' || {_stems}[page_id % {len(IMAGE_STEMS)} + 1] || '_' || CAST(page_id AS VARCHAR) || '.png' AS path,
-               encode(html) AS content FROM pages)),
+  SELECT path, string_split(path, '/')[-1] AS filename, content, width, height, mode
+  FROM (SELECT page_id % 640 + 1 AS width, length(html) % 480 + 1 AS height, {_mode} AS mode, '/images/' || {_stems}[page_id % {len(IMAGE_STEMS)} + 1] || '_' || CAST(page_id AS VARCHAR) || '.png' AS path,
+               unhex('89504E470D0A1A0A0000000D49484452' || printf('%08X', page_id % 640 + 1) || printf('%08X', length(html) % 480 + 1) || '08'
+               || printf('%02X', {_colour}) || '00000000000000') || encode(html) AS content FROM pages WHERE page_id % 9 <> 0)),
 ct AS (
-  SELECT replace(filename, '.png', '') AS name, path, filename, content FROM fl),
+  SELECT replace(filename, '.png', '') AS name, path, filename, content, width, height, mode FROM fl),
 cat AS (
   SELECT name, CASE WHEN {_species} THEN 'plankton_species' WHEN {_env} THEN 'environmental' ELSE 'other' END AS category,
-         path, filename, CAST(NULL AS BIGINT) AS width, CAST(NULL AS BIGINT) AS height, CAST(NULL AS VARCHAR) AS mode,
+         path, filename, CAST(width AS BIGINT) AS width, CAST(height AS BIGINT) AS height, mode,
          CAST(octet_length(content) AS BIGINT) AS size_bytes, 'data:image/png;base64,' || to_base64(content) AS base64_data
   FROM ct)
 """

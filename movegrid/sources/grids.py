@@ -4,10 +4,13 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from movegrid.functions import resolve
 from movegrid.functions.text import base_name
+from movegrid.params import ENVIRONMENT_KEYWORDS, PLANKTON_KEYWORDS
 
 GRID_SUFFIXES = (".nc", ".nc4", ".netcdf")
 
@@ -38,8 +41,9 @@ SLAB_SCHEMA = ("file_source string, variable string, time array<timestamp_ntz>,
 
 
 def read_array_slabs(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SLAB_SCHEMA) -> DataFrame:
-    """Scan array-encoded grid slabs (any Spark format); corrupt files are skipped (SRC-5).
+    """Scan array-encoded grid slabs (any Spark format).
 
+    A file that can't be read is passed over (SRC-5); ``slab_status`` names every file passed over.
     The slab layout is fixed, so the schema is given rather than inferred from some file.
     """
     reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
@@ -52,6 +56,62 @@ def read_array_slabs(spark: SparkSession, path: str, fmt: str = "parquet", schem
     return df.withColumn("file_source", from_path)
 
 
+def slab_status(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SLAB_SCHEMA,
+                glob: str = "*") -> DataFrame:
+    """SRC-5: one row per file under ``path``: path, status, error, n_slabs.
+
+    ``ok`` if slabs with a chosen variable were read, ``skipped`` if the file has none, ``unreadable``
+    if nothing could be read of a file that is not empty.  Only names and sizes are listed for it.
+    """
+    reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
+    df = (reader.schema(schema) if schema else reader).load(path)
+    name = F.lower("variable")
+    chosen = reduce(lambda a, b: a | b, [name.contains(k) for k in PLANKTON_KEYWORDS + ENVIRONMENT_KEYWORDS])
+    read = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen).alias("n_slabs"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+             .select(F.col("_metadata.file_path").alias("path"), "length"))
+    n, used = F.coalesce("n", F.lit(0)), F.coalesce("n_slabs", F.lit(0))
+    status = F.when(used > 0, "ok").when((n > 0) | (F.col("length") == 0), "skipped").otherwise("unreadable")
+    error = F.when(status == "skipped", "no plankton or environmental variable").when(status == "unreadable", "no slab could be read")
+    return files.join(read, "path", "left").select("path", status.alias("status"), error.alias("error"), used.alias("n_slabs"))
+
+
+def tiles(slabs: DataFrame) -> DataFrame:
+    """Slabs cut by time step: one row per (file, variable, time) with that step's values, so a row
+    holds one map however long a file's time axis is."""
+    size = F.size("lat") * F.size("lon")
+    cut = slabs.select("file_source", "variable", "lat", "lon", "values", size.alias("_n"), F.posexplode("time").alias("_t", "time"))
+    return cut.select("file_source", "variable", "time", "lat", "lon", F.slice("values", F.col("_t") * F.col("_n") + 1, F.col("_n")).alias("values"))
+
+
+def slabs_to_wide(slabs: DataFrame, variables: list[str], time_name: str = "time", lat_name: str = "latitude",
+                  lon_name: str = "longitude", drop_incomplete: bool = True) -> DataFrame:
+    """SRC-4 (wide) + FIL-6 without a row per cell and variable in the shuffle.
+
+    The few rows of a (file, time step, grid) are brought together with their arrays, and the
+    cells are unfolded once.  A cell is dropped when any variable of its own file is missing; a
+    variable a file lacks stays NULL.  NaN is NULL.
+    """
+    held = tiles(slabs).where(F.col("variable").isin(*variables)).groupBy("file_source", "time", "lat", "lon").agg(
+        *[F.max(F.when(F.col("variable") == v, F.col("values"))).alias(f"_{i}") for i, v in enumerate(variables)])
+    n_lon = F.size("lon")
+    cells = held.select("*", F.explode(F.sequence(F.lit(0), F.size("lat") * n_lon - 1)).alias("_at"))
+    value = [F.get(F.col(f"_{i}"), F.col("_at")) for i in range(len(variables))]
+    value = [F.when(~F.isnan(v), v) for v in value]
+    if drop_incomplete:
+        whole = reduce(lambda a, b: a & b, [F.col(f"_{i}").isNull() | v.isNotNull() for i, v in enumerate(value)])
+        cells = cells.where(whole)
+    return cells.select(
+        "file_source", F.col("time").alias(time_name), F.get("lat", F.floor(F.col("_at") / n_lon).cast("int")).alias(lat_name),
+        F.get("lon", (F.col("_at") % n_lon).cast("int")).alias(lon_name), *[v.alias(name) for v, name in zip(value, variables)])
+
+
+def slab_variables(slabs: DataFrame) -> list[str]:
+    """SEL-1/2, SET-4: the plankton and environmental variables that the slabs hold (names only)."""
+    found = [r[0] for r in slabs.select("variable").distinct().collect()]
+    return resolve.variable_columns(sorted(x for x in found if x is not None))
+
+
 def explode_slabs(slabs: DataFrame, time_name: str = "time", lat_name: str = "latitude",
                   lon_name: str = "longitude") -> DataFrame:
     """SRC-4 (long form): one row per (file, variable, time, lat, lon) from array-encoded slabs.

@@ -97,15 +97,17 @@ def catch_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def species_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Species dimension from ``part``."""
+    """Species dimension from ``part``; some names hold domain words, in any case and script."""
     p = table(spark, sf_dir, "part")
+    nth = F.col("p_partkey") % 13
+    named = lambda k, text, plain: F.when(nth == k, F.concat(F.lit(text), plain)).otherwise(plain)
     return p.select(
         F.col("p_partkey").alias("species_code"),
-        F.col("p_name").alias("name_en"),
-        F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).alias("name_fr"),
-        F.col("p_brand").alias("name_es"),
-        F.col("p_type").alias("scientific_name"),
-        F.concat(F.lit("GROUP "), (F.col("p_size") % 10).cast("string")).alias("group_en"),
+        named(0, "Blue SHARK ", F.col("p_name")).alias("name_en"),
+        F.when(F.col("p_partkey") % 7 != 0, named(6, "CHIMÈRE ", F.col("p_brand"))).alias("name_fr"),
+        named(4, "TIBURÓN ", F.col("p_brand")).alias("name_es"),
+        named(2, "Полярная АКУЛА ", F.col("p_type")).alias("scientific_name"),
+        named(8, "鲨鱼 ", F.concat(F.lit("GROUP "), (F.col("p_size") % 10).cast("string"))).alias("group_en"),
     )
 
 
@@ -127,15 +129,26 @@ IMAGE_STEMS = ["acartia_tonsa", "calanus_finmarchicus", "sea_surface_temperature
                "bathymetry", "3d-map_overview"]
 
 
+# FIXED VALUES — PNG colour types in the order the stand-in images cycle through them
+IMAGE_COLOURS = [0, 2, 3, 4, 6]
+
+
 def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image-file rows (path, content) from ``pages``: every page becomes one file whose name
-    stem cycles through ``IMAGE_STEMS`` by page id, and whose bytes are the page html."""
+    stem cycles through ``IMAGE_STEMS`` by page id.  Its bytes are a PNG header with the page's
+    size fields and then the html; every ninth file is html only, so no image."""
     pg = table(spark, sf_dir, "pages")
-    stem = F.element_at(F.array(*[F.lit(x) for x in IMAGE_STEMS]), (F.col("page_id") % len(IMAGE_STEMS) + 1).cast("int"))
+    n = F.col("page_id")
+    stem = F.element_at(F.array(*[F.lit(x) for x in IMAGE_STEMS]), (n % len(IMAGE_STEMS) + 1).cast("int"))
+    field = lambda value, digits: F.lpad(F.hex(value.cast("long")), digits, "0")
+    colour = F.element_at(F.array(*[F.lit(x) for x in IMAGE_COLOURS]), (n % len(IMAGE_COLOURS) + 1).cast("int"))
+    header = F.unhex(F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), field(n % 640 + 1, 8), field(F.length("html") % 480 + 1, 8),
+                              F.lit("08"), field(colour, 2), F.lit("00000000000000")))
+    html = F.col("html").cast("binary")
     return pg.select(
-        F.concat(F.lit("/images/"), stem, F.lit("_"), F.col("page_id").cast("string"), F.lit(".png")).alias("path"),
-        F.col("html").cast("binary").alias("content"),
-        F.col("page_id").alias("row_order"),
+        F.concat(F.lit("/images/"), stem, F.lit("_"), n.cast("string"), F.lit(".png")).alias("path"),
+        F.when(n % 9 == 0, html).otherwise(F.concat(header, html)).alias("content"),
+        n.alias("row_order"),
     )
 
 

@@ -66,6 +66,24 @@ def test_corrupt_grid_file_is_skipped(spark, tmpdir_path):
         fh.write(b"not a parquet file")
     slabs = grid_src.read_array_slabs(spark, good)
     assert grid_src.explode_slabs(slabs).count() == 1
+    other = os.path.join(good, "sub")
+    spark.createDataFrame([("g.nc", "u_wind", [TS], [50.0], [1.0], [7.0])], grid_src.SLAB_SCHEMA).coalesce(1).write.parquet(other)
+    status = {(r.status, r.error) for r in grid_src.slab_status(spark, good, glob="*.parquet").collect() if r.n_slabs or r.error != "no slab could be read" or "broken" in r.path}
+    assert status >= {("ok", None), ("skipped", "no plankton or environmental variable"), ("unreadable", "no slab could be read")}
+    assert grid_src.slab_variables(slabs) == ["temperature"]
+
+
+def test_tiled_wide_equals_long_and_pivot(spark):
+    days = [TS, TS + dt.timedelta(days=1)]
+    slabs = spark.createDataFrame([
+        ("a.nc", "temperature", days, [50.0, 51.0], [1.0, 2.0, 3.0], [float(i) if i != 4 else float("nan") for i in range(12)]),
+        ("a.nc", "salinity", days, [50.0, 51.0], [1.0, 2.0, 3.0], [float(30 + i) for i in range(12)]),
+        ("b.nc", "salinity", days[:1], [50.0], [1.0, 2.0], [1.0, float("nan")]),
+    ], grid_src.SLAB_SCHEMA)
+    names = ["temperature", "salinity"]
+    a = grid_src.slabs_to_wide(slabs, names)
+    b = grid_src.to_wide(grid_src.explode_slabs(slabs), names)
+    assert sorted(map(tuple, a.select(b.columns).collect()), key=str) == sorted(map(tuple, b.collect()), key=str) and a.count() == 12
 
 
 def test_sample_grid_shape(spark):
