@@ -86,6 +86,13 @@ def correlation(df: DataFrame, columns: list[str]) -> DataFrame:
     return one.select(F.inline(rows))
 
 
+def bin_split_key(decimals: int = 1) -> Column:
+    """A non-negative number for each spatial bin, unique on the globe at the grid of ``bin_index``."""
+    lat, lon = 90 * 10 ** decimals, 180 * 10 ** decimals
+    width = 10 ** len(str(2 * lon))
+    return (F.col("lat_key") + F.lit(lat)) * F.lit(width) + (F.col("lon_key") + F.lit(lon))
+
+
 def split_order(key: Column, seed: int = 42) -> list[Column]:
     return [arithmetic_hash(key, seed), key]
 

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -9,10 +10,11 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from movegrid.functions import resolve
+from movegrid.functions.scalars import attach_one_row
 from movegrid.operators import features as feat
 from movegrid.params import FOREST_DEPTH, FOREST_MIN_LEAF, FOREST_TREES, MODEL_SEED, MODEL_TEST_SIZE
 
-# Candidate feature names of the track side (the reference intersects these with the binned table)
+# FIXED VALUES - candidate feature names of the track side (intersected with the binned table)
 PARITY_CANDIDATES = ["Latitude", "Longitude", "month", "day_of_year", "distance", "speed", "lat_bin", "lon_bin",
                      "sin_month", "cos_month", "sin_day", "cos_day", "log_distance", "log_speed",
                      "lat_centered", "lon_centered"]
@@ -31,6 +33,15 @@ def estimator(kind: str, seed: int = MODEL_SEED):
     raise ValueError(f"Unknown model type: {kind}")
 
 
+def stages(kind: str, feats: list[str], seed: int) -> list:
+    """Assembler, scaler (fit on the training rows) and estimator; trees need no scaling."""
+    if kind == "random_forest":
+        return [VectorAssembler(inputCols=feats, outputCol="features"), estimator(kind, seed)]
+    return [VectorAssembler(inputCols=feats, outputCol="raw_features"),
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+            estimator(kind, seed)]
+
+
 def feature_columns(binned: DataFrame, target: str = "speed", parity: bool = False) -> list[str]:
     """SEL-9 / D9.  ``parity``: the ordered intersection of the candidate names with the binned
     table (which includes the target).  Default: every numeric binned column except the target
@@ -82,7 +93,6 @@ class TrainedModel:
 
     def summary(self) -> DataFrame:
         """ML-11: tidy metric table with sample counts."""
-        from movegrid.functions.scalars import attach_one_row
         m = self.metrics()
         counts = self.train.agg(F.count(F.lit(1)).alias("training_samples"))
         return attach_one_row(m, counts).select(F.lit(self.kind).alias("model_type"), "r2", "rmse", "mae",
@@ -95,33 +105,26 @@ def train(binned: DataFrame, kind: str = "random_forest", target: str = "speed",
     """ML-1..10: complete cases -> exact hash split -> scale (fit on train) -> fit -> evaluate."""
     feats = features or feature_columns(binned, target, parity)
     data = feat.complete_cases(binned, feats + [target]).withColumn("label", F.col(target).cast("double"))
-    key = (F.col("lat_key") + F.lit(900)) * F.lit(10000) + (F.col("lon_key") + F.lit(1800))
-    parts = feat.split(data, feat.split_order(key, seed), test_size)
+    parts = feat.split(data, feat.split_order(feat.bin_split_key(), seed), test_size)
     train_df = parts.where(F.col("split") == "train").drop("split")
     test_df = parts.where(F.col("split") == "test").drop("split")
     if train_df.isEmpty():
         raise ValueError("no complete feature rows to train on")
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=feats, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        estimator(kind, seed),
-    ])
+    pipe = Pipeline(stages=stages(kind, feats, seed))
     return TrainedModel(pipe.fit(train_df), feats, target, kind, train_df, test_df)
 
 
 def cross_validate(tm: TrainedModel, k: int = 5, seed: int = MODEL_SEED) -> DataFrame:
     """ML-7 (D11: on the training rows): R2 per fold with refit; one row per fold."""
-    key = (F.col("lat_key") + F.lit(900)) * F.lit(10000) + (F.col("lon_key") + F.lit(1800))
-    folded = feat.fold(tm.train, feat.split_order(key, seed + 1), k)
+    folded = feat.fold(tm.train, feat.split_order(feat.bin_split_key(), seed + 1), k)
     rows = []
     for f in range(k):
-        fit_df = folded.where(F.col("fold") != f)
-        val_df = folded.where(F.col("fold") == f)
-        pipe = Pipeline(stages=[VectorAssembler(inputCols=tm.features, outputCol="raw_features"),
-                                StandardScaler(inputCol="raw_features", outputCol="features", withMean=True,
-                                               withStd=True),
-                                estimator(tm.kind, seed)])
-        m = pipe.fit(fit_df)
-        rows.append(regression_metrics(m.transform(val_df)).select(F.lit(f).alias("fold"), "r2", "rmse", "mae", "n"))
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), rows)
+        fitted = Pipeline(stages=stages(tm.kind, tm.features, seed)).fit(folded.where(F.col("fold") != f))
+        scored = fitted.transform(folded.where(F.col("fold") == f))
+        rows.append(regression_metrics(scored).select(F.lit(f).alias("fold"), "r2", "rmse", "mae", "n"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def cv_summary(folds: DataFrame) -> DataFrame:
+    """ML-7: mean R2 over the folds and twice its (population) standard deviation."""
+    return folds.agg(F.count(F.lit(1)).alias("n_folds"), F.avg("r2").alias("r2_mean"), (F.lit(2.0) * F.stddev_pop("r2")).alias("r2_two_std"))

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from movegrid.functions.scalars import attach_one_row
 from movegrid.operators import features as feat
 from movegrid.operators import model as mdl
 from movegrid.plans import track_queries as tq
@@ -20,10 +21,6 @@ def binned(spark, sf_dir, impute="median"):
     return feat.bin_join(tq.cleaned(spark, sf_dir), grid_points(spark, sf_dir), impute)
 
 
-def split_key():
-    return (F.col("lat_key") + F.lit(900)) * F.lit(10000) + (F.col("lon_key") + F.lit(1800))
-
-
 def model_rows(spark, sf_dir):
     return feat.complete_cases(binned(spark, sf_dir), MODEL_COLUMNS)
 
@@ -44,19 +41,20 @@ def q_aligned_correlation(spark, sf_dir):
 
 
 def q_split_assignment(spark, sf_dir):
-    s = feat.split(model_rows(spark, sf_dir), feat.split_order(split_key(), 42), 0.2)
+    s = feat.split(model_rows(spark, sf_dir), feat.split_order(feat.bin_split_key(), 42), 0.2)
     return s.select("lat_bin", "lon_bin", "split")
 
 
 def q_linear_fit_metrics(spark, sf_dir):
-    rows = model_rows(spark, sf_dir)
-    fit = rows.agg(F.regr_slope("speed", "distance").alias("slope"),
-                   F.regr_intercept("speed", "distance").alias("intercept"))
-    from movegrid.functions.scalars import attach_one_row
-    pred = attach_one_row(rows, fit).select(F.col("speed").alias("label"),
-                                            (F.col("intercept") + F.col("slope") * F.col("distance")).alias("prediction"))
-    m = mdl.regression_metrics(pred)
-    out = attach_one_row(m, fit)
+    """AGG-29 of a one-feature least squares fit: the fit is attached once, then one aggregate."""
+    rows = model_rows(spark, sf_dir).select("speed", "distance")
+    fit = rows.agg(F.regr_slope("speed", "distance").alias("slope"), F.regr_intercept("speed", "distance").alias("intercept"))
+    e = F.col("speed") - (F.col("intercept") + F.col("slope") * F.col("distance"))
+    sums = attach_one_row(rows, fit).agg(
+        F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse"), F.var_pop("speed").alias("var"),
+        F.count(F.lit(1)).alias("n"), F.max("slope").alias("slope"), F.max("intercept").alias("intercept"))
+    out = sums.select("mse", F.sqrt("mse").alias("rmse"), "mae", (F.lit(1.0) - F.try_divide("sse", F.col("var") * F.col("n"))).alias("r2"),
+                      "n", "slope", "intercept")
     return rounded(out, {"mse": 8, "rmse": 8, "mae": 8, "r2": 8, "slope": 8, "intercept": 8})
 
 
@@ -64,25 +62,55 @@ def _forest(spark, sf_dir, parity=False):
     return mdl.train(binned(spark, sf_dir), "random_forest", parity=parity)
 
 
+def _facts(tm, least_r2):
+    """What a random fit must satisfy whatever its seed: sizes, and metrics that agree with each
+    other and lie in stated bounds (R2 at least ``least_r2``, on held-out rows)."""
+    return tm.summary().select("model_type", "n_features", "training_samples", "test_samples",
+                               ((F.col("r2") <= 1) & (F.col("r2") >= least_r2)).alias("r2_in_bounds"),
+                               ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse"))).alias("errors_agree"))
+
+
 def q_model_metrics(spark, sf_dir):
-    return _forest(spark, sf_dir).summary()
+    """ML-3/6/11: the forest's sizes, and its held-out metrics within bounds."""
+    return _facts(_forest(spark, sf_dir), -0.5)
 
 
 def q_model_metrics_parity(spark, sf_dir):
-    return _forest(spark, sf_dir, parity=True).summary()
+    """D9: with the target among the features the held-out R2 is close to 1."""
+    return _facts(_forest(spark, sf_dir, parity=True), 0.8)
 
 
 def q_model_linear(spark, sf_dir):
-    return mdl.train(binned(spark, sf_dir), "linear").summary()
+    """ML-2/4 with all features: least squares residuals sum to zero and are orthogonal to every
+    feature on the training rows."""
+    tm = mdl.train(binned(spark, sf_dir), "linear")
+    pred = tm.predict(tm.train)
+    products = [F.round(F.covar_pop("residual", c), 6).alias(f"c{i}") for i, c in enumerate(tm.features)]
+    one = pred.agg(F.count(F.lit(1)).alias("training_samples"), F.round(F.avg("residual"), 6).alias("mean"), *products)
+    worst = F.greatest(*[F.abs(f"c{i}") for i in range(len(tm.features))])
+    return one.select(F.lit(len(tm.features)).alias("n_features"), "training_samples", (F.abs("mean") + F.lit(0.0)).alias("residual_mean"),
+                      worst.alias("residual_covariance"))
 
 
 def q_model_importance(spark, sf_dir):
-    return _forest(spark, sf_dir).importance()
+    """ML-8/PRJ-20/ORD-3: every feature once, importances non-negative, in order, summing to 1."""
+    imp = _forest(spark, sf_dir).importance()
+    total = imp.agg(F.sum("importance").alias("total"))
+    return attach_one_row(imp, total).select("feature", (F.col("importance") >= 0).alias("not_negative"), F.round("total", 6).alias("total"))
 
 
 def q_model_predictions(spark, sf_dir):
+    """ML-9 + PRJ-18: predictions and residuals of the held-out rows by the one-feature linear model."""
+    tm = mdl.train(model_rows(spark, sf_dir), "linear", features=["distance"])
+    out = tm.predict(tm.test).select("lat_bin", "lon_bin", "label", "prediction", "residual")
+    return rounded(out, {"label": 8, "prediction": 6, "residual": 6})
+
+
+def q_model_forest_predictions(spark, sf_dir):
+    """ML-9: the forest scores every held-out row once; residual = label - prediction."""
     tm = _forest(spark, sf_dir)
-    return tm.predict(tm.test).select("lat_bin", "lon_bin", "label", "prediction", "residual")
+    sure = F.abs(F.col("residual") - (F.col("label") - F.col("prediction"))) < 1e-12
+    return tm.predict(tm.test).select("lat_bin", "lon_bin", F.round("label", 8).alias("label"), sure.alias("residual_holds"))
 
 
 def q_model_linear_fit(spark, sf_dir):
@@ -94,8 +122,18 @@ def q_model_linear_fit(spark, sf_dir):
     return rounded(m, {"mse": 6, "rmse": 6, "mae": 6, "r2": 6})
 
 
+def _cv(spark, sf_dir):
+    return mdl.cross_validate(mdl.train(model_rows(spark, sf_dir), "linear", features=["distance"]), 5)
+
+
 def q_model_cv(spark, sf_dir):
-    return mdl.cross_validate(mdl.train(binned(spark, sf_dir), "linear"), 5)
+    """ML-7: R2, RMSE and MAE per fold of the one-feature linear model, refitted for each."""
+    return rounded(_cv(spark, sf_dir), {"r2": 5, "rmse": 6, "mae": 6})
+
+
+def q_model_cv_summary(spark, sf_dir):
+    """ML-7: mean R2 and twice its standard deviation."""
+    return rounded(mdl.cv_summary(_cv(spark, sf_dir)), {"r2_mean": 5, "r2_two_std": 5})
 
 
 QUERIES = {
@@ -109,7 +147,9 @@ QUERIES = {
     "model_linear": q_model_linear,
     "model_importance": q_model_importance,
     "model_predictions": q_model_predictions,
+    "model_forest_predictions": q_model_forest_predictions,
     "model_cv": q_model_cv,
+    "model_cv_summary": q_model_cv_summary,
     "model_linear_fit": q_model_linear_fit,
 }
 
@@ -163,9 +203,38 @@ def _corr_sql() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+_order = "(CAST(k AS HUGEINT) * 2654435761 + {seed}) % 4294967296, k"
+_SPLIT = f"""
+, sp AS (
+  SELECT *, row_number() OVER (ORDER BY {_order.format(seed=42)}) - 1 < ceil(0.2 * count(*) OVER ()) AS is_test
+  FROM (SELECT *, (lat_key + 900) * 10000 + (lon_key + 1800) AS k FROM mr))"""
+_CV = _SPLIT + f""",
+fo AS (SELECT *, (row_number() OVER (ORDER BY {_order.format(seed=43)}) - 1) % 5 AS fold FROM sp WHERE NOT is_test),
+ft AS (SELECT g.fold, regr_slope(speed, distance) AS slope, regr_intercept(speed, distance) AS intercept
+       FROM (SELECT DISTINCT fold FROM fo) g JOIN fo ON fo.fold <> g.fold GROUP BY g.fold),
+pr AS (SELECT fo.fold, speed AS label, speed - (intercept + slope * distance) AS e FROM fo JOIN ft ON fo.fold = ft.fold),
+cv AS (SELECT CAST(fold AS INTEGER) AS fold, 1 - sum(e * e) / nullif(var_pop(label) * count(*), 0) AS r2, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, count(*) AS n
+       FROM pr GROUP BY fold)"""
+# FIXED VALUES - features of the binned table, and those of the candidate list that it has (D9)
+MODEL_FEATURES = ["distance", "Latitude", "Longitude", "acartia_abundance", "calanus_abundance", "metridia_abundance", "temperature", "lat_bin", "lon_bin"]
+N_PARITY = 6
+
 _bin_cols = ", ".join(["lat_bin", "lon_bin"] + [f"round({c}, 10) AS {c}" for c in BIN_OUT[2:]])
 
+_sizes = "CAST(count(*) FILTER (NOT is_test) AS BIGINT) AS training_samples, CAST(count(*) FILTER (is_test) AS BIGINT) AS test_samples"
 ORACLE = {
+    "model_metrics": _sql(_SPLIT + f"SELECT 'random_forest' AS model_type, {len(MODEL_FEATURES)} AS n_features, {_sizes}, true AS r2_in_bounds, true AS errors_agree FROM sp"),
+    "model_metrics_parity": _sql(_SPLIT.replace("FROM mr)", "FROM tb)") + f"SELECT 'random_forest' AS model_type, {N_PARITY} AS n_features, {_sizes}, true AS r2_in_bounds, true AS errors_agree FROM sp"),
+    "model_linear": _sql(_SPLIT + f"SELECT {len(MODEL_FEATURES)} AS n_features, count(*) AS training_samples, CAST(0 AS DOUBLE) AS residual_mean, CAST(0 AS DOUBLE) AS residual_covariance FROM sp WHERE NOT is_test"),
+    "model_importance": f"SELECT unnest({MODEL_FEATURES}) AS feature, true AS not_negative, CAST(1 AS DOUBLE) AS total",
+    "model_predictions": _sql(_SPLIT + """,
+fit AS (SELECT regr_slope(speed, distance) AS slope, regr_intercept(speed, distance) AS intercept FROM sp WHERE NOT is_test)
+SELECT lat_bin, lon_bin, round(speed, 8) AS label, round(intercept + slope * distance, 6) AS prediction,
+       round(speed - (intercept + slope * distance), 6) AS residual
+FROM sp, fit WHERE is_test"""),
+    "model_forest_predictions": _sql(_SPLIT + "SELECT lat_bin, lon_bin, round(speed, 8) AS label, true AS residual_holds FROM sp WHERE is_test"),
+    "model_cv": _sql(_CV + "SELECT fold, round(r2, 5) AS r2, round(rmse, 6) AS rmse, round(mae, 6) AS mae, n FROM cv"),
+    "model_cv_summary": _sql(_CV + "SELECT count(*) AS n_folds, round(avg(r2), 5) AS r2_mean, round(2 * stddev_pop(r2), 5) AS r2_two_std FROM cv"),
     "binned_features": _sql(f"SELECT {_bin_cols} FROM bf"),
     "feature_encodings": _sql("""
 SELECT Latitude, Longitude, month, CAST(dayofyear("Date") AS INTEGER) AS day_of_year, distance, speed, lat_bin, lon_bin,
