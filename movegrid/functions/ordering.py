@@ -26,10 +26,6 @@ def arithmetic_hash(key: Column, seed: int) -> Column:
     return F.pmod(mixed, F.lit(_TWO32))
 
 
-def xxhash_order(key: Column, seed: int) -> Column:
-    return F.xxhash64(key, F.lit(seed))
-
-
 def with_global_index(df: DataFrame, order: list[Column], name: str = "row_index",
                       num_partitions: int | None = None) -> DataFrame:
     """Exact 0-based position of every row in the total order ``order`` (no single-task window).

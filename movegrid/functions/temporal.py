@@ -31,11 +31,6 @@ def calendar_columns(ts: Column) -> dict[str, Column]:
     }
 
 
-def with_track_calendar(df, ts: str = "Date"):
-    """PRJ-1/PRJ-2: add the six calendar columns and the season."""
-    return df.withColumns(calendar_columns(F.col(ts)))
-
-
 def with_grid_calendar(df, time_col: str | None):
     """PRJ-3: year, month, day_of_year and season of the grid time column.
 

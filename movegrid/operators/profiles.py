@@ -72,11 +72,3 @@ def histogram(df: DataFrame, value: str, bins: int = 20, label: str = "n") -> Da
                     (F.col("_lo") + F.col("bin") * width).alias("bin_lo"),
                     (F.col("_lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
                     F.coalesce(F.col(label), F.lit(0)).cast("long").alias(label)))
-
-
-def max_scaled(df: DataFrame, col: str, factor: float = 1.0, name: str | None = None) -> DataFrame:
-    """PRJ-17 + AGG-30: value / max(value) (times ``factor``); NULL when the max is 0."""
-    mx = df.agg(F.max(col).alias("_mg_max"))
-    out = attach_one_row(df, mx)
-    return out.withColumn(name or f"{col}_scaled",
-                          F.try_divide(F.col(col), F.col("_mg_max")) * F.lit(factor)).drop("_mg_max")

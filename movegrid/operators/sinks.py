@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 def write_table(df: DataFrame | None, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """SNK-1/3/4: write a processed table (Parquet by default, CSV with header on request).
 
-    Refuses when there is nothing to write (``None``)."""
+    Refuses when there is nothing to write (``None``).  With ``partition_by`` the rows are first
+    rebalanced by those columns: Spark brings a partition's rows together and splits the large
+    ones, so neither every task writes into every folder nor one task writes a whole hot folder."""
     if df is None:
         raise ValueError("no processed data to export")
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -9,7 +9,7 @@ from movegrid.operators import catch as catch_ops
 from movegrid.operators import grids, tracks
 from movegrid.plans import catch_queries as cq
 from movegrid.plans import track_queries as tq
-from movegrid.plans.report import assemble, catch_section, grid_section, track_section
+from movegrid.plans.report import assemble, catch_section, clean_overview, grid_section, track_section
 from movegrid.sources import standins
 
 
@@ -32,7 +32,7 @@ def q_source_report(spark, sf_dir):
 def q_analysis_report(spark, sf_dir):
     raw = tracks.overview(standins.track_points(spark, sf_dir))
     cl = tq.cleaned(spark, sf_dir)
-    t = track_section(raw, tracks.totals(cl), cl.agg(F.count(F.lit(1)).alias("clean_records")))
+    t = track_section(raw, clean_overview(cl))
     g = grid_section(grids.profile(standins.grid_points(spark, sf_dir).drop("row_order", "row_tiebreak")))
     c = catch_section(catch_ops.summary(cq.joined(spark, sf_dir)))
     return assemble([t, g, c]).select("section", "metric", "value")
@@ -59,18 +59,21 @@ UNION ALL SELECT 'areas', false, count(*) > 0, count(*) FROM ad
 UNION ALL SELECT 'images', false, count(*) > 0, count(*) FROM pages""",
     "analysis_report": _ALL + """
 , raw AS (SELECT count(*) AS n, count(DISTINCT id) AS ids, min("Date") AS dmin, max("Date") AS dmax FROM tp),
-ct AS (SELECT count(*) AS n, coalesce(sum(distance), 0) AS dist, avg(speed) AS spd FROM cl),
+ct AS (SELECT count(*) AS n, coalesce(sum(distance), 0) AS dist, avg(speed) AS spd,
+       min(Latitude) AS la, max(Latitude) AS lb, min(Longitude) AS oa, max(Longitude) AS ob FROM cl),
 cs AS (SELECT count(DISTINCT species_code) AS sp, count(DISTINCT area_code) AS ar, coalesce(sum(value), 0) AS tot,
               min(period) AS p0, max(period) AS p1 FROM cj),
 gq AS (SELECT count(*) AS n, count(DISTINCT file_source) AS f FROM gp)
-SELECT 'tracks' AS section, 'raw_records' AS metric, CAST(n AS VARCHAR) AS value FROM raw
+SELECT 'tracks' AS section, 'raw_records' AS metric, format('{:,}', n) AS value FROM raw
 UNION ALL SELECT 'tracks', 'raw_individuals', CAST(ids AS VARCHAR) FROM raw
 UNION ALL SELECT 'tracks', 'date_from', strftime(dmin, '%Y-%m-%d') FROM raw
 UNION ALL SELECT 'tracks', 'date_to', strftime(dmax, '%Y-%m-%d') FROM raw
-UNION ALL SELECT 'tracks', 'clean_records', CAST(n AS VARCHAR) FROM ct
+UNION ALL SELECT 'tracks', 'clean_records', format('{:,}', n) FROM ct
+UNION ALL SELECT 'tracks', 'clean_latitude', printf('%.2f to %.2f', la, lb) FROM ct
+UNION ALL SELECT 'tracks', 'clean_longitude', printf('%.2f to %.2f', oa, ob) FROM ct
 UNION ALL SELECT 'tracks', 'clean_total_distance', printf('%.2f', dist) FROM ct
 UNION ALL SELECT 'tracks', 'clean_mean_speed', printf('%.4f', spd) FROM ct
-UNION ALL SELECT 'grid', 'records', CAST(n AS VARCHAR) FROM gq
+UNION ALL SELECT 'grid', 'records', format('{:,}', n) FROM gq
 UNION ALL SELECT 'grid', 'files', CAST(f AS VARCHAR) FROM gq
 UNION ALL SELECT 'grid', 'abundance_variables', '3'
 UNION ALL SELECT 'grid', 'environmental_variables', '2'

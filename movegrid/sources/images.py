@@ -1,17 +1,17 @@
 """Image files as rows (SRC-7)."""
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
+from movegrid.sources.validate import count_files
+
 
 def read_png_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame | None:
     """``binaryFile`` scan of ``*.png`` in ``directory`` (non-recursive by default).
 
-    A missing directory gives ``None`` (nothing to catalogue).
+    A directory that is missing or holds no image gives ``None`` (nothing to catalogue).
     """
-    if not os.path.isdir(directory) and "://" not in directory:
+    if not count_files(spark, directory, "*.png"):
         return None
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.png")
             .option("recursiveFileLookup", str(recursive).lower()).load(directory)

@@ -1,37 +1,48 @@
 """Input validation before a run (SRC-8): required, optional and fallback sources."""
 from __future__ import annotations
 
-import glob
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
 class Inputs:
     tracks_csv: str
-    grid_dir: str | None = None
-    grid_files: tuple[str, ...] = ()
+    grid_path: str | None = None
     capture_csv: str | None = None
     species_csv: str | None = None
     areas_csv: str | None = None
     image_dir: str | None = None
-    extra: dict = field(default_factory=dict)
 
 
-def _exists(p: str | None) -> bool:
-    return bool(p) and ("://" in p or os.path.exists(p))
+def count_files(spark: SparkSession, path: str | None, glob: str = "*") -> int:
+    """Files under ``path`` whose names match, on any file system Spark reads; only names are
+    listed.  A path that isn't there counts none."""
+    if not path:
+        return 0
+    try:
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+                .load(path).select(F.col("_metadata.file_path")).count())
+    except PySparkException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
+            return 0
+        raise
 
 
-def validate(inputs: Inputs) -> list[tuple[str, bool, bool, int]]:
-    """Rows (source, required, present, n_files).  A missing required source raises."""
-    if not _exists(inputs.tracks_csv):
+def validate(spark: SparkSession, inputs: Inputs) -> DataFrame:
+    """Rows (source, required, present, n_files).  A missing required source raises; the catch
+    branch needs all three of its files."""
+    n_tracks = count_files(spark, inputs.tracks_csv)
+    if not n_tracks:
         raise FileNotFoundError(f"required track file not found: {inputs.tracks_csv}")
-    n_grid = len(inputs.grid_files) or (len(glob.glob(os.path.join(inputs.grid_dir, "**", "*.nc"), recursive=True))
-                                        if inputs.grid_dir and os.path.isdir(inputs.grid_dir) else 0)
-    catch_ok = all(_exists(p) for p in (inputs.capture_csv, inputs.species_csv, inputs.areas_csv))
-    return [
-        ("tracks", True, True, 1),
+    n_grid = count_files(spark, inputs.grid_path)
+    each = [count_files(spark, p) for p in (inputs.capture_csv, inputs.species_csv, inputs.areas_csv)]
+    n_images = count_files(spark, inputs.image_dir, "*.png")
+    return spark.createDataFrame([
+        ("tracks", True, True, n_tracks),
         ("grid", False, n_grid > 0, n_grid),
-        ("catch", False, catch_ok, 3 if catch_ok else 0),
-        ("images", False, bool(inputs.image_dir) and os.path.isdir(inputs.image_dir), 0),
-    ]
+        ("catch", False, all(each), sum(each)),
+        ("images", False, n_images > 0, n_images),
+    ], "source string, required boolean, present boolean, n_files long")

@@ -90,8 +90,25 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
                           capture_csv=os.path.join(tmpdir_path, "capture.csv"),
                           species_csv=os.path.join(tmpdir_path, "species.csv"),
                           areas_csv=os.path.join(tmpdir_path, "areas.csv"), target_area=None, resolution=5.0,
-                          model_type="linear")
+                          model_type="linear", work_dir=os.path.join(tmpdir_path, "work"), image_dir=os.path.join(tmpdir_path, "img"))
+    os.makedirs(cfg.image_dir)
+    with open(os.path.join(cfg.image_dir, "calanus.png"), "wb") as fh:
+        fh.write(png_bytes(3, 4))
     out = pipeline.run(spark, cfg)
+    assert {"sources", "track_overview", "track_date_text", "tracks_processed", "track_clean_accounting", "track_totals", "track_summary",
+            "track_summary_report", "track_sampled", "track_endpoints", "track_polylines", "track_density", "movement_by_date",
+            "records_by_month", "monthly_patterns", "distance_histogram", "map_center", "grid", "grid_profile", "grid_plankton_summary",
+            "grid_env_summary", "grid_daily_abundance", "grid_positive_scaled", "catch_rejects", "catch_joined", "catch_summary",
+            "top_species", "raster_cells", "raster_grid", "raster_stats", "raster_wide", "image_catalog", "image_counts", "image_gallery",
+            "image_overlays", "binned_features", "aligned_correlation", "feature_encodings", "model", "model_summary", "model_importance",
+            "report"} == set(out)
+    for name, df in out.items():
+        if name not in ("model", "model_importance", "catch_rejects", "grid_positive_scaled"):   # no forest, rejects or positive values here
+            assert not df.isEmpty(), name
+    assert {(r.source, r.present, r.n_files) for r in out["sources"].collect()} == {("tracks", True, 1), ("grid", False, 0), ("catch", True, 3), ("images", True, 1)}
+    assert out["track_endpoints"].count() == 4 and os.path.isdir(os.path.join(cfg.work_dir, "tracks_all", "year=2021"))
+    with pytest.raises(FileNotFoundError):
+        pipeline.run(spark, pipeline.Config(tracks_csv=os.path.join(tmpdir_path, "none.csv")))
     assert out["track_overview"].first().total_records == 56
     assert out["track_summary"].count() == 4
     s = out["catch_summary"].first()
