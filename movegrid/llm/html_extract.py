@@ -27,8 +27,8 @@ from .common import batches, rows_of, ship
 
 SAMPLE = 300          # pages the labeller is trained on (documented bound)
 SAMPLE_CHARS = 20_000  # only pages up to this long are drawn for training
-LAYOUTS = 900         # pages laid out for training
-PATH, NEAR, WORDS, SIZES = 96, 48, 24, 8
+LAYOUTS = 1_500       # pages laid out for training
+PATH, NEAR, WORDS, SIZES = 256, 128, 24, 8
 DIM = PATH + NEAR + WORDS + SIZES
 HIDDEN = 16
 GROUP = 64            # pages labelled together
@@ -191,7 +191,7 @@ class Labeller:
 
 #: Elements that frame each kind of text (tag and class); the labeller is to know them in any mix.
 ARTICLE = ["article", "main", "div class=content", "div class=post", "div class=entry-content", "div id=main", "section class=story",
-           "div class=article-body", "div itemprop=articleBody", "div class=page-content", "div role=main", "div", "td class=content", "section"]
+           "div class=article-body", "div itemprop=articleBody", "div class=page-content", "div role=main", "div", "td class=content", "section", ""]
 OTHER = {
     "menu": ["nav", "ul class=menu", "div class=navbar", "div id=navigation", "div class=breadcrumbs", "ol class=breadcrumb", "div class=topnav", "div class=pagination"],
     "header": ["header", "div class=header", "div id=masthead", "div class=topbar", "div class=site-title", "div class=logo"],
@@ -206,6 +206,8 @@ FRAME = ["div class=wrapper", "div class=container", "div id=page", "div", "div
 
 
 def opened(element: str) -> tuple[str, str]:
+    if not element:
+        return "", ""
     tag, _, rest = element.partition(" ")
     if rest:
         key, _, value = rest.partition("=")
@@ -235,7 +237,7 @@ class Layouts:
 
     def story(self) -> list:
         r, out = self.rng, []
-        inner = r.choice(["p", "p", "p", "div", None])
+        inner = r.choice(["p", "p", "p", "div", "div"])
         if r.random() < 0.85:
             head = f"<h1>{self.words(2, 12, 'article')}</h1>"
             out.append((f"<header>{head}</header>" if r.random() < 0.2 else head, 1))
@@ -259,7 +261,7 @@ class Layouts:
             elif k < 0.45:
                 out.append((f"<p>{text} <a href=x>{self.words(1, 3)}</a></p>", 1))
             else:
-                self.put(out, text, 1, inner or "p")
+                self.put(out, text, 1, inner)
             if r.random() < 0.06:
                 kind = r.choice(["advert", "notice", "sidebar"])
                 out += self.extra(kind)
@@ -284,7 +286,7 @@ class Layouts:
         else:
             for _ in range(r.randint(1, 3)):
                 text = self.words(1, r.choice([6, 15, 40]))
-                self.put(out, f"&copy; {text}" if kind == "footer" and r.random() < 0.5 else text, 0, r.choice([None, "p", "div", "h3", "span"]))
+                self.put(out, f"&copy; {text}" if kind == "footer" and r.random() < 0.5 else text, 0, r.choice([None, "p", "div", "h3", "span", *["h1"] * 3 * (kind == "header")]))
                 out.append(("<hr>", None))
         out.append((b, None))
         return out
