@@ -88,9 +88,34 @@ def decode(df: DataFrame, vocab: str, ids: str = "ids", keep: tuple[str, ...] =
     return src.mapInArrow(run, schema)
 
 
+def round_trip(df: DataFrame, vocab: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``encode`` and then ``decode`` of its ids, both in one pass of the workers, which hold the
+    vocabulary once: the columns ``keep``, ids and decoded."""
+    spark = df.sparkSession
+    ship(spark)
+    with open(vocab, "rb") as f:
+        shared = spark.sparkContext.broadcast(f.read())
+    src = df.select(*keep, F.col(text).alias("__text"))
+    schema = src.select(*keep).withColumns({"ids": F.lit(b""), "decoded": F.lit(b"")}).schema
+    names = list(keep)
+
+    def run(it):
+        enc, packed = _worker(shared.value)
+
+        def rows(batch):
+            for *own, value in rows_of(batch, *names, "__text"):
+                ids = encode_bytes(value, packed)
+                yield *own, ids, decode_bytes(ids, enc.tokens)
+
+        for batch in it:
+            cols = pa.schema([*(batch.schema.field(n) for n in names), pa.field("ids", pa.binary()), pa.field("decoded", pa.binary())])
+            yield from batches(rows(batch), cols, lambda r: len(r[-1]) + len(r[-2]))
+
+    return src.mapInArrow(run, schema)
+
+
 def digests(docs: DataFrame, vocab: str) -> DataFrame:
     """Per document: token count and SHA-256 of the packed ids and of the decoded bytes."""
-    both = decode(encode(docs, vocab), vocab)
-    return both.select(
+    return round_trip(docs, vocab).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

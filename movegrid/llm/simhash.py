@@ -175,4 +175,7 @@ def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     prints = materialize(fingerprints(marked, shingle, keep=("__key",)), "prints")
     roots = fp_components(prints, bits)
     first = prints.groupBy("fp").agg(F.min("__key").alias("__key")).join(roots, "fp").groupBy("root").agg(F.min("__key").alias("__key"))
-    return marked.join(first.select("__key"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    kept = marked.join(first.select("__key"), "__key", "left_semi")
+    if prints.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").head(1):
+        kept = kept.dropDuplicates(["__key"])     # whole rows are repeated
+    return kept.select(*docs.columns)

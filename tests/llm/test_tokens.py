@@ -75,6 +75,12 @@ def test_digests_over_awkward_rows(spark):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_encode_and_decode_apart_give_the_same(spark):
+    df = docs(spark, AWKWARD)
+    apart = encode.decode(encode.encode(df, RANKS), RANKS).select("doc_id", "ids", "decoded")
+    assert sorted(map(repr, rows(apart))) == sorted(map(repr, rows(encode.round_trip(df, RANKS))))
+
+
 def test_counts_over_awkward_rows(spark):
     got = rows(token_counts.token_counts(docs(spark, AWKWARD), JSON, limit=1))
     want = [(i, len((t or "").encode()), n := len(TOK.encode(t or "", add_special_tokens=False).ids), n > 1) for i, t in enumerate(AWKWARD)]
