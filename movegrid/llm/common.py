@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 OUT_BYTES = 8 << 20   # an output batch is handed on once it holds this much
 _shipped: set[str] = set()
@@ -64,6 +64,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def thinned(rows: DataFrame, n: int, sample: int, *key: str) -> DataFrame:
+    """About four times ``sample`` of ``n`` rows, chosen by a hash of ``key`` (all, where there are no
+    more): what a top-k over many partitions sends to the driver then doesn't grow with them."""
+    every = max(1, n // (4 * sample))
+    return rows.filter(F.pmod(F.xxhash64(*key), F.lit(every)) == 0) if every > 1 else rows
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, weigh) -> Iterator[pa.RecordBatch]:
     """Pack tuples into record batches of about ``OUT_BYTES``; ``weigh(row)`` is a row's size."""
     held, size = [], 0
@@ -88,4 +95,4 @@ def rows_of(batch: pa.RecordBatch, *names: str, step: int = 256) -> Iterator[tup
         yield from zip(*(c.slice(i, step).to_pylist() for c in cols))
 
 
-__all__ = ["batches", "documents", "materialize", "rows_of", "shared_dir", "ship", "work_path"]
+__all__ = ["batches", "documents", "materialize", "rows_of", "shared_dir", "ship", "thinned", "work_path"]

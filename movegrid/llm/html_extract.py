@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .blocks import leaves
 from .bpe import Cache
-from .common import batches, rows_of, ship
+from .common import batches, rows_of, ship, thinned
 
 SAMPLE = 300          # pages the labeller is trained on (documented bound)
 SAMPLE_CHARS = 20_000  # only pages up to this long are drawn for training
@@ -352,7 +352,7 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     spark = pages.sparkSession
     ship(spark)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    drawn = (rows.filter(F.length("html").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("page_id", "url"), "html").select("html").limit(sample))
+    drawn = (thinned(rows, rows.count(), sample, "page_id", "url").filter(F.length("html").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("url", "page_id"), "html").select("html").limit(sample))
     model, _ = train_labeller(sorted(r[0] for r in drawn.collect()))
     shared = spark.sparkContext.broadcast(model)
 

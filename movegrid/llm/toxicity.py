@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, rows_of, ship
+from .common import batches, rows_of, ship, thinned
 
 SAMPLE = 2_000
 SAMPLE_CHARS = 20_000
@@ -166,9 +166,10 @@ def train(rows: list[tuple]) -> tuple[Chain | None, dict[str, float]]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple]:
     """(doc_id, text, toxic) of at most ``sample`` toxic and twice as many other labelled rows, in
     the order of a hash of the id; rows with a null id, label or text are not drawn."""
-    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    part = lambda bad, n: known.filter(F.col("toxic") == bad).orderBy(*order).limit(n)
+    known = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}     # a row per label value
+    order = (F.xxhash64(F.lit("order"), "doc_id"), F.col("doc_id"))
+    part = lambda bad, n: thinned(known.filter(F.col("toxic") == bad), held.get(bad, 0), n, "doc_id").orderBy(*order).limit(n)
     drawn = part(1, sample).unionByName(part(0, 2 * sample))
     rows = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS))
     met = rows.join(F.broadcast(drawn), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
