@@ -10,6 +10,9 @@ Buckets are dealt in chunks of about ``CHUNK`` vectors (a hot bucket becomes man
 and its queries visit each chunk), so a task holds one chunk and a stream of queries.  Of equal
 vectors only the ``top + 1`` smallest ids are indexed: no query can return another of them.
 Equal queries are searched once.
+
+A query whose probes reach fewer candidates than asked for, while its dimension holds more, is
+searched exactly: blocks of such queries meet chunks of all vectors of their dimension.
 """
 from __future__ import annotations
 
@@ -21,11 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import batches, rows_of, ship
+from .common import batches, materialize, rows_of, ship
 
 SEED = 20240101
 CHUNK = 16_384
 QUERIES = 64         # queries matched with a chunk at once
+BLOCK = 2_048        # vectors of a chunk, and queries of a block, of the exact search
 SLACK = 1e-9         # covers the rounding of the matrix product before scores are made anew
 INDEX = pa.schema([("dim", pa.int32()), ("part", pa.int32()), ("bucket", pa.int64())])
 HITS = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -163,6 +167,53 @@ def match(dealt: DataFrame, top: int) -> DataFrame:
     return ordered.mapInArrow(run, "query long, vec_id long, score double")
 
 
+def nearest_first() -> tuple[Column, Column]:
+    return F.col("score").desc(), F.col("vec_id")
+
+
+def best(hits: DataFrame, top: int) -> DataFrame:
+    """The ``top`` of every query's (query, vec_id, score), each vec_id once."""
+    once = hits.repartition("query").groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(*nearest_first()))
+    return once.withColumn("nth", nth).filter(F.col("nth") <= top).drop("nth")
+
+
+def unmet(rows: DataFrame, asked: DataFrame, kept: DataFrame, top: int) -> DataFrame:
+    """(id, vec, dim) of the queries with fewer than ``top`` rows in ``kept`` although their
+    dimension has more."""
+    held = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("held"))
+    met = kept.groupBy(F.col("query").alias("id")).agg(F.count(F.lit(1)).alias("met"))
+    counted = asked.withColumn("dim", F.size("vec")).join(held, "dim").join(met, "id", "left")
+    return counted.filter(F.coalesce("met", F.lit(0)) < F.least(F.lit(top), "held")).select("id", "vec", "dim")
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """(dim, id, vec) with the vectors as the bytes that ``match`` reads."""
+    schema = pa.schema([("dim", pa.int32()), ("id", pa.int64()), ("vec", pa.binary())])
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = (r for batch in it for r in rows_of(batch, "dim", "id", "vec"))
+        yield from batches(((d, i, np.array(v, np.float64).tobytes()) for d, i, v in every), schema, lambda r: len(r[-1]))
+
+    return rows.select("dim", "id", "vec").mapInArrow(run, "dim int, id long, vec binary")
+
+
+def scan(rows: DataFrame, short: DataFrame) -> DataFrame:
+    """Input of ``match`` in which every query of ``short`` visits every row of its dimension: a
+    bucket per block of queries, a salt per chunk of rows."""
+    dealt = lambda n, to: F.pmod(F.xxhash64("id"), F.col(n)).cast("int").alias(to)
+    each = lambda n, to: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(to)
+    parts = lambda df, n: df.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(n))
+    of = rows.withColumn("dim", F.size("vec"))
+    cuts = parts(short, "blocks").join(parts(of, "salts"), "dim")
+    put = ("dim", F.lit(0).alias("part"), F.col("bucket").cast("long").alias("bucket"), "salt")
+    held = packed(of.join(cuts.select("dim"), "dim")).join(cuts, "dim").select(
+        "dim", "id", "vec", dealt("salts", "salt"), each("blocks", "bucket")).select(*put, F.lit(0).alias("kind"), "id", "vec")
+    visits = packed(short).join(cuts, "dim").select(
+        "dim", "id", "vec", dealt("blocks", "bucket"), each("salts", "salt")).select(*put, F.lit(1).alias("kind"), "id", "vec")
+    return held.unionByName(visits)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, tables: int = 10, hashes: int = 1, probes: int = 14) -> DataFrame:
     """The ``top`` rows of ``vectors`` with the largest inner product for every row of ``queries``.
 
@@ -170,8 +221,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, tables: int =
     query_id, rank (from 1), vec_id, score; nearest first, ties to smaller vec_id; a query's own
     vec_id is no candidate.  Vectors that are null, empty, zero, or hold null or non-finite
     components take no part, nor do rows without a vec_id; vectors of other lengths than the
-    query's don't meet it.  Repeated rows count once.  Recall falls with more ``hashes`` and
-    grows with ``tables`` and ``probes``; scores are always exact.
+    query's don't meet it.  Repeated rows count once.  Every query gets ``top`` rows, or all
+    candidates where there are fewer.  Recall falls with more ``hashes`` and grows with ``tables``
+    and ``probes``; scores are always exact.
     """
     def clean(df):
         vec = F.col("embedding").cast("array<double>")
@@ -187,10 +239,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, tables: int =
     held = index.join(sizes, place).select(*place, F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(0).alias("kind"), "id", "vec")
     visits = spread(once, tables, hashes, probes).join(sizes, place).select(
         *place, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(1).alias("kind"), "id", "vec")
-    found = match(held.unionByName(visits), top + 1).repartition("query").groupBy("query", "vec_id").agg(F.max("score").alias("score"))
-    order = (F.col("score").desc(), F.col("vec_id"))
-    kept = found.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy(*order))).filter(F.col("nth") <= top + 1).drop("nth")
+    kept = materialize(best(match(held.unionByName(visits), top + 1), top + 1), "ann-found")
+    short = materialize(unmet(rows, once, kept, top + 1), "ann-short")
+    if not short.isEmpty():
+        kept = kept.join(short.select(F.col("id").alias("query")), "query", "left_anti").unionByName(best(match(scan(rows, short), top + 1), top + 1))
     members = asked.join(once.withColumnRenamed("id", "query"), "vec").select(F.col("vec_id").alias("query_id"), "query")
     own = members.join(kept, "query").filter("query_id <> vec_id").select("query_id", "vec_id", "score")
-    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*nearest_first())))
     return ranked.filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

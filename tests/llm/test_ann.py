@@ -71,3 +71,26 @@ def test_more_hashes_use_multiprobe(spark):
 
 def test_empty_and_single(spark):
     assert found(spark, [], {1})[0] == {} and found(spark, [(1, [1, 2])], {1})[0] == {}
+
+
+def test_queries_whose_probes_reach_too_few_are_searched_exactly(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    few = list(enumerate(rng.normal(size=(20, 64)).tolist()))
+    assert all(len(v) == 19 for v in found(spark, few, set(range(20)))[0].values())
+    centre = rng.normal(size=64)
+    near = lambda c, n: (c + 0.05 * rng.normal(size=(n, 64))).tolist()
+    pairs = list(enumerate(near(-centre, 600) + near(centre, 10) + rng.normal(size=(40, 32)).tolist()))
+    queries = {3, *range(600, 650)}
+    got, full = found(spark, pairs, queries)
+    want = brute(pairs, queries, 20)
+    assert all(len(got[q]) == 20 for q in queries) and all(got[q] == want[q] for q in range(600, 610))
+    assert len(full) == len(queries)
+
+
+def test_exact_search_alone_is_brute_force_with_ties_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 3)
+    x = clusters(40, 2, 4).tolist()
+    pairs = list(enumerate(x + [x[0]] * 12 + [x[1]] * 3))
+    queries = {0, 1, 2, 40, 41, 52, 30}
+    assert found(spark, pairs, queries, top=50, tables=1, probes=1)[0] == brute(pairs, queries, 50)
