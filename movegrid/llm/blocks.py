@@ -1,8 +1,10 @@
 """HTML pages as sequences of leaf text blocks with their tag paths.
 
 Markup is read leniently, by one regular expression over the whole page: comments, scripts,
-styles and other raw text fall away, an unclosed comment or raw element runs to the end, open
-``p``, ``li`` and similar elements are closed by their next sibling, and a stray ``<`` is text.
+styles and other raw text fall away, an unclosed comment or raw element runs to the end, ``/>``
+leaves a raw element empty, open ``p``, ``li`` and similar elements are closed by their next
+sibling, and a stray ``<`` is text.  What graphics, objects and templates hold falls away up to
+their own closing tag; without one (but for templates) they are elements like any other.
 A block is the text between two block-level tags; its path is the chain of open elements.
 """
 from __future__ import annotations
@@ -11,7 +13,8 @@ import html
 import re
 from collections.abc import Iterator
 
-RAW = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "title", "textarea", "xmp", "canvas")
+RAW = ("script", "style", "noscript", "iframe", "title", "textarea", "xmp")
+HIDDEN = frozenset({"svg", "object", "canvas", "template"})      # markup whose text isn't the page's
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav ol optgroup option p pre search "
@@ -27,10 +30,13 @@ CLOSES = {
     "option": (frozenset({"option"}), frozenset({"select", "optgroup"})),
 }
 DEEP = 256           # open elements kept on the path
+#: attributes; a quoted value may hold anything, others end at white space or '>'
+ATTRS = r"""(?>\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+"""
 _token = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(?P<raw>%s)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)" % "|".join(RAW),
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?P<raw>%s)(?=[\s/>])%s>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>?|\Z)"
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>%s)(?P<empty>/?)>|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)" % ("|".join(RAW), ATTRS, ATTRS),
     re.DOTALL | re.IGNORECASE)
+_hidden = re.compile(r"<(?:%s)[\s/>]" % "|".join(sorted(HIDDEN)), re.IGNORECASE)
 _label = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _word = re.compile(r"[^\W_]+")
 
@@ -43,6 +49,22 @@ def names_of(tag: str, rest: str) -> tuple[str, ...]:
     return (tag, *("." + w for w in labels))
 
 
+def hidden(page: str) -> dict[int, int]:
+    """Where each closed element of ``HIDDEN`` starts and ends; an unclosed template ends with the page."""
+    ends: dict[int, int] = {}
+    if not _hidden.search(page):
+        return ends
+    opened: dict[str, list[int]] = {name: [] for name in HIDDEN}
+    for m in _token.finditer(page):
+        if m["name"] and (starts := opened.get(m["name"].lower())) is not None:
+            if not m["close"]:
+                if not m["empty"] and not m["rest"].endswith("/"):
+                    starts.append(m.start())
+            elif starts:
+                ends[starts.pop()] = m.end()
+    return ends | {i: len(page) for i in opened["template"]}
+
+
 def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str, int]]:
     """(path, text, characters inside links) of every block with text, in page order.
 
@@ -62,7 +84,13 @@ def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str,
                 return tuple(path), text, inside
         return None
 
+    ends, until = hidden(page), 0
     for m in _token.finditer(page):
+        if m.start() < until:
+            continue
+        if m.start() in ends:
+            until = ends[m.start()]
+            continue
         if (text := m["text"]) is not None:
             held.append(text)
             if links:
@@ -93,7 +121,8 @@ def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str,
                         first = i
                 links -= sum(p[0] == "a" for p in path[first:])
                 del path[first:]
-            if len(path) < DEEP and not m["rest"].endswith("/") or tag in BLOCK and len(path) < DEEP:
+            empty = m["empty"] or tag in HIDDEN and m["rest"].endswith("/")
+            if len(path) < DEEP and (not empty or tag in BLOCK):
                 path.append(names_of(tag, m["rest"]))
                 links += tag == "a"
     if found := block():

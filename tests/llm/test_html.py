@@ -28,6 +28,33 @@ def test_leaves(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p>one <svg class=i/> two</p><p>three</p>", ["one two", "three"]),
+    ("<p>one <svg class='i'> two</p><p>three</p><p><svg><path d=x /><svg><text>t</text></svg>u</svg>four", ["one two", "three", "four"]),
+    ("<p>a<object data=x> b</p><canvas id=c><p>c<svg/>", ["a b", "c"]), ("<p>a <canvas>old browser</canvas>b <object>o</object>c", ["a b c"]),
+    ("<title-bar>t</title-bar><p>a</p><style-guide>s</style-guide><template-x>b</template-x><script-x>c", ["t", "a", "sbc"]),
+    ("<p>where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds", ["where x=1 holds"]), ("<math/><p>a", ["a"]),
+    ("<p title=don't>one</p><p>it's two</p>", ["one", "it's two"]), ('<p title=5">one</p><p>6" two', ["one", '6" two']),
+    ("<p title='a>b' class=x>q</p><p data-x = \"y>z\" >r", ["q", "r"]), ("<p a='x'b=\"y>\"c=z>q", ["q"]),
+    ("<script src='x'/><p>a</p><title /><p>b</p><iframe src=\"y\" /><p>c", ["a", "b", "c"]), ("<script src=/x/>code()</script><p>a", ["a"]),
+    ("<svg><title/><style/></svg><p>a</p>", ["a"]), ("<svg><script>'</svg>'</script>x</svg>a", ["a"]),
+    ("<template><p>x</p><template>y</template>z</template>a", ["a"]), ("a<template>never closed", ["a"]),
+    ("<!--><p>a</p><!---><p>b</p><!-- x --><p>c", ["a", "b", "c"]), ("<script>'</scripts>'</script x>a", ["a"]),
+    ('<p title="never closed>one', ["one"]), ("<p class=x", ["<p class=x"]),
+])
+def test_no_text_is_swallowed(page, want):
+    assert texts(page) == want
+
+
+def test_long_broken_markup_is_read_in_time():
+    for piece in ("<svg>", "<p a=b c", "a='", "<svg><svg/></svg>", "= ", "<b c=\"d\" e"):
+        assert isinstance(texts("<p>" + piece * 3000), list)
+
+
+def test_links_with_unquoted_addresses():
+    assert [b[2] for b in leaves("<p><a href=http://x/>go</a> on")] == [2]
+
+
 def test_paths_and_links():
     found = list(leaves('<div class="main Post" id=x><ul><li><a href=1>go</a> on</li></ul></div>'))
     assert found == [((("div", ".main", ".post", ".x"), ("ul",), ("li",)), "go on", 2)]
