@@ -5,12 +5,16 @@ styles and other raw text fall away, an unclosed comment or raw element runs to
 leaves a raw element empty, open ``p``, ``li`` and similar elements are closed by their next
 sibling, and a stray ``<`` is text.  What graphics, objects and templates hold falls away up to
 their own closing tag; without one (but for templates) they are elements like any other.
-A block is the text between two block-level tags; its path is the chain of open elements.
+A block is the text between two block-level tags; its path is the chain of open elements, of any
+depth: below ``DEEP`` it leaves out elements whose names have their places on it already.
 """
 from __future__ import annotations
 
 import html
 import re
+import zlib
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 RAW = ("script", "style", "noscript", "iframe", "title", "textarea", "xmp")
@@ -29,7 +33,8 @@ CLOSES = {
     "td": (frozenset({"td", "th", "p"}), frozenset({"tr", "table"})), "th": (frozenset({"td", "th", "p"}), frozenset({"tr", "table"})),
     "option": (frozenset({"option"}), frozenset({"select", "optgroup"})),
 }
-DEEP = 256           # open elements kept on the path
+DEEP = 256           # open elements all shown on the path; of deeper ones, those that add something
+PATH = 256           # places that names on the path are told apart by
 #: attributes; a quoted value may hold anything, others end at white space or '>'
 ATTRS = r"""(?>\s++|/(?!>)|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+"""
 _token = re.compile(
@@ -41,6 +46,10 @@ _label = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _word = re.compile(r"[^\W_]+")
 
 
+def place(text: str, size: int) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
+
+
 def names_of(tag: str, rest: str) -> tuple[str, ...]:
     """An element's tag and the words of its class, id and role."""
     if "=" not in rest:
@@ -65,6 +74,52 @@ def hidden(page: str) -> dict[int, int]:
     return ends | {i: len(page) for i in opened["template"]}
 
 
+class Open:
+    """The open elements, with the depths of every tag, so that no tag costs a walk over all of them."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, ...]] = []
+        self.at: defaultdict[str, list[int]] = defaultdict(list)
+        self.shown: list[tuple[int, set]] = []     # depths on the path, and what each adds to it
+        self.seen: set = set()
+
+    def push(self, element: tuple[str, ...]) -> None:
+        depth = len(self.elements)
+        adds = {place(n, PATH) for n in element} - self.seen
+        if element[0] in BLOCK and element[0] not in self.seen:
+            adds.add(element[0])
+        if adds or depth < DEEP:
+            self.shown.append((depth, adds))
+            self.seen |= adds
+        self.elements.append(element)
+        self.at[element[0]].append(depth)
+
+    def cut(self, depth: int) -> None:
+        """Closes all elements from ``depth`` on."""
+        while len(self.elements) > depth:
+            self.at[self.elements.pop()[0]].pop()
+        while self.shown and self.shown[-1][0] >= depth:
+            self.seen -= self.shown.pop()[1]
+
+    def close(self, tag: str) -> None:
+        if self.at[tag]:
+            self.cut(self.at[tag][-1])
+
+    def close_before(self, tag: str) -> None:
+        """Closes what the opening ``tag`` closes."""
+        closed, stop = CLOSES[tag]
+        held = max((self.at[t][-1] for t in stop if self.at[t]), default=-1)
+        firsts = [some[i] for t in closed if (i := bisect_right(some := self.at[t], held)) < len(some)]
+        if firsts:
+            self.cut(min(firsts))
+
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        n = len(self.elements)
+        if n <= DEEP:
+            return tuple(self.elements)
+        return *(self.elements[d] for d, _ in self.shown if d < n - 2), *self.elements[-2:]
+
+
 def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str, int]]:
     """(path, text, characters inside links) of every block with text, in page order.
 
@@ -72,8 +127,8 @@ def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str,
     """
     if not page:
         return
-    path: list[tuple[str, ...]] = []
-    held, linked, links = [], 0, 0
+    path = Open()
+    held, linked, links = [], 0, path.at["a"]
 
     def block():
         nonlocal held, linked
@@ -81,7 +136,7 @@ def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str,
             text = " ".join(html.unescape("".join(held)).split())
             inside, held, linked = linked, [], 0
             if text:
-                return tuple(path), text, inside
+                return path.path(), text, inside
         return None
 
     ends, until = hidden(page), 0
@@ -105,25 +160,12 @@ def leaves(page: str | None) -> Iterator[tuple[tuple[tuple[str, ...], ...], str,
         if tag == "br":
             held.append(" ")
         elif m["close"]:
-            for i in range(len(path) - 1, -1, -1):
-                if path[i][0] == tag:
-                    links -= sum(p[0] == "a" for p in path[i:])
-                    del path[i:]
-                    break
+            path.close(tag)
         elif tag not in VOID:
             if tag in CLOSES:
-                closed, stop = CLOSES[tag]
-                first = len(path)
-                for i in range(len(path) - 1, -1, -1):
-                    if path[i][0] in stop:
-                        break
-                    if path[i][0] in closed:
-                        first = i
-                links -= sum(p[0] == "a" for p in path[first:])
-                del path[first:]
+                path.close_before(tag)
             empty = m["empty"] or tag in HIDDEN and m["rest"].endswith("/")
-            if len(path) < DEEP and (not empty or tag in BLOCK):
-                path.append(names_of(tag, m["rest"]))
-                links += tag == "a"
+            if not empty or tag in BLOCK:
+                path.push(names_of(tag, m["rest"]))
     if found := block():
         yield found

@@ -21,15 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import leaves
+from .blocks import PATH, leaves, place
 from .bpe import Cache
 from .common import batches, rows_of, ship, thinned
 
 SAMPLE = 300          # pages the labeller is trained on (documented bound)
 SAMPLE_CHARS = 20_000  # only pages up to this long are drawn for training
 LAYOUTS = 1_500       # pages laid out for training
-PATH, NEAR, WORDS, SIZES = 256, 128, 24, 8
+NEAR, WORDS, SIZES = 128, 24, 8
 DIM = PATH + NEAR + WORDS + SIZES
+DEPTH = 16            # a deeper block's depth counts as this; layouts are less deep
 HIDDEN = 16
 GROUP = 64            # pages labelled together
 EPOCHS, RATE = 5, 0.01
@@ -37,10 +38,6 @@ PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.st
 PAGES_DDL = "page_id long, url string, text string, n_blocks long, n_kept long"
 
 
-def place(text: str, size: int) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
-
-
 def path_places(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
     """Places of a path's names: all elements, and the two nearest on their own."""
     names = {n for e in path for n in e}
@@ -73,7 +70,7 @@ class Reader:
         words, chars, linked, ends = size[:, :4].T
         x[:, -SIZES:] = size
         x[:, -SIZES:-4] = np.stack([np.log1p(words) / 4, np.log1p(chars) / 6, np.minimum(1, linked / chars), np.minimum(1, ends / words * 4)], 1)
-        x[:, -1] /= 10
+        x[:, -1] = np.minimum(x[:, -1], DEPTH) / 10
         return x
 
 

@@ -51,6 +51,37 @@ def test_long_broken_markup_is_read_in_time():
         assert isinstance(texts("<p>" + piece * 3000), list)
 
 
+@pytest.mark.parametrize("wrap", ["<div>", "<font class=x>", "<b><i>"])
+def test_deep_elements_are_on_the_path(wrap):
+    page = "<article id=out>" + wrap * 300 + "<nav class=menu><p>a</nav><aside>b</aside><article>c</article>d</article>e"
+    found = list(leaves(page))
+    tags = [{n for e in b[0] for n in e} for b in found]
+    assert [b[1] for b in found] == ["a", "b", "c", "d", "e"] and [b[0][-1][0] for b in found[:3]] == ["p", "aside", "article"]
+    assert ["nav" in t for t in tags] == [True, False, False, False, False] and ".menu" in tags[0]
+    assert ["aside" in t for t in tags] == [False, True, False, False, False]
+    assert ["article" in t for t in tags] == [True] * 4 + [False] and ".out" in tags[3] and found[4][0] == ()
+
+
+def test_labels_below_deep_wrappers(pages):
+    model, _ = html_extract.train_labeller([r[0] for r in pages.select("html").collect()][:30], layouts=500)
+    body = "<nav><ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul></nav><article><h1>A title of it</h1><p>First paragraph of more text.</p></article><footer>&copy; us</footer>"
+    for n in (0, 40, 300, 2000):
+        found = list(leaves("<body>" + "<div>" * n + body))
+        assert [bool(p > 0.5) for p in model.label([html_extract.Reader().page(found)])[0]] == [False, False, True, True, False]
+
+
+def test_deep_paths_tell_as_much_as_whole_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    page = "".join(rng.choice(["<div class=c%d>x" % rng.integers(400), "<ul><li>y", "</div>", "<span id=s>", "</ul>", "<p>z"], p=[0.7, 0.01, 0.08, 0.1, 0.01, 0.1]) for _ in range(2500))
+    page = "<div class=a><section>" * 300 + page
+    short = list(leaves(page))
+    monkeypatch.setattr("movegrid.llm.blocks.DEEP", 10 ** 9)
+    whole = list(leaves(page))
+    assert len(whole) == len(short) and max(len(b[0]) for b in whole) > 700 and max(len(b[0]) for b in short) < 600
+    for a, b in zip(short, whole):
+        assert a[1:] == b[1:] and np.array_equal(html_extract.path_places(a[0]), html_extract.path_places(b[0]))
+
+
 def test_links_with_unquoted_addresses():
     assert [b[2] for b in leaves("<p><a href=http://x/>go</a> on")] == [2]
 
