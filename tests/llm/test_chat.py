@@ -49,6 +49,24 @@ def test_long_conversations_come_in_segments(spark, monkeypatch):
     assert whole == "".join(chat.render(r, x)[0] for c, _, r, x in turns if c == 1)
 
 
+def test_a_long_conversation_is_dealt_to_many_tasks(spark):
+    turns = [(c % 40 if c % 3 else 7, j, ("user", "assistant")[j % 2], f"turn {j} of {c} <|end|>") for c in range(600) for j in range(c * 5, c * 5 + 5)]
+    turns += [(7, 1, "assistant", "x" * 70 + str(i)) for i in range(30)] + [(None, i, "assistant", f"null {i}") for i in range(300)]
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(spark, turns)
+        done = chat.format_chat(spark.createDataFrame([(*t, "x", 1) for t in turns], DDL), JSON)
+        got = rows(done.selectExpr("conv_id", "segment", "whole", "n_turns", "formatted", "spark_partition_id()"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    hot = sorted(g[1:] for g in got if g[0] == 7)
+    assert len({g[-1] for g in hot}) > 2 and max(g[2] for g in hot) < sum(g[2] for g in hot) / 2
+    own = sorted((j, r, x) for c, j, r, x in turns if c == 7)
+    assert "".join(g[3] for g in hot) == "".join(chat.render(r, x)[0] for _, r, x in own)
+    assert any(g[2] for g in got) and all(sum(h[0] == g[0] for h in got) == 1 for g in got if g[2])
+
+
 def test_empty(spark):
     assert rows(chat.read_chat(chat.format_chat(spark.createDataFrame([], DDL), JSON))) == []
 
