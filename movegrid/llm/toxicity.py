@@ -54,7 +54,7 @@ def pick_terms(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, int], np.
     bad, good = max(1, int(toxic.sum())), max(1, int(len(toxic) - toxic.sum()))
     scored = []
     for name, n in seen[1].items():
-        if n >= 3:
+        if n >= min(3, bad):
             odds = float(np.log((n + 0.5) / (bad + 1)) - np.log((seen[0][name] + 0.5) / (good + 1)))
             scored.append((odds * np.sqrt(n), name, odds))
     best = sorted(scored, key=lambda x: (-x[0], x[1]))[:TERMS]
@@ -125,6 +125,15 @@ def fold_of(key, folds: int = FOLDS) -> int:
     return zlib.crc32(repr(key).encode()) % folds
 
 
+def folds_of(keys: list, y: np.ndarray) -> tuple[np.ndarray, int]:
+    """Every row's fold, and how many there are: ``FOLDS`` by a hash of the key; with fewer rows of
+    a kind as many as there are rows of it, each with its share of both kinds."""
+    n = int(min(FOLDS, y.sum(), len(y) - y.sum()))
+    if n == FOLDS:
+        return np.array([fold_of(k) for k in keys]), n
+    return np.where(y > 0, np.cumsum(y > 0), np.cumsum(y == 0)) % n, n
+
+
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     """The cut of out-of-fold probabilities with the best F1."""
     order = np.argsort(-p, kind="stable")
@@ -137,10 +146,11 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def train(rows: list[tuple]) -> tuple[Chain | None, dict[str, float]]:
     """The chain from (key, text, toxic) rows, and its out-of-fold precision and recall.  None
-    if there are not rows of both kinds."""
+    if there are not rows of both kinds.  With a single row of a kind no model can be trained without
+    it, so probabilities, threshold and figures are those of the training rows."""
     rows = sorted(rows, key=lambda r: (repr(r[0]), r[1] or ""))
     texts, y = [r[1] or "" for r in rows], np.array([float(r[2]) for r in rows], np.float32)
-    if y.sum() < FOLDS or (1 - y).sum() < FOLDS:
+    if y.sum() < 1 or (1 - y).sum() < 1:
         return None, {}
     terms, marks = pick_terms(texts, y)
     read = Features(terms, marks)
@@ -149,13 +159,15 @@ def train(rows: list[tuple]) -> tuple[Chain | None, dict[str, float]]:
     used = y * (share > 0)
     dense = np.median(share[used > 0]) if used.any() else 0.0
     labels = {"terms": used, "sustained": used * (share >= dense), "toxic": y}
-    fold, weights = np.array([fold_of(r[0]) for r in rows]), []
+    (fold, folds), weights = folds_of([r[0] for r in rows], y), []
     for name in CATEGORIES:
         target, out = labels[name].astype(np.float32), np.zeros(len(y), np.float32)
-        for f in range(FOLDS):
-            if (fold == f).any():
-                out[fold == f] = predict(x[fold == f], fit(x[fold != f], target[fold != f]))
         weights.append(fit(x, target))
+        for f in range(folds):
+            if folds == 1:
+                out = predict(x, weights[-1]).astype(np.float32)
+            elif (fold == f).any():
+                out[fold == f] = predict(x[fold == f], fit(x[fold != f], target[fold != f]))
         x = np.concatenate([x, out[:, None]], axis=1)
     cut = best_threshold(x[:, -1], y)
     said = x[:, -1] >= cut

@@ -60,3 +60,21 @@ def test_nothing_to_train_on(spark):
     df = docs(spark, ["a", None])
     assert [r[4] for r in rows(toxicity.toxicity(df, none))] == [False, False]
     assert rows(toxicity.toxicity(docs(spark, []), none)) == []
+
+
+def test_few_rows_of_a_kind_train_a_chain(spark):
+    rows_ = labelled(400)
+    bad, good = [r for r in rows_ if r[2]], [r for r in rows_ if not r[2]]
+    for n_bad, n_good in ((1, 200), (2, 200), (3, 200), (4, 200), (60, 4), (60, 1), (1, 1)):
+        some = bad[:n_bad] + good[:n_good]
+        chain, seen = toxicity.train(some)
+        read = toxicity.Features(chain.terms, chain.marks)
+        said = chain.probabilities(np.stack([read.vector(t)[0] for _, t, _ in some]))[:, 2] >= chain.threshold
+        assert said[:n_bad].mean() > 0.7 and said[n_bad:].mean() < 0.05 and set(seen) == {"precision", "recall"}
+        fold, n = toxicity.folds_of([r[0] for r in some], np.array([r[2] for r in some]))
+        assert n == min(n_bad, n_good) and all({y for f, (*_, y) in zip(fold, some) if f == k} == {0, 1} for k in range(n))
+    assert toxicity.train(bad) == (None, {}) and toxicity.train(good) == (None, {})
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in bad[:4] + good[:200]], "doc_id long, quality int, toxic int")
+    df = docs(spark, [t for _, t, _ in rows_], [i for i, *_ in rows_])
+    by = dict(rows(toxicity.toxicity(df, labels).select("doc_id", "toxic")))
+    assert np.mean([by[r[0]] for r in bad]) > 0.5 and np.mean([by[r[0]] for r in good]) < 0.05
