@@ -43,7 +43,7 @@ SLAB_SCHEMA = ("file_source string, variable string, time array<timestamp_ntz>,
 def read_array_slabs(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = SLAB_SCHEMA) -> DataFrame:
     """Scan array-encoded grid slabs (any Spark format).
 
-    A file that can't be read is passed over (SRC-5); ``slab_status`` names every file passed over.
+    What can't be read of a file is passed over (SRC-5); ``slab_status`` names every such file.
     The slab layout is fixed, so the schema is given rather than inferred from some file.
     """
     reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
@@ -60,20 +60,27 @@ def slab_status(spark: SparkSession, path: str, fmt: str = "parquet", schema: st
                 glob: str = "*") -> DataFrame:
     """SRC-5: one row per file under ``path``: path, status, error, n_slabs.
 
-    ``ok`` if slabs with a chosen variable were read, ``skipped`` if the file has none, ``unreadable``
-    if nothing could be read of a file that is not empty.  Only names and sizes are listed for it.
+    ``ok`` if slabs with a chosen variable were read, ``skipped`` if the file has none, ``partial``
+    if fewer rows could be read than the file's footer counts, ``unreadable`` if nothing could be
+    read of a file that is not empty.  Every column is decoded, as a damaged one loses rows, too.
+    Formats without row counts in a footer (JSON, CSV, Avro) can't show that rows are missing.
     """
     reader = spark.read.format(fmt).option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
     df = (reader.schema(schema) if schema else reader).load(path)
     name = F.lower("variable")
     chosen = reduce(lambda a, b: a | b, [name.contains(k) for k in PLANKTON_KEYWORDS + ENVIRONMENT_KEYWORDS])
-    read = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"), F.count_if(chosen).alias("n_slabs"))
+    of = F.col("_metadata.file_path").alias("path")
+    held = df.groupBy(of).agg(F.count(F.lit(1)).alias("held"))         # no column is read: the footers' counts
+    sizes = [F.coalesce(F.size(c) if t.startswith("array") else F.length(F.col(c).cast("string")), F.lit(0)) for c, t in df.dtypes]
+    decoded = reduce(lambda a, b: a + b, sizes) > -2 * len(sizes)      # always true, known from the values only
+    read = df.groupBy(of).agg(F.count_if(decoded).alias("n"), F.count_if(chosen & decoded).alias("n_slabs"))
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
              .select(F.col("_metadata.file_path").alias("path"), "length"))
-    n, used = F.coalesce("n", F.lit(0)), F.coalesce("n_slabs", F.lit(0))
-    status = F.when(used > 0, "ok").when((n > 0) | (F.col("length") == 0), "skipped").otherwise("unreadable")
-    error = F.when(status == "skipped", "no plankton or environmental variable").when(status == "unreadable", "no slab could be read")
-    return files.join(read, "path", "left").select("path", status.alias("status"), error.alias("error"), used.alias("n_slabs"))
+    n, used, rows = (F.coalesce(c, F.lit(0)) for c in ("n", "n_slabs", "held"))
+    status = F.when((n > 0) & (n < rows), "partial").when(used > 0, "ok").when((n > 0) | (F.col("length") == 0), "skipped").otherwise("unreadable")
+    error = (F.when(status == "skipped", "no plankton or environmental variable").when(status == "unreadable", "no slab could be read")
+             .when(status == "partial", F.format_string("%d of %d rows could be read", n, rows)))
+    return files.join(read, "path", "left").join(held, "path", "left").select("path", status.alias("status"), error.alias("error"), used.alias("n_slabs"))
 
 
 def tiles(slabs: DataFrame) -> DataFrame:

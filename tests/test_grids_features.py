@@ -73,6 +73,30 @@ def test_corrupt_grid_file_is_skipped(spark, tmpdir_path):
     assert grid_src.slab_variables(slabs) == ["temperature"]
 
 
+@pytest.mark.parametrize("column", ["values", "variable"])
+def test_damaged_part_of_a_grid_file_is_reported(spark, tmpdir_path, column):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    names = ["temperature", "salinity", "u_wind", "acartia", "nitrate", "temperature"]
+    rows = pa.table({"file_source": ["f.nc"] * 6, "variable": names, "time": pa.array([[TS]] * 6, pa.list_(pa.timestamp("us"))), "lat": [[50.0]] * 6,
+                     "lon": [[1.0]] * 6, "values": [[float(i)] for i in range(6)]})
+    for name in ("whole", "part", "none"):
+        pq.write_table(rows, os.path.join(tmpdir_path, f"{name}.parquet"), row_group_size=2, compression="NONE", use_dictionary=False)
+    for name, groups in (("part", [1]), ("none", [0, 1, 2])):
+        path = os.path.join(tmpdir_path, f"{name}.parquet")
+        for g in groups:
+            group = pq.ParquetFile(path).metadata.row_group(g)
+            chunk = next(c for c in map(group.column, range(group.num_columns)) if c.path_in_schema.split(".")[0] == column)
+            with open(path, "r+b") as fh:
+                fh.seek(chunk.data_page_offset)
+                fh.write(b"\xff" * 16)
+    got = {os.path.basename(r.path): (r.status, r.error, r.n_slabs) for r in grid_src.slab_status(spark, tmpdir_path, glob="*.parquet").collect()}
+    n = grid_src.read_array_slabs(spark, tmpdir_path + "/part.parquet").collect()
+    assert 0 < len(n) < 6
+    assert got["whole.parquet"] == ("ok", None, 5) and got["none.parquet"] == ("unreadable", "no slab could be read", 0)
+    assert got["part.parquet"][:2] == ("partial", f"{len(n)} of 6 rows could be read")
+
+
 def test_tiled_wide_equals_long_and_pivot(spark):
     days = [TS, TS + dt.timedelta(days=1)]
     slabs = spark.createDataFrame([
