@@ -115,7 +115,11 @@ def train(binned: DataFrame, kind: str = "random_forest", target: str = "speed",
 
 
 def cross_validate(tm: TrainedModel, k: int = 5, seed: int = MODEL_SEED) -> DataFrame:
-    """ML-7 (D11: on the training rows): R2 per fold with refit; one row per fold."""
+    """ML-7 (D11: on the training rows): R2 per fold with refit; one row per fold.  There are as many
+    folds as rows where rows are fewer, and none for a single row, which leaves nothing to fit."""
+    k = min(k, tm.train.count())
+    if k < 2:
+        return tm.train.sparkSession.createDataFrame([], "fold int, r2 double, rmse double, mae double, n long")
     folded = feat.fold(tm.train, feat.split_order(feat.bin_split_key(), seed + 1), k)
     rows = []
     for f in range(k):

@@ -136,6 +136,23 @@ def q_model_cv_summary(spark, sf_dir):
     return rounded(mdl.cv_summary(_cv(spark, sf_dir)), {"r2_mean": 5, "r2_two_std": 5})
 
 
+def _forest_cv(spark, sf_dir):
+    return mdl.cross_validate(_forest(spark, sf_dir), 5)
+
+
+def q_model_forest_cv(spark, sf_dir):
+    """ML-7: the forest with all features, refitted for each fold: rows per fold, and metrics within
+    bounds (folds may hold a dozen rows).  ``pipeline.run`` returns the metrics themselves."""
+    return _forest_cv(spark, sf_dir).select("fold", "n", ((F.col("r2") <= 1) & (F.col("r2") >= -1.5)).alias("r2_in_bounds"),
+                                            ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse"))).alias("errors_agree"))
+
+
+def q_model_forest_cv_summary(spark, sf_dir):
+    """ML-7: the forest's mean R2 and twice its standard deviation, within bounds."""
+    return mdl.cv_summary(_forest_cv(spark, sf_dir)).select("n_folds", ((F.col("r2_mean") <= 1) & (F.col("r2_mean") >= -1)).alias("mean_in_bounds"),
+                                                            ((F.col("r2_two_std") >= 0) & (F.col("r2_two_std") <= 2.5)).alias("std_in_bounds"))
+
+
 QUERIES = {
     "binned_features": q_binned_features,
     "feature_encodings": q_feature_encodings,
@@ -151,6 +168,8 @@ QUERIES = {
     "model_cv": q_model_cv,
     "model_cv_summary": q_model_cv_summary,
     "model_linear_fit": q_model_linear_fit,
+    "model_forest_cv": q_model_forest_cv,
+    "model_forest_cv_summary": q_model_forest_cv_summary,
 }
 
 # ---------------------------------------------------------------------------------------------
@@ -235,6 +254,8 @@ FROM sp, fit WHERE is_test"""),
     "model_forest_predictions": _sql(_SPLIT + "SELECT lat_bin, lon_bin, round(speed, 8) AS label, true AS residual_holds FROM sp WHERE is_test"),
     "model_cv": _sql(_CV + "SELECT fold, round(r2, 5) AS r2, round(rmse, 6) AS rmse, round(mae, 6) AS mae, n FROM cv"),
     "model_cv_summary": _sql(_CV + "SELECT count(*) AS n_folds, round(avg(r2), 5) AS r2_mean, round(2 * stddev_pop(r2), 5) AS r2_two_std FROM cv"),
+    "model_forest_cv": _sql(_CV + "SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, true AS r2_in_bounds, true AS errors_agree FROM fo GROUP BY fold"),
+    "model_forest_cv_summary": _sql(_CV + "SELECT count(DISTINCT fold) AS n_folds, true AS mean_in_bounds, true AS std_in_bounds FROM fo"),
     "binned_features": _sql(f"SELECT {_bin_cols} FROM bf"),
     "feature_encodings": _sql("""
 SELECT Latitude, Longitude, month, CAST(dayofyear("Date") AS INTEGER) AS day_of_year, distance, speed, lat_bin, lon_bin,

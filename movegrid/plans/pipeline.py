@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from movegrid.functions import resolve
+from movegrid.functions.scalars import attach_one_row
 from movegrid.operators import catch, features, grids, images, model, profiles, raster, sinks, tracks
 from movegrid.params import ELASMOBRANCH_KEYWORDS, NORTH_SEA_AREA
 from movegrid.plans import report
@@ -47,6 +48,7 @@ class Config:
     chunk_days: int | None = tracks.DEFAULT_CHUNK_DAYS
     keywords: tuple[str, ...] = tuple(ELASMOBRANCH_KEYWORDS)
     train_model: bool = True
+    cv_folds: int = 5                       # refits of the cross-validation that follows every training
     work_dir: str | None = None             # shared folder for the processed fixes and the grid
     sample_every: int = 3                   # thinning of the sampled tracks
 
@@ -139,8 +141,13 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     if cfg.train_model:
         tm = model.train(binned, cfg.model_type, test_size=cfg.test_size, parity=cfg.parity)
         out["model"] = tm
-        out["model_summary"] = tm.summary()
+        folds = model.cross_validate(tm, cfg.cv_folds)
+        cv = model.cv_summary(folds).select(F.col("n_folds").alias("cv_folds"), F.col("r2_mean").alias("cv_r2_mean"), F.col("r2_two_std").alias("cv_r2_two_std"))
+        out["model_summary"] = attach_one_row(tm.summary(), cv)
         out["model_importance"] = tm.importance()
+        if cfg.model_type == "random_forest":
+            out["model_cv"] = folds
+            out["model_predictions"] = tm.predict(tm.test).select(*KEYS, "label", "prediction", "residual")
     # report
     sections = [report.track_section(out["track_overview"], report.clean_overview(clean))]
     if grid is not None:

@@ -77,6 +77,8 @@ def model_section(summary: DataFrame) -> DataFrame:
         ("rmse", F.format_string("%.4f", F.col("rmse"))),
         ("mae", F.format_string("%.4f", F.col("mae"))),
         ("features", F.col("n_features")),
+        ("cv_r2_mean", F.format_string("%.4f", F.col("cv_r2_mean"))),
+        ("cv_r2_two_std", F.format_string("%.4f", F.col("cv_r2_two_std"))),
     ])
 
 

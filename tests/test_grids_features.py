@@ -186,3 +186,13 @@ def test_grid_calendar_parses_text_times_without_zone(spark):
     assert rows[2][1:] == (2021, 12, 365, "Winter")
     assert dict(with_grid_calendar(df, "time").dtypes)["time"] == "timestamp_ntz"
     assert with_grid_calendar(df, None) is df
+
+
+def test_cross_validation_of_few_rows(spark):
+    rows = [(i, 0, float(i), 2.0 * i + 1.0) for i in range(4)]
+    ddl = "lat_key long, lon_key long, x double, speed double"
+    tm = model.train(spark.createDataFrame(rows, ddl), "linear", features=["x"], test_size=0.25)
+    folds = model.cross_validate(tm, 5)
+    assert [(f.fold, f.n) for f in folds.orderBy("fold").collect()] == [(0, 1), (1, 1), (2, 1)]
+    tm.train = tm.train.limit(1)
+    assert model.cross_validate(tm, 5).isEmpty() and model.cv_summary(model.cross_validate(tm, 5)).first().r2_mean is None

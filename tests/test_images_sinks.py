@@ -125,6 +125,26 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
     assert any(r.value.startswith("tracks | raw_records | 56") for r in text)
 
 
+def test_pipeline_cross_validates_the_forest(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "tracks.csv")
+    _write(path, "\n".join(["id,Date,Latitude,Longitude"] + [
+        f"{a},2021-08-{d:02d} 12:00:00,{50 + (d - 1) * 5 / 19},{1 + (d - 1 + a) * 4 / 19}" for a in range(4) for d in range(1, 15)]) + "\n")
+    out = pipeline.run(spark, pipeline.Config(tracks_csv=path, use_sample_grid=True))
+    s, folds = out["model_summary"].first(), out["model_cv"].collect()
+    assert sorted(f.fold for f in folds) == list(range(5)) and sum(f.n for f in folds) == s.training_samples
+    assert all(f.r2 <= 1 and 0 <= f.mae <= f.rmse for f in folds)
+    r2 = [f.r2 for f in folds]
+    mean = sum(r2) / 5
+    assert (s.cv_folds, s.cv_r2_mean, s.cv_r2_two_std) == (5, pytest.approx(mean), pytest.approx(2 * (sum((x - mean) ** 2 for x in r2) / 5) ** 0.5))
+    imp = [(r.feature, r.importance) for r in out["model_importance"].collect()]
+    assert sum(v for _, v in imp) == pytest.approx(1) and [v for _, v in imp] == sorted((v for _, v in imp), reverse=True)
+    speeds = [r.speed for r in out["binned_features"].where("speed IS NOT NULL").collect()]
+    pred = out["model_predictions"].collect()
+    assert len(pred) == s.test_samples and all(min(speeds) <= p.prediction <= max(speeds) and p.residual == p.label - p.prediction for p in pred)
+    rep = {(r.section, r.metric): r.value for r in out["report"].collect()}
+    assert rep[("model", "cv_r2_mean")] == f"{s.cv_r2_mean:.4f}" and ("model", "cv_r2_two_std") in rep
+
+
 def test_track_csv_strict_and_lenient_dates(spark, tmpdir_path):
     from movegrid.sources.tracks import raw_profile, read_track_csv
     path = os.path.join(tmpdir_path, "t.csv")
