@@ -71,6 +71,18 @@ def thinned(rows: DataFrame, n: int, sample: int, *key: str) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(*key), F.lit(every)) == 0) if every > 1 else rows
 
 
+def fresh(taken, *stems: str) -> list[str]:
+    """Column names made from ``stems`` that differ from all ``taken`` ones, in any case."""
+    low, out = {c.lower() for c in taken}, []
+    for stem in stems:
+        name = f"__{stem}"
+        while name.lower() in low:
+            name += "_"
+        low.add(name.lower())
+        out.append(name)
+    return out
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, weigh) -> Iterator[pa.RecordBatch]:
     """Pack tuples into record batches of about ``OUT_BYTES``; ``weigh(row)`` is a row's size."""
     held, size = [], 0
@@ -95,4 +107,4 @@ def rows_of(batch: pa.RecordBatch, *names: str, step: int = 256) -> Iterator[tup
         yield from zip(*(c.slice(i, step).to_pylist() for c in cols))
 
 
-__all__ = ["batches", "documents", "materialize", "rows_of", "shared_dir", "ship", "thinned", "work_path"]
+__all__ = ["batches", "documents", "fresh", "materialize", "rows_of", "shared_dir", "ship", "thinned", "work_path"]

@@ -6,7 +6,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontaminate, encode, html_extract, simhash, substring, token_counts, toxicity, warc
+from . import (ann, chat, decontaminate, encode, fim, html_extract, langid, simhash, substring, token_counts, toxicity,
+               warc, whitening)
 from .common import documents, work_path
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -61,9 +62,22 @@ def op10_warc(spark, sf_dir):
     return warc.read_back(warc.read_warc(spark, warc.write_warc(pages, work_path(spark, "warc"))))
 
 
+def op11_language_id(spark, sf_dir):
+    return langid.languages(documents(spark, sf_dir))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.digests(documents(spark, sf_dir))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_toxicity, op3_bpe_encoding, op4_substring_dedup, op5_nearest_neighbours, op6_token_counts,
-    op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc)}
+    op7_chat_format, op8_benchmark_decontamination, op9_simhash, op10_warc, op11_language_id, op12_fill_in_middle,
+    op13_whitening)}
 
 ORACLE = {
     "op4_substring_dedup": r"""
@@ -114,4 +128,21 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM f""",
+    "op12_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+u AS (
+  SELECT doc_id, t, n, CAST('0x' || substring(h, 1, 8) AS BIGINT) % (n + 1) AS x, CAST('0x' || substring(h, 9, 8) AS BIGINT) % (n + 1) AS y,
+    CAST('0x' || substring(h, 17, 8) AS BIGINT) % 100 AS rate, CAST('0x' || substring(h, 25, 8) AS BIGINT) % 100 AS spm FROM d),
+f AS (
+  SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR rate >= 90 THEN 'plain'
+      WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+c AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c""",
 }
