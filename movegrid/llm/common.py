@@ -96,6 +96,36 @@ def batches(rows: Iterator[tuple], schema: pa.Schema, weigh) -> Iterator[pa.Reco
         yield _pack(held, schema)
 
 
+def beside(batch: pa.RecordBatch, names: list[str], fields: list[pa.Field], made: Iterator[tuple], weigh) -> Iterator[pa.RecordBatch]:
+    """The columns ``names`` of a batch, untouched, beside new columns from ``made``, a tuple per row,
+    in pieces of about ``OUT_BYTES``; ``weigh(tuple)`` is a tuple's size."""
+    schema, held, size, at = pa.schema([*(batch.schema.field(n) for n in names), *fields]), [], 0, 0
+
+    def piece():
+        new = (pa.array(c, f.type) for c, f in zip(zip(*held), fields))
+        return pa.RecordBatch.from_arrays([*(batch.column(n).slice(at, len(held)) for n in names), *new], schema=schema)
+
+    for row in made:
+        held.append(row)
+        size += weigh(row) + 64
+        if size >= OUT_BYTES:
+            yield piece()
+            at, held, size = at + len(held), [], 0
+    if held:
+        yield piece()
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def shielded(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns under names of their own, in order, and doc_id and text besides, so that no
+    column can be taken for one that an operator adds; and these names."""
+    names = [f"own_column_{i}" for i in range(len(docs.columns))]
+    return docs.select(*(F.col(quoted(c)).alias(n) for c, n in zip(docs.columns, names)), "doc_id", "text"), names
+
+
 def _pack(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
@@ -107,4 +137,5 @@ def rows_of(batch: pa.RecordBatch, *names: str, step: int = 256) -> Iterator[tup
         yield from zip(*(c.slice(i, step).to_pylist() for c in cols))
 
 
-__all__ = ["batches", "documents", "fresh", "materialize", "rows_of", "shared_dir", "ship", "thinned", "work_path"]
+__all__ = ["batches", "beside", "documents", "fresh", "materialize", "quoted", "rows_of", "shared_dir", "shielded", "ship", "thinned",
+           "work_path"]

@@ -1,7 +1,8 @@
 """Connected components of a distributed edge list by alternating large and small stars.
 
-Every step is a pre-aggregated minimum per node joined back to the edges, so a hub never has
-its neighbours gathered in one task, and each round is written to the shared folder.
+Every step is a pre-aggregated minimum per node joined back to the edges, and each round is written to the
+shared folder.  A hub's edges are only streamed past its minimum, never gathered; they meet it in one task until
+its partition is large enough for adaptive execution to split the join.
 """
 from __future__ import annotations
 

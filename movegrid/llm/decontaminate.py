@@ -17,6 +17,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import fresh, quoted
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK = 500_000      # benchmark words whose fingerprints are broadcast at once
@@ -144,7 +146,8 @@ def report(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, k: int = 5) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window."""
-    bad = contamination(docs, benchmark, width, k).filter("contaminated").select("doc_id", "text_hash").distinct()
-    left = docs.withColumn("__hash", F.xxhash64("text"))
-    hit = left["doc_id"].eqNullSafe(bad["doc_id"]) & (left["__hash"] == bad["text_hash"])
-    return left.join(bad, hit, "left_anti").select(*docs.columns)
+    own, bad_id, bad_hash = fresh(docs.columns, "hash", "bad_id", "bad_hash")
+    bad = contamination(docs.select("doc_id", "text"), benchmark, width, k).filter("contaminated").select(
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    hit = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.col(own) == F.col(bad_hash))
+    return docs.withColumn(own, F.xxhash64("text")).join(bad, hit, "left_anti").select(*map(quoted, docs.columns))

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batches, materialize, rows_of, ship
+from .common import batches, fresh, materialize, quoted, rows_of, ship
 from .components import components
 
 SEED = 42
@@ -171,11 +171,12 @@ def simhash_components(docs: DataFrame, shingle: int = 3, bits: int = 3) -> Data
 def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """``docs`` with one row of each component: the smallest doc_id (nulls last, ties by text hash)."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("hash"))
-    marked = docs.withColumn("__key", key)
-    prints = materialize(fingerprints(marked, shingle, keep=("__key",)), "prints")
+    (own,) = fresh(docs.columns, "key")
+    marked = docs.withColumn(own, key)
+    prints = materialize(fingerprints(marked.select(F.col(own).alias("key"), "text"), shingle, keep=("key",)), "prints")
     roots = fp_components(prints, bits)
-    first = prints.groupBy("fp").agg(F.min("__key").alias("__key")).join(roots, "fp").groupBy("root").agg(F.min("__key").alias("__key"))
-    kept = marked.join(first.select("__key"), "__key", "left_semi")
-    if prints.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").head(1):
-        kept = kept.dropDuplicates(["__key"])     # whole rows are repeated
-    return kept.select(*docs.columns)
+    first = prints.groupBy("fp").agg(F.min("key").alias("key")).join(roots, "fp").groupBy("root").agg(F.min("key").alias(own))
+    kept = marked.join(first.select(own), own, "left_semi")
+    if prints.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").head(1):
+        kept = kept.dropDuplicates([own])     # whole rows are repeated
+    return kept.select(*map(quoted, docs.columns))

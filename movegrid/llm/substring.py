@@ -13,7 +13,8 @@ seeds, and the windows that own one seed occurrence are neighbours: its *extent*
    so a passage shared by n documents costs n rows.
 3. *Keep.*  A document's covered words are merged to maximal repeats and cut out.
 
-Window equality is equality of two independent 64-bit hashes, of the seed and of the window.
+Window equality is equality of two 64-bit hashes, of the seed and of the window.  Both are made from the
+64-bit hashes of the words, so two words of one hash would make windows equal that differ in them only.
 
 Hot seeds are split: seeds met unusually often on every 16th document (estimated, at most
 ``MOST_HOT`` of them, so they may be broadcast) are salted over many tasks.  Inside a salt
@@ -32,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batches, materialize, rows_of, ship
+from .common import batches, beside, materialize, rows_of, shielded, ship
 
 PIECE = 1 << 17        # words hashed at once
 BLOCK = 1 << 15        # windows whose seeds are found at once
@@ -253,7 +254,8 @@ def dedup_substrings(docs: DataFrame, width: int = 35, k: int = 8, keep: tuple[s
     A word goes if it lies in a window of ``width`` words whose words also start anywhere else, in
     the same document or another; windows are judged on the input.  Null text has no words and
     is kept empty.  Repeated rows repeat each other.  Null ids are kept.  Columns of ``docs``
-    other than these are not read; an empty table gives an empty result.
+    other than these are not read; an empty table gives an empty result.  Kept columns must not be named
+    like the added ones, nor __id, __th, __text, __ranges (``cut_repeats`` takes any names).
     """
     ship(docs.sparkSession)
     key = ("__id", "__th")
@@ -274,15 +276,14 @@ def dedup_substrings(docs: DataFrame, width: int = 35, k: int = 8, keep: tuple[s
 
     def run(it):
         for batch in it:
-            cols = pa.schema([*(batch.schema.field(n) for n in names), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()),
-                              pa.field("kept", pa.string()), pa.field("removed", pa.list_(pa.int32()))])
+            fields = [pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string()), pa.field("removed", pa.list_(pa.int32()))]
 
             def rows():
-                for *own, text, held in rows_of(batch, *names, "__text", "__ranges", step=64):
+                for text, held in rows_of(batch, "__text", "__ranges", step=64):
                     n, gone, kept, removed = cut(text, held)
-                    yield *own, n, gone, kept.decode(), removed
+                    yield n, gone, kept.decode(), removed
 
-            yield from batches(rows(), cols, lambda r: len(r[-2]) + 4 * len(r[-1]))
+            yield from beside(batch, names, fields, rows(), lambda r: len(r[-2]) + 4 * len(r[-1]))
 
     return src.mapInArrow(run, schema)
 
@@ -294,8 +295,8 @@ def digests(found: DataFrame) -> DataFrame:
 def cut_repeats(docs: DataFrame, width: int = 35, k: int = 8) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text`` (n_chars follows, where present).
     A text without such a passage stays as it is."""
-    names = docs.columns
-    done = dedup_substrings(docs, width, k, keep=tuple(names))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text")
-    chars = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("n_chars")).cast("long").alias("n_chars") if "n_chars" in names else None
-    return done.select(*(text if n == "text" else chars if n == "n_chars" else F.col(n) for n in names))
+    inner, names = shielded(docs)
+    done = dedup_substrings(inner, width, k, keep=tuple(names))
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    changed = lambda n, c: F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col(n)) if c in new else F.col(n)
+    return done.select(*(changed(n, c).alias(c) for n, c in zip(names, docs.columns)))

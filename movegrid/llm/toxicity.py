@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batches, rows_of, ship, thinned
+from .common import beside, fresh, rows_of, shielded, ship, thinned
 
 SAMPLE = 2_000
 SAMPLE_CHARS = 20_000
@@ -197,8 +197,11 @@ def score(docs: DataFrame, chain: Chain | None, keep: tuple[str, ...] = ("doc_id
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(chain)
-    src = docs.select(*keep, F.col("text").alias("__text"))
+    (text,) = fresh(keep, "text")
+    src = docs.select(*keep, F.col("text").alias(text))
     added = [f"p_{c}" for c in CATEGORIES]
+    if set(keep) & {*added, "toxic"}:
+        raise ValueError(f"columns to keep are named like added ones: {sorted(set(keep) & {*added, 'toxic'})}")
     schema = src.select(*keep).withColumns({c: F.lit(0.0) for c in added} | {"toxic": F.lit(False)}).schema
     own = list(keep)
 
@@ -208,14 +211,14 @@ def score(docs: DataFrame, chain: Chain | None, keep: tuple[str, ...] = ("doc_id
 
         def scored(batch):
             for i in range(0, batch.num_rows, 256):
-                rows = list(rows_of(batch.slice(i, 256), *own, "__text"))
-                p = model.probabilities(np.stack([read.vector(r[-1])[0] for r in rows])).astype(float) if model else np.zeros((len(rows), len(CATEGORIES)))
-                for r, q in zip(rows, p.tolist()):
-                    yield *r[:-1], *q, bool(r[-1]) and model is not None and q[-1] >= model.threshold
+                texts = [t for t, in rows_of(batch.slice(i, 256), text)]
+                p = model.probabilities(np.stack([read.vector(t)[0] for t in texts])).astype(float) if model else np.zeros((len(texts), len(CATEGORIES)))
+                for t, q in zip(texts, p.tolist()):
+                    yield *q, bool(t) and model is not None and q[-1] >= model.threshold, len(t or "")
 
         for batch in it:
-            cols = pa.schema([*(batch.schema.field(n) for n in own), *(pa.field(c, pa.float64()) for c in added), pa.field("toxic", pa.bool_())])
-            yield from batches(scored(batch), cols, lambda r: 64 + sum(len(v) for v in r if isinstance(v, str)))
+            fields = [*(pa.field(c, pa.float64()) for c in added), pa.field("toxic", pa.bool_())]
+            yield from beside(batch, own, fields, scored(batch), lambda r: r[-1])
 
     return src.mapInArrow(run, schema)
 
@@ -229,4 +232,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
 def drop_toxic(docs: DataFrame, labels: DataFrame, train_on: DataFrame | None = None) -> DataFrame:
     """``docs`` without the rows judged toxic."""
     chain, _ = train(labelled_sample(docs if train_on is None else train_on, labels))
-    return score(docs, chain, tuple(docs.columns)).filter("NOT toxic").select(*docs.columns)
+    inner, names = shielded(docs)
+    return score(inner, chain, tuple(names)).filter("NOT toxic").select(*(F.col(n).alias(c) for n, c in zip(names, docs.columns)))

@@ -75,3 +75,19 @@ def test_stages_and_their_columns(spark):
 def helpers_written(spark, df):
     from movegrid.llm.common import materialize
     return materialize(df, "test")
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    names = ["toxic", "p_toxic", "p_terms", "n_words", "n_removed", "kept", "removed", "fp", "root", "key", "hash", "__hash", "__key", "__id", "__th",
+             "__text", "__ranges", "__bad_id", "own_column_0", "items", "rows", "a.b", "back`tick"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    extra = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names),
+                        F.create_map(F.lit("m"), "doc_id").alias("a_map"), F.timestamp_seconds("doc_id").alias("at"), F.col("doc_id").cast("decimal(20,3)").alias("dec"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, wide = stage(spark, docs, SF_SMALL), stage(spark, extra, SF_SMALL)
+        assert wide.columns == extra.columns and [t for _, t in wide.dtypes] == [t for _, t in extra.dtypes], name
+        got = {r["doc_id"]: r for r in wide.collect()}
+        assert {i: r["text"] for i, r in got.items()} == {r["doc_id"]: r["text"] for r in plain.collect()}, name
+        assert all(r[n] == f"{n}{i}" for i, r in got.items() for n in names), name
+        assert all(r["a_map"] == {"m": i} and r["at"].timestamp() == i and r["dec"] == i for i, r in got.items()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, SF_SMALL).count() == docs.count()
