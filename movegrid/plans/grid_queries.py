@@ -8,8 +8,11 @@ from movegrid.functions.ordering import arithmetic_hash
 from movegrid.functions.temporal import with_grid_calendar
 from movegrid.operators import grids
 from movegrid.plans.common import rounded
+from movegrid.session import work_folder
+from movegrid.sources import files as file_src
 from movegrid.sources import grids as grid_src
-from movegrid.sources.standins import array_grid, grid_points
+from movegrid.sources import netcdf
+from movegrid.sources.standins import array_grid, grid_points, netcdf_grids
 
 SLAB_VARIABLES = ["acartia_abundance", "temperature", "salinity"]
 # Variables held by each stand-in "file" (files differ, so the union fills gaps with NULL)
@@ -76,6 +79,36 @@ def q_grid_positive_scaled(spark, sf_dir):
     return rounded(grids.positive_scaled(grid_points(spark, sf_dir)), {"scaled": 12})
 
 
+def netcdf_files(spark, sf_dir):
+    """The stand-in grid written as NetCDF files; the folder."""
+    folder = work_folder(spark, "netcdf")
+    netcdf.write_files(netcdf_grids(spark, sf_dir), folder).write.parquet(f"{folder}/written")
+    return folder
+
+
+def q_grid_netcdf(spark, sf_dir):
+    """Slabs read by ranges of records out of NetCDF files, as wide rows."""
+    return grid_src.slabs_to_wide(netcdf.read_slabs(spark, netcdf_files(spark, sf_dir), cells=256), SLAB_VARIABLES).drop("level")
+
+
+def q_grid_netcdf_cells(spark, sf_dir):
+    """Cells of two variables in a box and some weeks, out of the same files by the data source, filters pushed into it."""
+    folder = netcdf_files(spark, sf_dir)
+    netcdf.register(spark)
+    cells = spark.read.format("netcdf").option("cells", 256).load(folder)
+    inside = F.col("latitude").between(50.1, 50.3) & F.col("longitude").between(1.05, 1.2)
+    days = (F.col("time") >= F.lit("2021-08-10").cast("timestamp_ntz")) & (F.col("time") < F.lit("2021-09-10").cast("timestamp_ntz"))
+    return cells.where(F.col("variable").isin("temperature", "salinity") & inside & days).drop("level")
+
+
+def q_grid_files(spark, sf_dir):
+    """Length and readability of every NetCDF file that the recursive listing finds."""
+    found = file_src.listing(spark, netcdf_files(spark, sf_dir), file_src.GRID_PATTERN)
+    state = netcdf.status(netcdf.plan(found)).select(F.col("path").alias("at"), "status", "n_slabs")
+    name = F.element_at(F.split("path", "/"), -1)
+    return found.join(state, F.col("path") == F.col("at")).select(name.alias("file_source"), "length", "status", "n_slabs")
+
+
 QUERIES = {
     "grid_long": q_grid_long,
     "grid_union": q_grid_union,
@@ -87,6 +120,9 @@ QUERIES = {
     "grid_daily_abundance": q_grid_daily_abundance,
     "grid_sample": q_grid_sample,
     "grid_positive_scaled": q_grid_positive_scaled,
+    "grid_netcdf": q_grid_netcdf,
+    "grid_netcdf_cells": q_grid_netcdf_cells,
+    "grid_files": q_grid_files,
 }
 
 GRID_CTES = """
@@ -155,6 +191,22 @@ SELECT file_source, time, latitude, longitude,
        max(value) FILTER (WHERE variable = 'salinity') AS salinity
 FROM ac GROUP BY file_source, time, latitude, longitude
 HAVING count(*) FILTER (WHERE value IS NULL) = 0"""),
+    "grid_netcdf": _sql("""
+SELECT 'emb_' || CAST(CAST(regexp_extract(file_source, '[0-9]+') AS BIGINT) // 10 AS VARCHAR) || '.nc' AS file_source, time, latitude, longitude,
+       max(value) FILTER (WHERE variable = 'acartia_abundance') AS acartia_abundance,
+       max(value) FILTER (WHERE variable = 'temperature') AS temperature,
+       max(value) FILTER (WHERE variable = 'salinity') AS salinity
+FROM ac GROUP BY ac.file_source, time, latitude, longitude
+HAVING count(value) = 3"""),
+    "grid_netcdf_cells": _sql("""
+SELECT 'emb_' || CAST(CAST(regexp_extract(f.file_source, '[0-9]+') AS BIGINT) // 10 AS VARCHAR) || '.nc' AS file_source, v.variable, f.time, f.latitude, f.longitude, ac.value
+FROM (SELECT DISTINCT file_source, time, latitude, longitude FROM ac) f CROSS JOIN (VALUES ('temperature'), ('salinity')) v(variable)
+LEFT JOIN ac USING (file_source, variable, time, latitude, longitude)
+WHERE f.time >= TIMESTAMP '2021-08-10' AND f.time < TIMESTAMP '2021-09-10' AND f.latitude BETWEEN 50.1 AND 50.3 AND f.longitude BETWEEN 1.05 AND 1.2"""),
+    "grid_files": _sql("""
+SELECT 'emb_' || CAST(k AS VARCHAR) || '.nc' AS file_source, 464 + 8 * 16 + 8 * n * (3 * 64 + 1) AS length, 'ok' AS status,
+       CAST(3 AS BIGINT) AS n_slabs
+FROM (SELECT (vec_id // 3) // 10 AS k, count(DISTINCT vec_id // 3) AS n FROM embeddings GROUP BY 1)"""),
     "grid_union": _sql(_union_sql()),
     "grid_temporal_features": _sql("""
 SELECT file_source, CAST(time AS TIMESTAMP) AS time, CAST(year(time) AS INTEGER) AS year, CAST(month(time) AS INTEGER) AS month,

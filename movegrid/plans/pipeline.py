@@ -18,8 +18,10 @@ from movegrid.operators import catch, features, grids, images, model, profiles,
 from movegrid.params import ELASMOBRANCH_KEYWORDS, NORTH_SEA_AREA
 from movegrid.plans import report
 from movegrid.sources import catch as catch_src
+from movegrid.sources import files
 from movegrid.sources import grids as grid_src
 from movegrid.sources import images as image_src
+from movegrid.sources import netcdf
 from movegrid.sources import tracks as track_src
 from movegrid.sources import validate
 from movegrid.sources.text_tables import scan_text
@@ -32,8 +34,8 @@ KEYS = ("lat_key", "lon_key", "lat_bin", "lon_bin")
 @dataclass(frozen=True)
 class Config:
     tracks_csv: str
-    grid_path: str | None = None            # array-encoded slabs (any Spark format), or None
-    grid_format: str = "parquet"
+    grid_path: str | None = None            # NetCDF files, array-encoded slabs (any Spark format), or None
+    grid_format: str = "parquet"            # or "netcdf"
     grid_variables: tuple[str, ...] | None = None   # default: those found in the slabs by name
     use_sample_grid: bool = False           # explicit choice, no silent fallback (D22)
     capture_csv: str | None = None
@@ -90,8 +92,12 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     # grid
     grid = None
     if cfg.grid_path:
-        slabs = grid_src.read_array_slabs(spark, cfg.grid_path, cfg.grid_format)
-        out["grid_status"] = grid_src.slab_status(spark, cfg.grid_path, cfg.grid_format)
+        if cfg.grid_format == "netcdf":
+            slabs = netcdf.read_slabs(spark, cfg.grid_path)
+            out["grid_status"] = netcdf.status(netcdf.plan(files.listing(spark, cfg.grid_path, files.GRID_PATTERN)))
+        else:
+            slabs = grid_src.read_array_slabs(spark, cfg.grid_path, cfg.grid_format)
+            out["grid_status"] = grid_src.slab_status(spark, cfg.grid_path, cfg.grid_format)
         variables = list(cfg.grid_variables or grid_src.slab_variables(slabs))
         grid = grid_src.slabs_to_wide(slabs, variables) if variables else None
     elif cfg.use_sample_grid:

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         configured = tempfile.mkdtemp(prefix="movegrid-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    """A new, unused path below the checkpoint directory, which driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/movegrid-{label}-{uuid.uuid4().hex}"

@@ -1,9 +1,8 @@
-"""Gridded-variable sources: file discovery, array-encoded slabs to long/wide rows, sample grid."""
+"""Gridded-variable sources: array-encoded slabs to long/wide rows, sample grid."""
 from __future__ import annotations
 
 import datetime as _dt
 import math
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,30 +11,6 @@ from movegrid.functions import resolve
 from movegrid.functions.text import base_name
 from movegrid.params import ENVIRONMENT_KEYWORDS, PLANKTON_KEYWORDS
 
-GRID_SUFFIXES = (".nc", ".nc4", ".netcdf")
-
-
-def discover_files(paths: list[str] | None = None, directory: str | None = None,
-                   suffixes: tuple[str, ...] = GRID_SUFFIXES) -> list[str]:
-    """SRC-3: explicit list wins; else a recursive walk of ``directory`` for grid files.
-
-    Neither given raises; nothing found returns an empty list.  De-duplicated and sorted (D23).
-    This looks at names only; the data is read by Spark.
-    """
-    if paths:
-        return sorted(set(paths))
-    if directory is None:
-        raise ValueError("either paths or directory must be given")
-    if not os.path.isdir(directory):
-        return []
-    found = set()
-    for root, _, files in os.walk(directory):
-        for f in files:
-            if f.lower().endswith(suffixes):
-                found.add(os.path.join(root, f))
-    return sorted(found)
-
-
 SLAB_SCHEMA = ("file_source string, variable string, time array<timestamp_ntz>, lat array<double>, "
                "lon array<double>, values array<double>")
 
@@ -87,8 +62,9 @@ def tiles(slabs: DataFrame) -> DataFrame:
     """Slabs cut by time step: one row per (file, variable, time) with that step's values, so a row
     holds one map however long a file's time axis is."""
     size = F.size("lat") * F.size("lon")
-    cut = slabs.select("file_source", "variable", "lat", "lon", "values", size.alias("_n"), F.posexplode("time").alias("_t", "time"))
-    return cut.select("file_source", "variable", "time", "lat", "lon", F.slice("values", F.col("_t") * F.col("_n") + 1, F.col("_n")).alias("values"))
+    level = [c for c in ("level",) if c in slabs.columns]
+    cut = slabs.select("file_source", "variable", *level, "lat", "lon", "values", size.alias("_n"), F.posexplode("time").alias("_t", "time"))
+    return cut.select("file_source", "variable", *level, "time", "lat", "lon", F.slice("values", F.col("_t") * F.col("_n") + 1, F.col("_n")).alias("values"))
 
 
 def slabs_to_wide(slabs: DataFrame, variables: list[str], time_name: str = "time", lat_name: str = "latitude",
@@ -97,9 +73,10 @@ def slabs_to_wide(slabs: DataFrame, variables: list[str], time_name: str = "time
 
     The few rows of a (file, time step, grid) are brought together with their arrays, and the
     cells are unfolded once.  A cell is dropped when any variable of its own file is missing; a
-    variable a file lacks stays NULL.  NaN is NULL.
+    variable a file lacks stays NULL.  NaN is NULL.  Slabs with a ``level`` keep it as a column.
     """
-    held = tiles(slabs).where(F.col("variable").isin(*variables)).groupBy("file_source", "time", "lat", "lon").agg(
+    level = [c for c in ("level",) if c in slabs.columns]
+    held = tiles(slabs).where(F.col("variable").isin(*variables)).groupBy("file_source", *level, "time", "lat", "lon").agg(
         *[F.max(F.when(F.col("variable") == v, F.col("values"))).alias(f"_{i}") for i, v in enumerate(variables)])
     n_lon = F.size("lon")
     cells = held.select("*", F.explode(F.sequence(F.lit(0), F.size("lat") * n_lon - 1)).alias("_at"))
@@ -109,7 +86,7 @@ def slabs_to_wide(slabs: DataFrame, variables: list[str], time_name: str = "time
         whole = reduce(lambda a, b: a & b, [F.col(f"_{i}").isNull() | v.isNotNull() for i, v in enumerate(value)])
         cells = cells.where(whole)
     return cells.select(
-        "file_source", F.col("time").alias(time_name), F.get("lat", F.floor(F.col("_at") / n_lon).cast("int")).alias(lat_name),
+        "file_source", *level, F.col("time").alias(time_name), F.get("lat", F.floor(F.col("_at") / n_lon).cast("int")).alias(lat_name),
         F.get("lon", (F.col("_at") % n_lon).cast("int")).alias(lon_name), *[v.alias(name) for v, name in zip(value, variables)])
 
 

@@ -152,6 +152,20 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def netcdf_grids(spark: SparkSession, sf_dir: str, steps: int = 10) -> DataFrame:
+    """Grid files to be (name, slabs) from ``array_grid``: ``steps`` consecutive one-step files become one file
+    with a time axis; a variable that a step lacks is missing there."""
+    variables = ["acartia_abundance", "temperature", "salinity"]
+    no = F.regexp_extract("file_source", "[0-9]+", 0).cast("long")
+    one = array_grid(spark, sf_dir).select(no.alias("step"), "variable", F.col("time")[0].alias("day"), "lat", "lon", "values")
+    none = F.array_repeat(F.lit(None).cast("double"), 64)
+    per_step = one.groupBy("step", "day", "lat", "lon").agg(
+        *[F.coalesce(F.max(F.when(F.col("variable") == v, F.col("values"))), none).alias(v) for v in variables])
+    per_file = per_step.groupBy(F.floor(F.col("step") / steps).alias("file"), "lat", "lon").agg(F.sort_array(F.collect_list(F.struct("step", "day", *variables))).alias("held"))
+    slab = lambda v: F.struct(F.lit(v).alias("variable"), F.col("held.day").alias("time"), "lat", "lon", F.flatten(F.col(f"held.{v}")).alias("values"))
+    return per_file.select(F.concat(F.lit("emb_"), F.col("file").cast("string"), F.lit(".nc")).alias("name"), F.array(*map(slab, variables)).alias("slabs"))
+
+
 def array_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array-encoded grid slabs from ``embeddings``.
 

@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from movegrid.sources.files import listing
 
 
 @dataclass(frozen=True)
@@ -20,15 +21,7 @@ class Inputs:
 def count_files(spark: SparkSession, path: str | None, glob: str = "*") -> int:
     """Files under ``path`` whose names match, on any file system Spark reads; only names are
     listed.  A path that isn't there counts none."""
-    if not path:
-        return 0
-    try:
-        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
-                .load(path).select(F.col("_metadata.file_path")).count())
-    except PySparkException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or ""):
-            return 0
-        raise
+    return listing(spark, path, glob).count() if path else 0
 
 
 def validate(spark: SparkSession, inputs: Inputs) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from movegrid.functions import resolve
 from movegrid.operators import features, grids, model, profiles
+from movegrid.sources import files
 from movegrid.sources import grids as grid_src
 
 TS = dt.datetime(2021, 8, 1)
@@ -45,16 +46,18 @@ def test_union_by_name_fills_missing(spark):
     assert grids.union_files([None]) is None
 
 
-def test_discover_files(tmpdir_path):
-    os.makedirs(os.path.join(tmpdir_path, "sub"))
-    for name in ["a.nc", "sub/b.nc4", "sub/c_interp.nc", "d.txt", "e.netcdf"]:
-        open(os.path.join(tmpdir_path, name), "w").close()
-    found = [os.path.relpath(p, tmpdir_path) for p in grid_src.discover_files(directory=tmpdir_path)]
-    assert found == ["a.nc", "e.netcdf", "sub/b.nc4", "sub/c_interp.nc"]
-    assert grid_src.discover_files(paths=["x.nc", "x.nc"]) == ["x.nc"]
-    assert grid_src.discover_files(directory=os.path.join(tmpdir_path, "missing")) == []
-    with pytest.raises(ValueError):
-        grid_src.discover_files()
+def test_listing_finds_nested_files(spark, tmpdir_path):
+    os.makedirs(os.path.join(tmpdir_path, "sub", "deep"))
+    for i, name in enumerate(["a.nc", "sub/b.nc4", "sub/deep/c_interp.nc", "d.txt", "e.netcdf"]):
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(b"x" * (i + 1))
+    uri = f"file://{tmpdir_path}"
+    found = {os.path.relpath(r.path.removeprefix("file:"), tmpdir_path): r.length for r in files.listing(spark, uri, files.GRID_PATTERN).collect()}
+    assert found == {"a.nc": 1, "e.netcdf": 5, "sub/b.nc4": 2, "sub/deep/c_interp.nc": 3}
+    twice = files.listing(spark, [uri, f"{uri}/sub", f"{uri}/missing"], files.GRID_PATTERN)
+    assert twice.count() == 4 and twice.columns == ["path", "length", "modified"]
+    assert files.listing(spark, f"{uri}/missing").count() == 0
+    assert files.listing(spark, uri, files.GRID_PATTERN, recursive=False).count() == 2
 
 
 def test_corrupt_grid_file_is_skipped(spark, tmpdir_path):
