@@ -204,7 +204,7 @@ FROM (SELECT DISTINCT file_source, time, latitude, longitude FROM ac) f CROSS JO
 LEFT JOIN ac USING (file_source, variable, time, latitude, longitude)
 WHERE f.time >= TIMESTAMP '2021-08-10' AND f.time < TIMESTAMP '2021-09-10' AND f.latitude BETWEEN 50.1 AND 50.3 AND f.longitude BETWEEN 1.05 AND 1.2"""),
     "grid_files": _sql("""
-SELECT 'emb_' || CAST(k AS VARCHAR) || '.nc' AS file_source, 464 + 8 * 16 + 8 * n * (3 * 64 + 1) AS length, 'ok' AS status,
+SELECT 'emb_' || CAST(k AS VARCHAR) || '.nc' AS file_source, 420 + 8 * 16 + 8 * n * (3 * 64 + 1) AS length, 'ok' AS status,
        CAST(3 AS BIGINT) AS n_slabs
 FROM (SELECT (vec_id // 3) // 10 AS k, count(DISTINCT vec_id // 3) AS n FROM embeddings GROUP BY 1)"""),
     "grid_union": _sql(_union_sql()),
