@@ -11,6 +11,7 @@ from movegrid.functions.ordering import arithmetic_hash, exact_medians, with_glo
 from movegrid.functions.scalars import attach_one_row
 from movegrid.functions.spatial import bin_index, spatial_bin
 from movegrid.operators import grids
+from movegrid.operators.asof import asof_join
 from movegrid.session import ensure_checkpoint_dir
 
 TRACK_FEATURES = ["Latitude", "Longitude", "month", "day_of_year", "distance", "speed"]
@@ -49,6 +50,16 @@ def bin_join(tracks: DataFrame, grid: DataFrame | None, impute: str | None = "me
     return out.withColumns({"lat_bin": F.col("lat_key") / F.lit(10.0), "lon_bin": F.col("lon_key") / F.lit(10.0)})
 
 
+def asof_environment(fixes: DataFrame, grid: DataFrame, values: list[str], ts: str = "Date", time: str = "time",
+                     order: str = "row_order", tolerance_days: float | None = None, **kw) -> DataFrame:
+    """JN-7: every fix with the grid's ``values`` in its 0.1-degree bin at the latest grid time at or before it; of grid rows
+    at one time in a bin that with the greatest ``order``."""
+    binned = lambda df, lat, lon: df.withColumns({"lat_key": bin_index(F.col(lat)), "lon_key": bin_index(F.col(lon))})
+    g = binned(grid, "latitude", "longitude").select("lat_key", "lon_key", F.col(time).alias("grid_time"), F.col(order).alias("grid_order"), *values)
+    return asof_join(binned(fixes, "Latitude", "Longitude"), g, ["lat_key", "lon_key"], ts, "grid_time", values, F.col("grid_order"),
+                     matched="grid_time", tolerance_days=tolerance_days, **kw)
+
+
 def encodings(df: DataFrame) -> DataFrame:
     """PRJ-10..13: feature projection, bins, cyclic month/day, log1p movement, centred coordinates."""
     two_pi = F.lit(2 * math.pi)

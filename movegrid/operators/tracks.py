@@ -1,7 +1,7 @@
 """Track (time series per entity) operators.
 
-Physical shape of ``process``: one hash exchange on ``(id, chunk)`` and one sort feed every
-per-row window; a small per-chunk table, aggregated straight from the fixes, carries the
+Physical shape of ``process``: the fixes are read twice.  One hash exchange on ``(id, chunk)`` and one
+sort feed every per-row window; a small per-chunk table, from the other reading, carries the
 previous fix, running-sum offsets and the entity centroid across chunk boundaries.  Chunking
 a track by time keeps one very long track (a hot id) from landing in a single task, and time
 slices that hold too many fixes are cut further (``chunked``); ``chunk_days=None`` windows
@@ -54,9 +54,13 @@ def chunked(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_o
     is no time) at quantiles of their source order, if that is a number.  At most
     ``HEAVY_SLICES`` slices can hold more than that share of all fixes each, so the table of cuts
     is bounded and broadcast.
+
+    Whether there are such slices is found out here: fixes are counted, which needs no column, and only if
+    there are more than ``heavy_rows`` of them are slices counted, and only if one is heavy are cuts looked for.
     """
     base = df.withColumn("_chunk", F.struct(chunk_key(ts, chunk_days).alias("slice"), F.lit(0).alias("part"), F.lit(0).alias("sub")))
-    if chunk_days is None:
+    least = heavy_rows or HEAVY_ROWS
+    if chunk_days is None or (total := df.count()) <= least:
         return base
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     at, slice_ = F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz")), chunk_key(ts, chunk_days)
@@ -64,11 +68,14 @@ def chunked(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row_o
     source = F.col(order) if kind in ("bigint", "int") else F.lit(0)
     rows = df.select(F.col(id).alias("_id"), slice_.alias("_slice"), at.alias("_at"), source.cast("long").alias("_order"))
     counts = rows.groupBy("_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.select(F.sum("_n") / F.lit(HEAVY_SLICES)).scalar()
-    heavy = counts.where((F.col("_n") > F.lit(heavy_rows or HEAVY_ROWS)) & (F.col("_n") > share)).select("_id", "_slice")
-    quantiles = [(i + 1) / (CUTS + 1) for i in range(CUTS)]
-    cuts = rows.join(F.broadcast(heavy), ["_id", "_slice"]).groupBy("_id", "_slice").agg(
+    heavy = counts.where(F.col("_n") > F.lit(max(least, total / HEAVY_SLICES))).select("_id", "_slice")
+    held = heavy.collect()        # at most HEAVY_SLICES rows
+    if not held:
+        return base
+    spark, quantiles = df.sparkSession, [(i + 1) / (CUTS + 1) for i in range(CUTS)]
+    cuts = rows.join(F.broadcast(spark.createDataFrame(held, heavy.schema)), ["_id", "_slice"]).groupBy("_id", "_slice").agg(
         F.percentile_approx("_at", quantiles).alias("_times"), F.percentile_approx("_order", quantiles).alias("_orders"))
+    cuts = spark.createDataFrame(cuts.collect(), cuts.schema)      # a row per heavy slice
     met = base.withColumn("_at", at).join(F.broadcast(cuts), [F.col(id) == cuts["_id"], F.col("_chunk.slice") == cuts["_slice"]], "left")
     reached = lambda bounds, value: F.coalesce(F.size(F.filter(bounds, lambda b: b <= value)), F.lit(0))
     part = F.when(F.col("_times").isNull() | F.col("_at").isNull(), F.lit(0)).otherwise(reached(F.col("_times"), F.col("_at")))
@@ -145,29 +152,30 @@ def process(df: DataFrame, id: str = "id", ts: str = "Date", lat: str = "Latitud
     # Few DataFrame steps on purpose: each step re-analyses the whole plan on the driver.
     local = base.select("*", F.row_number().over(w).alias("_rn"), F.lag(lat).over(w).alias("_plat"),
                         F.lag(lon).over(w).alias("_plon"), F.lag(ts).over(w).alias("_pts"))
-    # Per-chunk table straight from the fixes: last fix, coordinate sums for the centroid.
+    # Per-chunk table: first and last fix, coordinate sums for the centroid, the sum of the steps inside.
     fix = F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(ts).alias("ts"))
     place = F.struct(F.col(ts).isNull(), F.col(ts), F.col(order))
     wid = Window.partitionBy(id)
     wc = wid.orderBy(F.col("_chunk"))
-    chunks = base.groupBy(id, "_chunk").agg(
+    inside = []
+    if cumulative:
+        # steps inside a chunk are summed per chunk, then carried forward along the track
+        step = planar_distance(F.col(lat) - F.col("_plat"), F.col(lon) - F.col("_plon"))
+        local = local.withColumn("_icum", F.sum(step).over(w_run))
+        inside = [F.max_by("_icum", "_rn").alias("_isum")]
+    chunks = (local if cumulative else base).groupBy(id, "_chunk").agg(
         F.min_by(fix, place).alias("_first"), F.max_by(fix, place).alias("_last"),
         F.sum(lat).alias("_slat"), F.count(lat).alias("_nlat"),
-        F.sum(lon).alias("_slon"), F.count(lon).alias("_nlon"),
-    ).select(id, "_chunk", "_first", F.lag("_last").over(wc).alias("_carry"),
+        F.sum(lon).alias("_slon"), F.count(lon).alias("_nlon"), *inside,
+    ).select("*", F.lag("_last").over(wc).alias("_carry"),
              (F.sum("_slat").over(wid) / F.sum("_nlat").over(wid)).alias("center_lat"),
              (F.sum("_slon").over(wid) / F.sum("_nlon").over(wid)).alias("center_lon"))
     if cumulative:
-        # steps inside a chunk are summed per chunk, then carried forward along the track
-        step = planar_distance(F.col(lat) - F.col("_plat"), F.col(lon) - F.col("_plon"))
-        local = local.withColumn("_icum", F.sum(step).over(w_run))
-        inner = local.groupBy(id, "_chunk").agg(F.max_by("_icum", "_rn").alias("_isum"))
         first_dist = planar_distance(F.col("_first.lat") - F.col("_carry.lat"), F.col("_first.lon") - F.col("_carry.lon"))
         total = F.coalesce(F.col("_fdist"), F.lit(0.0)) + F.coalesce(F.col("_isum"), F.lit(0.0))
-        chunks = (chunks.join(inner, [id, "_chunk"], "left").withColumn("_fdist", first_dist)
-                  .withColumn("_offset", F.coalesce(F.sum(total).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-                  .drop("_isum"))
-    chunks = chunks.drop("_first")
+        chunks = chunks.withColumn("_fdist", first_dist).withColumn(
+            "_offset", F.coalesce(F.sum(total).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+    chunks = chunks.drop("_first", "_last", "_isum", "_slat", "_nlat", "_slon", "_nlon")
 
     j = local.join(chunks, [id, "_chunk"], "left")
     first = F.col("_rn") == 1

@@ -8,7 +8,7 @@ from movegrid.operators import features as feat
 from movegrid.operators import model as mdl
 from movegrid.plans import track_queries as tq
 from movegrid.plans.common import rounded
-from movegrid.sources.standins import grid_points
+from movegrid.sources.standins import grid_points, timed_grid, undated_fixes
 
 CORR_COLUMNS = ["speed", "distance", "Latitude", "Longitude", "acartia_abundance", "calanus_abundance",
                 "metridia_abundance", "temperature"]
@@ -40,6 +40,20 @@ def q_aligned_correlation(spark, sf_dir):
     return rounded(feat.correlation(binned(spark, sf_dir, impute=None), CORR_COLUMNS), {"corr": 8})
 
 
+def q_asof_environment(spark, sf_dir):
+    """JN-7: every fix with its bin's abundance and temperature at the latest grid time not after it."""
+    out = feat.asof_environment(undated_fixes(spark, sf_dir), timed_grid(spark, sf_dir), ["acartia_abundance", "temperature"])
+    return out.select("id", "Date", "row_order", "grid_time", "acartia_abundance", "temperature")
+
+
+def q_asof_within_days(spark, sf_dir):
+    """The same with grid times of at most two days before, counted per day."""
+    out = feat.asof_environment(undated_fixes(spark, sf_dir), timed_grid(spark, sf_dir), ["temperature"], tolerance_days=2)
+    day = F.date_trunc("DAY", "Date").cast("timestamp_ntz").alias("day")
+    return rounded(out.groupBy(day).agg(F.count(F.lit(1)).alias("n_fixes"), F.count("grid_time").alias("n_matched"), F.avg("temperature").alias("temperature")),
+                   {"temperature": 6})
+
+
 def q_split_assignment(spark, sf_dir):
     s = feat.split(model_rows(spark, sf_dir), feat.split_order(feat.bin_split_key(), 42), 0.2)
     return s.select("lat_bin", "lon_bin", "split")
@@ -157,6 +171,8 @@ QUERIES = {
     "binned_features": q_binned_features,
     "feature_encodings": q_feature_encodings,
     "aligned_correlation": q_aligned_correlation,
+    "asof_environment": q_asof_environment,
+    "asof_within_days": q_asof_within_days,
     "split_assignment": q_split_assignment,
     "linear_fit_metrics": q_linear_fit_metrics,
     "model_metrics": q_model_metrics,
@@ -234,6 +250,18 @@ ft AS (SELECT g.fold, regr_slope(speed, distance) AS slope, regr_intercept(speed
 pr AS (SELECT fo.fold, speed AS label, speed - (intercept + slope * distance) AS e FROM fo JOIN ft ON fo.fold = ft.fold),
 cv AS (SELECT CAST(fold AS INTEGER) AS fold, 1 - sum(e * e) / nullif(var_pop(label) * count(*), 0) AS r2, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, count(*) AS n
        FROM pr GROUP BY fold)"""
+_ASOF = """,
+fx AS (
+  SELECT *, CAST(round_even(Latitude * 10, 0) AS BIGINT) AS lat_key, CAST(round_even(Longitude * 10, 0) AS BIGINT) AS lon_key
+  FROM (SELECT * REPLACE (CASE WHEN row_order % 31 <> 0 THEN "Date" END AS "Date", CASE WHEN row_order % 37 <> 0 THEN Latitude END AS Latitude) FROM tp)),
+tg AS (
+  SELECT CAST(round_even(latitude * 10, 0) AS BIGINT) AS lat_key, CAST(round_even(longitude * 10, 0) AS BIGINT) AS lon_key,
+         TIMESTAMP '2024-01-01' + to_hours(row_order % 690) AS time, acartia_abundance, temperature, row_order * 100000 + row_tiebreak AS o
+  FROM gp WHERE row_order % 29 <> 0),
+g1 AS (
+  SELECT lat_key, lon_key, time, arg_max(acartia_abundance, o) AS acartia_abundance, arg_max(temperature, o) AS temperature
+  FROM tg GROUP BY ALL)
+"""
 # FIXED VALUES - features of the binned table, and those of the candidate list that it has (D9)
 MODEL_FEATURES = ["distance", "Latitude", "Longitude", "acartia_abundance", "calanus_abundance", "metridia_abundance", "temperature", "lat_bin", "lon_bin"]
 N_PARITY = 6
@@ -265,6 +293,16 @@ SELECT Latitude, Longitude, month, CAST(dayofyear("Date") AS INTEGER) AS day_of_
        round(Latitude - avg(Latitude) OVER (), 10) AS lat_centered, round(Longitude - avg(Longitude) OVER (), 10) AS lon_centered
 FROM cl"""),
     "aligned_correlation": _sql(_corr_sql()),
+    "asof_environment": _sql(_ASOF + """
+SELECT f.id, f."Date", f.row_order, g.time AS grid_time, g.acartia_abundance, g.temperature
+FROM fx f ASOF LEFT JOIN g1 g ON f.lat_key = g.lat_key AND f.lon_key = g.lon_key AND f."Date" >= g.time"""),
+    "asof_within_days": _sql(_ASOF + """,
+m AS (
+  SELECT f."Date", CASE WHEN f."Date" - g.time <= INTERVAL 2 DAY THEN g.time END AS grid_time, g.temperature
+  FROM fx f ASOF LEFT JOIN g1 g ON f.lat_key = g.lat_key AND f.lon_key = g.lon_key AND f."Date" >= g.time)
+SELECT CAST(date_trunc('day', "Date") AS TIMESTAMP) AS day, count(*) AS n_fixes, count(grid_time) AS n_matched,
+       round(avg(CASE WHEN grid_time IS NOT NULL THEN temperature END), 6) AS temperature
+FROM m GROUP BY 1"""),
     "split_assignment": _sql("""
 SELECT lat_bin, lon_bin,
        CASE WHEN row_number() OVER (ORDER BY (CAST(k AS HUGEINT) * 2654435761 + 42) % 4294967296, k) - 1 < ceil(0.2 * count(*) OVER ())

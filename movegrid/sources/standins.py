@@ -76,6 +76,21 @@ def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid rows whose times lie in the weeks of the fixes: whole hours of January 2024, some without a time."""
+    gp = grid_points(spark, sf_dir)
+    hour = F.col("row_order") % 690
+    time = F.timestamp_add("HOUR", hour, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    return gp.withColumn("time", F.when(F.col("row_order") % 29 != 0, time)).select(
+        "time", "latitude", "longitude", "acartia_abundance", "temperature", (F.col("row_order") * 100000 + F.col("row_tiebreak")).alias("row_order"))
+
+
+def undated_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixes, every 31st without a time and every 37th without a latitude."""
+    tp, n = track_points(spark, sf_dir), F.col("row_order")
+    return tp.withColumns({"Date": F.when(n % 31 != 0, F.col("Date")), "Latitude": F.when(n % 37 != 0, F.col("Latitude"))})
+
+
 def _area_code(nationkey):
     mapped = F.element_at(F.array(*[F.lit(c) for c in NATION_AREA_CODES]), nationkey + 1)
     return F.when(nationkey <= 20, mapped).otherwise(nationkey - 20)

@@ -145,3 +145,13 @@ def test_every_kth_matches_row_number(spark):
     s = tracks.sampled(tracks.clean(tq.processed(spark, SF_SMALL)), 3)
     n = tracks.clean(tq.processed(spark, SF_SMALL)).count()
     assert s.count() == (n + 2) // 3
+
+
+def test_process_reads_the_fixes_twice(spark):
+    """Two scans whatever is asked for; no slice is heavy here, so none are spent on cuts."""
+    path = "/root/testdata/sf0.001"
+    from movegrid.sources.standins import track_points
+    for cumulative in (True, False):
+        df = tracks.process(track_points(spark, path), cumulative=cumulative)
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+        assert leaves == 2, (cumulative, leaves)
