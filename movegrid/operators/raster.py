@@ -24,7 +24,7 @@ BOUNDS_SCHEMA = StructType([
 
 
 def area_bounds(spark: SparkSession) -> DataFrame:
-    """The 21-row area-bounds dimension (a fixed classification, so broadcasting it is bounded)."""
+    """The 21-row area-bounds dimension; joins with bounds of any number carry no hint."""
     return spark.createDataFrame(AREA_BOUNDS, BOUNDS_SCHEMA)
 
 
@@ -64,7 +64,7 @@ def _allocate(totals: DataFrame, bounds: DataFrame, resolution: float, wrap_anti
     """JN-6 + RAS-2: join totals to bounds (unknown areas drop out), explode to cells."""
     b = bounds.select(F.col("code").alias("area_code"), F.col("name").alias("area_name"),
                       "lat_min", "lat_max", "lon_min", "lon_max")
-    j = _cells_for(totals.join(F.broadcast(b), "area_code", "inner"), resolution, wrap_antimeridian)
+    j = _cells_for(totals.join(b, "area_code", "inner"), resolution, wrap_antimeridian)
     j = j.where(F.col("_n_cells") > 0)
     rows = j.select(*keys, "area_name", "value", "_n_cells", "_lon_ix", F.explode("_lat_ix").alias("lat_idx"))
     # few total rows fan out to many cells: spread the latitude rows before the second explode
@@ -98,7 +98,7 @@ def unallocated(area_period_totals: DataFrame, bounds: DataFrame, resolution: fl
                 wrap_antimeridian: bool = True) -> DataFrame:
     """Totals that reach no cell: unknown area codes or bounds with no grid point (FIL-14, D13)."""
     b = bounds.select(F.col("code").alias("area_code"), "lat_min", "lat_max", "lon_min", "lon_max")
-    j = _cells_for(area_period_totals.join(F.broadcast(b), "area_code", "left"), resolution, wrap_antimeridian)
+    j = _cells_for(area_period_totals.join(b, "area_code", "left"), resolution, wrap_antimeridian)
     return j.where(F.col("lat_min").isNull() | (F.col("_n_cells") == 0)).select("area_code", "period", "value")
 
 

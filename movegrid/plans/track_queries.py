@@ -3,9 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from movegrid.operators import profiles, tracks
+from movegrid.operators import areas, profiles, tracks
 from movegrid.plans.common import rounded
-from movegrid.sources.standins import track_points, track_text
+from movegrid.sources.standins import area_boxes, area_rings, track_points, track_text
 from movegrid.sources.tracks import date_text_profile, parse_tracks
 
 
@@ -133,7 +133,19 @@ def q_distance_histogram(spark, sf_dir):
     return rounded(profiles.histogram(per_id, "distance_sum", 20, "n_ids"), {"bin_lo": 8, "bin_hi": 8})
 
 
+def q_fixes_by_area(spark, sf_dir):
+    """JN-5/FIL-13 over boxes of any number: fixes, ids and times in each."""
+    return areas.count_in_areas(track_points(spark, sf_dir), area_boxes(spark, sf_dir), "area_id")
+
+
+def q_fixes_by_polygon(spark, sf_dir):
+    """The same over polygons."""
+    return areas.count_in_areas(track_points(spark, sf_dir), area_rings(spark, sf_dir), "area_id", ring="ring")
+
+
 QUERIES = {
+    "fixes_by_area": q_fixes_by_area,
+    "fixes_by_polygon": q_fixes_by_polygon,
     "track_overview": q_track_overview,
     "track_raw_profile": q_track_raw_profile,
     "track_parsed": q_track_parsed,
@@ -220,7 +232,35 @@ def _sql(body: str) -> str:
     return "WITH " + TRACK_CTES.strip() + "\n" + body
 
 
+_IN_AREA = 'SELECT area_id, count(*) AS n_points, count(DISTINCT id) AS n_ids, min("Date") AS first_time, max("Date") AS last_time'
 ORACLE = {
+    "fixes_by_area": _sql(f"""
+, bx AS (
+  SELECT c_custkey AS area_id, CAST(49.9007 AS DOUBLE) + CAST(0.0331 AS DOUBLE) * (c_custkey % 151) AS y, CAST(0.9011 AS DOUBLE) + CAST(0.0271 AS DOUBLE) * (c_custkey % 163) AS x,
+         CAST([0.02, 0.05, 0.1, 0.3][c_custkey % 4 + 1] AS DOUBLE) AS side
+  FROM customer),
+ar AS (
+  SELECT area_id, CASE WHEN area_id % 103 = 0 THEN y + 1 WHEN area_id % 100 = 0 THEN -60.0 ELSE y END AS lat_min,
+         CASE WHEN area_id % 107 <> 0 THEN y + side END AS lat_max, CASE WHEN area_id % 101 = 0 THEN CAST(2.9003 AS DOUBLE) ELSE x END AS lon_min,
+         CASE WHEN area_id % 101 = 0 THEN -170.0 WHEN area_id % 100 = 0 THEN 170.0 ELSE x + side END AS lon_max
+  FROM bx)
+{_IN_AREA}
+FROM tp JOIN ar ON Latitude BETWEEN lat_min AND lat_max
+  AND CASE WHEN lon_min <= lon_max THEN Longitude BETWEEN lon_min AND lon_max ELSE Longitude >= lon_min OR Longitude <= lon_max END
+GROUP BY area_id"""),
+    "fixes_by_polygon": _sql(f"""
+, pl AS (
+  SELECT c_custkey AS area_id, CAST(50.0007 AS DOUBLE) + CAST(0.0293 AS DOUBLE) * (c_custkey % 157) AS y, CAST(1.0011 AS DOUBLE) + CAST(0.0251 AS DOUBLE) * (c_custkey % 149) AS x,
+         CAST(0.1 AS DOUBLE) * (c_custkey % 7 + 1) AS side
+  FROM customer),
+ed AS (
+  SELECT area_id, y + side * e.ay AS ay, x + side * e.ax AS ax, y + side * e.zy AS zy, x + side * e.zx AS zx
+  FROM pl, (VALUES (CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.4 AS DOUBLE), CAST(0.5 AS DOUBLE)), (0.4, 0.5, 0.0, 1.0), (0.0, 1.0, 1.0, 0.5), (1.0, 0.5, 0.0, 0.0)) e(ay, ax, zy, zx)),
+hit AS (
+  SELECT area_id, row_order FROM tp JOIN ed ON (ay > Latitude) <> (zy > Latitude) AND Longitude < ax + (Latitude - ay) / (zy - ay) * (zx - ax)
+  GROUP BY area_id, row_order HAVING count(*) % 2 = 1)
+{_IN_AREA}
+FROM tp JOIN hit USING (row_order) GROUP BY area_id"""),
     "track_overview": _sql("""
 SELECT count(*) AS total_records, count(DISTINCT id) AS unique_ids, min("Date") AS date_min, max("Date") AS date_max,
        min(Latitude) AS lat_min, max(Latitude) AS lat_max, min(Longitude) AS lon_min, max(Longitude) AS lon_max

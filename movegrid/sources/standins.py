@@ -139,6 +139,29 @@ def area_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def area_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes (area_id, lat_min, lat_max, lon_min, lon_max) from ``customer``: sides from 0.02 degrees to most of the globe,
+    some over the antimeridian, some upside down and some without a bound."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    side = F.element_at(F.array(*[F.lit(x) for x in (0.02, 0.05, 0.1, 0.3)]), (k % 4 + 1).cast("int"))
+    lat, lon = F.lit(49.9007) + F.lit(0.0331) * (k % 151), F.lit(0.9011) + F.lit(0.0271) * (k % 163)
+    wide, over = k % 100 == 0, k % 101 == 0
+    return c.select(
+        k.alias("area_id"), F.when(k % 103 == 0, lat + 1).when(wide, F.lit(-60.0)).otherwise(lat).alias("lat_min"),
+        F.when(k % 107 != 0, lat + side).alias("lat_max"), F.when(over, F.lit(2.9003)).otherwise(lon).alias("lon_min"),
+        F.when(over, F.lit(-170.0)).when(wide, F.lit(170.0)).otherwise(lon + side).alias("lon_max"))
+
+
+def area_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons (area_id, ring) from ``customer``: a dart of four points, not convex, of 0.1 to 0.7 degrees."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    lat, lon, side = F.lit(50.0007) + F.lit(0.0293) * (k % 157), F.lit(1.0011) + F.lit(0.0251) * (k % 149), F.lit(0.1) * (k % 7 + 1)
+    point = lambda y, x: F.struct((lat + side * F.lit(y)).alias("lat"), (lon + side * F.lit(x)).alias("lon"))
+    return c.select(k.alias("area_id"), F.array(point(0.0, 0.0), point(0.4, 0.5), point(0.0, 1.0), point(1.0, 0.5)).alias("ring"))
+
+
 # FIXED VALUES — stand-in image name stems (two species, two environmental, two other)
 IMAGE_STEMS = ["acartia_tonsa", "calanus_finmarchicus", "sea_surface_temperature", "salinity_map",
                "bathymetry", "3d-map_overview"]
