@@ -1,9 +1,11 @@
 """Regression on binned features with ``pyspark.ml`` (ML-2..11, AGG-29, PRJ-18/20, ORD-3)."""
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
@@ -20,6 +22,15 @@ PARITY_CANDIDATES = ["Latitude", "Longitude", "month", "day_of_year", "distance"
                      "lat_centered", "lon_centered"]
 
 
+FITS = 8               # fits at once
+TASK_ROWS = 50_000     # feature rows of a task of a fit; fewer would make every tree level's job all overhead
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """A checkpointed table of ``rows`` feature rows in as many partitions as that many rows need."""
+    return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+
 def estimator(kind: str, seed: int = MODEL_SEED):
     """ML-5: model-type dispatch; unknown kinds raise."""
     if kind == "random_forest":
@@ -106,26 +117,34 @@ def train(binned: DataFrame, kind: str = "random_forest", target: str = "speed",
     feats = features or feature_columns(binned, target, parity)
     data = feat.complete_cases(binned, feats + [target]).withColumn("label", F.col(target).cast("double"))
     parts = feat.split(data, feat.split_order(feat.bin_split_key(), seed), test_size)
-    train_df = parts.where(F.col("split") == "train").drop("split")
-    test_df = parts.where(F.col("split") == "test").drop("split")
-    if train_df.isEmpty():
+    n = {r["split"]: r["count"] for r in parts.groupBy("split").count().collect()}
+    if not n.get("train"):
         raise ValueError("no complete feature rows to train on")
+    train_df, test_df = (gathered(parts.where(F.col("split") == s).drop("split"), n.get(s, 0)) for s in ("train", "test"))
     pipe = Pipeline(stages=stages(kind, feats, seed))
     return TrainedModel(pipe.fit(train_df), feats, target, kind, train_df, test_df)
 
 
 def cross_validate(tm: TrainedModel, k: int = 5, seed: int = MODEL_SEED) -> DataFrame:
     """ML-7 (D11: on the training rows): R2 per fold with refit; one row per fold.  There are as many
-    folds as rows where rows are fewer, and none for a single row, which leaves nothing to fit."""
-    k = min(k, tm.train.count())
+    folds as rows where rows are fewer, and none for a single row, which leaves nothing to fit.
+
+    Fold ids and features are written once; the fits are submitted together, as each level of a tree is a small job that
+    leaves most of the cluster idle."""
+    n = tm.train.count()
+    k = min(k, n)
     if k < 2:
         return tm.train.sparkSession.createDataFrame([], "fold int, r2 double, rmse double, mae double, n long")
     folded = feat.fold(tm.train, feat.split_order(feat.bin_split_key(), seed + 1), k)
-    rows = []
-    for f in range(k):
-        fitted = Pipeline(stages=stages(tm.kind, tm.features, seed)).fit(folded.where(F.col("fold") != f))
-        scored = fitted.transform(folded.where(F.col("fold") == f))
-        rows.append(regression_metrics(scored).select(F.lit(f).alias("fold"), "r2", "rmse", "mae", "n"))
+    ready = gathered(folded.select(*tm.features, "label", "fold").checkpoint(eager=True), n)
+
+    def one(f: int) -> DataFrame:
+        fitted = Pipeline(stages=stages(tm.kind, tm.features, seed)).fit(ready.where(F.col("fold") != f))
+        scored = fitted.transform(ready.where(F.col("fold") == f))
+        return regression_metrics(scored).select(F.lit(f).alias("fold"), "r2", "rmse", "mae", "n")
+
+    with ThreadPoolExecutor(min(k, FITS)) as pool:
+        rows = list(pool.map(inheritable_thread_target(tm.train.sparkSession)(one), range(k)))
     return reduce(DataFrame.unionByName, rows)
 
 

@@ -167,6 +167,27 @@ def q_model_forest_cv_summary(spark, sf_dir):
                                                             ((F.col("r2_two_std") >= 0) & (F.col("r2_two_std") <= 2.5)).alias("std_in_bounds"))
 
 
+def q_model_forest_report(spark, sf_dir):
+    """ML-6/8/11, PRJ-20: the forest's metrics on held-out rows and every feature's importance, as (section, name, value).
+    A forest's numbers are beyond SQL: tests hold them against its predictions and against bounds."""
+    tm = _forest(spark, sf_dir)
+    m = tm.summary()
+    names = [c for c in m.columns if c != "model_type"]
+    metrics = m.select(F.inline(F.array(*[F.struct(F.lit("metric").alias("section"), F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])))
+    return metrics.unionByName(tm.importance().select(F.lit("importance").alias("section"), F.col("feature").alias("name"), F.col("importance").alias("value")))
+
+
+def q_model_forest_scored(spark, sf_dir):
+    """ML-9 + PRJ-18: label, prediction and residual of every held-out row by the forest."""
+    tm = _forest(spark, sf_dir)
+    return tm.predict(tm.test).select("lat_bin", "lon_bin", "label", "prediction", "residual")
+
+
+def q_model_forest_folds(spark, sf_dir):
+    """ML-7: the forest's R2, RMSE and MAE per fold."""
+    return _forest_cv(spark, sf_dir)
+
+
 QUERIES = {
     "binned_features": q_binned_features,
     "feature_encodings": q_feature_encodings,
@@ -184,6 +205,9 @@ QUERIES = {
     "model_cv": q_model_cv,
     "model_cv_summary": q_model_cv_summary,
     "model_linear_fit": q_model_linear_fit,
+    "model_forest_report": q_model_forest_report,
+    "model_forest_scored": q_model_forest_scored,
+    "model_forest_folds": q_model_forest_folds,
     "model_forest_cv": q_model_forest_cv,
     "model_forest_cv_summary": q_model_forest_cv_summary,
 }
