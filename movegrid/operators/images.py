@@ -44,16 +44,65 @@ def png_header(content: Column) -> dict[str, Column]:
     }
 
 
+def walk(content: Column) -> Column:
+    """IMG-2: a struct (status, n_chunks, bad_chunk, end) from a walk over a PNG's chunks.
+
+    A chunk is a length, a type, as many bytes and the CRC-32 of type and bytes.  ``status`` is ``ok``; ``trailing`` where
+    bytes follow the end chunk; ``truncated`` where the file ends before one; ``damaged`` where a checksum is wrong or the first
+    chunk is no header (``bad_chunk`` is its type); or ``not_png``.  ``n_chunks`` counts the whole chunks before that, ``end`` the
+    bytes up to there.  The walk has a step per chunk; a step after the end does nothing.
+    """
+    size, kinds = F.octet_length(content), "pos int, n_chunks int, status string, bad_chunk string"
+    signed = F.hex(F.substring(content, 1, 8)) == F.lit(PNG_SIGNATURE_HEX)
+    start = F.struct(F.lit(8).alias("pos"), F.lit(0).alias("n_chunks"), F.when(~F.coalesce(signed, F.lit(False)), F.lit("not_png")).alias("status"),
+                     F.lit(None).cast("string").alias("bad_chunk")).cast(f"struct<{kinds.replace(' ', ':').replace(',:', ',')}>")
+    part = lambda at, n: content.substr(at + 1, n)
+
+    def step(s: Column, _: Column) -> Column:
+        pos, left = s["pos"], size - s["pos"]
+        length = F.conv(F.hex(part(pos, F.lit(4))), 16, 10).cast("long")
+        name = part(pos + 4, F.lit(4)).cast("string")
+        whole = (left >= 12) & (length <= left - 12)
+        body = F.when(whole, length).otherwise(F.lit(0)).cast("int")
+        right = F.conv(F.hex(part(pos + 8 + body, F.lit(4))), 16, 10).cast("long") == F.crc32(part(pos + 4, body + 4))
+        first = (pos > 8) | ((name == "IHDR") & (length == 13))
+        end = pos + 12 + body
+        done = name == "IEND"
+        sound = whole & right & first
+        status = (F.when(~whole, F.lit("truncated")).when(~(right & first), F.lit("damaged"))
+                  .when(done & (end < size), F.lit("trailing")).when(done, F.lit("ok")))
+        moved = F.struct(F.when(sound, end).otherwise(pos).alias("pos"), (s["n_chunks"] + F.when(sound, 1).otherwise(0)).alias("n_chunks"),
+                         status.alias("status"), F.when(whole & ~(right & first), name).alias("bad_chunk"))
+        return F.when(s["status"].isNotNull(), s).otherwise(moved)
+
+    steps = F.sequence(F.lit(0), F.greatest(F.floor((size - 8) / F.lit(12)).cast("int"), F.lit(0)))
+    finish = lambda s: F.struct(F.coalesce(s["status"], F.lit("truncated")).alias("status"), s["n_chunks"].alias("n_chunks"),
+                                s["bad_chunk"].alias("bad_chunk"), F.when(s["status"] == "not_png", 0).otherwise(s["pos"]).alias("end"))
+    walked = F.aggregate(steps, start, step, finish)
+    empty = F.struct(F.lit("not_png").alias("status"), F.lit(0).alias("n_chunks"), F.lit(None).cast("string").alias("bad_chunk"), F.lit(0).alias("end"))
+    return F.when(content.isNull(), empty).otherwise(walked)
+
+
+READABLE = ("ok", "trailing")
+
+
+def integrity(files: DataFrame) -> DataFrame:
+    """IMG-2: path, status, n_chunks, bad_chunk, end and size_bytes of every image file (path, content), readable or not."""
+    walked = files.select("path", F.coalesce(F.octet_length("content"), F.lit(0)).cast("long").alias("size_bytes"), walk(F.col("content")).alias("_w"))
+    return walked.select("path", "_w.status", F.col("_w.n_chunks").cast("long").alias("n_chunks"), "_w.bad_chunk", F.col("_w.end").cast("long").alias("end"), "size_bytes")
+
+
 def data_uri(content: Column) -> Column:
     """Base64 data URI; line breaks are removed so the text is the same whatever the session's
     base64 chunking setting."""
     return F.concat(F.lit(DATA_URI_PREFIX), F.regexp_replace(F.base64(content), "[\\r\\n]", ""))
 
 
-def catalog(files: DataFrame, readable_only: bool = True) -> DataFrame:
+def catalog(files: DataFrame, readable_only: bool = True, whole: bool = False) -> DataFrame:
     """SRC-7 + IMG-1 + IMG-2 + PRJ-16: one row per image file (path, content).
 
-    ``readable_only`` skips files whose header is not PNG (the reference skips unreadable images).
+    ``readable_only`` skips files whose header is not PNG and, with ``whole``, also those whose chunks are damaged or end
+    early (``integrity`` names them).
     """
     fname = base_name(F.col("path"))
     stem = F.replace(fname, F.lit(".png"), F.lit(""))
@@ -62,9 +111,13 @@ def catalog(files: DataFrame, readable_only: bool = True) -> DataFrame:
         stem.alias("name"), category(stem).alias("category"), F.col("path"), fname.alias("filename"),
         hdr["width"].alias("width"), hdr["height"].alias("height"), hdr["mode"].alias("mode"),
         F.octet_length("content").cast("long").alias("size_bytes"), data_uri(F.col("content")).alias("base64_data"),
-        hdr["is_png"].alias("_png"))
+        hdr["is_png"].alias("_png"), *([walk(F.col("content"))["status"].alias("_status")] if whole else []))
     if readable_only:
         out = out.where(F.col("_png"))
+    if readable_only and whole:
+        out = out.where(F.col("_status").isin(*READABLE))
+    if whole:
+        out = out.drop("_status")
     return out.drop("_png")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from movegrid.functions import resolve
 from movegrid.functions.scalars import attach_one_row
-from movegrid.operators import catch, features, grids, images, model, profiles, raster, sinks, tracks
+from movegrid.operators import catch, features, grids, images, model, profiles, raster, sinks, tracks, versions
 from movegrid.params import ELASMOBRANCH_KEYWORDS, NORTH_SEA_AREA
 from movegrid.plans import report
 from movegrid.sources import catch as catch_src
@@ -135,8 +135,8 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     if cfg.image_dir:
         files = image_src.read_png_files(spark, cfg.image_dir)
         if files is not None:
-            cat = images.catalog(files)
-            out.update({"image_catalog": cat, "image_counts": images.counts(cat), "image_gallery": images.gallery(cat),
+            cat = images.catalog(files, whole=True)
+            out.update({"image_catalog": cat, "image_integrity": images.integrity(files), "image_counts": images.counts(cat), "image_gallery": images.gallery(cat),
                         "image_overlays": images.overlays(cat)})
     # aligned features, correlation and model
     binned = features.bin_join(clean, grid)
@@ -167,15 +167,17 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
 
 
 def export(results: dict, output_dir: str) -> dict[str, str]:
-    """Write every table output (Parquet), the wide raster (CSV) and the report (text)."""
-    paths = {}
-    for name, df in results.items():
-        if not isinstance(df, DataFrame):
-            continue
-        if name == "report":
-            paths[name] = sinks.write_report(df, f"{output_dir}/report")
-        elif name == "raster_wide":
-            paths[name] = sinks.write_wide_csv(df, f"{output_dir}/raster_wide")
-        else:
-            paths[name] = sinks.write_table(df, f"{output_dir}/{name}", partition_by=PARTITION_BY.get(name))
+    """Write every table output (Parquet), the wide raster (CSV) and the report (text) as one new version below ``output_dir``
+    (``versions``): readers see all of them or the version before.  Returns the paths written."""
+    tables, paths = {n: df for n, df in results.items() if isinstance(df, DataFrame)}, {}
+    if not tables:
+        raise ValueError("no processed data to export")
+    with versions.Export(next(iter(tables.values())).sparkSession, output_dir) as out:
+        for name, df in tables.items():
+            if name == "report":
+                paths[name] = sinks.write_report(df, out.folder(name, "text"))
+            elif name == "raster_wide":
+                paths[name] = sinks.write_wide_csv(df, out.folder(name, "csv"))
+            else:
+                paths[name] = sinks.write_table(df, out.folder(name), partition_by=PARTITION_BY.get(name))
     return paths

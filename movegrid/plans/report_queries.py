@@ -5,11 +5,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from movegrid.functions.scalars import attach_one_row
 from movegrid.operators import catch as catch_ops
-from movegrid.operators import grids, tracks
+from movegrid.operators import grids, sinks, tracks, versions
 from movegrid.plans import catch_queries as cq
 from movegrid.plans import track_queries as tq
 from movegrid.plans.report import assemble, catch_section, clean_overview, grid_section, track_section
+from movegrid.session import work_folder
 from movegrid.sources import standins
 
 
@@ -38,7 +40,19 @@ def q_analysis_report(spark, sf_dir):
     return assemble([t, g, c]).select("section", "metric", "value")
 
 
+def q_export_versions(spark, sf_dir):
+    """SNK-1/3: the tracks' days are exported, then all exported anew; the last version is read back, beside the versions there are."""
+    root = work_folder(spark, "export")
+    days = tq.q_movement_by_day(spark, sf_dir)
+    for some in (days.where(F.dayofmonth("Date") <= 10), days):
+        with versions.Export(spark, root) as out:
+            sinks.write_table(some, out.folder("movement_by_day"))
+    n = versions.history(spark, root).agg(F.max("version").alias("version"), F.count(F.lit(1)).alias("n_versions"))
+    return attach_one_row(versions.read(spark, root, "movement_by_day"), n)
+
+
 QUERIES = {
+    "export_versions": q_export_versions,
     "source_report": q_source_report,
     "analysis_report": q_analysis_report,
 }
@@ -50,6 +64,10 @@ from movegrid.plans.track_queries import TRACK_CTES  # noqa: E402
 _ALL = "WITH " + TRACK_CTES.strip() + ",\n" + GRID_CTES.strip() + ",\n" + CATCH_CTES.strip() + "\n"
 
 ORACLE = {
+    "export_versions": _ALL + """
+SELECT date_trunc('day', "Date") AS "Date", round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed,
+       round(avg(Latitude), 10) AS avg_lat, round(avg(Longitude), 10) AS avg_lon, CAST(2 AS BIGINT) AS version, CAST(2 AS BIGINT) AS n_versions
+FROM cl GROUP BY 1""",
     "source_report": _ALL + """
 SELECT 'tracks' AS source, true AS required, count(*) > 0 AS present, count(*) AS n_rows FROM tp
 UNION ALL SELECT 'grid', false, count(*) > 0, count(*) FROM gp

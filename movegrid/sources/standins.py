@@ -190,6 +190,30 @@ def image_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def whole_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PNG files (path, content, row_order) from ``pages`` with all their chunks: header, the url as text, the html in data chunks of up
+    to 4,096 bytes, and the end.  Of six files one each is cut short, has a wrong checksum in its last data chunk, has bytes
+    after its end, is no PNG, or lacks the end chunk."""
+    pg = table(spark, sf_dir, "pages")
+    n, kind = F.col("page_id"), F.pmod(F.col("page_id"), F.lit(6))
+    data, url = F.coalesce(F.col("html"), F.lit("")).cast("binary"), F.coalesce(F.col("url"), F.lit("")).cast("binary")
+    number = lambda value: F.lpad(F.hex(value.cast("long")), 8, "0")
+
+    def chunk(name: str, body, wrong=F.lit(0)):
+        typed = F.concat(F.lit(name).cast("binary"), body)
+        return F.concat(number(F.octet_length(body)), F.hex(typed), number(F.crc32(typed).bitwiseXOR(wrong.cast("long"))))
+
+    pieces = F.greatest(F.ceil(F.octet_length(data) / F.lit(4096)), F.lit(1)).cast("int")
+    last = lambda i: F.when((i == pieces - 1) & (kind == 2), F.lit(1)).otherwise(F.lit(0))
+    body = F.array_join(F.transform(F.sequence(F.lit(0), pieces - 1), lambda i: chunk("IDAT", data.substr(i * 4096 + 1, F.lit(4096)), last(i))), "")
+    header = F.unhex(F.concat(number(n % 640 + 1), number(n % 480 + 1), F.lit("0802000000")))
+    start = F.concat(F.lit("89504E470D0A1A0A"), chunk("IHDR", header), chunk("tEXt", url), body)
+    whole = F.concat(start, chunk("IEND", F.lit("").cast("binary")))
+    content = (F.when(kind == 1, F.expr("substring(w, 1, length(w) - 10)")).when(kind == 3, F.concat(F.col("w"), F.lit("00FF00"))).when(kind == 4, F.hex(data))
+               .when(kind == 5, F.expr("substring(w, 1, length(w) - 24)")).otherwise(F.col("w")))
+    return pg.withColumn("w", whole).select(F.concat(F.lit("/images/"), n.cast("string"), F.lit(".png")).alias("path"), F.unhex(content).alias("content"), n.alias("row_order"))
+
+
 def netcdf_grids(spark: SparkSession, sf_dir: str, steps: int = 10) -> DataFrame:
     """Grid files to be (name, slabs) from ``array_grid``: ``steps`` consecutive one-step files become one file
     with a time axis; a variable that a step lacks is missing there."""

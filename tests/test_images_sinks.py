@@ -100,7 +100,7 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
             "records_by_month", "monthly_patterns", "distance_histogram", "map_center", "grid", "grid_profile", "grid_plankton_summary",
             "grid_env_summary", "grid_daily_abundance", "grid_positive_scaled", "catch_rejects", "catch_joined", "catch_summary",
             "top_species", "raster_cells", "raster_grid", "raster_stats", "raster_wide", "image_catalog", "image_counts", "image_gallery",
-            "image_overlays", "binned_features", "aligned_correlation", "feature_encodings", "model", "model_summary", "model_importance",
+            "image_overlays", "image_integrity", "binned_features", "aligned_correlation", "feature_encodings", "model", "model_summary", "model_importance",
             "report"} == set(out)
     for name, df in out.items():
         if name not in ("model", "model_importance", "catch_rejects", "grid_positive_scaled"):   # no forest, rejects or positive values here
@@ -204,3 +204,26 @@ def test_capture_codes_nan_and_rejects(spark, tmpdir_path):
     _write(missing, "SPECIES.ALPHA_3_CODE,AREA.CODE,PERIOD\nBSH,27,2000\n")
     with pytest.raises(ValueError, match="VALUE"):
         read_capture(spark, missing)
+
+
+def chunked_png(*bodies, name=b"IDAT"):
+    chunk = lambda t, b: struct.pack(">I", len(b)) + t + b + struct.pack(">I", zlib.crc32(t + b))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 9, 8, 8, 2, 0, 0, 0)) + b"".join(chunk(name, b) for b in bodies) + chunk(b"IEND", b"")
+
+
+def test_chunk_walk_names_what_is_wrong(spark):
+    whole = chunked_png(b"a" * 1000, b"", b"b" * 70_000)
+    flips = {i: whole[:i] + bytes([whole[i] ^ 4]) + whole[i + 1:] for i in (0, 20, 29, 60, 40_000, len(whole) - 2)}
+    huge = whole[:33] + b"\xff\xff\xff\xff" + whole[37:]
+    cases = {"ok": (whole, "ok", 5, None), "none": (None, "not_png", 0, None), "empty": (b"", "not_png", 0, None), "sig": (whole[:8], "truncated", 0, None),
+             "cut": (whole[:-1], "truncated", 4, None), "half": (whole[:500], "truncated", 1, None), "tail": (whole + b"x", "trailing", 5, None),
+             "flip0": (flips[0], "not_png", 0, None), "flip20": (flips[20], "damaged", 0, "IHDR"), "flip29": (flips[29], "damaged", 0, "IHDR"),
+             "flip60": (flips[60], "damaged", 1, "IDAT"), "flip40000": (flips[40_000], "damaged", 3, "IDAT"), "crc": (flips[len(whole) - 2], "damaged", 4, "IEND"),
+             "huge": (huge, "truncated", 1, None), "noheader": (b"\x89PNG\r\n\x1a\n" + whole[33:], "damaged", 0, "IDAT"), "html": (b"<html>" * 9, "not_png", 0, None),
+             "many": (chunked_png(*[b""] * 5000), "ok", 5002, None)}
+    files = spark.createDataFrame([(f"/i/{k}.png", None if v[0] is None else bytearray(v[0])) for k, v in cases.items()], "path string, content binary")
+    got = {r.path[3:-4]: (r.status, r.n_chunks, r.bad_chunk) for r in images.integrity(files).collect()}
+    assert got == {k: v[1:] for k, v in cases.items()}
+    kept = {r.name for r in images.catalog(files, whole=True).collect()}
+    assert kept == {k for k, v in cases.items() if v[1] in images.READABLE}
+    assert images.integrity(files.limit(0)).count() == 0
