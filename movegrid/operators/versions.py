@@ -83,9 +83,18 @@ class Export:
     version: int | None = None
     tables: dict = field(default_factory=dict)
 
+    def carry(self, version: int | None = None) -> Export:
+        """Take the tables of the last version (or another) over into this one, without copying them; a table written anew replaces its own."""
+        store = Store(self.spark, self.root)
+        known = numbers(store)
+        if known:
+            for r in self.spark.read.schema(MANIFEST).json(f"{store.root}/{_manifest(version or known[-1])}").collect():
+                self.tables[r["table"]] = r["folder"], r["format"]
+        return self
+
     def folder(self, table: str, fmt: str = "parquet") -> str:
         """Where to write a table of this export; to be written once, in the format given."""
-        if table in self.tables or "/" in table or not table:
+        if self.tables.get(table, ("",))[0].startswith(f"versions/{self.commit}/") or "/" in table or not table:
             raise ValueError(f"table {table!r} is named twice or can't be a folder")
         self.tables[table] = f"versions/{self.commit}/{table}", fmt
         return f"{self.root.rstrip('/')}/{self.tables[table][0]}"
@@ -140,20 +149,17 @@ def drop_old(spark: SparkSession, root: str, keep: int = 2, grace_hours: float =
     if keep < 1:
         raise ValueError("the last version can't be dropped")
     store = Store(spark, root)
-    known, commits = numbers(store), {}
-    for n in known:
-        first = spark.read.schema(MANIFEST).json(f"{store.root}/{_manifest(n)}").select("commit").head()
-        commits[n] = first["commit"] if first else None
-    gone = []
+    known = numbers(store)
+    named = {(r["version"], r["folder"].split("/")[1]) for r in history(spark, root).select("version", "folder").distinct().collect()}
+    last, gone, now = set(known[-keep:]), [], time.time()
     for n in known[:-keep]:
         store.drop(_manifest(n))
-        gone.append(commits.pop(n))
-    held, now = set(commits.values()), time.time()
+    held, dropped = {c for n, c in named if n in last}, {c for n, c in named if n not in last}
     for name, changed in store.names("versions").items():
-        if name in gone or name not in held and now - changed > grace_hours * 3600:
+        if name not in held and (name in dropped or now - changed > grace_hours * 3600):
             store.drop(f"versions/{name}")
-            gone.append(name)
-    return sorted({f"versions/{name}" for name in gone if name})
+            gone.append(f"versions/{name}")
+    return sorted(gone)
 
 
 def replace(spark: SparkSession, path: str, write) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from movegrid.functions import resolve
 from movegrid.functions.ordering import arithmetic_hash
 from movegrid.functions.temporal import with_grid_calendar
-from movegrid.operators import grids
+from movegrid.operators import grids, states
 from movegrid.plans.common import rounded
 from movegrid.session import work_folder
 from movegrid.sources import files as file_src
@@ -79,6 +79,15 @@ def q_grid_positive_scaled(spark, sf_dir):
     return rounded(grids.positive_scaled(grid_points(spark, sf_dir)), {"scaled": 12})
 
 
+def q_grid_daily_abundance_incremental(spark, sf_dir):
+    """AGG-19 from the states of three grid files that came one by one."""
+    gp, columns = grid_points(spark, sf_dir), ["acartia_abundance", "calanus_abundance", "metridia_abundance"]
+    table = states.StateTable(spark, work_folder(spark, "states"))
+    for flag in FILE_VARIABLES:
+        states.add_grid(table, f"grid_{flag}.nc", gp.where(F.col("file_source") == f"grid_{flag}.nc"), columns)
+    return rounded(states.mean_by_time(table, columns), dict.fromkeys(columns, 10))
+
+
 def netcdf_files(spark, sf_dir):
     """The stand-in grid written as NetCDF files; the folder."""
     folder = work_folder(spark, "netcdf")
@@ -120,6 +129,7 @@ QUERIES = {
     "grid_daily_abundance": q_grid_daily_abundance,
     "grid_sample": q_grid_sample,
     "grid_positive_scaled": q_grid_positive_scaled,
+    "grid_daily_abundance_incremental": q_grid_daily_abundance_incremental,
     "grid_netcdf": q_grid_netcdf,
     "grid_netcdf_cells": q_grid_netcdf_cells,
     "grid_files": q_grid_files,
@@ -224,6 +234,10 @@ SELECT count(*) AS total_records, count(DISTINCT file_source) AS unique_files, 3
     "grid_daily_abundance": _sql("""
 SELECT time, round(avg(acartia_abundance), 10) AS acartia_abundance,
        round(avg(calanus_abundance), 10) AS calanus_abundance, round(avg(metridia_abundance), 10) AS metridia_abundance
+FROM gp GROUP BY time"""),
+    "grid_daily_abundance_incremental": _sql("""
+SELECT time, round(avg(acartia_abundance), 10) AS acartia_abundance,
+       round(avg(calanus_abundance), 10) AS calanus_abundance, round(avg(metridia_abundance), 10) AS metridia_abundance
 FROM gp GROUP BY time"""),
     "grid_sample": _sql("""
 SELECT time, latitude, longitude, acartia_abundance, calanus_abundance, metridia_abundance, temperature, salinity,

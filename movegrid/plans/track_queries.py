@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from movegrid.operators import areas, profiles, tracks
+from movegrid.operators import areas, profiles, states, tracks
 from movegrid.plans.common import rounded
+from movegrid.session import work_folder
 from movegrid.sources.standins import area_boxes, area_rings, track_points, track_text
 from movegrid.sources.tracks import date_text_profile, parse_tracks
 
@@ -143,7 +144,31 @@ def q_fixes_by_polygon(spark, sf_dir):
     return areas.count_in_areas(track_points(spark, sf_dir), area_rings(spark, sf_dir), "area_id", ring="ring")
 
 
+def track_days(spark, sf_dir):
+    """States of four files of fixes, taken in one after the other: a week each, but the fixes of every tenth id are dealt by
+    number, so that their files overlap."""
+    fixes = track_points(spark, sf_dir)
+    week = F.least(F.floor((F.dayofmonth("Date") - 1) / F.lit(7)), F.lit(3))
+    source = F.when(F.col("id") % 10 == 0, F.col("row_order") % 4).otherwise(week)
+    table = states.StateTable(spark, work_folder(spark, "states"))
+    for n in range(4):
+        states.add_tracks(table, f"file-{n}", fixes.where(source == n))
+    return states.track_days(table, lambda ids: fixes.join(ids, "id", "left_semi"))
+
+
+def q_track_summary_incremental(spark, sf_dir):
+    """AGG-5 from the states of files that came one by one."""
+    return states.summary_report(track_days(spark, sf_dir))
+
+
+def q_monthly_patterns_incremental(spark, sf_dir):
+    """AGG-20/21 likewise."""
+    return rounded(states.monthly_patterns(track_days(spark, sf_dir)), {"avg_distance": 6, "avg_speed": 6})
+
+
 QUERIES = {
+    "track_summary_incremental": q_track_summary_incremental,
+    "monthly_patterns_incremental": q_monthly_patterns_incremental,
     "fixes_by_area": q_fixes_by_area,
     "fixes_by_polygon": q_fixes_by_polygon,
     "track_overview": q_track_overview,
@@ -359,6 +384,10 @@ FROM cl GROUP BY "Date\""""),
 SELECT date_trunc('day', "Date") AS "Date", round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed,
        round(avg(Latitude), 10) AS avg_lat, round(avg(Longitude), 10) AS avg_lon
 FROM cl GROUP BY 1"""),
+    "track_summary_incremental": _sql("SELECT * FROM srep"),
+    "monthly_patterns_incremental": _sql("""
+SELECT month, count(*) AS n_records, round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed, count(DISTINCT id) AS n_ids
+FROM cl GROUP BY month"""),
     "records_by_month": _sql("SELECT month, count(*) AS n_records FROM cl GROUP BY month"),
     "monthly_patterns": _sql("""
 SELECT month, round(avg(distance), 6) AS avg_distance, round(avg(speed), 6) AS avg_speed, count(DISTINCT id) AS n_ids
