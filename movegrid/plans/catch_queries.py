@@ -3,11 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from movegrid.operators import catch, raster
-from movegrid.params import AREA_BOUNDS, ELASMOBRANCH_KEYWORDS
+from movegrid.operators import catch, keywords, raster
+from movegrid.params import AREA_BOUNDS, ELASMOBRANCH_KEYWORDS, SPECIES_SEARCH_COLUMNS
 from movegrid.plans.common import rounded
 from movegrid.sources.catch import capture_rejects, parse_capture
-from movegrid.sources.standins import NATION_AREA_CODES, area_dim, catch_facts, catch_text, species_dim
+from movegrid.sources.standins import NATION_AREA_CODES, area_dim, catch_facts, catch_text, keyword_table, species_dim
 
 RESOLUTION = 5.0
 
@@ -28,6 +28,12 @@ def q_species_match(spark, sf_dir):
     return matched(spark, sf_dir)
 
 
+def q_species_keyword_hits(spark, sf_dir):
+    """FIL-7 with keywords as a table: which keyword is in the names of which species."""
+    found = keywords.hits(species_dim(spark, sf_dir), "species_code", SPECIES_SEARCH_COLUMNS, keyword_table(spark, sf_dir))
+    return found.select(F.col("id").alias("species_code"), "keyword")
+
+
 def q_species_codes(spark, sf_dir):
     """ORD-6: the matched species codes in order."""
     return matched(spark, sf_dir).select("species_code").orderBy("species_code")
@@ -93,6 +99,7 @@ def q_raster_unallocated(spark, sf_dir):
 
 QUERIES = {
     "species_match": q_species_match,
+    "species_keyword_hits": q_species_keyword_hits,
     "species_codes": q_species_codes,
     "catch_parsed": q_catch_parsed,
     "catch_rejects": q_catch_rejects,
@@ -196,6 +203,10 @@ _wide_cols = ",\n  ".join(
 
 ORACLE = {
     "species_match": _sql("SELECT * FROM ms"),
+    "species_keyword_hits": _sql(f"""
+, kw AS (SELECT unnest({ELASMOBRANCH_KEYWORDS}) AS keyword UNION SELECT 'Brand#' || CAST(c_custkey AS VARCHAR) FROM customer)
+SELECT DISTINCT species_code, keyword
+FROM (SELECT species_code, unnest([{", ".join(SPECIES_SEARCH_COLUMNS)}]) AS t FROM sp) JOIN kw ON contains(lower(t), lower(keyword))"""),
     "species_codes": _sql("SELECT species_code FROM ms ORDER BY species_code"),
     "catch_parsed": _sql("""
 SELECT CAST(species_code AS VARCHAR) AS species_code, CASE WHEN row_order % 3 = 0 OR row_order % 50 <> 1 THEN area_code END AS area_code,

@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from movegrid.operators import areas, profiles, states, tracks
+from movegrid.operators import areas, profiles, pyramid, states, tracks
 from movegrid.plans.common import rounded
 from movegrid.session import work_folder
 from movegrid.sources.standins import area_boxes, area_rings, track_points, track_text
+from movegrid.sources import infer
 from movegrid.sources.tracks import date_text_profile, parse_tracks
 
 
@@ -166,7 +167,34 @@ def q_monthly_patterns_incremental(spark, sf_dir):
     return rounded(states.monthly_patterns(track_days(spark, sf_dir)), {"avg_distance": 6, "avg_speed": 6})
 
 
+def q_density_pyramid(spark, sf_dir):
+    """AGG-25 at every zoom from the globe to 512 by 512 cells, with the spread over neighbours."""
+    return pyramid.density_pyramid(track_points(spark, sf_dir), depth=9)
+
+
+def track_files(spark, sf_dir):
+    """The tracks' text written as CSV files of two headers; the folder."""
+    text, folder, n = track_text(spark, sf_dir), work_folder(spark, "csv"), F.col("row_order")
+    text.where(n % 2 == 0).select("id", "Date", "Latitude", "Longitude", "note").write.option("header", True).csv(f"{folder}/a")
+    text.where(n % 2 == 1).select("Longitude", "id", n.alias("depth"), "Date").write.option("header", True).csv(f"{folder}/b")
+    return folder
+
+
+def q_track_types(spark, sf_dir):
+    """SRC-1: types of the columns of files whose headers differ, folded file by file and merged."""
+    rows = infer.read_text(spark, track_files(spark, sf_dir))
+    return infer.types(infer.merged(infer.profile(rows, "file")))
+
+
+def q_track_inferred(spark, sf_dir):
+    """The same files read as one typed table."""
+    return infer.read(spark, track_files(spark, sf_dir), file_column=None).select("id", "Latitude", "Longitude", "note", "depth")
+
+
 QUERIES = {
+    "density_pyramid": q_density_pyramid,
+    "track_types": q_track_types,
+    "track_inferred": q_track_inferred,
     "track_summary_incremental": q_track_summary_incremental,
     "monthly_patterns_incremental": q_monthly_patterns_incremental,
     "fixes_by_area": q_fixes_by_area,
@@ -259,6 +287,32 @@ def _sql(body: str) -> str:
 
 _IN_AREA = 'SELECT area_id, count(*) AS n_points, count(DISTINCT id) AS n_ids, min("Date") AS first_time, max("Date") AS last_time'
 ORACLE = {
+    "density_pyramid": _sql("""
+, c9 AS (
+  SELECT CAST(greatest(0, least(floor((Longitude + 180) / 360 * 512), 511)) AS BIGINT) AS x, CAST(greatest(0, least(floor((Latitude + 90) / 180 * 512), 511)) AS BIGINT) AS y
+  FROM tp WHERE Latitude IS NOT NULL AND Longitude IS NOT NULL),
+lv AS (SELECT zoom, x >> (9 - zoom) AS x, y >> (9 - zoom) AS y, count(*) AS n FROM c9, (SELECT unnest(range(0, 10)) AS zoom) GROUP BY ALL),
+sh AS (
+  SELECT zoom, ((x + dx) % (1 << zoom) + (1 << zoom)) % (1 << zoom) AS x, greatest(0, least(y + dy, (1 << zoom) - 1)) AS y,
+         n * (2 - abs(dx)) * (2 - abs(dy)) AS share, CASE WHEN dx = 0 AND dy = 0 THEN n ELSE 0 END AS own
+  FROM lv, (SELECT unnest([-1, 0, 1]) AS dx), (SELECT unnest([-1, 0, 1]) AS dy))
+SELECT CAST(zoom AS INTEGER) AS zoom,
+       CAST(list_sum(list_transform(range(0, 9), lambda i: ((x >> i) & 1) * (1 << (2 * i)) + ((y >> i) & 1) * (1 << (2 * i + 1)))) AS BIGINT) AS cell,
+       CAST(sum(own) AS BIGINT) AS n_points, sum(share) / CAST(16 AS DOUBLE) AS density,
+       (y + CAST(0.5 AS DOUBLE)) / (1 << zoom) * 180 - 90 AS lat, (x + CAST(0.5 AS DOUBLE)) / (1 << zoom) * 360 - 180 AS lon
+FROM sh GROUP BY zoom, x, y"""),
+    "track_types": _sql("""
+SELECT 'id' AS column, 'whole' AS type, count(*) AS n_rows, count(id) AS n_given FROM tp
+UNION ALL SELECT 'Date', 'text', count(*), count(*) FROM tp
+UNION ALL SELECT 'Latitude', 'number', count(*), count(*) FILTER (WHERE row_order % 2 = 0 AND row_order % 40 <> 0 AND Latitude IS NOT NULL) FROM tp
+UNION ALL SELECT 'Longitude', 'text', count(*), count(*) FROM tp
+UNION ALL SELECT 'note', 'text', count(*), count(*) FILTER (WHERE row_order % 2 = 0) FROM tp
+UNION ALL SELECT 'depth', 'whole', count(*), count(*) FILTER (WHERE row_order % 2 = 1) FROM tp"""),
+    "track_inferred": _sql("""
+SELECT id, CASE WHEN row_order % 2 = 0 AND row_order % 40 <> 0 THEN Latitude END AS Latitude,
+       CASE WHEN row_order % 30 = 0 THEN 'east' ELSE CAST(Longitude AS VARCHAR) END AS Longitude,
+       CASE WHEN row_order % 2 = 0 THEN 'n' || CAST(row_order AS VARCHAR) END AS note, CASE WHEN row_order % 2 = 1 THEN row_order END AS depth
+FROM tp"""),
     "fixes_by_area": _sql(f"""
 , bx AS (
   SELECT c_custkey AS area_id, CAST(49.9007 AS DOUBLE) + CAST(0.0331 AS DOUBLE) * (c_custkey % 151) AS y, CAST(0.9011 AS DOUBLE) + CAST(0.0271 AS DOUBLE) * (c_custkey % 163) AS x,

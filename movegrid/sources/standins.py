@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from movegrid.params import ELASMOBRANCH_KEYWORDS
+
 # FIXED VALUES — area code given to nation keys 0..20 (21..24 map to key - 20, unknown areas)
 NATION_AREA_CODES = [18, 21, 27, 31, 34, 37, 41, 47, 48, 51, 57, 58, 61, 67, 71, 77, 81, 87, 88, 98, 99]
 
@@ -126,6 +128,12 @@ def species_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords (keyword): the fixed list, and a brand's name for every customer number, most of which no species has."""
+    fixed = spark.createDataFrame([(k,) for k in ELASMOBRANCH_KEYWORDS], "keyword string")
+    return fixed.unionByName(table(spark, sf_dir, "customer").select(F.concat(F.lit("Brand#"), F.col("c_custkey").cast("string")).alias("keyword")))
+
+
 def area_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Water-area dimension from nation x region."""
     n = table(spark, sf_dir, "nation")
