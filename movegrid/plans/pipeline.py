@@ -18,7 +18,7 @@ from movegrid.operators import catch, features, grids, images, model, profiles,
 from movegrid.params import ELASMOBRANCH_KEYWORDS, NORTH_SEA_AREA
 from movegrid.plans import report
 from movegrid.sources import catch as catch_src
-from movegrid.sources import files
+from movegrid.sources import files as file_src
 from movegrid.sources import grids as grid_src
 from movegrid.sources import images as image_src
 from movegrid.sources import netcdf
@@ -94,7 +94,7 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     if cfg.grid_path:
         if cfg.grid_format == "netcdf":
             slabs = netcdf.read_slabs(spark, cfg.grid_path)
-            out["grid_status"] = netcdf.status(netcdf.plan(files.listing(spark, cfg.grid_path, files.GRID_PATTERN)))
+            out["grid_status"] = netcdf.status(netcdf.plan(file_src.listing(spark, cfg.grid_path, file_src.GRID_PATTERN)))
         else:
             slabs = grid_src.read_array_slabs(spark, cfg.grid_path, cfg.grid_format)
             out["grid_status"] = grid_src.slab_status(spark, cfg.grid_path, cfg.grid_format)

@@ -10,6 +10,7 @@ _MODULES = [
     "movegrid.plans.feature_queries",
     "movegrid.plans.image_queries",
     "movegrid.plans.report_queries",
+    "movegrid.plans.run_queries",
 ]
 
 

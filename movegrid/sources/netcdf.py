@@ -31,6 +31,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, datasource as ds, functions as F
 
 from movegrid.functions import resolve
+from movegrid.sources.files import GRID_PATTERN, listing, target, write_whole
 
 # FIXED VALUES — external types of the format by number, and the tags of the header's lists
 TYPES = {1: "i1", 2: "S1", 3: ">i2", 4: ">i4", 5: ">f4", 6: ">f8", 7: "u1", 8: ">u2", 9: ">u4", 10: ">i8", 11: ">u8"}
@@ -289,8 +290,7 @@ def block(f, variables: dict[str, Variable], name: str, lo: int, hi: int, inner_
 
 def opened(path: str):
     """(file, length) at a path or URI; the file can seek, and is read by range."""
-    uri = re.sub(r"^file:/+", "file:///", path) if path.startswith("file:") else path
-    fs, place = pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+    fs, place = target(path)
     return fs.open_input_file(place), fs.get_file_info(place).size
 
 
@@ -365,8 +365,6 @@ def read_slabs(spark: SparkSession, path: str | list[str], pattern: str | None =
     The headers are read once to count ranges, and again to list them; then a task takes about ``cells`` values at a time.
     What can't be read of a file is passed over; ``status`` of ``plan`` names such files.
     """
-    from movegrid.sources.files import GRID_PATTERN, listing
-
     files = listing(spark, path, pattern or GRID_PATTERN)
     n = files.count()
     planned = plan(spread(files, min(n, 10_000)), variables, bounds, cells)
@@ -444,11 +442,11 @@ class NetcdfReader(ds.DataSourceReader):
             yield one
 
     def files(self) -> list[str]:
-        uri = self.path if "://" in self.path else re.sub(r"^file:/*", "file:///", self.path) if self.path.startswith("file:") else f"file://{self.path}"
-        fs, place = pafs.FileSystem.from_uri(uri)
+        fs, place = target(self.path)
         if fs.get_file_info(place).type == pafs.FileType.File:
             return [self.path]
-        head = uri[:len(uri) - len(place)] if uri.endswith(place) else "file://"
+        uri = self.path if "://" in self.path else f"file://{place}"
+        head = uri[:len(uri.rstrip("/")) - len(place.rstrip("/"))]
         found = fs.get_file_info(pafs.FileSelector(place, recursive=True))
         return sorted(head + i.path for i in found if i.type == pafs.FileType.File and i.path.lower().endswith((".nc", ".nc4", ".netcdf")))
 
@@ -552,12 +550,8 @@ def write_files(files: DataFrame, folder: str, version: int = 2) -> DataFrame:
     """Write a file per row of ``files`` (name, slabs: array of (variable, time, lat, lon, values), all on one grid) under ``folder``;
     gives (path, length).  A file is written under a temporary name and moved, so a repeated task leaves it whole.  It is the
     caller's to see that a row, which is a file, fits a task."""
-    target = re.sub(r"^file:/+", "file:///", folder) if folder.startswith("file:") else folder
-
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        fs, root = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+        fs, root = target(folder)
         fs.create_dir(root, recursive=True)
         for batch in it:
             for i in range(batch.num_rows):
@@ -565,10 +559,7 @@ def write_files(files: DataFrame, folder: str, version: int = 2) -> DataFrame:
                 slabs = sorted(batch.column("slabs")[i].as_py(), key=lambda s: s["variable"])
                 micros = lambda t: int(np.datetime64(t, "us").astype(np.int64))
                 data = encode_file([(s["variable"], [micros(t) for t in s["time"]], s["lat"], s["lon"], [np.nan if v is None else v for v in s["values"]]) for s in slabs], version)
-                temp = f"{root}/.{name}.{TaskContext.get().taskAttemptId()}"
-                with fs.open_output_stream(temp) as out:
-                    out.write(data)
-                fs.move(temp, f"{root}/{name}")
+                write_whole(fs, root, name, data)
                 yield pa.RecordBatch.from_arrays([pa.array([f"{folder.rstrip('/')}/{name}"]), pa.array([len(data)], pa.int64())], ["path", "length"])
 
     return files.select("name", "slabs").mapInArrow(run, "path string, length long")
