@@ -6,8 +6,10 @@ them.  Vectors are indexed under their bucket of every table; a query probes, in
 the ``probes`` buckets whose axes lie closest to it.  Buckets hand on exact inner products of
 the original vectors, the best ``top`` per query, and the best over all buckets are the result.
 
-Buckets are dealt in chunks of about ``CHUNK`` vectors (a hot bucket becomes many tasks' work,
-and its queries visit each chunk), so a task holds one chunk and a stream of queries.  Of equal
+Buckets are dealt in chunks of about ``CHUNK`` vectors or ``CHUNK_BYTES`` (a hot bucket becomes many tasks' work,
+and its queries visit each chunk), so a task holds one chunk and a stream of queries.  Ties are scored in
+slices of ``TIED_BYTES``.  Vectors are scaled by powers of two before they are multiplied, which changes no digit, so
+that products of large components don't overflow on the way.  Of equal
 vectors only the ``top + 1`` smallest ids are indexed: no query can return another of them.
 Equal queries are searched once.
 
@@ -27,7 +29,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import batches, materialize, rows_of, ship
 
 SEED = 20240101
-CHUNK = 16_384
+CHUNK = 16_384       # vectors of a chunk, if they are no more than
+CHUNK_BYTES = 8 << 20
+TIED_BYTES = 16 << 20
 QUERIES = 64         # queries matched with a chunk at once
 BLOCK = 2_048        # vectors of a chunk, and queries of a block, of the exact search
 SLACK = 1e-9         # covers the rounding of the matrix product before scores are made anew
@@ -107,25 +111,35 @@ def spread(rows: DataFrame, tables: int, hashes: int, probes: int) -> DataFrame:
     return rows.mapInArrow(run, "dim int, part int, bucket long, id long, vec binary")
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with their largest component from 1/2 to 1, and the powers of two taken out."""
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -power[:, None]), power
+
+
 def best_of(ids: np.ndarray, vecs: np.ndarray, queries: np.ndarray, top: int) -> Iterator[tuple[int, list[tuple[int, float]]]]:
     """Per query, the ``top`` vectors of a chunk by exact score, ties to smaller ids.
 
     The matrix product only preselects, with slack; scores are then summed vector by vector in
     one order, so that equal vectors score equally wherever they lie.
     """
-    near = queries @ vecs.T
-    if len(ids) > top:
-        least = np.partition(near, len(ids) - top, axis=1)[:, len(ids) - top, None]
-        at, of = np.nonzero(near >= least - SLACK * (1 + np.abs(least)))
-    else:
-        at, of = np.nonzero(np.ones(near.shape, bool))
-    score = (queries[at] * vecs[of]).sum(axis=1)
-    order = np.lexsort((ids[of], -score, at))
-    at, of, score = at[order], of[order], score[order]
-    cut = np.searchsorted(at, np.arange(len(queries) + 1))
-    for q in range(len(queries)):
-        some = slice(cut[q], min(cut[q + 1], cut[q] + top))
-        yield q, list(zip(ids[of[some]].tolist(), score[some].tolist()))
+    (queries, up), (vecs, high) = scaled(queries), scaled(vecs)
+    power = up[:, None] + high[None, :]
+    with np.errstate(over="ignore", invalid="ignore"):
+        near = np.ldexp(queries @ vecs.T, power)
+        if len(ids) > top:
+            least = np.partition(near, len(ids) - top, axis=1)[:, len(ids) - top, None]
+            slack = np.ldexp(SLACK, power)
+            keep = ~(near + slack < least - np.where(near >= least, slack, 0).max(axis=1, keepdims=True))     # not a number: kept
+        else:
+            keep = np.ones(near.shape, bool)
+        step = max(1, TIED_BYTES // (8 * vecs.shape[1]))
+        for q in range(len(queries)):
+            of = np.flatnonzero(keep[q])
+            score = np.concatenate([(queries[q] * vecs[of[i:i + step]]).sum(axis=1) for i in range(0, len(of), step)])
+            score = np.ldexp(score, power[q, of])
+            order = np.lexsort((ids[of], -score))[:top]
+            yield q, list(zip(ids[of[order]].tolist(), score[order].tolist()))
 
 
 def match(dealt: DataFrame, top: int) -> DataFrame:
@@ -235,7 +249,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, top: int = 20, tables: int =
     once = asked.groupBy("vec").agg(F.min("vec_id").alias("id")).select("id", "vec")
     index = spread(rows, tables, hashes, 1)
     place = ["dim", "part", "bucket"]
-    sizes = index.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("salts"))
+    sizes = index.groupBy(*place).agg(F.ceil(F.count(F.lit(1)) / F.least(F.lit(CHUNK), F.greatest(F.lit(1), F.floor(F.lit(CHUNK_BYTES // 8) / F.max("dim"))))).cast("int").alias("salts"))
     held = index.join(sizes, place).select(*place, F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(0).alias("kind"), "id", "vec")
     visits = spread(once, tables, hashes, probes).join(sizes, place).select(
         *place, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(1).alias("kind"), "id", "vec")

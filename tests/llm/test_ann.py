@@ -94,3 +94,56 @@ def test_exact_search_alone_is_brute_force_with_ties_and_copies(spark, monkeypat
     pairs = list(enumerate(x + [x[0]] * 12 + [x[1]] * 3))
     queries = {0, 1, 2, 40, 41, 52, 30}
     assert found(spark, pairs, queries, top=50, tables=1, probes=1)[0] == brute(pairs, queries, 50)
+
+
+def test_huge_and_tiny_components_lose_no_row(spark):
+    rng = np.random.default_rng(6)
+    ddl = "vec_id long, embedding array<double>"
+    for scale in (1e200, 1e-200, 1e307):
+        x = rng.normal(size=(60, 4)) * scale
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], ddl)
+        got = rows(ann.nearest(df, df.filter("vec_id < 3"), 20).select("query_id", "vec_id", "score"))
+        assert sorted({q: sum(1 for r in got if r[0] == q) for q, *_ in got}.items()) == [(0, 20), (1, 20), (2, 20)]
+        y = x / scale
+        with np.errstate(over="ignore"):
+            sums = (y[:3] @ y.T) * scale * scale
+        for q, j, s in got:
+            assert s == sums[q, j] or abs(s - sums[q, j]) <= 1e-9 * abs(sums[q, j]) or scale < 1e-100
+        want = {q: sorted((-round(sums[q, j], 12) if np.isfinite(sums[q, j]) and scale > 1 else -sums[q, j], j) for j in range(60) if j != q)[:20] for q in range(3)}
+        if scale > 1:        # products beyond a double's range are infinite and tie
+            assert {q: [j for a, j, _ in sorted(((-s, j, a) for a, j, s in got if a == q))] for q in range(3)} == {q: [j for _, j in v] for q, v in want.items()}
+
+
+def test_vectors_of_mixed_size_are_ranked_exactly():
+    rng = np.random.default_rng(8)
+    vecs = rng.normal(size=(400, 8)) * 10.0 ** rng.integers(-160, 150, (400, 1))
+    queries = rng.normal(size=(5, 8)) * 10.0 ** rng.integers(-100, 100, (5, 1))
+    for q, found in ann.best_of(np.arange(400), vecs, queries, 15):
+        exact = sorted(((-float((queries[q] * v).sum()), i) for i, v in enumerate(vecs)))[:15]
+        assert [i for i, _ in found] == [i for _, i in exact]
+
+
+def test_ties_are_scored_in_slices_of_bounded_size():
+    import tracemalloc
+    vecs = (np.random.default_rng(2).random((16_384, 768)) < 0.5).astype(float)
+    queries = np.eye(64, 768)
+    tracemalloc.start()
+    out = dict(ann.best_of(np.arange(16_384), vecs, queries, 21))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * vecs.nbytes and all([i for i, _ in v] == np.flatnonzero(vecs[:, q])[:21].tolist() for q, v in out.items())
+
+
+def test_recall_on_embeddings(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    held = sorted((r["vec_id"], r["embedding"]) for r in df.collect())
+    ids, x = [i for i, _ in held], np.array([v for _, v in held], float)
+    got = {}
+    for q, j in rows(ann.nearest(df, df.filter("vec_id % 20 = 0"), 20).select("query_id", "vec_id")):
+        got.setdefault(q, set()).add(j)
+    hit = 0
+    for q in got:
+        s = x @ x[ids.index(q)]
+        near = [ids[k] for k in sorted(range(len(ids)), key=lambda k: (-s[k], ids[k])) if ids[k] != q]
+        hit += len(got[q] & set(near[:20]))
+    assert len(got) == sum(i % 20 == 0 for i in ids) and hit / (20 * len(got)) >= 0.95
