@@ -1,6 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
-Writing.  Records are range-sorted by (id, payload digest) so that every task holds one range.
+Writing.  Records are range-sorted by (id, payload digest) into shards whose bounds are exact quantiles of all
+records, so the files depend on the records and the number of shards only, not on how the input is laid out.
 A payload that an earlier id has already is written as a ``revisit`` without its bytes.  Which
 rows are revisits is found on (id, digest) alone: the first id per digest is a pre-aggregated
 minimum, and the join with it is a plain sort-merge join that Spark may split at hot digests.
@@ -30,6 +31,7 @@ from .common import batches, rows_of, ship
 
 DATE = "2024-01-01T00:00:00Z"     # fixed: two runs over the same rows give the same bytes
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+READ_BYTES = 8 << 20       # stored bytes of files that a reading task takes, if a file is no larger
 MANIFEST = pa.schema([("file", pa.string()), ("records", pa.int64()), ("revisits", pa.int64()), ("first_id", pa.int64()),
                       ("last_id", pa.int64()), ("stored_bytes", pa.int64()), ("sha256", pa.string())])
 MANIFEST_DDL = "file string, records long, revisits long, first_id long, last_id long, stored_bytes long, sha256 string"
@@ -120,6 +122,31 @@ class Shard:
         return f"{self.folder}/{self.name}", self.records, self.revisits, self.first, self.last, self.size, self.hash.hexdigest()
 
 
+def order_key() -> Column:
+    """(page_id, digest) as one value to compare; null ids are least."""
+    return F.struct(F.col("page_id").isNotNull().alias("some"), F.coalesce("page_id", F.lit(0).cast("long")).alias("id"), F.col("digest").alias("digest"))
+
+
+def shard_bounds(keys: DataFrame, shards: int) -> list:
+    """The keys that begin the second shard and those after it: exact quantiles of all rows in order of their key, so that they
+    depend on the rows alone, not on how they are laid out.  At most ``shards`` rows reach the driver."""
+    from movegrid.functions.ordering import with_global_index      # on the driver only: workers have this subpackage alone
+
+    placed = with_global_index(keys.select(order_key().alias("key")), [F.col("key")], "place")
+    n = placed.count()
+    step = max(1, -(-n // shards))
+    first = placed.filter((F.col("place") > 0) & (F.col("place") % step == 0)).select("place", "key").orderBy("place")
+    return [r["key"] for r in first.collect()]
+
+
+def shard_of(bounds: list) -> Column:
+    """The shard of a row: how many bounds its key reaches."""
+    if not bounds:
+        return F.lit(0)
+    known = F.array(*[F.struct(F.lit(b["some"]).alias("some"), F.lit(b["id"]).cast("long").alias("id"), F.lit(b["digest"]).alias("digest")) for b in bounds])
+    return F.size(F.filter(known, lambda b: b <= order_key()))
+
+
 def write_warc(pages: DataFrame, folder: str, least: int = 100, roll_bytes: int = 256 << 20, shards: int | None = None, level: int = 6) -> str:
     """Write ``pages`` (page_id, url, html; other columns are not read) under ``folder``, a new
     path that all machines share, and return the manifest's path.
@@ -138,17 +165,23 @@ def write_warc(pages: DataFrame, folder: str, least: int = 100, roll_bytes: int
     every = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none.cast("long").alias("refers_to")).unionByName(
         links.select("page_id", "digest", F.lit(0).alias("kind"), none.cast("string").alias("url"), none.cast("binary").alias("payload"), "refers_to"))
     key = ["page_id", "digest"]
-    ranged = every.repartitionByRange(shards, *key) if shards else every.repartitionByRange(*key)
-    ordered = ranged.sortWithinPartitions(*key, "kind", "url")
+    shards = shards or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = every.withColumn("shard", shard_of(shard_bounds(rows.select(*key), shards)))
+    ordered = placed.repartition(shards, "shard").sortWithinPartitions("shard", *key, "kind", "url")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        shard = Shard(f"{folder}/data", task.partitionId(), task.taskAttemptId(), roll_bytes, level)
+        shard = None
 
         def files():
+            nonlocal shard
             link = at = None
             for batch in it:
-                for page_id, digest, kind, url, payload, refers_to in rows_of(batch, *key, "kind", "url", "payload", "refers_to", step=64):
+                for number, page_id, digest, kind, url, payload, refers_to in rows_of(batch, "shard", *key, "kind", "url", "payload", "refers_to", step=64):
+                    if shard is None or shard.part != number:       # a task may hold several shards, one after the other
+                        if shard is not None and (done := shard.close()):
+                            yield done
+                        shard = Shard(f"{folder}/data", number, task.taskAttemptId(), roll_bytes, level)
                     if kind == 0:
                         link = page_id, digest, refers_to
                         continue
@@ -158,7 +191,7 @@ def write_warc(pages: DataFrame, folder: str, least: int = 100, roll_bytes: int
                     data = record(page_id, url, payload, digest, link[2] if revisit else None, revisit, nth)
                     if done := shard.add(data, page_id, revisit):
                         yield done
-            if done := shard.close():
+            if shard is not None and (done := shard.close()):
                 yield done
 
         yield from batches(files(), MANIFEST, lambda r: 256)
@@ -215,7 +248,10 @@ def read_warc(spark: SparkSession, manifest: str) -> DataFrame:
 
         yield from batches(records(), RECORDS, lambda r: len(r[4] or b""))
 
-    return files.select("file").repartition(F.col("file")).mapInArrow(run, RECORDS_DDL)
+    # a number of partitions that is asked for is kept, where a few names would be coalesced into one
+    size = files.agg(F.count(F.lit(1)).alias("files"), F.sum("stored_bytes").alias("bytes")).first()
+    tasks = min(size["files"], -(-(size["bytes"] or 0) // READ_BYTES), 100_000)
+    return files.select("file").repartition(max(1, tasks)).mapInArrow(run, RECORDS_DDL)
 
 
 def read_back(records: DataFrame) -> DataFrame:

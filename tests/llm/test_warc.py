@@ -4,6 +4,7 @@ import tempfile
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from movegrid.llm import warc
 from tests.llm.helpers import rows, sha
@@ -79,3 +80,29 @@ def test_unlisted_files_are_not_read_and_damage_raises(spark):
 
 def test_empty_table(spark):
     assert rows(warc.read_back(run(spark, [])[2])) == []
+
+
+def stored(folder):
+    return {n: open(os.path.join(folder, "data", n), "rb").read() for n in sorted(os.listdir(os.path.join(folder, "data"))) if n.endswith(".gz")}
+
+
+def test_files_do_not_depend_on_the_layout_and_are_read_by_many_tasks(spark):
+    pages = PAGES + [(i, f"u{i}", os.urandom(40).hex() * 9) for i in range(100, 400)] + [(150, "again", "same id" * 40)] * 60
+    folders = []
+    for n in (1, 7):
+        folder = tempfile.mkdtemp(prefix="warc-test-") + "/out"
+        df = spark.createDataFrame([(*p, "x", 7) for p in (pages if n == 1 else pages[::-1])], DDL).repartition(n)
+        records = warc.read_warc(spark, warc.write_warc(df, folder, shards=5, roll_bytes=12_000))
+        assert sorted(rows(warc.read_back(records)), key=repr) == brute(pages)
+        folders.append(stored(folder))
+    assert folders[0] == folders[1] and len(folders[0]) > 8 and {n[:11] for n in folders[0]} == {f"part-{i:06d}" for i in range(5)}
+
+
+def test_reading_is_spread_over_tasks(spark, monkeypatch):
+    pages = [(i, f"u{i}", os.urandom(600).hex()) for i in range(200)]
+    folder, manifest, _ = run(spark, pages, shards=4, roll_bytes=15_000)
+    monkeypatch.setattr(warc, "READ_BYTES", 30_000)
+    read = warc.read_warc(spark, manifest)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    held = [r["count"] for r in read.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(held) >= 5 and sum(held) == 200 and max(held) <= 60
