@@ -9,8 +9,10 @@ Three categories are predicted one after the other:
 Each is a logistic regression over the same features and the probabilities of the categories
 before it.  While training, these probabilities are out-of-fold: they come from models that
 have not seen the row, so later models learn from probabilities as honest as those they will get.
-The terms (words, and beginnings of words) are found in the training rows; the first two
-categories' training labels follow from them and the label.
+The terms (words, and beginnings of words) are found in the training rows, anew for every fold.
+
+The data label one category, ``toxic``.  The first two are derived: their training labels are ``toxic`` and a test on
+the text's marked terms, so what they add is how far a judgement rests on known terms, not knowledge of other labels.
 
 The chain is trained on the driver on a bounded sample of labelled rows (``SAMPLE`` toxic and
 twice as many others, texts up to ``SAMPLE_CHARS``) and broadcast; scoring is one narrow stage over
@@ -35,7 +37,10 @@ SAMPLE_CHARS = 20_000
 TERMS = 240          # features taken from the training rows
 STEMS = (4, 5, 6)    # lengths of the word beginnings that may be features
 MARKED = 3.0         # log odds from which a term marks toxic texts
+EVEN = 0.5           # least threshold
+CLEAN = 0.02         # share of clean rows that may be judged toxic while training
 FOLDS = 5
+INNER = 3            # folds inside each training set
 STEPS, RATE, SHRINK = 150, 0.1, 1e-3
 CATEGORIES = ("terms", "sustained", "toxic")
 _words = re.compile(r"\w+").findall
@@ -46,19 +51,63 @@ def names(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in STEMS if len(word) >= n)]
 
 
-def pick_terms(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    """The features that tell toxic training texts best, and which of them mark toxic texts."""
-    seen = Counter(), Counter()
-    for text, bad in zip(texts, toxic):
-        seen[int(bad)].update({n for w in set(_words(text.lower())) for n in names(w)})
-    bad, good = max(1, int(toxic.sum())), max(1, int(len(toxic) - toxic.sum()))
-    scored = []
-    for name, n in seen[1].items():
-        if n >= min(3, bad):
-            odds = float(np.log((n + 0.5) / (bad + 1)) - np.log((seen[0][name] + 0.5) / (good + 1)))
-            scored.append((odds * np.sqrt(n), name, odds))
-    best = sorted(scored, key=lambda x: (-x[0], x[1]))[:TERMS]
-    return {name: i for i, (_, name, _) in enumerate(best)}, np.array([o >= MARKED for _, _, o in best], bool)
+class Corpus:
+    """Training texts as counts of distinct words, from which terms and features of any of them follow quickly."""
+
+    def __init__(self, texts: list[str]):
+        words: dict[str, int] = {}
+        names_: dict[str, int] = {}
+        rows, ids, counts, of = [], [], [], []
+        self.lengths = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            found = Counter(_words(text.lower()))
+            self.lengths[i] = sum(found.values())
+            for word, n in found.items():
+                k = words.setdefault(word, len(words))
+                if k == len(of):
+                    of.append([names_.setdefault(x, len(names_)) for x in names(word)])
+                rows.append(i)
+                ids.append(k)
+                counts.append(n)
+        self.names = list(names_)
+        self.row, self.word, self.count = (np.array(x, np.int64) for x in (rows, ids, counts))
+        self.of = np.full((max(1, len(of)), 1 + len(STEMS)), -1, np.int64)     # names of each word
+        for k, x in enumerate(of):
+            self.of[k, :len(x)] = x
+        spread = self.of[self.word] if len(ids) else np.zeros((0, 1 + len(STEMS)), np.int64)
+        pairs = np.unique((self.row[:, None] * max(1, len(self.names)) + spread)[spread >= 0])
+        self.pair_row, self.pair_name = pairs // max(1, len(self.names)), pairs % max(1, len(self.names))
+
+    def pick_terms(self, toxic: np.ndarray, used: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+        """The features that tell toxic texts best among the rows ``used``, and which of them mark toxic texts."""
+        met = used[self.pair_row]
+        bad_row = toxic[self.pair_row] > 0
+        n = np.bincount(self.pair_name[met & bad_row], minlength=len(self.names)).astype(float)
+        clean = np.bincount(self.pair_name[met & ~bad_row], minlength=len(self.names))
+        bad, good = max(1, int((toxic[used] > 0).sum())), max(1, int((toxic[used] == 0).sum()))
+        odds = np.log((n + 0.5) / (bad + 1)) - np.log((clean + 0.5) / (good + 1))
+        at = np.flatnonzero(n >= min(3, bad))
+        best = sorted(at.tolist(), key=lambda i: (-odds[i] * np.sqrt(n[i]), self.names[i]))[:TERMS]
+        return {self.names[i]: k for k, i in enumerate(best)}, np.array([odds[i] >= MARKED for i in best], bool)
+
+    def features(self, terms: dict[str, int], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What ``Features`` gives for every text: a row each, and the share of marked words."""
+        n, column = len(self.lengths), np.full(len(self.names) + 1, -1, np.int64)
+        for i, name in enumerate(self.names):
+            if name in terms:
+                column[i] = terms[name]
+        cols = column[self.of]                                                  # the last place stands for no name
+        counts = np.zeros(n * max(1, len(terms)))
+        for slot in cols.T:
+            c = slot[self.word]
+            there = c >= 0
+            counts += np.bincount(self.row[there] * max(1, len(terms)) + c[there], self.count[there], minlength=len(counts))
+        marked = np.append(marks, False)[cols].any(axis=1)
+        hits = np.bincount(self.row, self.count * marked[self.word], minlength=n)
+        size = np.maximum(1, self.lengths)
+        extra = np.stack([np.log1p(hits), np.log1p(100 * hits / size), hits >= 2, np.log1p(self.lengths) / 5], axis=1)
+        x = np.concatenate([np.log1p(counts.reshape(n, -1)[:, :len(terms)]), extra], axis=1)
+        return x.astype(np.float32), hits / size
 
 
 class Features:
@@ -125,54 +174,89 @@ def fold_of(key, folds: int = FOLDS) -> int:
     return zlib.crc32(repr(key).encode()) % folds
 
 
-def folds_of(keys: list, y: np.ndarray) -> tuple[np.ndarray, int]:
-    """Every row's fold, and how many there are: ``FOLDS`` by a hash of the key; with fewer rows of
+def folds_of(keys: list, y: np.ndarray, folds: int = FOLDS) -> tuple[np.ndarray, int]:
+    """Every row's fold, and how many there are: ``folds`` by a hash of the key; with fewer rows of
     a kind as many as there are rows of it, each with its share of both kinds."""
-    n = int(min(FOLDS, y.sum(), len(y) - y.sum()))
-    if n == FOLDS:
-        return np.array([fold_of(k) for k in keys]), n
+    n = int(min(folds, y.sum(), len(y) - y.sum()))
+    if n == folds and n > 1:
+        return np.array([fold_of((folds, k) if folds != FOLDS else k, folds) for k in keys]), n
     return np.where(y > 0, np.cumsum(y > 0), np.cumsum(y == 0)) % n, n
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The cut of out-of-fold probabilities with the best F1."""
+    """The cut of out-of-fold probabilities with the best F1 of those that judge at most ``CLEAN`` of the clean rows toxic (one
+    row at least)."""
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order])
+    wrong = np.arange(1, len(y) + 1) - right
     f1 = 2 * right / (np.arange(1, len(y) + 1) + y.sum())
+    f1[wrong > max(1, CLEAN * (len(y) - y.sum()))] = -1
     k = int(np.argmax(f1))
     low = p[order[k + 1]] if k + 1 < len(p) else 0.0
     return float((p[order[k]] + low) / 2)
 
 
+def targets(y: np.ndarray, share: np.ndarray, used: np.ndarray) -> list[np.ndarray]:
+    """Labels of the three categories; what counts as dense follows from the rows ``used``."""
+    own = y * (share > 0)
+    dense = np.median(share[used & (own > 0)]) if (used & (own > 0)).any() else 0.0
+    return [t.astype(np.float32) for t in (own, own * (share >= dense), y)]
+
+
+def chain_of(corpus: Corpus, y: np.ndarray, used: np.ndarray, keys: list, inner: int = INNER) -> tuple[Chain, np.ndarray]:
+    """The chain of the rows ``used`` and its probability of ``toxic`` for all rows.  No other row has a part in it.
+
+    Inside, terms, marks and labels of the derived categories are found anew for every fold from the rows outside it; the models of a
+    fold give its rows the probabilities that later categories are trained with."""
+    at = np.flatnonzero(used)
+    fold = np.full(len(y), -1)
+    fold[at], folds = folds_of([keys[i] for i in at], y[at], inner)
+    views = []
+    for f in range(folds if folds > 1 else 0):
+        rest = used & (fold != f)
+        terms, marks = corpus.pick_terms(y, rest)
+        x, share = corpus.features(terms, marks)
+        views.append((rest, x, targets(y, share, rest)))
+    terms, marks = corpus.pick_terms(y, used)
+    x, share = corpus.features(terms, marks)
+    labels, weights = targets(y, share, used), []
+    outs = np.zeros((len(y), len(CATEGORIES)), np.float32)          # out of fold for the rows used
+    said = np.zeros((len(y), 0), np.float32)                        # by the chain itself
+    for k in range(len(CATEGORIES)):
+        weights.append(fit(np.concatenate([x[used], outs[used, :k]], axis=1), labels[k][used]))
+        said = np.concatenate([said, predict(np.concatenate([x, said], axis=1), weights[-1])[:, None].astype(np.float32)], axis=1)
+        if folds == 1:
+            outs[:, k] = said[:, k]
+        for f, (rest, xf, lf) in enumerate(views):
+            own = fold == f
+            if own.any():
+                w = fit(np.concatenate([xf[rest], outs[rest, :k]], axis=1), lf[k][rest])
+                outs[own, k] = predict(np.concatenate([xf[own], outs[own, :k]], axis=1), w)
+    return Chain(terms, marks, weights, 0.5), said[:, -1]
+
+
 def train(rows: list[tuple]) -> tuple[Chain | None, dict[str, float]]:
-    """The chain from (key, text, toxic) rows, and its out-of-fold precision and recall.  None
-    if there are not rows of both kinds.  With a single row of a kind no model can be trained without
-    it, so probabilities, threshold and figures are those of the training rows."""
+    """The chain from (key, text, toxic) rows, and its precision and recall on rows held out.  None
+    if there are not rows of both kinds.
+
+    Every fold is scored by a chain that is made, terms and all, from the other folds; threshold, precision and recall are those of these
+    probabilities.  With a single row of a kind no chain can be made without it, so they are those of the training rows."""
     rows = sorted(rows, key=lambda r: (repr(r[0]), r[1] or ""))
-    texts, y = [r[1] or "" for r in rows], np.array([float(r[2]) for r in rows], np.float32)
+    keys, y = [r[0] for r in rows], np.array([float(r[2]) for r in rows], np.float32)
     if y.sum() < 1 or (1 - y).sum() < 1:
         return None, {}
-    terms, marks = pick_terms(texts, y)
-    read = Features(terms, marks)
-    pairs = [read.vector(t) for t in texts]
-    x, share = np.stack([v for v, _ in pairs]), np.array([s for _, s in pairs])
-    used = y * (share > 0)
-    dense = np.median(share[used > 0]) if used.any() else 0.0
-    labels = {"terms": used, "sustained": used * (share >= dense), "toxic": y}
-    (fold, folds), weights = folds_of([r[0] for r in rows], y), []
-    for name in CATEGORIES:
-        target, out = labels[name].astype(np.float32), np.zeros(len(y), np.float32)
-        weights.append(fit(x, target))
-        for f in range(folds):
-            if folds == 1:
-                out = predict(x, weights[-1]).astype(np.float32)
-            elif (fold == f).any():
-                out[fold == f] = predict(x[fold == f], fit(x[fold != f], target[fold != f]))
-        x = np.concatenate([x, out[:, None]], axis=1)
-    cut = best_threshold(x[:, -1], y)
-    said = x[:, -1] >= cut
+    corpus = Corpus([r[1] or "" for r in rows])
+    chain, p = chain_of(corpus, y, np.ones(len(y), bool), keys)
+    fold, folds = folds_of(keys, y)
+    for f in range(folds if folds > 1 else 0):
+        rest, own = fold != f, fold == f
+        if own.any():
+            both = 0 < y[rest].sum() < rest.sum()
+            p[own] = chain_of(corpus, y, rest, keys)[1][own] if both else y[rest].mean()
+    chain.threshold = max(best_threshold(p, y), EVEN)     # what is rather clean than toxic stays
+    said = p >= chain.threshold
     right = float((said & (y > 0)).sum())
-    return Chain(terms, marks, weights, cut), {"precision": right / max(1, said.sum()), "recall": right / max(1.0, y.sum())}
+    return chain, {"precision": right / max(1, said.sum()), "recall": right / max(1.0, y.sum())}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple]:

@@ -78,3 +78,35 @@ def test_few_rows_of_a_kind_train_a_chain(spark):
     df = docs(spark, [t for _, t, _ in rows_], [i for i, *_ in rows_])
     by = dict(rows(toxicity.toxicity(df, labels).select("doc_id", "toxic")))
     assert np.mean([by[r[0]] for r in bad]) > 0.5 and np.mean([by[r[0]] for r in good]) < 0.05
+
+
+def test_training_features_are_those_of_scoring():
+    rows_ = labelled(120) + [(500, "", 0), (501, "Grumblet grumblets GRUMBLETISH x", 1)]
+    corpus, y = toxicity.Corpus([t for _, t, _ in rows_]), np.array([b for *_, b in rows_], np.float32)
+    terms, marks = corpus.pick_terms(y, np.arange(len(y)) % 4 > 0)
+    x, share = corpus.features(terms, marks)
+    read = toxicity.Features(terms, marks)
+    for i, (_, text, _) in enumerate(rows_):
+        v, s = read.vector(text)
+        assert np.allclose(v, x[i], atol=1e-6) and abs(s - share[i]) < 1e-9
+    assert len(terms) > 3 and marks.any()
+
+
+def test_random_labels_are_not_learned():
+    """On labels without any meaning, held-out precision is that of guessing."""
+    texts, seen = labelled(1500, 5), []
+    for seed in range(6):
+        rng = random.Random(seed)
+        rows_ = [(i, t, int(rng.random() < 0.15)) for i, t, _ in texts]
+        seen.append(toxicity.train(rows_)[1]["precision"] - sum(r[2] for r in rows_) / len(rows_))
+    assert abs(np.mean(seen)) < 0.05, seen
+
+
+def test_rows_left_out_have_no_part():
+    rows_ = labelled(300)
+    y, keys = np.array([b for *_, b in rows_], np.float32), [i for i, *_ in rows_]
+    used = np.arange(300) % 3 > 0
+    corpus = toxicity.Corpus([t for _, t, _ in rows_])
+    a = toxicity.chain_of(corpus, y, used, keys)[0]
+    b = toxicity.chain_of(corpus, np.where(used, y, 1 - y), used, keys)[0]
+    assert a.terms == b.terms and all((u == v).all() for u, v in zip(a.weights, b.weights))
