@@ -1,6 +1,7 @@
 """Main-text extraction by a recurrent block labeller.
 
-A page is a sequence of leaf blocks (``blocks``).  Each block is read as a vector: its tag path
+A page is a sequence of leaf blocks (``blocks``), read whole: a long one in pieces, with the states carried from
+piece to piece in both directions.  Each block is read as a vector: its tag path
 (tags, class and id words, hashed, the nearest elements also on their own), its words (hashed)
 and a few sizes.  A bidirectional LSTM in numpy reads the whole sequence and labels every block
 article or not, so a block is judged by the page around it.
@@ -33,6 +34,7 @@ DIM = PATH + NEAR + WORDS + SIZES
 DEPTH = 16            # a deeper block's depth counts as this; layouts are less deep
 HIDDEN = 16
 GROUP = 64            # pages labelled together
+PIECE = 2_048         # blocks of a page that are held as vectors at once
 EPOCHS, RATE = 5, 0.01
 PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_blocks", pa.int64()), ("n_kept", pa.int64())])
 PAGES_DDL = "page_id long, url string, text string, n_blocks long, n_kept long"
@@ -51,8 +53,9 @@ class Reader:
     def __init__(self):
         self.paths = Cache(path_places)
 
-    def page(self, found: list[tuple]) -> np.ndarray:
-        n = len(found)
+    def page(self, found: list[tuple], start: int = 0, total: int | None = None) -> np.ndarray:
+        """A row per block; ``found`` are the blocks from the ``start``-th on of a page with ``total`` blocks (default: all of it)."""
+        n, total = len(found), len(found) if total is None else total
         x = np.zeros((n, DIM), np.float32)
         places, hashes, lengths, sizes = [], [], [], []
         for i, (path, text, linked) in enumerate(found):
@@ -61,7 +64,7 @@ class Reader:
             hashes += map(zlib.crc32, words)
             lengths.append(len(words))
             ends = text.count(".") + text.count("!") + text.count("?")
-            sizes.append((len(words), len(text), linked, ends, text[-1] in ".!?:;…", text[0].isupper(), i / max(1, n - 1), len(path)))
+            sizes.append((len(words), len(text), linked, ends, text[-1] in ".!?:;…", text[0].isupper(), (start + i) / max(1, total - 1), len(path)))
         x.ravel()[np.concatenate(places)] = 1
         length, size = np.array(lengths), np.array(sizes, np.float32)
         row = np.repeat(np.arange(n) * WORDS, length)
@@ -86,10 +89,11 @@ class Lstm:
         self.b = np.zeros(4 * HIDDEN, np.float32)
         self.b[HIDDEN:2 * HIDDEN] = 1
 
-    def forward(self, x: np.ndarray, keep: bool = False):
-        """x: steps, pages, features; returns the states of all steps (and what training needs)."""
+    def forward(self, x: np.ndarray, keep: bool = False, state: tuple | None = None):
+        """x: steps, pages, features; returns the states of all steps (and what training needs).  ``state`` is that of the
+        step before, by default nought; ``last`` is that of the last step."""
         steps, pages, _ = x.shape
-        h, c = np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32)
+        h, c = state or (np.zeros((pages, HIDDEN), np.float32), np.zeros((pages, HIDDEN), np.float32))
         inputs = x.reshape(-1, DIM) @ self.w[:DIM] + self.b
         inputs, out, tape = inputs.reshape(steps, pages, -1), np.empty((steps, pages, HIDDEN), np.float32), []
         for t in range(steps):
@@ -103,6 +107,7 @@ class Lstm:
             out[t] = h
             if keep:
                 tape.append((prior, old, i, f, o, cand, th))
+        self.last = h, c
         return out, tape
 
     def backward(self, x: np.ndarray, tape: list, grad: np.ndarray):
@@ -157,6 +162,19 @@ class Labeller:
         p = sigmoid(hf @ self.v[:HIDDEN] + hb @ self.v[HIDDEN:] + self.a)
         return [p[:k, j] for j, k in enumerate(n)]
 
+    def label_long(self, found: list[tuple], read: Reader, piece: int = PIECE) -> np.ndarray:
+        """What ``label`` gives for one page, from pieces of it: each direction goes through the page with its state
+        carried from piece to piece, and only a number per block is kept."""
+        out, n = np.zeros(len(found), np.float32), len(found)
+        starts = range(0, n, piece)
+        for lstm, v, order in ((self.fore, self.v[:HIDDEN], starts), (self.back, self.v[HIDDEN:], reversed(starts))):
+            state, step = None, -1 if lstm is self.back else 1
+            for i in order:
+                x = read.page(found[i:i + piece], i, n)[::step]
+                out[i:i + piece] += (lstm.forward(x[:, None], state=state)[0][:, 0] @ v)[::step]
+                state = lstm.last
+        return sigmoid(out + self.a)
+
     def train(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS, seed: int = 7) -> None:
         """Adam on the mean log loss of blocks, pages of like length together."""
         rng = np.random.default_rng(seed)
@@ -232,6 +250,45 @@ class Layouts:
         a, b = opened(tag) if tag else ("", "")
         out.append((f"{a}{text}{b}", label))
 
+    def listed(self, low: int, high: int, kind: str, linked: float = 0.0, deep: bool = True) -> str:
+        """A list of some kind: ``ul``, ``ol``, ``dl``, nested or not, items linked or not."""
+        r = self.rng
+        words = lambda: f"<a href=x>{self.words(1, 6, kind)}</a>" if r.random() < linked else self.words(low, high, kind)
+        n = r.choice([1, 2, 3, 3, 5, 8])
+        if r.random() < 0.2:
+            return "<dl>" + "".join(f"<dt>{self.words(1, 4, kind)}</dt><dd>{words()}</dd>" for _ in range(n)) + "</dl>"
+        tag = r.choice(["ul", "ol"])
+        items = "".join(f"<li>{words()}{self.listed(low, high, kind, linked, False) if deep and r.random() < 0.15 else ''}</li>" for _ in range(n))
+        return f"<{tag}>{items}</{tag}>"
+
+    def block(self, text: str, kind: str, inner: str) -> str:
+        """Text as a block of any tag; article and other text use the same ones, so no tag alone tells them apart."""
+        r, k = self.rng, self.rng.random()
+        if k < 0.14:
+            h = r.choice(["h2", "h2", "h3", "h3", "h4", "h5", "h6"])
+            return f"<{h}>{self.words(1, 9, kind)}</{h}>"
+        if k < 0.22:
+            return self.listed(1, r.choice([3, 12, 40]), kind)
+        if k < 0.25:
+            return f"<blockquote><p>{text}</p></blockquote>"
+        if k < 0.29:
+            rows = "".join(f"<tr><{c}>{self.words(1, 6, kind)}</{c}><td>{self.words(1, 9, kind)}</td></tr>" for c in r.choices(["td", "th"], k=r.randint(1, 4)))
+            return f"<table>{rows}</table>"
+        if k < 0.31:
+            return f"<figure><figcaption>{text}</figcaption></figure>"
+        if k < 0.33:
+            return f"<pre>{text}</pre>"
+        if k < 0.36:
+            return f"<details><summary>{self.words(1, 6, kind)}</summary><p>{text}</p></details>"
+        if k < 0.44:
+            return f"<p><b>{text}<br>"
+        if k < 0.49:
+            return f"<p>{text} <a href=x>{self.words(1, 3)}</a></p>"
+        if k < 0.52:
+            return "<p>" + " ".join(f"<a href=x>{self.words(1, 4, kind)}</a>" for _ in range(r.randint(1, 4))) + r.choice(["", ".", f" {self.words(1, 5, kind)}."]) + "</p>"
+        a, b = opened(inner)
+        return f"{a}{text}{b}"
+
     def story(self) -> list:
         r, out = self.rng, []
         inner = r.choice(["p", "p", "p", "div", "div"])
@@ -239,29 +296,9 @@ class Layouts:
             head = f"<h1>{self.words(2, 12, 'article')}</h1>"
             out.append((f"<header>{head}</header>" if r.random() < 0.2 else head, 1))
         for _ in range(r.choice([1, 2, 3, 5, 8, 13, 20])):
-            k = r.random()
-            text = self.words(1, r.choice([4, 20, 80, 160]), "article")
-            if k < 0.08:
-                out.append((f"<h2>{self.words(1, 8, 'article')}</h2>", 1))
-            elif k < 0.14:
-                out.append((f"<ul><li>{text}</li></ul>", 1))
-            elif k < 0.18:
-                out.append((f"<blockquote><p>{text}</p></blockquote>", 1))
-            elif k < 0.21:
-                out.append((f"<table><tr><td>{text}</td></tr></table>", 1))
-            elif k < 0.24:
-                out.append((f"<figure><figcaption>{text}</figcaption></figure>", 1))
-            elif k < 0.27:
-                out.append((f"<pre>{text}</pre>", 1))
-            elif k < 0.40:
-                out.append((f"<p><b>{text}<br>", 1))
-            elif k < 0.45:
-                out.append((f"<p>{text} <a href=x>{self.words(1, 3)}</a></p>", 1))
-            else:
-                self.put(out, text, 1, inner)
+            out.append((self.block(self.words(1, r.choice([4, 20, 80, 160]), "article"), "article", inner), 1))
             if r.random() < 0.06:
-                kind = r.choice(["advert", "notice", "sidebar"])
-                out += self.extra(kind)
+                out += self.extra(r.choice(["advert", "notice", "sidebar"]))
         return out
 
     def extra(self, kind: str) -> list:
@@ -269,12 +306,14 @@ class Layouts:
         a, b = opened(r.choice(OTHER[kind]))
         out.append((a, None))
         if kind in ("menu", "sidebar") and r.random() < 0.8:
+            if r.random() < 0.3:
+                self.put(out, self.words(1, 4), 0, r.choice(["h2", "h3", "h4", "h5", "h6", "p", "span"]))
             out.append(("<ul>", None))
             out += [(f"<li><a href=x>{self.words(1, 5)}</a></li>", 0) for _ in range(r.randint(2, 9))]
             out.append(("</ul>", None))
         elif kind == "comments":
             for _ in range(r.randint(1, 5)):
-                self.put(out, self.words(1, 4), 0, r.choice(["span", "div class=author", "h4"]))
+                self.put(out, self.words(1, 4), 0, r.choice(["span", "div class=author", "h3", "h4", "h5"]))
                 self.put(out, self.words(3, 60), 0, r.choice(["p", "div class=comment-body", "li", "p"]))
         elif kind == "form":
             out += [(f"<label>{self.words(1, 4)}</label><input type=text>", 0), (f"<button>{self.words(1, 3)}</button>", 0)]
@@ -283,7 +322,13 @@ class Layouts:
         else:
             for _ in range(r.randint(1, 3)):
                 text = self.words(1, r.choice([6, 15, 40]))
-                self.put(out, f"&copy; {text}" if kind == "footer" and r.random() < 0.5 else text, 0, r.choice([None, "p", "div", "h3", "span", *["h1"] * 3 * (kind == "header")]))
+                if r.random() < 0.3 and kind in ("sidebar", "notice", "advert"):
+                    out.append((self.block(text, "any", r.choice(["p", "div"])), 0))
+                elif r.random() < 0.1:
+                    out.append((self.listed(1, 6, "any", 0.7), 0))
+                else:
+                    self.put(out, f"&copy; {text}" if kind == "footer" and r.random() < 0.5 else text, 0,
+                             r.choice([None, "p", "p", "div", "h2", "h3", "h4", "h5", "span", *["h1"] * 3 * (kind == "header")]))
                 out.append(("<hr>", None))
         out.append((b, None))
         return out
@@ -361,13 +406,16 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
             some.sort(key=lambda i: len(held[i][2]))
             marks = {}
             at = 0
-            while at < len(some):         # pages of like length together, bounded by their blocks
-                n, size = 0, 0
-                while at + n < len(some) and (not n or size + len(held[some[at + n]][2]) <= 4096):
-                    size += len(held[some[at + n]][2])
+            while at < len(some):         # pages of like length together, bounded by their blocks with those that fill up
+                n, longest = 1, len(held[some[at]][2])
+                while at + n < len(some) and (n + 1) * len(held[some[at + n]][2]) <= 2 * PIECE:
+                    longest = len(held[some[at + n]][2])
                     n += 1
                 part = some[at:at + n]
-                marks |= zip(part, labeller.label([read.page(held[i][2]) for i in part]))
+                if longest > PIECE:
+                    marks |= {i: labeller.label_long(held[i][2], read) for i in part}
+                else:
+                    marks |= zip(part, labeller.label([read.page(held[i][2]) for i in part]))
                 at += n
             for i, (page_id, url, found) in enumerate(held):
                 kept = [b[1] for b, p in zip(found, marks.get(i, ())) if p > 0.5]
@@ -377,7 +425,8 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
             held, size = [], 0
             for batch in it:
                 for page_id, url, page in rows_of(batch, "page_id", "url", "html", step=64):
-                    held.append((page_id, url, list(leaves(page))))
+                    same: dict = {}        # equal paths are held once
+                    held.append((page_id, url, [(same.setdefault(path, path), text, linked) for path, text, linked in leaves(page)]))
                     size += len(page or "")
                     if len(held) == GROUP or size > 1 << 22:
                         yield from labelled(held)

@@ -3,7 +3,7 @@ import pytest
 
 from movegrid.llm import html_extract
 from movegrid.llm.blocks import leaves
-from tests.conftest import SF_SMALL
+from tests.conftest import ROOT, SF_SMALL
 from tests.llm.helpers import rows
 
 DDL = "page_id long, url string, html string, text string"
@@ -142,3 +142,58 @@ def test_extract_over_awkward_rows(spark, pages):
 
 def test_empty_table(spark):
     assert rows(html_extract.extract(spark.createDataFrame([], DDL))) == []
+
+
+NAV = "<nav class=menu><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><a href=/c>Contact us</a></li></ul></nav>"
+TAIL = ("<aside class=sidebar><h3>Related</h3><ul><li><a href=1>Other story</a></li><li><a href=2>One more</a></li></ul></aside><div class=comments><h4>Bob</h4>"
+        "<p>nice one, thanks for that</p><h4>Ann</h4><p>I do not agree with it</p></div><footer><p>&copy; 2024 The site. All rights reserved.</p></footer>")
+BODY = ["<h1>A title of some words</h1>", "<p>The first paragraph has a few sentences in it. It goes on for a while, as such texts do.</p>", "<h2>Second heading</h2>",
+        "<p>Some more text that belongs to the story and says a thing or two about it.</p>", "<h3>Third level heading</h3>", "<p>Short one.</p>",
+        "<ol><li>First step of the recipe</li><li>Second step, with more words in it</li><li>Third</li></ol>", "<h4>Fourth level</h4>",
+        "<dl><dt>Term</dt><dd>What the term means in this text.</dd></dl>", "<ul><li>Point one<ul><li>Sub point a</li><li>Sub point b</li></ul></li><li>Point two</li></ul>",
+        "<h5>Fifth</h5>", "<p>See <a href=x>this page</a> and <a href=y>that one</a>.</p>", "<h6>Sixth</h6>",
+        "<details><summary>More about it</summary><p>The hidden details are told in this paragraph at some length.</p></details>",
+        "<table><tr><th>Year</th><th>Value</th></tr><tr><td>2020</td><td>17</td></tr></table>", "<p>And a last paragraph that ends the story well.</p>"]
+FRAMES = ["<article>%s</article>", "<main>%s</main>", "<div class=post>%s</div>", "<div class=content>%s</div>", "<div class='entry-content'>%s</div>", "<div>%s</div>",
+          "<div id=main><div>%s</div></div>"]
+
+
+@pytest.mark.parametrize("part", [0, 1, 2])
+def test_headings_and_lists_are_kept_in_any_frame(spark, part):
+    """Pages written by hand, by labellers trained on three different samples."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").where("length(html) BETWEEN 1 AND 20000").collect()
+    model, _ = html_extract.train_labeller(sorted(r[0] for r in pages)[part::3])
+    read, right, total = html_extract.Reader(), 0, 0
+    rng = np.random.default_rng(7)
+    for frame in FRAMES:
+        for k in range(8):
+            body = [b for b in BODY if k == 0 or rng.random() < 0.7]
+            found = list(leaves("<html><body>" + NAV + frame % "".join(body) + TAIL + "</body></html>"))
+            story = set(texts("".join(body)))
+            want = np.array([b[1] in story for b in found])
+            got = model.label([read.page(found)])[0] > 0.5
+            right += int((got == want).sum())
+            total += len(found)
+            if k == 0 and frame == FRAMES[0]:
+                assert [b[1] for b, p in zip(found, got) if p] == texts("".join(body))
+    assert right >= 0.99 * total, (right, total)
+
+
+def test_pieces_of_a_page_are_labelled_as_the_whole():
+    model, read = html_extract.Labeller(3), html_extract.Reader()
+    found = list(leaves(NAV + "".join(BODY) * 9 + TAIL))
+    whole = model.label([read.page(found)])[0]
+    for piece in (1, 7, 50, len(found), 10_000):
+        assert np.allclose(model.label_long(found, read, piece), whole, atol=1e-5)
+
+
+def test_a_page_of_very_many_cells_is_held_in_bounded_memory():
+    import subprocess
+    import sys
+    code = ("import resource, numpy as np\nfrom movegrid.llm import html_extract as h\nfrom movegrid.llm.blocks import leaves\n"
+            "page = '<table>' + '<tr><td>12</td><td>ab c</td></tr>' * 150_000 + '</table>'\nsame = {}\n"
+            "found = [(same.setdefault(p, p), t, n) for p, t, n in leaves(page)]\nassert len(found) == 300_000\n"
+            "p = h.Labeller(1).label_long(found, h.Reader())\nassert len(p) == 300_000\nprint(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, timeout=300)
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout) < 600, out.stdout
