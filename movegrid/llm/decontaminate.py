@@ -6,22 +6,22 @@ only on those words, two equal spans of ``width`` words always share a fingerpri
 place.  Training fingerprints are joined with the benchmark's, and each hit is extended word by
 word to both sides; it counts if the equal words around it make a whole window.
 
-The benchmark side is broadcast in blocks of at most ``BLOCK`` words, so its size is bounded
-whatever the benchmark's size; the training side is never shuffled before the join, and only
-matches and one row per document reach the aggregation.  Items shorter than a window are one
-window of their own length; for each such length its exact n-grams are joined the same way.
+Items shorter than a window are one window of their own length; they are filed under (length, hash), and for each such
+length that there is, the texts' n-grams of that length join in the same pass, so texts are read and split once.
+
+A benchmark of at most ``BLOCK`` words is broadcast and texts are not shuffled before the join; a larger one meets the
+fingerprints in a shuffled join, which adaptive execution splits at hot ones.  Only matches and one row per document reach the
+aggregation.
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fresh, quoted
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-BLOCK = 500_000      # benchmark words whose fingerprints are broadcast at once
+BLOCK = 500_000      # words of the largest benchmark whose fingerprints are broadcast
 
 
 def words_of(text: Column) -> Column:
@@ -63,42 +63,63 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return benchmark.select("item_id", words_of(F.col("text")).alias("item_words"))
 
 
-def _fingerprints(items: DataFrame, width: int, k: int) -> DataFrame:
-    """Benchmark fingerprints with the words that a window around them can reach."""
-    reach = width - k
-    hashed = items.filter(F.size("item_words") >= width).withColumn("hashes", gram_hashes(F.col("item_words"), k))
-    at = F.col("at")
-    near = F.array(*(F.get(F.col("item_words"), at + c) for c in range(-reach, width)))
-    return (hashed.select("*", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)).alias("at"))
-            .filter(is_fingerprint(F.col("hashes"), at, reach + 1))
-            .select("item_id", F.get("hashes", at).alias("hash"), near.alias("near"), F.xxhash64("item_id", "at").alias("salt")))
+def _around(words: Column, at: Column, width: int, k: int) -> Column:
+    """The words that a window with its fingerprint at ``at`` can reach."""
+    return F.array(*(F.get(words, at + c) for c in range(k - width, width)))
 
 
-def _long_matches(texts: DataFrame, prints: DataFrame, width: int, k: int) -> DataFrame:
+def _prints(items: DataFrame, width: int, k: int) -> DataFrame:
+    """Benchmark side of the join: (n, hash), words around the place, words a match must have, item_id.  ``n`` is 0 for the
+    fingerprints of items of ``width`` words and more, and the length of a shorter item, which has one hash."""
+    at = F.col("at")
+    wide = (items.filter(F.size("item_words") >= width).withColumn("hashes", gram_hashes(F.col("item_words"), k))
+            .select("*", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)).alias("at"))
+            .filter(is_fingerprint(F.col("hashes"), at, width - k + 1))
+            .select(F.lit(0).alias("n"), F.get("hashes", at).alias("hash"), _around(F.col("item_words"), at, width, k).alias("near"),
+                    F.lit(k).alias("right_least"), F.lit(width).alias("least"), "item_id"))
+    size = F.size("item_words")
+    short = items.filter(size.between(1, width - 1)).select(
+        size.alias("n"), gram_hash(F.col("item_words"), F.lit(0), width - 1).alias("hash"),
+        _around(F.col("item_words"), F.lit(0), width, k).alias("near"), size.alias("right_least"), size.alias("least"), "item_id")
+    return wide.unionByName(short)
+
+
+def _spots(texts: DataFrame, lengths: list[int], width: int, k: int) -> DataFrame:
+    """Training side, in one pass over the texts: a row per document (``at`` -1, a hash of its own that no item has), one per
+    fingerprint, and one per place and length of ``lengths``; each carries only the words around it."""
+    at, words, hashes = F.col("at"), F.col("words"), F.col("hashes")
+    every = texts.withColumn("hashes", gram_hashes(words, k)).select("*", F.explode(F.sequence(F.lit(-1), F.size(words if lengths else hashes) - 1)).alias("at"))
+    print_ = (at >= 0) & is_fingerprint(hashes, at, width - k + 1)
+    own = F.when(at < 0, F.xxhash64("doc_id", "text_hash")).otherwise(F.get(hashes, at))
+    if not lengths:
+        found = every.filter((at < 0) | print_).withColumns({"n": F.when(at < 0, F.lit(-1)).otherwise(F.lit(0)), "hash": own})
+    else:
+        # words after the n-th are null and leave the hash as it is
+        gram = lambda n: F.xxhash64(*(F.get(words, at + c) for c in range(n)))
+        keys = [F.when((at < 0) | print_, F.struct(F.when(at < 0, F.lit(-1)).otherwise(F.lit(0)).alias("n"), own.alias("hash")))]
+        keys += [F.when((at >= 0) & (at + n <= F.size(words)), F.struct(F.lit(n).alias("n"), gram(n).alias("hash"))) for n in lengths]
+        found = every.withColumn("key", F.explode(F.array_compact(F.array(*keys)))).withColumns({"n": F.col("key.n"), "hash": F.col("key.hash")})
+    return found.select("doc_id", "text_hash", F.size(words).alias("n_words"), at.alias("at"), "n", "hash", _around(words, at, width, k).alias("seen"))
+
+
+def _matches(spots: DataFrame, prints: DataFrame, width: int, k: int) -> DataFrame:
     """One row per document (no range) and one per extended match: [start, stop) and item_id."""
-    reach, at, words, hashes = width - k, F.col("at"), F.col("words"), F.col("hashes")
-    spots = (texts.withColumn("hashes", gram_hashes(words, k))
-             .select("*", F.explode(F.sequence(F.lit(-1), F.size("hashes") - 1)).alias("at"))
-             .filter((at < 0) | is_fingerprint(hashes, at, reach + 1)).withColumn("hash", F.get(hashes, at)))
-    met = spots.join(F.broadcast(prints.drop("salt")), "hash", "left").filter((at < 0) | F.col("near").isNotNull())
-    same = lambda c: F.get(words, at + c) == F.get("near", F.lit(c + reach))
-    left = run_length([same(-c) for c in range(1, reach + 1)])
-    right = run_length([same(c) for c in range(width)])
-    found = met.select("doc_id", "text_hash", F.size(words).alias("n_words"), "at", "item_id", left.alias("left"), right.alias("right"))
-    return found.filter("at < 0 OR (right >= %d AND left + right >= %d)" % (k, width)).select(
+    reach, at = width - k, F.col("at")
+    met = spots.join(prints, ["n", "hash"], "left").filter((at < 0) | F.col("near").isNotNull())
+    # higher-order functions keep the generated code of the scan and the join small enough to be compiled; few rows get here
+    def equal_words(places: Column, most: int) -> Column:
+        same = F.transform(places, lambda i: F.coalesce(F.get("seen", i) == F.get("near", i), F.lit(False)))
+        first = F.array_position(same, False).cast("int")
+        return F.when(first == 0, F.lit(most)).otherwise(first - 1)
+
+    left = equal_words(F.sequence(F.lit(reach - 1), F.lit(0), F.lit(-1)), reach) if reach else F.lit(0)
+    right = equal_words(F.sequence(F.lit(reach), F.lit(reach + width - 1)), width)
+    found = met.select("doc_id", "text_hash", "n_words", "at", "item_id", "right_least", "least", left.alias("left"), right.alias("right"))
+    return found.filter("at < 0 OR (right >= right_least AND left + right >= least)").select(
         "doc_id", "text_hash", "n_words", F.when(at >= 0, at - F.col("left")).alias("start"),
         F.when(at >= 0, at + F.col("right")).alias("stop"), "item_id")
 
 
-def _short_matches(texts: DataFrame, items: DataFrame, n: int) -> DataFrame:
-    at, words = F.col("at"), F.col("words")
-    short = items.filter(F.size("item_words") == n).withColumn("hash", gram_hash(F.col("item_words"), F.lit(0), n))
-    spots = (texts.filter(F.size(words) >= n).select("*", F.explode(F.sequence(F.lit(0), F.size(words) - n)).alias("at"))
-             .withColumn("hash", gram_hash(words, at, n)))
-    met = spots.join(F.broadcast(short), "hash").filter(F.slice(words, at + 1, n) == F.col("item_words"))
-    return met.select("doc_id", "text_hash", F.size(words).alias("n_words"), at.alias("start"), (at + n).alias("stop"), "item_id")
-
-
 def _covered(ranges: Column) -> Column:
     """Number of places that sorted ranges cover."""
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
@@ -121,14 +142,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, k: int
     items = _items(benchmark)
     size = items.agg(F.coalesce(F.sum(F.size("item_words")), F.lit(0)).alias("words"),
                      F.sort_array(F.collect_set(F.when(F.size("item_words").between(1, width - 1), F.size("item_words")))).alias("short")).first()
-    prints = _fingerprints(items, width, k)
-    blocks = size["words"] // BLOCK + 1
-    parts = [_long_matches(texts, prints.filter(F.pmod("salt", F.lit(blocks)) == b), width, k) for b in range(blocks)]
-    parts = [parts[0], *(p.filter("start IS NOT NULL") for p in parts[1:])]
-    for n in size["short"]:
-        held = items.filter(F.size("item_words") == n)
-        parts += [_short_matches(texts, held.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b), n) for b in range(blocks)]
-    found = reduce(DataFrame.unionByName, parts)
+    prints = _prints(items, width, k)
+    found = _matches(_spots(texts, size["short"], width, k), F.broadcast(prints) if size["words"] <= BLOCK else prints, width, k)
     by_doc = found.groupBy("doc_id", "text_hash", "n_words").agg(
         F.count_if(F.col("start").isNull()).alias("rows"),
         F.sort_array(F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "stop")))).alias("ranges"),

@@ -82,3 +82,45 @@ def test_main_path_has_no_python(spark):
     texts, items = corpus(5)
     plan = decontaminate.contamination(docs(spark, texts).filter("doc_id >= 0"), bench(spark, items))._jdf.queryExecution().optimizedPlan().toString()
     assert "InArrow" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
+def mixed(seed, n_docs=60, n_items=40):
+    import random
+    r = random.Random(seed)
+    words = ["a", "the", "to", *(f"w{i}" for i in range(40))]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(1, 30)))) for i in range(n_items)] + [(900, None), (901, " -- "), (902, "w1 w2 w3")]
+    docs = []
+    for i in range(n_docs):
+        t = [r.choice(words) for _ in range(r.randint(0, 80))]
+        if i % 3 == 0:
+            item = r.choice(items[:n_items])[1].split()
+            cut = item[r.randint(0, max(0, len(item) - 10)):]
+            t[r.randint(0, len(t)):0] = cut
+        docs.append((i, " ".join(t)))
+    return docs + [(1000, None), (1001, ""), (5, docs[5][1])], items
+
+
+@pytest.mark.parametrize("block", [500_000, 10])
+def test_items_of_any_length_match_sql(spark, monkeypatch, block):
+    """Items of 1 to 30 words, broadcast and not, against the query's SQL."""
+    import duckdb
+    import pandas as pd
+    from movegrid.llm import queries
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    docs, items = mixed(3)
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]))
+    want = sorted(con.sql(queries.ORACLE["op8_benchmark_decontamination"]).fetchall())
+    df = decontaminate.report(decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    assert sorted(map(tuple, df.collect())) == want and any(r[-1] for r in want)
+
+
+@pytest.mark.parametrize("block", [500_000, 10])
+def test_documents_are_read_once_and_joins_are_not_hinted_beyond_the_block(spark, monkeypatch, tmpdir_path, block):
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    docs, items = mixed(4)
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmpdir_path}/docs")
+    found = decontaminate.contamination(spark.read.parquet(f"{tmpdir_path}/docs"), spark.createDataFrame(items, "item_id long, text string"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [doc_id") == 1 and ("strategy=broadcast" in plan) == (block > 10)
