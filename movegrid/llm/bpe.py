@@ -100,16 +100,20 @@ def split_text(text: str) -> list[str]:
 
 
 class Cache(dict):
-    """Pre-token to ``make(pre-token)``; cleared when full, long keys are not kept."""
+    """Pre-token to ``make(pre-token)``, long keys are not kept.  When it is full, its entries become the older half, of which
+    those asked for again return; the rest goes when it fills up next."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, part):
-        value = self.make(part)
+        value = self.older.get(part)
+        if value is None:
+            value = self.make(part)
         if len(part) <= CACHE_BYTES:
-            if len(self) >= CACHE:
+            if len(self) >= CACHE // 2:
+                self.older = dict(self)
                 self.clear()
             self[part] = value
         return value

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bpe import Cache, Encoder, read_ranks, split_text
 from .common import batches, rows_of, ship
 
+LEAF = 4_096         # ids decoded at once
 _workers: dict[str, tuple] = {}
 
 
@@ -37,7 +38,12 @@ def encode_bytes(text: str | None, packed: Cache) -> bytes:
 
 
 def decode_bytes(ids: bytes | None, tokens: list[bytes]) -> bytes:
-    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())) if ids else b""
+    """The bytes of ids, up the tree: leaves of ``LEAF`` ids are decoded, then neighbours are joined until one is left."""
+    every = np.frombuffer(ids or b"", "<u4")
+    parts = [b"".join(map(tokens.__getitem__, every[i:i + LEAF].tolist())) for i in range(0, len(every), LEAF)]
+    while len(parts) > 1:
+        parts = [b"".join(parts[i:i + 2]) for i in range(0, len(parts), 2)]
+    return parts[0] if parts else b""
 
 
 def encode(df: DataFrame, vocab: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), out: str = "ids") -> DataFrame:

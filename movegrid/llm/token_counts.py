@@ -1,8 +1,8 @@
 """Token counts by the whole-token shortcut.
 
-Offline, once per vocabulary: a string of the vocabulary counts as one token where it stands
+Offline, once per vocabulary and driver: a string of the vocabulary counts as one token where it stands
 alone as a pre-token, if its merges end in exactly that token.  Each of the (bounded) strings
-is proved so by running its merges.  Texts are then split into pre-tokens; those proved are
+is proved so by running its merges; the tasks get the proof, a bit per token.  Texts are then split into pre-tokens; those proved are
 counted directly, only the rest are merged.  Special strings of the file are cut out of the
 text first, each counting as one token, as the library does by default.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
@@ -19,6 +20,7 @@ from .bpe import Cache, Encoder, split_text
 from .common import batches, rows_of, ship
 
 _workers: dict[str, tuple] = {}
+_proofs: dict[str, bytes] = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -65,11 +67,24 @@ def whole_tokens(enc: Encoder) -> set[str]:
     return proved
 
 
-def _worker(data: bytes) -> tuple:
+def proof(data: bytes) -> bytes:
+    """A bit per rank of a tokenizer file's vocabulary: whether its string is one token alone.  Made once per file."""
     key = hashlib.sha256(data).hexdigest()
+    if key not in _proofs:
+        enc, _ = read_merges(data)
+        one = np.zeros(len(enc.tokens), np.uint8)
+        one[[enc.ranks[t.encode()] for t in whole_tokens(enc)]] = 1
+        _proofs[key] = np.packbits(one).tobytes()
+    return _proofs[key]
+
+
+def _worker(data: bytes, proved: bytes | None = None) -> tuple:
+    proved = proof(data) if proved is None else proved
+    key = hashlib.sha256(data + proved).hexdigest()
     if key not in _workers:
         enc, special = read_merges(data)
-        one = whole_tokens(enc)
+        bits = np.unpackbits(np.frombuffer(proved, np.uint8))
+        one = {enc.tokens[i].decode() for i in np.flatnonzero(bits)}
 
         def count(part: str) -> int:
             return 1 if part in one else len(enc.tree(part.encode("utf-8", "surrogatepass")))
@@ -99,14 +114,15 @@ def token_counts(df: DataFrame, vocab: str, text: str = "text", keep: tuple[str,
     spark = df.sparkSession
     ship(spark)
     with open(vocab, "rb") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+        data = f.read()
+    shared = spark.sparkContext.broadcast((data, proof(data)))
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
     src = df.select(*keep, size.alias("n_bytes"), F.col(text).alias("__text"))
     schema = src.select(*keep, "n_bytes").withColumn("n_tokens", F.lit(0).cast("long")).schema
     names = [*keep, "n_bytes"]
 
     def run(it):
-        counts, cut = _worker(shared.value)
+        counts, cut = _worker(*shared.value)
         for batch in it:
             cols = pa.schema([*(batch.schema.field(n) for n in names), pa.field("n_tokens", pa.int64())])
             rows = ((*r[:-1], count_text(r[-1], counts, cut)) for r in rows_of(batch, *names, "__text"))

@@ -2,6 +2,7 @@
 import random
 import struct
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -98,3 +99,35 @@ def test_empty_tables_and_clashing_columns(spark):
 def test_other_file_kinds_are_refused():
     with pytest.raises(ValueError):
         token_counts.read_merges(open(P.path("word_bpe_49k.json"), "rb").read())
+
+
+def test_decoding_up_the_tree_is_concatenation():
+    tokens = [bytes([65 + i % 26]) * (i % 5) for i in range(300)]
+    for n in (0, 1, 2, encode.LEAF - 1, encode.LEAF, encode.LEAF + 1, 5 * encode.LEAF + 3):
+        ids = np.random.default_rng(n).integers(0, 300, n).astype("<u4")
+        assert encode.decode_bytes(ids.tobytes(), tokens) == b"".join(tokens[i] for i in ids)
+    assert encode.decode_bytes(None, tokens) == b""
+
+
+def test_proof_is_made_once_and_is_that_of_merging(monkeypatch):
+    data = open(P.path("byte_bpe_50k.json"), "rb").read()
+    made = []
+    monkeypatch.setattr(token_counts, "whole_tokens", lambda enc, f=token_counts.whole_tokens: made.append(1) or f(enc))
+    monkeypatch.setattr(token_counts, "_proofs", {})
+    first = token_counts.proof(data)
+    assert token_counts.proof(data) is first and made == [1]
+    enc, _ = token_counts.read_merges(data)
+    bits = np.unpackbits(np.frombuffer(first, np.uint8))
+    for t in ["the", " the", "a", "zzzz", " antidis"]:
+        rank = enc.ranks.get(t.encode())
+        assert rank is None or bool(bits[rank]) == (enc.merge(t.encode()) == [rank])
+    assert bits.sum() > 40_000
+
+
+def test_cache_keeps_what_is_asked_for_again(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 100)
+    made = []
+    cache = bpe.Cache(lambda part: made.append(part) or len(part))
+    for i in range(1000):
+        assert cache["often"] == 5 and cache[f"x{i}"] == len(f"x{i}") and len(cache) + len(cache.older) <= 100
+    assert made.count("often") == 1
