@@ -6,7 +6,7 @@ only on those words, two equal spans of ``width`` words always share a fingerpri
 place.  Training fingerprints are joined with the benchmark's, and each hit is extended word by
 word to both sides; it counts if the equal words around it make a whole window.
 
-Items shorter than a window are one window of their own length; they are filed under (length, hash), and for each such
+Items shorter than a window are one window of their own length; they are filed under a hash of it, and for each such
 length that there is, the texts' n-grams of that length join in the same pass, so texts are read and split once.
 
 A benchmark of at most ``BLOCK`` words is broadcast and texts are not shuffled before the join; a larger one meets the
@@ -69,17 +69,17 @@ def _around(words: Column, at: Column, width: int, k: int) -> Column:
 
 
 def _prints(items: DataFrame, width: int, k: int) -> DataFrame:
-    """Benchmark side of the join: (n, hash), words around the place, words a match must have, item_id.  ``n`` is 0 for the
-    fingerprints of items of ``width`` words and more, and the length of a shorter item, which has one hash."""
+    """Benchmark side of the join: hash, words around the place, words a match must have, item_id: a row per fingerprint of
+    items of ``width`` words and more, and one per shorter item, whose hash takes in its length."""
     at = F.col("at")
     wide = (items.filter(F.size("item_words") >= width).withColumn("hashes", gram_hashes(F.col("item_words"), k))
             .select("*", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)).alias("at"))
             .filter(is_fingerprint(F.col("hashes"), at, width - k + 1))
-            .select(F.lit(0).alias("n"), F.get("hashes", at).alias("hash"), _around(F.col("item_words"), at, width, k).alias("near"),
+            .select(F.get("hashes", at).alias("hash"), _around(F.col("item_words"), at, width, k).alias("near"),
                     F.lit(k).alias("right_least"), F.lit(width).alias("least"), "item_id"))
     size = F.size("item_words")
     short = items.filter(size.between(1, width - 1)).select(
-        size.alias("n"), gram_hash(F.col("item_words"), F.lit(0), width - 1).alias("hash"),
+        F.xxhash64(size, *(F.get("item_words", F.lit(c)) for c in range(width - 1))).alias("hash"),
         _around(F.col("item_words"), F.lit(0), width, k).alias("near"), size.alias("right_least"), size.alias("least"), "item_id")
     return wide.unionByName(short)
 
@@ -92,20 +92,19 @@ def _spots(texts: DataFrame, lengths: list[int], width: int, k: int) -> DataFram
     print_ = (at >= 0) & is_fingerprint(hashes, at, width - k + 1)
     own = F.when(at < 0, F.xxhash64("doc_id", "text_hash")).otherwise(F.get(hashes, at))
     if not lengths:
-        found = every.filter((at < 0) | print_).withColumns({"n": F.when(at < 0, F.lit(-1)).otherwise(F.lit(0)), "hash": own})
+        found = every.filter((at < 0) | print_).withColumn("hash", own)
     else:
-        # words after the n-th are null and leave the hash as it is
-        gram = lambda n: F.xxhash64(*(F.get(words, at + c) for c in range(n)))
-        keys = [F.when((at < 0) | print_, F.struct(F.when(at < 0, F.lit(-1)).otherwise(F.lit(0)).alias("n"), own.alias("hash")))]
-        keys += [F.when((at >= 0) & (at + n <= F.size(words)), F.struct(F.lit(n).alias("n"), gram(n).alias("hash"))) for n in lengths]
-        found = every.withColumn("key", F.explode(F.array_compact(F.array(*keys)))).withColumns({"n": F.col("key.n"), "hash": F.col("key.hash")})
-    return found.select("doc_id", "text_hash", F.size(words).alias("n_words"), at.alias("at"), "n", "hash", _around(words, at, width, k).alias("seen"))
+        # a hash passes over nulls, so that of a shorter item ends with its words
+        gram = lambda n: F.xxhash64(F.lit(n), *(F.get(words, at + c) for c in range(n)))
+        keys = [F.when((at < 0) | print_, own), *(F.when((at >= 0) & (at + n <= F.size(words)), gram(n)) for n in lengths)]
+        found = every.withColumn("hash", F.explode(F.array_compact(F.array(*keys))))
+    return found.select("doc_id", "text_hash", F.size(words).alias("n_words"), at.alias("at"), "hash", _around(words, at, width, k).alias("seen"))
 
 
 def _matches(spots: DataFrame, prints: DataFrame, width: int, k: int) -> DataFrame:
     """One row per document (no range) and one per extended match: [start, stop) and item_id."""
     reach, at = width - k, F.col("at")
-    met = spots.join(prints, ["n", "hash"], "left").filter((at < 0) | F.col("near").isNotNull())
+    met = spots.join(prints, "hash", "left").filter((at < 0) | F.col("near").isNotNull())
     # higher-order functions keep the generated code of the scan and the join small enough to be compiled; few rows get here
     def equal_words(places: Column, most: int) -> Column:
         same = F.transform(places, lambda i: F.coalesce(F.get("seen", i) == F.get("near", i), F.lit(False)))
@@ -117,7 +116,7 @@ def _matches(spots: DataFrame, prints: DataFrame, width: int, k: int) -> DataFra
     found = met.select("doc_id", "text_hash", "n_words", "at", "item_id", "right_least", "least", left.alias("left"), right.alias("right"))
     return found.filter("at < 0 OR (right >= right_least AND left + right >= least)").select(
         "doc_id", "text_hash", "n_words", F.when(at >= 0, at - F.col("left")).alias("start"),
-        F.when(at >= 0, at + F.col("right")).alias("stop"), "item_id")
+        F.when(at >= 0, at + F.col("right")).alias("stop"), F.when(at >= 0, F.col("item_id")).alias("item_id"))
 
 
 def _covered(ranges: Column) -> Column:
