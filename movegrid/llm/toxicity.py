@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,6 +35,7 @@ from .common import beside, fresh, rows_of, shielded, ship, thinned
 
 SAMPLE = 2_000
 SAMPLE_CHARS = 20_000
+LEAST = 3            # toxic texts that a term must be in, where there are as many
 TERMS = 240          # features taken from the training rows
 STEMS = (4, 5, 6)    # lengths of the word beginnings that may be features
 MARKED = 3.0         # log odds from which a term marks toxic texts
@@ -52,56 +54,78 @@ def names(word: str) -> list[str]:
 
 
 class Corpus:
-    """Training texts as counts of distinct words, from which terms and features of any of them follow quickly."""
-
-    def __init__(self, texts: list[str]):
+    """Training texts as counts of distinct words, from which terms and features of any of them follow quickly.
+
+    Only names that are in enough toxic texts can become terms; they are told from the others by a table of hashed counts, so
+    words without such a name are counted in lengths only and take no room."""
+
+    def __init__(self, texts: list[str], toxic: np.ndarray):
+        self.index: dict[str, int] = {}
+        least = LEAST if (toxic > 0).sum() >= 4 * LEAST else 1          # a part of the rows may have to show as many
+        met = np.zeros(1 << 22, np.uint8)
+        for keep in (False, True):
+            for text, bad in zip(texts, toxic):
+                if bad:
+                    for name in {x for word in set(_words(text.lower())) for x in names(word)}:
+                        at = zlib.crc32(name.encode("utf-8", "surrogatepass")) & (len(met) - 1)
+                        if not keep:
+                            met[at] += met[at] < least
+                        elif met[at] >= least:
+                            self.index.setdefault(name, len(self.index))
+        self.names = list(self.index)
         words: dict[str, int] = {}
-        names_: dict[str, int] = {}
-        rows, ids, counts, of = [], [], [], []
+        rows, ids, counts, of = array("i"), array("i"), array("i"), array("i")
+        width = 1 + len(STEMS)
         self.lengths = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             found = Counter(_words(text.lower()))
             self.lengths[i] = sum(found.values())
             for word, n in found.items():
-                k = words.setdefault(word, len(words))
-                if k == len(of):
-                    of.append([names_.setdefault(x, len(names_)) for x in names(word)])
+                k = words.get(word)
+                if k is None:
+                    own = [self.index.get(x, -1) for x in names(word)]
+                    if max(own) < 0:
+                        continue
+                    k = words[word] = len(of) // width
+                    of.extend(own + [-1] * (width - len(own)))
                 rows.append(i)
                 ids.append(k)
                 counts.append(n)
-        self.names = list(names_)
-        self.row, self.word, self.count = (np.array(x, np.int64) for x in (rows, ids, counts))
-        self.of = np.full((max(1, len(of)), 1 + len(STEMS)), -1, np.int64)     # names of each word
-        for k, x in enumerate(of):
-            self.of[k, :len(x)] = x
-        spread = self.of[self.word] if len(ids) else np.zeros((0, 1 + len(STEMS)), np.int64)
-        pairs = np.unique((self.row[:, None] * max(1, len(self.names)) + spread)[spread >= 0])
-        self.pair_row, self.pair_name = pairs // max(1, len(self.names)), pairs % max(1, len(self.names))
+        del words
+        self.row, self.word, self.count = (np.array(x, np.int32) for x in (rows, ids, counts))
+        self.of = np.array(of, np.int32).reshape(-1, width) if len(of) else np.full((1, width), -1, np.int32)     # names of each word
+        self.pairs, size = [], max(1, len(self.names))       # (row, name) of each kind of name, once each
+        for slot in self.of.T:
+            name = slot[self.word]
+            there = name >= 0
+            pairs = self.row[there].astype(np.int64) * size
+            pairs += name[there]
+            del name, there
+            pairs.sort()
+            pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+            self.pairs.append(((pairs // size).astype(np.int32), (pairs % size).astype(np.int32)))
 
     def pick_terms(self, toxic: np.ndarray, used: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
         """The features that tell toxic texts best among the rows ``used``, and which of them mark toxic texts."""
-        met = used[self.pair_row]
-        bad_row = toxic[self.pair_row] > 0
-        n = np.bincount(self.pair_name[met & bad_row], minlength=len(self.names)).astype(float)
-        clean = np.bincount(self.pair_name[met & ~bad_row], minlength=len(self.names))
+        count = lambda rows: sum(np.bincount(name[rows[row]], minlength=len(self.names)) for row, name in self.pairs)
+        n, clean = count(used & (toxic > 0)).astype(float), count(used & (toxic == 0))
         bad, good = max(1, int((toxic[used] > 0).sum())), max(1, int((toxic[used] == 0).sum()))
         odds = np.log((n + 0.5) / (bad + 1)) - np.log((clean + 0.5) / (good + 1))
-        at = np.flatnonzero(n >= min(3, bad))
+        at = np.flatnonzero(n >= min(LEAST, bad))
         best = sorted(at.tolist(), key=lambda i: (-odds[i] * np.sqrt(n[i]), self.names[i]))[:TERMS]
         return {self.names[i]: k for k, i in enumerate(best)}, np.array([odds[i] >= MARKED for i in best], bool)
 
     def features(self, terms: dict[str, int], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What ``Features`` gives for every text: a row each, and the share of marked words."""
-        n, column = len(self.lengths), np.full(len(self.names) + 1, -1, np.int64)
-        for i, name in enumerate(self.names):
-            if name in terms:
-                column[i] = terms[name]
+        n, column = len(self.lengths), np.full(len(self.names) + 1, -1, np.int32)
+        for name, k in terms.items():
+            column[self.index[name]] = k
         cols = column[self.of]                                                  # the last place stands for no name
         counts = np.zeros(n * max(1, len(terms)))
         for slot in cols.T:
             c = slot[self.word]
             there = c >= 0
-            counts += np.bincount(self.row[there] * max(1, len(terms)) + c[there], self.count[there], minlength=len(counts))
+            counts += np.bincount(self.row[there].astype(np.int64) * max(1, len(terms)) + c[there], self.count[there], minlength=len(counts))
         marked = np.append(marks, False)[cols].any(axis=1)
         hits = np.bincount(self.row, self.count * marked[self.word], minlength=n)
         size = np.maximum(1, self.lengths)
@@ -245,7 +269,8 @@ def train(rows: list[tuple]) -> tuple[Chain | None, dict[str, float]]:
     keys, y = [r[0] for r in rows], np.array([float(r[2]) for r in rows], np.float32)
     if y.sum() < 1 or (1 - y).sum() < 1:
         return None, {}
-    corpus = Corpus([r[1] or "" for r in rows])
+    corpus = Corpus([r[1] or "" for r in rows], y)
+    del rows
     chain, p = chain_of(corpus, y, np.ones(len(y), bool), keys)
     fold, folds = folds_of(keys, y)
     for f in range(folds if folds > 1 else 0):

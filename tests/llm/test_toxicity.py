@@ -82,7 +82,8 @@ def test_few_rows_of_a_kind_train_a_chain(spark):
 
 def test_training_features_are_those_of_scoring():
     rows_ = labelled(120) + [(500, "", 0), (501, "Grumblet grumblets GRUMBLETISH x", 1)]
-    corpus, y = toxicity.Corpus([t for _, t, _ in rows_]), np.array([b for *_, b in rows_], np.float32)
+    y = np.array([b for *_, b in rows_], np.float32)
+    corpus = toxicity.Corpus([t for _, t, _ in rows_], y)
     terms, marks = corpus.pick_terms(y, np.arange(len(y)) % 4 > 0)
     x, share = corpus.features(terms, marks)
     read = toxicity.Features(terms, marks)
@@ -106,7 +107,7 @@ def test_rows_left_out_have_no_part():
     rows_ = labelled(300)
     y, keys = np.array([b for *_, b in rows_], np.float32), [i for i, *_ in rows_]
     used = np.arange(300) % 3 > 0
-    corpus = toxicity.Corpus([t for _, t, _ in rows_])
+    corpus = toxicity.Corpus([t for _, t, _ in rows_], np.ones(300))
     a = toxicity.chain_of(corpus, y, used, keys)[0]
     b = toxicity.chain_of(corpus, np.where(used, y, 1 - y), used, keys)[0]
     assert a.terms == b.terms and all((u == v).all() for u, v in zip(a.weights, b.weights))
