@@ -32,7 +32,7 @@ LATIN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[{0}]+| ?[{1}]+| ?[^{0}{1}{2}]+|[{2}]+(?![
 TEXT_LEAF = 1 << 14  # texts up to this many characters are split in one go
 TOKEN_LEAF = 8       # byte strings up to this long are merged in one go
 SHORT = 64           # byte strings up to this long are merged without a heap
-CACHE = 500_000      # entries kept in each of a worker's caches
+CACHE = 250_000      # entries kept in each of a worker's caches
 CACHE_BYTES = 64     # longest pre-token that is kept
 NONE = 1 << 62       # rank of two parts that no merge joins
 
