@@ -88,3 +88,26 @@ def test_raster_allocation_has_no_hint(spark):
     totals = spark.createDataFrame([(27, 2020, 5.0)], "area_code int, period int, value double")
     plan = raster.cells(totals, raster.area_bounds(spark))._jdf.queryExecution().logical().toString()
     assert "Hint" not in plan
+
+
+def test_counts_without_a_row_per_point_and_area(spark, monkeypatch):
+    """Blocks of shapes and points, dealt by id and by shape, count what ``locate`` lists; there is no join of points with areas."""
+    r, (points, boxes) = random.Random(5), made(5, n=3000, m=200)
+    points = [(n if n % 50 else None, y, x, None if n % 40 == 0 else f"t{n * 7919 % 3000:04d}") for n, y, x in ((r.randint(0, 300), y, x) for _, y, x in points)]
+    fixes = spark.createDataFrame(points, "n long, Latitude double, Longitude double, at string")
+    # areas of several boxes, some equal or over each other, one of more than are looked up together, one without a name
+    boxes += [("many", 45 + i / 10, 46 + i / 10, 0.0, 4.0) for i in range(areas.PIECES + 5)] + [(None, 49.0, 51.0, 1.0, 3.0), (None, 50.0, 52.0, 179.0, 2.0), ("a0", 40.0, 60.0, -10.0, 20.0)]
+    rings = [(f"p{i % 30}", [(50 + r.gauss(0, 1) + 3 * r.uniform(-1, 1), 2 + r.gauss(0, 1) + 3 * r.uniform(-1, 1)) for _ in range(r.randint(2, 9))]) for i in range(40)]
+    rings += [("p1", rings[1][1]), ("empty", []), ("missing", None)]
+    both = [(spark.createDataFrame(boxes, BOX), {}), (spark.createDataFrame(boxes, BOX), {"wrap_antimeridian": False}),
+            (spark.createDataFrame(rings, "area string, ring array<struct<lat: double, lon: double>>"), {"ring": "ring"})]
+    for held, kw in both:
+        want = sorted(tuple(w) for w in areas.locate(fixes, held, ["area"], **kw).groupBy("area").agg(
+            F.count(F.lit(1)), F.count_distinct("n"), F.min("at"), F.max("at")).fillna("", "area").collect())
+        for sizes in ((100_000, 10_000), (90, 17)):
+            monkeypatch.setattr(areas, "POINTS", sizes[0])
+            monkeypatch.setattr(areas, "SHAPES", sizes[1])
+            got = areas.count_in_areas(fixes, held, "area", id="n", ts="at", **kw)
+            assert sorted(tuple(g) for g in got.fillna("", "area").collect()) == want and len(want) > 20
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert "FlatMapCoGroupsInArrow" in plan
