@@ -51,7 +51,13 @@ def walk(content: Column) -> Column:
     bytes follow the end chunk; ``truncated`` where the file ends before one; ``damaged`` where a checksum is wrong or the first
     chunk is no header (``bad_chunk`` is its type); or ``not_png``.  ``n_chunks`` counts the whole chunks before that, ``end`` the
     bytes up to there.  The walk has a step per chunk; a step after the end does nothing.
+
+    ``content`` may be any expression: it is computed once, as the only element of an array, and not in every step.
     """
+    return F.get(F.transform(F.array(content), _walk), F.lit(0))
+
+
+def _walk(content: Column) -> Column:
     size, kinds = F.octet_length(content), "pos int, n_chunks int, status string, bad_chunk string"
     signed = F.hex(F.substring(content, 1, 8)) == F.lit(PNG_SIGNATURE_HEX)
     start = F.struct(F.lit(8).alias("pos"), F.lit(0).alias("n_chunks"), F.when(~F.coalesce(signed, F.lit(False)), F.lit("not_png")).alias("status"),
@@ -106,12 +112,17 @@ def catalog(files: DataFrame, readable_only: bool = True, whole: bool = False) -
     """
     fname = base_name(F.col("path"))
     stem = F.replace(fname, F.lit(".png"), F.lit(""))
-    hdr = png_header(F.col("content"))
-    out = files.select(
+
+    def facts(content: Column) -> Column:
+        hdr = png_header(content)
+        return F.struct(hdr["width"].alias("width"), hdr["height"].alias("height"), hdr["mode"].alias("mode"),
+                        F.octet_length(content).cast("long").alias("size_bytes"),
+                        hdr["is_png"].alias("_png"), *([_walk(content)["status"].alias("_status")] if whole else []))
+
+    # a row's facts are computed once, whatever its bytes are derived from; rules on them stay above the generator
+    out = files.select("path", "content", F.inline(F.transform(F.array("content"), facts))).select(
         stem.alias("name"), category(stem).alias("category"), F.col("path"), fname.alias("filename"),
-        hdr["width"].alias("width"), hdr["height"].alias("height"), hdr["mode"].alias("mode"),
-        F.octet_length("content").cast("long").alias("size_bytes"), data_uri(F.col("content")).alias("base64_data"),
-        hdr["is_png"].alias("_png"), *([walk(F.col("content"))["status"].alias("_status")] if whole else []))
+        "width", "height", "mode", "size_bytes", data_uri(F.col("content")).alias("base64_data"), "_png", *(["_status"] if whole else []))
     if readable_only:
         out = out.where(F.col("_png"))
     if readable_only and whole:

@@ -227,3 +227,15 @@ def test_chunk_walk_names_what_is_wrong(spark):
     kept = {r.name for r in images.catalog(files, whole=True).collect()}
     assert kept == {k for k, v in cases.items() if v[1] in images.READABLE}
     assert images.integrity(files.limit(0)).count() == 0
+
+
+def test_bytes_are_computed_once_however_they_are_derived(spark):
+    """The catalogue's rules and the chunk walk take an image's bytes as given, not their derivation in every step."""
+    header = images.PNG_SIGNATURE_HEX
+    made = spark.range(3).select(F.concat(F.lit("/i/"), F.col("id").cast("string"), F.lit(".png")).alias("path"),
+                                 F.unhex(F.concat(F.lit(header), F.sha2(F.col("id").cast("string"), 512))).alias("content"))
+    for df in (images.catalog(made, whole=True), images.integrity(made), images.catalog(made, whole=True, readable_only=False)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("sha2(") == 1, plan
+    assert [tuple(r) for r in images.integrity(made).select("status", "n_chunks").collect()] == [("truncated", 0)] * 3
+    assert images.catalog(made, whole=True).count() == 0 and images.catalog(made, whole=True, readable_only=False).count() == 3
