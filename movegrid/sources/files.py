@@ -42,7 +42,10 @@ def listing(spark: SparkSession, paths: str | list[str], pattern: str = "*", rec
         except PySparkException as e:
             if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
                 raise
-    return reduce(DataFrame.unionByName, parts).distinct() if parts else spark.createDataFrame([], SCHEMA)
+    if not parts:
+        return spark.createDataFrame([], SCHEMA)
+    once = len(paths) == 1 and not re.search(r"[*?\[{]", paths[0])       # one folder or file is listed once
+    return parts[0] if once else reduce(DataFrame.unionByName, parts).distinct()
 
 
 def target(folder: str):

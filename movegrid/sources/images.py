@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from movegrid.sources.validate import count_files
+from movegrid.sources.files import listing
 
 
 def read_png_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame | None:
@@ -11,7 +11,7 @@ def read_png_files(spark: SparkSession, directory: str, recursive: bool = False)
 
     A directory that is missing or holds no image gives ``None`` (nothing to catalogue).
     """
-    if not count_files(spark, directory, "*.png"):
+    if listing(spark, directory, "*.png").isEmpty():
         return None
     return (spark.read.format("binaryFile").option("pathGlobFilter", "*.png")
             .option("recursiveFileLookup", str(recursive).lower()).load(directory)

@@ -40,6 +40,9 @@ DIMENSION, VARIABLE, ATTRIBUTE = 10, 11, 12
 CELLS = 1 << 20        # values of a range
 BATCH = 1 << 16        # cells of a batch of single cells
 PIECE = 1 << 16        # bytes of a header read at once
+HEADERS = 32           # files, or ranges, that a task opens where there are many
+FILES = 64             # files whose headers a data source reads while planning, at most
+GROUP = 1 << 26        # bytes of the files of a partition, where there are more files
 MICROS = {"microsecond": 1, "millisecond": 10 ** 3, "second": 10 ** 6, "sec": 10 ** 6, "s": 10 ** 6, "minute": 60 * 10 ** 6, "min": 60 * 10 ** 6,
           "hour": 3600 * 10 ** 6, "hr": 3600 * 10 ** 6, "h": 3600 * 10 ** 6, "day": 86400 * 10 ** 6, "d": 86400 * 10 ** 6, "week": 7 * 86400 * 10 ** 6}
 CALENDARS = ("standard", "gregorian", "proleptic_gregorian")
@@ -367,9 +370,10 @@ def read_slabs(spark: SparkSession, path: str | list[str], pattern: str | None =
     """
     files = listing(spark, path, pattern or GRID_PATTERN)
     n = files.count()
-    planned = plan(spread(files, min(n, 10_000)), variables, bounds, cells)
+    planned = plan(spread(files, min(n, max(16, -(-n // HEADERS)), 10_000)), variables, bounds, cells)
     total = planned.agg(F.sum("cells").alias("cells"), F.count("cells").alias("ranges")).first()
-    tasks = max(1, min(total["ranges"], -(-(total["cells"] or 0) // (4 * cells)), 100_000))
+    by_cells, by_ranges = -(-(total["cells"] or 0) // (4 * max(cells, BATCH))), max(16, -(-total["ranges"] // HEADERS))
+    tasks = max(1, min(total["ranges"], max(by_cells, by_ranges), 100_000))
     return slabs_of(planned.filter("variable IS NOT NULL").repartition(tasks))
 
 
@@ -413,8 +417,18 @@ class Range(ds.InputPartition):
         super().__init__(None)
 
 
+@dataclass
+class Files(ds.InputPartition):
+    """Whole files, whose headers are read by the task."""
+    paths: list[str]
+
+    def __post_init__(self):
+        super().__init__(None)
+
+
 class NetcdfReader(ds.DataSourceReader):
-    """Single cells; a partition per range of records of a variable."""
+    """Single cells; a partition per range of records of a variable or, of more than ``FILES`` files, per group of files of up to
+    ``GROUP`` bytes (files beyond that are cut into ranges), whose ranges the task chooses."""
 
     FILTERS = {("variable",): None, ("time",): "time", ("level",): "level", ("latitude",): "lat", ("longitude",): "lon"}
 
@@ -441,27 +455,60 @@ class NetcdfReader(ds.DataSourceReader):
                 self.bounds[axis] = lo, hi
             yield one
 
-    def files(self) -> list[str]:
+    def files(self) -> list[tuple[str, int]]:
+        """(path, length), by path."""
         fs, place = target(self.path)
-        if fs.get_file_info(place).type == pafs.FileType.File:
-            return [self.path]
+        info = fs.get_file_info(place)
+        if info.type == pafs.FileType.File:
+            return [(self.path, info.size)]
         uri = self.path if "://" in self.path else f"file://{place}"
         head = uri[:len(uri.rstrip("/")) - len(place.rstrip("/"))]
         found = fs.get_file_info(pafs.FileSelector(place, recursive=True))
-        return sorted(head + i.path for i in found if i.type == pafs.FileType.File and i.path.lower().endswith((".nc", ".nc4", ".netcdf")))
+        return sorted((head + i.path, i.size) for i in found if i.type == pafs.FileType.File and i.path.lower().endswith((".nc", ".nc4", ".netcdf")))
 
-    def partitions(self):
-        out = []
-        for path in self.files():
-            f, length = opened(path)
-            with f:
-                held = read_header(f, length)
-                out += [Range(path, v.name, cut) for v in grid_variables(held, self.variables) for cut in ranges(f, held, v, self.bounds, self.cells)]
-        return out
+    def ranges_of(self, path: str) -> Iterator[Range]:
+        f, length = opened(path)
+        with f:
+            held = read_header(f, length)
+            for v in grid_variables(held, self.variables):
+                for cut in ranges(f, held, v, self.bounds, self.cells):
+                    yield Range(path, v.name, cut)
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def partitions(self):
+        found = self.files()
+        if len(found) <= FILES:
+            return [r for path, _ in found for r in self.ranges_of(path)]
+        out, held, size = [], [], 0
+        # as many groups as files that may be planned one by one, or more if their bytes ask for it
+        most = max(1, min(GROUP, -(-sum(n for _, n in found) // FILES)))
+        for path, n in found:
+            if n > GROUP:
+                out += self.ranges_of(path)
+                continue
+            held.append(path)
+            size += n
+            if size >= most:
+                out.append(Files(held))
+                held, size = [], 0
+        return out + ([Files(held)] if held else [])
+
+    def read(self, part: Range | Files) -> Iterator[pa.RecordBatch]:
         if part is None:
             return
+        if isinstance(part, Range):
+            yield from self.cells_of(part)
+            return
+        held, rows = [], 0
+        for batch in (b for path in part.paths for r in self.ranges_of(path) for b in self.cells_of(r)):
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= BATCH:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, rows = [], 0
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    def cells_of(self, part: Range) -> Iterator[pa.RecordBatch]:
         f, length = opened(part.path)
         with f:
             axes, values = block(f, read_header(f, length), part.variable, *part.cut)
@@ -486,7 +533,7 @@ class NetcdfReader(ds.DataSourceReader):
 class NetcdfSource(ds.DataSource):
     """``spark.read.format("netcdf").load(path)``; options ``variables`` (names, comma between) and ``cells`` (values of a partition).
 
-    The headers of all files are read while planning, one after the other: for very many files use ``read_slabs``.
+    Up to ``FILES`` headers are read while planning; of more files only names and lengths are listed, and tasks read the headers.
     A file that is no classic NetCDF file fails the read.
     """
 
@@ -513,7 +560,7 @@ def encode_file(variables: list[tuple], version: int = 2, units: str = "microsec
     """A classic file of (name, time in microseconds, lat, lon, values) grids on one grid: time is the record dimension and
     is stored in doubles; values are doubles, NaN where missing."""
     time, lat, lon = (np.asarray(x, np.float64) for x in variables[0][1:4])
-    if any(list(map(list, v[1:4])) != list(map(list, variables[0][1:4])) for v in variables):
+    if not all(np.array_equal(a, b) for v in variables for a, b in zip(v[1:4], variables[0][1:4])):
         raise ValueError("the variables of a file are on different grids")
     big = version == 5
     count = lambda n: struct.pack(">q" if big else ">i", n)
@@ -556,9 +603,11 @@ def write_files(files: DataFrame, folder: str, version: int = 2) -> DataFrame:
         for batch in it:
             for i in range(batch.num_rows):
                 name = batch.column("name")[i].as_py()
-                slabs = sorted(batch.column("slabs")[i].as_py(), key=lambda s: s["variable"])
-                micros = lambda t: int(np.datetime64(t, "us").astype(np.int64))
-                data = encode_file([(s["variable"], [micros(t) for t in s["time"]], s["lat"], s["lon"], [np.nan if v is None else v for v in s["values"]]) for s in slabs], version)
+                held = batch.column("slabs")[i].values
+                of = lambda column, k, kind, none: held.field(column)[k].values.cast(kind).fill_null(none).to_numpy()
+                by_name = sorted(zip(held.field("variable").to_pylist(), range(len(held))))
+                data = encode_file([(v, of("time", k, pa.int64(), np.iinfo(np.int64).min), *[of(c, k, pa.float64(), np.nan) for c in ("lat", "lon", "values")])
+                                    for v, k in by_name], version)
                 write_whole(fs, root, name, data)
                 yield pa.RecordBatch.from_arrays([pa.array([f"{folder.rstrip('/')}/{name}"]), pa.array([len(data)], pa.int64())], ["path", "length"])
 

@@ -188,3 +188,20 @@ def test_unknown_calendars_are_not_guessed():
         nc.micros_since_epoch(var, np.array([1.0]))
     var.attrs = {"units": "m"}
     assert nc.micros_since_epoch(var, np.array([1.0])) is None
+
+
+def test_many_files_are_few_partitions(spark, tmpdir_path):
+    """Beyond ``FILES`` files a partition is a group of files: no task per range, no header read while planning, the same cells."""
+    data, n = filed(grid(4)), 3 * nc.FILES
+    for i in range(n):
+        save(tmpdir_path, f"{i:03d}.nc", data)
+    nc.register(spark)
+    cells = spark.read.format("netcdf").option("cells", 42).load(tmpdir_path)
+    some = cells.where((F.col("variable") == "temperature") & F.col("latitude").between(51, 52) & (F.col("time") >= F.lit(dt.datetime(1970, 1, 3))))
+    assert cells.rdd.getNumPartitions() <= nc.FILES + 1 and cells.count() == n * 2 * 4 * 6 * 7
+    one = {(r.time, r.latitude, r.longitude, r.value) for r in some.where("file_source = '000.nc'").collect()}
+    assert len(one) == 2 * 3 * 7 and some.count() == n * len(one) and some.select("file_source").distinct().count() == n
+    reader = nc.NetcdfReader({"path": tmpdir_path, "cells": "42"})
+    assert {type(p) for p in reader.partitions()} == {nc.Files}
+    assert sorted(f for p in reader.partitions() for f in p.paths) == [f for f, _ in reader.files()]
+    assert nc.read_slabs(spark, tmpdir_path, cells=42).rdd.getNumPartitions() <= -(-n * 8 // nc.HEADERS)
