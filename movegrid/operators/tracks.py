@@ -88,8 +88,8 @@ def positions(df: DataFrame, id: str = "id", ts: str = "Date", order: str = "row
               chunk_days: float | None = DEFAULT_CHUNK_DAYS, name: str = "position", min_points: int = 1) -> DataFrame:
     """0-based position of every fix within its track, computed per (id, chunk) with chunk
     offsets from a small per-chunk count table, so a very long track is spread over tasks.
-    Tracks of fewer than ``min_points`` fixes are left out."""
-    base = chunked(df, id, ts, order, chunk_days)
+    Tracks of fewer than ``min_points`` fixes are left out.  Fixes that are ``chunked`` already keep their chunks."""
+    base = df if "_chunk" in df.columns else chunked(df, id, ts, order, chunk_days)
     w = Window.partitionBy(id, "_chunk").orderBy(*track_order(ts, order))
     local = base.withColumn("_rn", F.row_number().over(w))
     counts = base.groupBy(id, "_chunk").agg(F.count(F.lit(1)).alias("_n"))

@@ -70,6 +70,7 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
     raw = track_src.read_track_csv(spark, cfg.tracks_csv)
     processed = _kept(tracks.process(raw, chunk_days=cfg.chunk_days), cfg, "tracks_all", ["year", "month"])
     clean = tracks.clean(processed)
+    chunks = tracks.chunked(clean, chunk_days=tracks.DEFAULT_CHUNK_DAYS)     # heavy slices are looked for once for all positions
     summary_report = tracks.summary_report(clean)
     out.update({
         "track_overview": tracks.overview(raw),
@@ -79,9 +80,9 @@ def run(spark: SparkSession, cfg: Config) -> dict[str, DataFrame | object]:
         "track_totals": tracks.totals(clean),
         "track_summary": tracks.summary(clean),
         "track_summary_report": summary_report,
-        "track_sampled": tracks.sampled_per_id(clean, cfg.sample_every).select("id", "Date", "Latitude", "Longitude"),
+        "track_sampled": tracks.sampled_per_id(chunks, cfg.sample_every).select("id", "Date", "Latitude", "Longitude"),
         "track_endpoints": tracks.endpoints(clean),
-        "track_polylines": tracks.polylines(clean),
+        "track_polylines": tracks.polylines(chunks),
         "track_density": profiles.density(clean),
         "movement_by_date": profiles.movement_by_date(clean),
         "records_by_month": profiles.records_by_month(clean),

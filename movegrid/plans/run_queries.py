@@ -35,7 +35,7 @@ def write_inputs(spark, sf_dir) -> pipeline.Config:
     return pipeline.Config(
         tracks_csv=f"{folder}/tracks", grid_path=gq.netcdf_files(spark, sf_dir), grid_format="netcdf", capture_csv=f"{folder}/capture",
         species_csv=f"{folder}/species", areas_csv=f"{folder}/areas", image_dir=f"{folder}/images", target_area=None, resolution=cq.RESOLUTION,
-        train_model=False)
+        train_model=False, work_dir=f"{folder}/work")
 
 
 def run(spark, sf_dir):

@@ -6,9 +6,10 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from movegrid.operators import images, sinks
-from movegrid.plans import pipeline
+from movegrid.operators import images, sinks, tracks
+from movegrid.plans import pipeline, run_queries
 from movegrid.sources.images import read_png_files
+from tests.conftest import SF_SMALL
 
 
 def png_bytes(width, height, color_type=6):
@@ -239,3 +240,15 @@ def test_bytes_are_computed_once_however_they_are_derived(spark):
         assert plan.count("sha2(") == 1, plan
     assert [tuple(r) for r in images.integrity(made).select("status", "n_chunks").collect()] == [("truncated", 0)] * 3
     assert images.catalog(made, whole=True).count() == 0 and images.catalog(made, whole=True, readable_only=False).count() == 3
+
+
+def test_run_over_files_reads_them_once(spark, monkeypatch):
+    """The outputs of the run read its fixes and grid back from the tables written once, and heavy slices are looked for twice, not per output."""
+    calls, real = [], tracks.chunked
+    monkeypatch.setattr(tracks, "chunked", lambda *a, **k: calls.append(1) or real(*a, **k))
+    out = run_queries.run(spark, SF_SMALL)
+    for name in ("track_summary_report", "track_polylines", "track_sampled", "grid_daily_abundance"):
+        plan = out[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" in plan and "csv" not in plan and "MapInArrow" not in plan
+    assert len(calls) == 2
+    assert out["track_summary_report"].count() and out["track_polylines"].count() and out["image_catalog"].count() and read_png_files(spark, "/nowhere") is None
